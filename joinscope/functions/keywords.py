@@ -44,6 +44,11 @@ TERADATA_RULES = (
     (r"\s+", " "),
 )
 
+# A text without any of these words is changed by none of the dialect rules above.
+TERADATA_WORDS = (
+    r"(?i)\b(?:FORMAT|TITLE|NAMED|CASEWORD|ISOLATION|LOCKING|COMPRESS|NORMALIZE|EXPAND|BTEQ)\b"
+)
+
 # A slash-delimited remark of three characters or more, as seen in dirty logs.
 SLASH_REMARK = r"(?s)(?<!\*)(?<!/)/(?!\*)/?.{3,}?(?<!\*)/(?!\*)"
 

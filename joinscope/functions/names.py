@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from joinscope.functions.columns import blank_to_null, last, strip
+from joinscope.functions.columns import blank_to_null, strip
 from joinscope.functions.keywords import APP_PREFIXES
 
 _QUOTES = "\"'` "
@@ -22,7 +22,7 @@ def normalize_name(name: Column) -> Column:
 
 def bare_name(name: Column) -> Column:
     """Last part of a dotted name, letter case kept."""
-    return unquote(last(F.split(name, r"\.")))
+    return unquote(F.substring_index(name, ".", -1))
 
 
 def bare_lower(name: Column) -> Column:
@@ -34,13 +34,6 @@ def qualify(db: Column, table: Column) -> Column:
     return F.concat_ws(".", blank_to_null(normalize_name(db)), blank_to_null(normalize_name(table)))
 
 
-def qualified_name(name: Column, default_db: Column) -> Column:
-    """Normalised ``db.table`` of a reference; more leading parts are dropped."""
-    parts = F.split(name, r"\.")
-    db = F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(-2))).otherwise(default_db)
-    return qualify(db, last(parts))
-
-
 def app_prefix(user: Column) -> Column:
     """Service-account prefix of the user, null for people."""
     return blank_to_null(F.regexp_extract(F.upper(user), "^(" + "|".join(APP_PREFIXES) + ")", 1))
@@ -54,19 +47,11 @@ def app_before_underscore(user: Column) -> Column:
     return F.substring_index(user, "_", 1)
 
 
-# Accepted spellings of a log time.
-TIME_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd[ HH:mm]",
-    "M/d/yyyy[ H:mm[:ss]]",
-)
-
-
 def parse_time(text: Column) -> Column:
-    """Lenient timestamp without time zone; text that is no time gives null."""
+    """Lenient timestamp without time zone: ISO forms and ``M/D/YYYY [H:MM[:SS]]``, else null."""
     t = strip(text)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in TIME_FORMATS]).cast("timestamp_ntz")
+    slashed = F.try_to_timestamp(t, F.lit("M/d/yyyy[ H:mm[:ss]]"))
+    return F.coalesce(t.try_cast("timestamp_ntz"), slashed.cast("timestamp_ntz"))
 
 
 def date_wid(ts: Column) -> Column:

@@ -6,255 +6,181 @@ leave the last two null.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from joinscope.functions import text
-from joinscope.functions.columns import blank_to_null, empty_array, last, let, strip
 from joinscope.functions.keywords import IDENT, NOT_A_NAME, QUALIFIED, TABLE_REF
-from joinscope.functions.names import bare_lower, bare_name, normalize_name, qualified_name, unquote
-from joinscope.functions.scopes import derived_table, inside
-
-KEYS = "array<struct<left_key:string,right_key:string>>"
-PAIR = f"struct<left:string,right:string,join_type:string,join_keys:{KEYS}>"
-PAIRS = f"array<{PAIR}>"
+from joinscope.functions.scopes import derived_from, inside
+from joinscope.functions.sqltext import (
+    bare, bare_lower, empty, last, last_part, let, norm, qualified, quote, strip, struct, unquote,
+)
 
-Namer = Callable[[Column], Column]
+KEY = "struct<left_key: string, right_key: string>"
+KEYS = f"array<{KEY}>"
+PAIR = f"struct<left: string, right: string, join_type: string, join_keys: {KEYS}>"
 
+NO_PAIRS = empty(PAIR)
+NO_KEYS = empty(KEY)
 
-def pair(left: Column, right: Column, join_type: Column | None = None, keys: Column | None = None) -> Column:
-    kind = F.lit(None).cast("string") if join_type is None else join_type
-    return F.struct(
-        left.alias("left"),
-        right.alias("right"),
-        kind.alias("join_type"),
-        (F.lit(None) if keys is None else keys).cast(KEYS).alias("join_keys"),
-    )
 
+def pair(left: str, right: str, join_type: str = "cast(null as string)", keys: str = f"cast(null as {KEYS})") -> str:
+    return struct(left=left, right=right, join_type=join_type, join_keys=keys)
 
-def no_pairs() -> Column:
-    return empty_array(PAIR)
 
+def both_sides(pairs: str) -> str:
+    return f"filter({pairs}, p -> p.left <> '' AND p.right <> '')"
 
-def both_sides(pairs: Column) -> Column:
-    return F.filter(pairs, lambda p: (p.left != "") & (p.right != ""))
 
+def drop_self(pairs: str, ignore_case: bool) -> str:
+    differ = "lower(p.left) <> lower(p.right)" if ignore_case else "p.left <> p.right"
+    return f"filter({pairs}, p -> {differ})"
 
-def drop_self(pairs: Column, ignore_case: bool) -> Column:
-    fold = F.lower if ignore_case else (lambda c: c)
-    return F.filter(pairs, lambda p: fold(p.left) != fold(p.right))
 
-
-def distinct_pairs(pairs: Column) -> Column:
+def distinct_pairs(pairs: str) -> str:
     """First of each (left, right); its type and keys win."""
-    return F.filter(
-        pairs,
-        lambda p, i: ~F.exists(F.slice(pairs, F.lit(1), i), lambda q: (q.left == p.left) & (q.right == p.right)),
-    )
+    seen = f"exists(slice({pairs}, 1, i), q -> q.left = p.left AND q.right = p.right)"
+    return f"filter({pairs}, (p, i) -> NOT {seen})"
 
 
-def lookup(entries: Column, name: Column, same: Callable[[Column], Column] = lambda c: c) -> Column:
+def lookup(entries: str, name: str, ignore_case: bool = False) -> str:
     """Last definition of ``name`` in ``array<aka, tbl>``, else the name itself."""
-    return let(name, lambda n: F.coalesce(last(F.filter(entries, lambda a: same(a.aka) == same(n))).tbl, n))
+    same = "lower(al.aka) = lower(nm)" if ignore_case else "al.aka = nm"
+    return let("nm", name, f"coalesce({last(f'filter({entries}, al -> {same})')}.tbl, nm)")
 
 
-def _chain(tables: Column, start: Column) -> Column:
+def _chain(tables: str, start: str) -> str:
     """Pairs of each table with its predecessor, self pairs included."""
-    return let(
-        F.concat(F.array(start), tables),
-        lambda all_: F.zip_with(
-            F.slice(all_, F.lit(1), F.size(all_) - 1),
-            F.slice(all_, F.lit(2), F.size(all_) - 1),
-            lambda l, r: pair(l, r),
-        ),
-    )
+    zipped = f"zip_with(slice(ch, 1, size(ch) - 1), slice(ch, 2, size(ch) - 1), (l, r) -> {pair('l', 'r')})"
+    return let("ch", f"concat(array({start}), {tables})", zipped)
 
 
 # --- structured modes: read table events -----------------------------------------------
 
+_KEY_LEFT = r"(?:[\w$.\"`]+(?!\s*\()|\)|'')"
+_KEY_RIGHT = r"(?:[\w$.\"`]+\s*\(?|\(|'')"
+_KEY_EQUALITY = rf"{_KEY_LEFT}\s*=\s*{_KEY_RIGHT}"
+
 
-def _keys_of(cond: Column) -> Column:
+def _keys_of(cond: str) -> str:
     """``a.x = b.y`` equalities of an ON condition; a side that is no column has a blank key."""
-    side = r"(?:[\w$.\"`]+(?!\s*\()|\)|'')"
-    on = F.regexp_extract(cond, r"(?is)^\s*ON\b(.*)$", 1)
-    found = F.regexp_extract_all(on, F.lit(rf"({side})\s*=\s*([\w$.\"`]+\s*\(?|\(|'')"), F.lit(0))
-
-    def column_of(part: Column) -> Column:
-        p = strip(part)
-        return F.when(p.rlike(r"[()']"), "").otherwise(unquote(last(F.split(p, r"\."))))
-
-    return F.transform(
-        found,
-        lambda m: let(
-            F.split(m, "="),
-            lambda s: F.struct(
-                column_of(F.element_at(s, 1)).alias("left_key"), column_of(F.element_at(s, 2)).alias("right_key")
-            ),
-        ),
-    )
+    on = f"regexp_extract({cond}, {quote(r'(?is)^\s*ON\b(.*)$')}, 1)"
+
+    def column_of(part: str) -> str:
+        no_column = quote("[()']")
+        return f"CASE WHEN rlike({part}, {no_column}) THEN '' ELSE {bare(part)} END"
 
+    key = struct(left_key=column_of("get(sd, 0)"), right_key=column_of("get(sd, 1)"))
+    found = f"regexp_extract_all({on}, {quote(_KEY_EQUALITY)}, 0)"
+    return f"transform(transform({found}, m -> split(m, '=')), sd -> {key})"
 
-def _join_type(side: Column) -> Column:
-    words = strip(F.regexp_replace(F.upper(F.regexp_replace(side, r"\s+", " ")), "NATURAL ?", ""))
-    return F.coalesce(blank_to_null(words), F.lit("INNER"))
 
+def _join_type(side: str) -> str:
+    words = strip(f"replace(regexp_replace(upper({side}), {quote(r'\s+')}, ' '), 'NATURAL', '')")
+    return f"CASE WHEN {side} = '' THEN 'INNER' ELSE coalesce(nullif({words}, ''), 'INNER') END"
 
-def per_block(pieces: Column, events: Column, name: Namer, with_keys: bool = True) -> Column:
+
+def per_block(pieces: str, events: str, qualified_by: str | None, with_keys: bool) -> str:
     """Each SELECT block on its own: FROM table -> first join -> next join.
 
     A derived table on the right gives no pair and leaves the left side as it was.
     """
-    used = F.filter(events, lambda e: e.sel & (e.op != "S"))
-
-    def of(ev: Column) -> Column:
-        def condition(e: Column, i: Column) -> Column:
-            following = F.get(F.filter(F.slice(ev, i + 2, F.size(ev)), lambda f: f.blk == e.blk), F.lit(0)).pos
-            until = F.coalesce(following, F.size(pieces))
-            body = F.transform(
-                F.slice(pieces, e.pos + 2, F.greatest(until - e.pos - 1, F.lit(0))),
-                lambda p: F.concat(F.when(p.op.isin("(", ")"), p.op).otherwise(" "), p.rest),
-            )
-            return F.concat(F.element_at(pieces, e.pos + 1).rest, F.array_join(body, ""))
-
-        def resolved(e: Column, i: Column) -> Column:
-            table = F.when((e.op == "F") & (e.tbl == ""), derived_table(events, e)).otherwise(e.tbl)
-            named = F.when(table != "", name(table)).otherwise("")
-            keyed = (e.op == "J") & (e.tbl != "") & (e.seq == 0)
-            keys = F.when(keyed, _keys_of(condition(e, i))) if with_keys else F.lit(None)
-            return F.struct(
-                e.op.alias("op"),
-                e.blk.alias("blk"),
-                named.alias("tbl"),
-                _join_type(e.side).alias("kind"),
-                keys.cast(KEYS).alias("keys"),
-            )
-
-        def step(acc: Column, e: Column) -> Column:
-            joins = (e.op == "J") & (e.tbl != "") & (acc.blk == e.blk) & (acc.anchor != "")
-            anchor = (
-                F.when(e.op == "F", F.when((e.tbl == "") & (acc.blk == e.blk), acc.anchor).otherwise(e.tbl))
-                .when((e.op == "J") & (e.tbl != "") & (acc.blk == e.blk), e.tbl)
-                .when(acc.blk == e.blk, acc.anchor)
-                .otherwise("")
-            )
-            none = F.coalesce(e["keys"], empty_array("struct<left_key:string,right_key:string>"))
-            new = F.when(joins, F.array(pair(acc.anchor, e.tbl, e.kind, none))).otherwise(no_pairs())
-            return F.struct(
-                e.blk.alias("blk"), anchor.alias("anchor"), F.concat(acc.out, new).alias("out")
-            ).cast(f"struct<blk int, anchor string, out {PAIRS}>")
-
-        start = F.struct(F.lit(-2).alias("blk"), F.lit("").alias("anchor"), no_pairs().alias("out"))
-        return F.aggregate(
-            F.transform(ev, resolved),
-            start.cast(f"struct<blk int, anchor string, out {PAIRS}>"),
-            step,
-            lambda acc: acc.out,
-        )
-
-    return let(used, of)
+    name = (lambda t: qualified(t, qualified_by)) if qualified_by else bare_lower
+    following = "get(filter(slice(ev, i + 2, size(ev)), f -> f.id.blk = e.id.blk), 0).pos"
+    until = f"coalesce({following}, size({pieces}))"
+    text = "concat(CASE WHEN pc.op IN ('(', ')') THEN pc.op ELSE ' ' END, pc.rest)"
+    cond = (
+        f"concat({pieces}[e.pos].rest, array_join(transform("
+        f"slice({pieces}, e.pos + 2, greatest({until} - e.pos - 1, 0)), pc -> {text}), ''))"
+    )
+    keys = NO_KEYS
+    if with_keys:
+        keys = f"CASE WHEN e.op = 'J' AND e.tbl <> '' AND e.seq = 0 THEN {_keys_of(cond)} ELSE {NO_KEYS} END"
+    shown = f"CASE WHEN e.op = 'F' AND e.tbl = '' THEN coalesce({derived_from(events, 'e')}.tbl, '') ELSE e.tbl END"
+    resolved = struct(
+        op="e.op",
+        blk="e.id.blk",
+        tbl=let("sh", shown, f"CASE WHEN sh <> '' THEN {name('sh')} ELSE '' END"),
+        kind=_join_type("e.side"),
+        ks=keys,
+    )
+    same = "a.blk = e.blk"
+    anchor = (
+        f"CASE WHEN e.op = 'F' THEN CASE WHEN e.tbl = '' AND {same} THEN a.anchor ELSE e.tbl END "
+        f"WHEN {same} THEN CASE WHEN e.op = 'J' AND e.tbl <> '' THEN e.tbl ELSE a.anchor END ELSE '' END"
+    )
+    joins = f"e.op = 'J' AND e.tbl <> '' AND {same} AND a.anchor <> ''"
+    out = f"CASE WHEN {joins} THEN concat(a.out, array({pair('a.anchor', 'e.tbl', 'e.kind', 'e.ks')})) ELSE a.out END"
+    start = struct(blk="-2", anchor="''", out=NO_PAIRS)
+    step = struct(blk="e.blk", anchor=anchor, out=out)
+    fold = f"aggregate(transform(ev, (e, i) -> {resolved}), {start}, (a, e) -> {step}, a -> a.out)"
+    return let("ev", f"filter({events}, e -> e.sel AND e.op <> 'S')", fold)
 
 
-def _case_keeping_aliases(events: Column, stmt: Column | None = None) -> Column:
+def _aliases(events: str, condition: str) -> str:
     """Alias definitions in block order: array<aka, tbl>, names bare with their letter case."""
-    return F.transform(
-        F.filter(
-            events,
-            lambda e: (e.tbl != "") & (e.aka != "") & (F.lit(True) if stmt is None else e.stmt == stmt),
-        ),
-        lambda e: F.struct(unquote(e.aka).alias("aka"), bare_name(e.tbl).alias("tbl")),
-    )
+    entry = struct(aka=unquote("e.aka"), tbl=bare("e.tbl"))
+    return f"transform(filter({events}, e -> e.tbl <> '' AND e.aka <> '' AND {condition}), e -> {entry})"
 
 
-def all_scopes(events: Column) -> Column:
+def all_scopes(events: str) -> str:
     """Every SELECT chains its own joins and then those nested in it.
 
     Nested joins are so reported again by each enclosing SELECT; the left side moves on even
     over a self-join, which itself is no pair.
     """
 
-    def of_block(b: Column) -> Column:
-        def with_aliases(aliases: Column) -> Column:
-            def named(e: Column) -> Column:
-                hidden = e.tbl == ""
-                inner = F.filter(
-                    events,
-                    lambda d: (d.op == "F") & (d.tbl != "") & (d.stmt == e.stmt) & (d.pos > e.pos) & inside(d.path, e.blk),
-                )
-                shown = F.when(hidden, F.get(inner, F.lit(0))).otherwise(e)
-                return let(
-                    shown,
-                    lambda t: lookup(aliases, F.coalesce(blank_to_null(unquote(t.aka)), bare_name(t.tbl))),
-                )
-
-            members = F.filter(
-                events, lambda e: (e.stmt == b.stmt) & e.op.isin("F", "J") & ((e.blk == b.blk) | inside(e.path, b.blk))
-            )
-            anchor = F.get(F.filter(members, lambda e: (e.op == "F") & (e.tbl != "")), F.lit(0))
-            own = F.get(F.filter(members, lambda e: (e.op == "F") & (e.blk == b.blk)), F.lit(0))
-            start = named(F.coalesce(own, anchor))
-            rights = F.filter(
-                F.transform(F.filter(members, lambda e: e.op == "J"), named), lambda t: t.isNotNull() & (t != "")
-            )
-            chained = drop_self(_chain(rights, start), ignore_case=False)
-            return F.when(anchor.isNull(), no_pairs()).otherwise(chained)
-
-        return let(_case_keeping_aliases(events, b.stmt), with_aliases)
-
-    blocks = F.filter(events, lambda e: e.op == "S")
-    return F.flatten(F.transform(blocks, of_block))
-
-
-def top_level(events: Column, driving_table: Column | None, from_is_fused: Column | None = None) -> Column:
-    """Chain of the statement's outermost level; derived tables are passed over.
+    def named(e: str) -> str:
+        shown = f"CASE WHEN {e}.tbl = '' THEN {derived_from(events, e)} ELSE {e} END"
+        return let("sh", shown, lookup("als", f"coalesce(nullif({unquote('sh.aka')}, ''), {bare('sh.tbl')})"))
 
-    Without any FROM the log's driving table is the first left side. The chain starts again at
-    each FROM, so the branches of a set operation stay apart.
-    """
-    aliases = F.filter(
-        _case_keeping_aliases(F.filter(events, lambda e: e.stmt == 0)), lambda a: F.lower(a.aka) != F.lower(a.tbl)
+    members = (
+        f"filter({events}, e -> e.id.stmt = b.id.stmt AND e.op IN ('F', 'J') AND "
+        f"(e.id.blk = b.id.blk OR {inside('e', 'b.id.blk')}))"
     )
+    first_from = "get(filter(mb, e -> e.op = 'F'), 0)"
+    rights = f"filter(transform(filter(mb, e -> e.op = 'J'), e -> {named('e')}), t -> t <> '')"
+    chained = drop_self(_chain(rights, "an"), ignore_case=False)
+    of_block = let(
+        "mb",
+        members,
+        f"CASE WHEN exists(mb, e -> e.op = 'F') AND exists(mb, e -> e.op = 'J') THEN "
+        f"{let('als', _aliases(events, 'e.id.stmt = b.id.stmt'), let('an', let('fr', first_from, named('fr')), chained))} "
+        f"ELSE {NO_PAIRS} END",
+    )
+    return f"flatten(transform(filter({events}, b -> b.op = 'S'), b -> {of_block}))"
 
-    def of(al: Column) -> Column:
-        outer = F.filter(events, lambda e: (e.stmt == 0) & (e.lvl == 0) & e.op.isin("F", "J"))
-        named = F.transform(
-            outer,
-            lambda e: F.struct(
-                e.op.alias("op"),
-                let(
-                    F.when((e.op == "F") & (e.tbl == ""), derived_table(events, e)).otherwise(e.tbl),
-                    lambda t: F.when(t != "", lookup(al, bare_name(t), F.lower)),
-                ).alias("tbl"),
-            ),
-        )
-        has_from = F.exists(outer, lambda e: e.op == "F")
-        fallback = F.lit(None).cast("string")
-        if driving_table is not None:
-            usable = ~has_from if from_is_fused is None else ~has_from & ~from_is_fused
-            fallback = F.when(usable, blank_to_null(bare_name(driving_table)))
-        state = f"struct<anchor string, out {PAIRS}>"
 
-        def step(acc: Column, e: Column) -> Column:
-            joins = (e.op == "J") & e.tbl.isNotNull() & acc.anchor.isNotNull()
-            new = F.when(joins, F.array(pair(acc.anchor, e.tbl))).otherwise(no_pairs())
-            # An unresolvable derived table keeps the side before it.
-            return F.struct(
-                F.coalesce(e.tbl, acc.anchor).alias("anchor"), F.concat(acc.out, new).alias("out")
-            ).cast(state)
+def top_level(events: str, driving_table: str | None, unless: str = "false") -> str:
+    """Chain of the statement's outermost level; derived tables are passed over.
 
-        start = F.struct(fallback.alias("anchor"), no_pairs().alias("out")).cast(state)
-        started = F.filter(named, lambda e: (e.op == "F") | e.tbl.isNotNull())
-        return drop_self(F.aggregate(started, start, step, lambda acc: acc.out), ignore_case=True)
+    Without any FROM the log's driving table is the first left side, unless ``unless``
+    holds. The chain starts again at each FROM, so the branches of a set operation stay apart.
+    """
+    outer = f"filter({events}, e -> e.id.stmt = 0 AND e.id.lvl = 0 AND e.op IN ('F', 'J'))"
+    shown = f"CASE WHEN e.op = 'F' AND e.tbl = '' THEN {derived_from(events, 'e')}.tbl ELSE nullif(e.tbl, '') END"
+    named = struct(op="e.op", tbl=let("sh", shown, lookup("als", bare("sh"), ignore_case=True)))
+    fallback = "cast(null as string)"
+    if driving_table is not None:
+        fallback = (
+            f"CASE WHEN NOT exists(ou, e -> e.op = 'F') AND NOT ({unless}) "
+            f"THEN nullif({bare(driving_table)}, '') END"
+        )
+    start = struct(anchor=fallback, out=NO_PAIRS)
+    joins = "e.op = 'J' AND e.tbl IS NOT NULL AND a.anchor IS NOT NULL"
+    step = struct(
+        anchor="coalesce(e.tbl, a.anchor)",
+        out=f"CASE WHEN {joins} THEN concat(a.out, array({pair('a.anchor', 'e.tbl')})) ELSE a.out END",
+    )
+    fold = f"aggregate(transform(ou, e -> {named}), {start}, (a, e) -> {step}, a -> a.out)"
+    own = "e.id.stmt = 0 AND lower(e.aka) <> lower(e.tbl)"
+    with_aliases = let("als", _aliases(events, own), drop_self(fold, ignore_case=True))
+    return let("ou", outer, f"CASE WHEN exists(ou, e -> e.op = 'J') THEN {with_aliases} ELSE {NO_PAIRS} END")
 
-    return let(aliases, of)
 
+# --- textual modes: read names in order of appearance ----------------------------------
 
 FUSED_FROM = r"(?i)\wFROM\b"
 
-
-# --- textual modes: read names in order of appearance ----------------------------------
-
 _CUT, _SEP = "\u0001", "\u0002"
 _JOIN_SIDE = (
     r"INNER\s+|LEFT\s+(?:OUTER\s+)?|RIGHT\s+(?:OUTER\s+)?|FULL\s+(?:OUTER\s+)?|CROSS\s+|NATURAL\s+"
@@ -262,55 +188,25 @@ _JOIN_SIDE = (
 _REFERENCE = rf"(?i)(?:({_JOIN_SIDE})|(\w))?(FROM|JOIN)\s+{TABLE_REF}"
 
 
-def nearest_preceding(flat_sql: Column) -> Column:
+def nearest_preceding(sql: str) -> str:
     """Left of each JOIN is the nearest table named before it that is another table."""
-    marked = F.regexp_replace(flat_sql, _REFERENCE, f"{_CUT}$3{_SEP}$1{_SEP}$2{_SEP}$4{_SEP}$5{_SEP}")
-    refs = F.transform(
-        F.filter(F.split(marked, _CUT), lambda s: F.contains(s, F.lit(_SEP))),
-        lambda s: let(
-            F.split(s, _SEP),
-            lambda f: F.struct(
-                # A plain JOIN glued to a word names a table but is no join.
-                ((F.upper(F.element_at(f, 1)) == "JOIN") & ((F.element_at(f, 3) == "") | (F.element_at(f, 2) != ""))).alias("join"),
-                bare_lower(F.element_at(f, 4)).alias("tbl"),
-                F.lower(unquote(F.element_at(f, 5))).alias("aka"),
-            ),
-        ),
+    fields = f"{_CUT}$3{_SEP}$1{_SEP}$2{_SEP}$4{_SEP}$5{_SEP}"
+    marked = f"regexp_replace({sql}, {quote(_REFERENCE)}, {quote(fields)})"
+    cut = f"transform(filter(split({marked}, '{_CUT}'), s -> contains(s, '{_SEP}')), s -> split(s, '{_SEP}'))"
+    # A plain JOIN glued to a word names a table but is no join.
+    ref = struct(
+        j="upper(f[0]) = 'JOIN' AND (f[2] = '' OR f[1] <> '')", tbl=bare_lower("f[3]"), aka=f"lower({unquote('f[4]')})"
+    )
+    both = f"array({struct(aka='x.tbl', tbl='x.tbl')}, {struct(aka='x.aka', tbl='x.tbl')})"
+    names = f"filter(flatten(transform(rs, x -> {both})), y -> y.aka <> '')"
+    resolved = f"transform(rs, x -> {struct(j='x.j', tbl=lookup('als', 'x.tbl'))})"
+    before = last("filter(slice(tb, 1, i), y -> y.tbl <> x.tbl)") + ".tbl"
+    found = f"transform(tb, (x, i) -> {struct(j='x.j', left=f'CASE WHEN x.j THEN {before} END', right='x.tbl')})"
+    pairs = f"transform(filter({found}, x -> x.left IS NOT NULL), x -> {pair('x.left', 'x.right')})"
+    of_refs = let("als", names, let("tb", resolved, pairs))
+    return let(
+        "rs", f"transform({cut}, f -> {ref})", f"CASE WHEN exists(rs, x -> x.j) THEN {of_refs} ELSE {NO_PAIRS} END"
     )
-
-    def of(r: Column) -> Column:
-        names = F.flatten(
-            F.transform(
-                r,
-                lambda x: F.filter(
-                    F.array(
-                        F.struct(x.tbl.alias("aka"), x.tbl.alias("tbl")), F.struct(x.aka.alias("aka"), x.tbl.alias("tbl"))
-                    ),
-                    lambda a: a.aka != "",
-                ),
-            )
-        )
-        resolved = let(
-            names,
-            lambda al: F.transform(r, lambda x: F.struct(x["join"].alias("join"), lookup(al, x.tbl).alias("tbl"))),
-        )
-
-        def pairs_of(t: Column) -> Column:
-            found = F.transform(
-                t,
-                lambda x, i: F.struct(
-                    x["join"].alias("join"),
-                    last(F.filter(F.slice(t, F.lit(1), i), lambda y: y.tbl != x.tbl)).tbl.alias("left"),
-                    x.tbl.alias("right"),
-                ),
-            )
-            return F.transform(
-                F.filter(found, lambda x: x["join"] & x.left.isNotNull()), lambda x: pair(x.left, x.right)
-            )
-
-        return let(resolved, pairs_of)
-
-    return let(refs, of)
 
 
 _ON_SIDE = r"(?:LEFT|RIGHT|FULL|CROSS|INNER|OUTER)"
@@ -320,137 +216,112 @@ _ON_CLAUSE = (
     rf"(?is)({_ON_SIDE}\s+(?:OUTER\s+)?)?JOIN\s+{NOT_A_NAME}({QUALIFIED}){_ON_ALIAS}"
     rf"\s+ON\s+(.+?)(?={_ON_SIDE}?\s*JOIN|\s+WHERE|\s+GROUP|\s+ORDER|\s+HAVING|$)"
 )
-_ON_EQUALITY = r"([\w$.]+)\s*=\s*([\w$.]+)"
+_ON_EQUALITY = r"[\w$.]+\s*=\s*[\w$.]+"
 
 
-def on_keyed(clean_sql: Column, default_db: Column, distinct_tables: bool = False) -> Column:
+def on_keyed(sql: str, default_db: str, distinct_tables: bool = False) -> str:
     """Left of ``JOIN t ON ..`` is the table of the ON side that is not ``t``.
 
     When no side names ``t``, it is the table listed just before ``t``. Names come out
     qualified.
     """
-    qualified = lambda t: qualified_name(t, default_db)
 
-    def entry(aka: Column, tbl: Column) -> Column:
-        return F.struct(normalize_name(aka).alias("aka"), tbl.alias("tbl"))
+    def group(pattern: str, n: int, text: str = "m") -> str:
+        return f"regexp_extract({text}, {quote(pattern)}, {n})"
+
+    def alias_of(raw: str, first: str, second: str) -> str:
+        return norm(f"coalesce(nullif(concat({first}, {second}), ''), {last_part(raw)})")
 
-    refs = F.transform(
-        F.regexp_extract_all(clean_sql, F.lit(_ON_REF), F.lit(0)),
-        lambda m: F.struct(
-            F.regexp_extract(m, _ON_REF, 1).alias("raw"),
-            F.concat(F.regexp_extract(m, _ON_REF, 2), F.regexp_extract(m, _ON_REF, 3)).alias("aka"),
+    ref = let(
+        "rw",
+        group(_ON_REF, 1),
+        struct(
+            tbl=qualified("rw", default_db),
+            own=norm(last_part("rw")),
+            aka=alias_of("rw", group(_ON_REF, 2), group(_ON_REF, 3)),
         ),
     )
-    clauses = F.transform(
-        F.regexp_extract_all(clean_sql, F.lit(_ON_CLAUSE), F.lit(0)),
-        lambda m: let(
-            F.regexp_extract(m, _ON_CLAUSE, 2),
-            lambda raw: F.struct(
-                F.regexp_extract(m, _ON_CLAUSE, 1).alias("side"),
-                qualified(raw).alias("tbl"),
-                normalize_name(
-                    F.coalesce(
-                        blank_to_null(F.concat(F.regexp_extract(m, _ON_CLAUSE, 3), F.regexp_extract(m, _ON_CLAUSE, 4))),
-                        last(F.split(raw, r"\.")),
-                    )
-                ).alias("aka"),
-                F.regexp_extract(m, _ON_CLAUSE, 5).alias("cond"),
-            ),
+    clause = let(
+        "rw",
+        group(_ON_CLAUSE, 2),
+        struct(
+            side=group(_ON_CLAUSE, 1),
+            tbl=qualified("rw", default_db),
+            aka=alias_of("rw", group(_ON_CLAUSE, 3), group(_ON_CLAUSE, 4)),
+            cond=group(_ON_CLAUSE, 5),
+        ),
+    )
+    refs = f"transform(regexp_extract_all({sql}, {quote(_ON_REF)}, 0), m -> {ref})"
+    clauses = f"transform(regexp_extract_all({sql}, {quote(_ON_CLAUSE)}, 0), m -> {clause})"
+    tables = "transform(rs, r -> r.tbl)"
+    listed = f"array_distinct({tables})" if distinct_tables else tables
+    both = f"array({struct(aka='r.aka', tbl='r.tbl')}, {struct(aka='r.own', tbl='r.tbl')})"
+    earlier = f"transform(slice(cs, 1, i + 1), d -> {struct(aka='d.aka', tbl='d.tbl')})"
+    aliases = f"concat(flatten(transform(rs, r -> {both})), {earlier})"
+
+    def side(ref_: str) -> str:
+        owner = norm(f"substring_index({ref_}, '.', 1)")
+        table = f"CASE WHEN contains({ref_}, '.') THEN {lookup('als', owner)} END"
+        return struct(tbl=table, col=last_part(ref_))
+
+    sides = struct(a=side(strip("get(sd, 0)")), b=side(strip("get(sd, 1)")))
+
+    def key(hit: str, other: str, left: str, right: str) -> str:
+        return struct(hit=hit, other=other, left_key=left, right_key=right)
+
+    oriented = (
+        f"CASE WHEN k.b.tbl = c.tbl THEN {key('true', 'k.a.tbl', 'k.a.col', 'k.b.col')} "
+        f"WHEN k.a.tbl = c.tbl THEN {key('true', 'k.b.tbl', 'k.b.col', 'k.a.col')} "
+        f"ELSE {key('false', 'cast(null as string)', 'k.a.col', 'k.b.col')} END"
+    )
+    found = f"transform(regexp_extract_all(c.cond, {quote(_ON_EQUALITY)}, 0), m -> split(m, '='))"
+    keys = let("als", aliases, f"transform(transform({found}, sd -> {sides}), k -> {oriented})")
+    before = f"CASE WHEN size(li) >= 2 THEN get(li, cast(greatest(array_position(li, c.tbl) - 2, 0) as int)) ELSE '' END"
+    of_clause = let(
+        "ks",
+        keys,
+        pair(
+            f"coalesce({last('filter(ks, k -> k.hit)')}.other, {before})",
+            "c.tbl",
+            f"coalesce(nullif(upper({strip('c.side')}), ''), 'INNER')",
+            f"transform(ks, k -> {struct(left_key='k.left_key', right_key='k.right_key')})",
         ),
     )
+    of_all = let("rs", refs, let("li", listed, f"transform(cs, (c, i) -> {of_clause})"))
+    return let("cs", clauses, f"CASE WHEN size(cs) > 0 THEN {of_all} ELSE {NO_PAIRS} END")
+
+
+def bare_pairs(pairs: str) -> str:
+    return f"transform({pairs}, p -> {pair(bare_lower('p.left'), bare_lower('p.right'), 'p.join_type', 'p.join_keys')})"
 
-    def of(rs: Column) -> Column:
-        tables = F.transform(rs, lambda r: qualified(r.raw))
-        listed = F.array_distinct(tables) if distinct_tables else tables
-        known = F.flatten(
-            F.transform(
-                rs,
-                lambda r: let(
-                    qualified(r.raw),
-                    lambda q: F.array(
-                        entry(F.coalesce(blank_to_null(r.aka), last(F.split(r.raw, r"\."))), q),
-                        entry(last(F.split(r.raw, r"\.")), q),
-                    ),
-                ),
-            )
-        )
 
-        def with_clauses(cs: Column) -> Column:
-            def of_clause(c: Column, i: Column) -> Column:
-                def table_of(aliases: Column, ref: Column) -> Column:
-                    parts = F.split(ref, r"\.")
-                    return F.when(F.size(parts) > 1, lookup(aliases, normalize_name(F.element_at(parts, 1))))
-
-                def of_key(aliases: Column, m: Column) -> Column:
-                    a = F.regexp_extract(m, _ON_EQUALITY, 1)
-                    b = F.regexp_extract(m, _ON_EQUALITY, 2)
-                    a_col, b_col = last(F.split(a, r"\.")), last(F.split(b, r"\."))
-                    return let(
-                        F.struct(table_of(aliases, a).alias("a"), table_of(aliases, b).alias("b")),
-                        lambda t: F.when(
-                            t.b == c.tbl, F.struct(F.lit(True).alias("hit"), t.a.alias("other"), a_col.alias("l"), b_col.alias("r"))
-                        )
-                        .when(t.a == c.tbl, F.struct(F.lit(True).alias("hit"), t.b.alias("other"), b_col.alias("l"), a_col.alias("r")))
-                        .otherwise(
-                            F.struct(F.lit(False).alias("hit"), F.lit(None).cast("string").alias("other"), a_col.alias("l"), b_col.alias("r"))
-                        ),
-                    )
-
-                found = F.regexp_extract_all(c.cond, F.lit(_ON_EQUALITY), F.lit(0))
-                keys = let(
-                    F.concat(known, F.transform(F.slice(cs, F.lit(1), i + 1), lambda d: F.struct(d.aka.alias("aka"), d.tbl.alias("tbl")))),
-                    lambda aliases: F.transform(found, lambda m: of_key(aliases, m)),
-                )
-                place = F.array_position(listed, c.tbl)
-                before = F.when(
-                    F.size(listed) >= 2, F.get(listed, F.greatest(place - 2, F.lit(0)).cast("int"))
-                ).otherwise("")
-                return let(
-                    keys,
-                    lambda ks: pair(
-                        F.coalesce(last(F.filter(ks, lambda k: k.hit)).other, before),
-                        c.tbl,
-                        F.coalesce(blank_to_null(F.upper(strip(c.side))), F.lit("INNER")),
-                        F.transform(ks, lambda k: F.struct(k.l.alias("left_key"), k.r.alias("right_key"))),
-                    ),
-                )
-
-            return F.transform(cs, of_clause)
-
-        return let(clauses, with_clauses)
-
-    return let(refs, of)
-
-
-def with_comment_tables(pairs: Column, comment_tables: Column) -> Column:
+def with_comment_tables(pairs: str, comment_tables: str) -> str:
     """Chain further tables, found in comments, to the end of a non-empty pair list."""
+    seen = "exists(a, p -> lower(p.right) = lower(t))"
+    added = f"concat(a, array({pair(last('a') + '.right', 't')}))"
+    return f"aggregate({comment_tables}, {pairs}, (a, t) -> CASE WHEN {seen} THEN a ELSE {added} END)"
 
-    def step(acc: Column, t: Column) -> Column:
-        seen = F.exists(acc, lambda p: F.lower(p.right) == F.lower(t))
-        return F.when(seen, acc).otherwise(F.concat(acc, F.array(pair(last(acc).right, t))))
 
-    return F.aggregate(comment_tables, pairs, step)
+_JOIN_TARGET = (
+    r"(?i)\b(?:INNER\s+|LEFT\s+(?:OUTER\s+)?|RIGHT\s+(?:OUTER\s+)?|FULL\s+(?:OUTER\s+)?|CROSS\s+)?JOIN\s+([\w.]+)"
+)
+_PLAUSIBLE = rf"(?i)^{NOT_A_NAME}[A-Za-z_]"
 
 
-def chained_by_text(sql: Column, comment_tables: Column, driving_table: Column) -> Column:
+def chained_by_text(sql: str, comment_tables: str, driving_table: str) -> str:
     """First FROM table, then all JOIN targets, then comment tables, each once, as one chain."""
-    start = F.coalesce(blank_to_null(text.first_from_table(sql)), blank_to_null(bare_name(driving_table)))
-    in_sql = F.filter(
-        text.join_targets(sql), lambda t: t.rlike(rf"(?i)^(?={NOT_A_NAME}[A-Za-z_])")
+    first_from = last_part(f"regexp_extract({sql}, {quote(r'(?i)\bFROM\s+([\w.]+)')}, 1)")
+    start = f"coalesce(nullif({first_from}, ''), nullif({bare(driving_table)}, ''))"
+    in_sql = (
+        f"transform(filter(regexp_extract_all({sql}, {quote(_JOIN_TARGET)}, 1), t -> rlike(t, {quote(_PLAUSIBLE)})), "
+        f"t -> {last_part('t')})"
     )
-    def once(all_: Column) -> Column:
-        return F.filter(
-            all_,
-            lambda t, i: (F.length(t) > 1) & ~F.exists(F.slice(all_, F.lit(1), i), lambda u: F.lower(u) == F.lower(t)),
-        )
-
-    targets = let(F.concat(in_sql, comment_tables), once)
-    chained = let(targets, lambda ts: _chain(ts, start))
-    return F.when(start.isNull(), no_pairs()).otherwise(drop_self(chained, ignore_case=True))
+    once = "filter(al, (t, i) -> length(t) > 1 AND NOT exists(slice(al, 1, i), u -> lower(u) = lower(t)))"
+    targets = let("al", f"concat({in_sql}, {comment_tables})", once)
+    chained = drop_self(_chain("ts", "st"), ignore_case=True)
+    of_start = f"CASE WHEN st IS NULL THEN {NO_PAIRS} ELSE {let('ts', targets, chained)} END"
+    return let("st", start, of_start)
 
 
-__all__ = [
-    "FUSED_FROM", "KEYS", "PAIR", "PAIRS", "all_scopes", "bare_lower", "both_sides", "chained_by_text",
-    "distinct_pairs", "drop_self", "lookup", "nearest_preceding", "no_pairs", "on_keyed", "pair",
-    "per_block", "qualified_name", "top_level", "with_comment_tables",
-]
+def as_column(sql: str) -> Column:
+    return F.expr(sql)

@@ -2,7 +2,7 @@
 
 One regex pass cuts the text at the few words that matter (parentheses, SELECT, FROM, JOIN,
 clause ends); one ``aggregate`` over those pieces keeps the open parentheses and lists the
-events. All extraction modes read the same event list, so a text is scanned once per style.
+events. All structured modes read the same event list.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from joinscope.functions.columns import collapse_ws, empty_array, last, let
 from joinscope.functions.keywords import IDENT, NOT_A_NAME, QUALIFIED, TABLE_REF
+from joinscope.functions.sqltext import empty, last, let, quote, struct
 
 _CUT, _SEP = "\u0001", "\u0002"
 
@@ -27,171 +27,161 @@ _PIECE = (
 )
 _PIECE_FIELDS = f"{_CUT}$1$3$6$9$10{_SEP}$2{_SEP}$4$7{_SEP}$5$8{_SEP}"
 _LISTED = rf"(?i),\s*(?:LATERAL\s+)?({NOT_A_NAME}{QUALIFIED}(?:\s+(?:AS\s+)?{NOT_A_NAME}{IDENT})?)"
+_LISTED_NAME = rf"^{QUALIFIED}"
+_LISTED_ALIAS = rf"(?i)^{QUALIFIED}\s+(?:AS\s+)?({IDENT})$"
+_OPEN_LIST = r"(?i),\s*(?:LATERAL\s*)?$"
 
-# Events order naturally: statement, nesting level, block, place in the text.
+
+def pieces(sql: Column) -> Column:
+    """Text cut before each structural word: array<op, side, tbl, aka, rest>."""
+    one_line = F.regexp_replace(sql, r"[\s\x00-\x1f]+", " ")
+    marked = F.regexp_replace(one_line, _PIECE, _PIECE_FIELDS)
+    cut = F.filter(F.split(marked, _CUT), lambda s: F.contains(s, F.lit(_SEP)))
+    return F.transform(
+        F.transform(cut, lambda s: F.split(s, _SEP)),
+        lambda f: F.struct(
+            F.upper(f[0]).alias("op"), f[1].alias("side"), f[2].alias("tbl"), f[3].alias("aka"), f[4].alias("rest")
+        ),
+    )
+
+
+# Where an event or an open parenthesis belongs: statement, nesting level, block, and the
+# blocks around it. Events order naturally by block and then by place in the text.
+_ID = "struct<stmt: int, lvl: int, blk: int, path: string, base: string>"
 _EVENT = (
-    "stmt int, lvl int, blk int, pos int, seq int, op string, sel boolean, "
-    "path string, side string, tbl string, aka string"
+    f"struct<id: {_ID}, pos: int, seq: int, op: string, sel: boolean, side: string, tbl: string, aka: string>"
 )
 # k: S select block, G parenthesised table list, D table position not yet known to be either,
 # P other parentheses, R statement level.  c: '' before FROM, F in the FROM clause, E after it.
-# x: a table is expected next, as operation xo.
-_FRAME = "k string, c string, x boolean, xo string, blk int, path string, base string, lvl int, stmt int"
-_STATE = f"top struct<{_FRAME}>, stack array<struct<{_FRAME}>>, events array<struct<{_EVENT}>>, n int"
+# x: F or J when the table of that operation is still to come.
+_FRAME = f"struct<k: string, c: string, x: string, id: {_ID}>"
 
 
-def pieces(sql: Column) -> Column:
-    """Text cut before each structural word: array<op, side, tbl, aka, rest>."""
-    marked = F.regexp_replace(collapse_ws(F.regexp_replace(sql, r"[\x00-\x1f]", " ")), _PIECE, _PIECE_FIELDS)
-
-    def fields(piece: Column) -> Column:
-        return let(
-            F.split(piece, _SEP),
-            lambda f: F.struct(
-                F.upper(F.element_at(f, 1)).alias("op"),
-                F.element_at(f, 2).alias("side"),
-                F.element_at(f, 3).alias("tbl"),
-                F.element_at(f, 4).alias("aka"),
-                F.element_at(f, 5).alias("rest"),
-            ),
-        )
-
-    return F.transform(F.filter(F.split(marked, _CUT), lambda p: F.contains(p, F.lit(_SEP))), fields)
-
-
-def _frame(k, c, x, xo, blk, path, base, lvl, stmt) -> Column:
-    as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
-    names = ("k", "c", "x", "xo", "blk", "path", "base", "lvl", "stmt")
-    return F.struct(*[as_col(v).alias(n) for n, v in zip(names, (k, c, x, xo, blk, path, base, lvl, stmt))])
-
-
-def _event(f: Column, pos: Column, op, sel, side, tbl: Column, aka: Column, seq=0) -> Column:
-    as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
-    return F.struct(
-        f.stmt.alias("stmt"), f.lvl.alias("lvl"), f.blk.alias("blk"), pos.alias("pos"),
-        as_col(seq).alias("seq"), as_col(op).alias("op"), as_col(sel).alias("sel"), f.path.alias("path"),
-        as_col(side).alias("side"), tbl.alias("tbl"), aka.alias("aka"),
+def _id(stmt: str, lvl: str, blk: str, base: str) -> str:
+    return struct(stmt=stmt, lvl=lvl, blk=blk, path=f"concat({base}, {blk}, ',')", base=base)
+
+
+def _frame(k: str, c: str, x: str, id: str) -> str:
+    return struct(k=k, c=c, x=x, id=id)
+
+
+def _event(id: str, op: str, sel: str, side="''", tbl="''", aka="''", seq="0") -> str:
+    return struct(id=id, pos="a.n", seq=seq, op=op, sel=sel, side=side, tbl=tbl, aka=aka)
+
+
+def _state(top: str = "a.top", stack: str = "a.stack", new: str | None = None) -> str:
+    events = f"concat(a.events, array({new}))" if new else "a.events"
+    return struct(top=top, stack=stack, events=events, n="a.n + 1")
+
+
+_T = "a.top"
+_SEL = f"{_T}.k <> 'R'"
+
+
+def _open() -> str:
+    pushed_parent = f"concat(a.stack, array({_frame(f'{_T}.k', f'{_T}.c', quote(''), f'{_T}.id')}))"
+    inner = _id(f"{_T}.id.stmt", f"{_T}.id.lvl + 1", "a.n", f"{_T}.id.path")
+    group = _state(
+        _frame("'G'", "'F'", "''", f"{_T}.id"),
+        pushed_parent,
+        _event(f"{_T}.id", f"{_T}.x", _SEL, tbl="p.tbl", aka="p.aka"),
+    )
+    in_place = f"{_T}.c = 'F' AND {_T}.x <> ''"
+    return (
+        f"CASE WHEN {in_place} AND p.tbl <> '' THEN {group} "
+        f"WHEN {in_place} THEN {_state(_frame(quote('D'), quote('F'), f'{_T}.x', inner), pushed_parent)} "
+        f"ELSE {_state(_frame(quote('P'), quote(''), quote(''), inner), pushed_parent)} END"
     )
 
 
-def _path(base: Column, blk: Column) -> Column:
-    return F.concat(base, blk.cast("string"), F.lit(","))
+def _close() -> str:
+    outer = f"coalesce({last('a.stack')}, {_T})"
+    rest = "slice(a.stack, 1, greatest(size(a.stack) - 1, 0))"
+    ended = _state(outer, rest, _event(f"{_T}.id", "'E'", "true"))
+    return f"CASE WHEN {_T}.k = 'S' THEN {ended} ELSE {_state(outer, rest)} END"
 
 
-def _listed_tables(rest: Column) -> Column:
-    """Tables after commas: array<tbl, aka>."""
-    return F.transform(
-        F.regexp_extract_all(rest, F.lit(_LISTED)),
-        lambda s: F.struct(
-            F.regexp_extract(s, rf"^{QUALIFIED}", 0).alias("tbl"),
-            F.regexp_extract(s, rf"(?i)^{QUALIFIED}\s+(?:AS\s+)?({IDENT})$", 1).alias("aka"),
-        ),
+def _select() -> str:
+    # A further SELECT of a set operation starts a new block on the same level.
+    again = _id(f"{_T}.id.stmt", f"{_T}.id.lvl", "a.n", f"{_T}.id.base")
+    started = let(
+        "i",
+        f"CASE WHEN {_T}.k = 'S' THEN {again} ELSE {_T}.id END",
+        _state(_frame("'S'", "''", "''", "i"), new=_event("i", "'S'", "true")),
+    )
+    return f"CASE WHEN {_T}.k = 'G' THEN {_state()} ELSE {started} END"
+
+
+def _table(op: str, allowed: str) -> str:
+    waits = f"CASE WHEN p.tbl = '' THEN '{op}' ELSE '' END"
+    taken = _state(
+        _frame(f"{_T}.k", "'F'", waits, f"{_T}.id"),
+        new=_event(f"{_T}.id", f"'{op}'", _SEL, "p.side", "p.tbl", "p.aka"),
+    )
+    return f"CASE WHEN {allowed} THEN {taken} ELSE {_state()} END"
+
+
+def _end() -> str:
+    ended = _state(_frame(f"{_T}.k", "'E'", "''", f"{_T}.id"), new=_event(f"{_T}.id", "'E'", _SEL))
+    return f"CASE WHEN {_T}.k IN ('S', 'R') THEN {ended} ELSE {_state()} END"
+
+
+def _next_statement() -> str:
+    fresh = _id(f"{_T}.id.stmt + 1", "0", "a.n", "','")
+    return _state(_frame("'R'", "''", "''", fresh), empty(_FRAME), _event(f"{_T}.id", "'E'", _SEL))
+
+
+def _with_listed() -> str:
+    """Tables after commas in a FROM clause join like the ones after JOIN."""
+    entry = struct(
+        tbl=f"regexp_extract(s, {quote(_LISTED_NAME)}, 0)", aka=f"regexp_extract(s, {quote(_LISTED_ALIAS)}, 1)"
+    )
+    waits = f"rlike(p.rest, {quote(_OPEN_LIST)})"
+    named = f"transform(regexp_extract_all(p.rest, {quote(_LISTED)}, 1), s -> {entry})"
+    derived = f"CASE WHEN {waits} THEN array({struct(tbl=quote(''), aka=quote(''))}) ELSE array() END"
+    event = struct(
+        id="z.top.id", pos="z.n - 1", seq="i + 1", op="'J'", sel="z.top.k <> 'R'", side="''", tbl="m.tbl", aka="m.aka"
+    )
+    top = f"CASE WHEN {waits} THEN {_frame('z.top.k', 'z.top.c', quote('J'), 'z.top.id')} ELSE z.top END"
+    return struct(
+        top=top,
+        stack="z.stack",
+        events=f"concat(z.events, transform(concat({named}, {derived}), (m, i) -> {event}))",
+        n="z.n",
     )
 
 
-def _step(acc: Column, p: Column) -> Column:
-    def with_top(t: Column) -> Column:
-        n = acc.n
-        in_block = t.k.isin("S", "R")
-        opens = p.op == "("
-        closes = p.op == ")"
-        selects = (p.op == "SELECT") & (t.k != "G")
-        is_from = (p.op == "FROM") & (((t.k == "S") & (t.c == "")) | (t.k == "R"))
-        is_join = (p.op == "JOIN") & t.k.isin("S", "G", "D", "R") & ((t.c != "E") | (t.k == "R"))
-        ends = ~p.op.isin("(", ")", "SELECT", "FROM", "JOIN", ";", "DELETE") & in_block
-        new_statement = p.op == ";"
-        in_place = (t.c == "F") & t.x
-        group = opens & in_place & (p.tbl != "")
-        no_table = p.tbl == ""
-
-        pushed = (
-            F.when(group, _frame("G", "F", False, t.xo, t.blk, t.path, t.base, t.lvl, t.stmt))
-            .when(in_place, _frame("D", "F", True, t.xo, n, _path(t.path, n), t.path, t.lvl + 1, t.stmt))
-            .otherwise(_frame("P", "", False, "", n, _path(t.path, n), t.path, t.lvl + 1, t.stmt))
-        )
-        again = t.k == "S"  # a further SELECT of a set operation starts a new block
-        selected = _frame(
-            "S", "", False, "", F.when(again, n).otherwise(t.blk),
-            F.when(again, _path(t.base, n)).otherwise(t.path), t.base, t.lvl, t.stmt,
-        )
-        top = (
-            F.when(opens, pushed)
-            .when(closes, F.coalesce(last(acc.stack), t))
-            .when(selects, selected)
-            .when(is_from | is_join, _frame(
-                t.k, "F", no_table, F.when(is_from, "F").otherwise("J"), t.blk, t.path, t.base, t.lvl, t.stmt))
-            .when(ends, _frame(t.k, "E", False, "", t.blk, t.path, t.base, t.lvl, t.stmt))
-            .when(new_statement, _frame("R", "", False, "", n, _path(F.lit(","), n), F.lit(","), F.lit(0), t.stmt + 1))
-            .otherwise(t)
-        )
-        stack = (
-            F.when(opens, F.concat(acc.stack, F.array(
-                _frame(t.k, t.c, False, t.xo, t.blk, t.path, t.base, t.lvl, t.stmt))))
-            .when(closes & (F.size(acc.stack) > 0), F.slice(acc.stack, 1, F.size(acc.stack) - 1))
-            .when(new_statement, empty_array(f"struct<{_FRAME}>"))
-            .otherwise(acc.stack)
-        )
-        none = F.lit("")
-        sel = t.k != "R"
-        own = (
-            F.when(is_from | is_join, F.array(_event(t, n, F.when(is_from, "F").otherwise("J"), sel, p.side, p.tbl, p.aka)))
-            .when(group, F.array(_event(t, n, t.xo, sel, "", p.tbl, p.aka)))
-            .when(selects, let(selected, lambda s: F.array(_event(s, n, "S", True, "", none, none))))
-            .when(ends | (closes & (t.k == "S")) | new_statement, F.array(_event(t, n, "E", sel, "", none, none)))
-            .otherwise(empty_array(f"struct<{_EVENT}>"))
-        )
-
-        def with_next(s: Column) -> Column:
-            after_list = (s.c == "F") & F.contains(p.rest, F.lit(",")) & (is_from | is_join | opens | closes)
-            waits = after_list & p.rest.rlike(r",\s*(?i:LATERAL\s*)?$")
-            in_list = F.concat(
-                _listed_tables(p.rest),
-                F.when(waits, F.array(F.struct(none.alias("tbl"), none.alias("aka")))).otherwise(
-                    empty_array("struct<tbl string, aka string>")
-                ),
-            )
-            listed = F.when(
-                after_list,
-                F.transform(in_list, lambda m, i: _event(s, n, "J", s.k != "R", "", m.tbl, m.aka, i + 1)),
-            ).otherwise(empty_array(f"struct<{_EVENT}>"))
-            next_top = F.when(
-                waits, _frame(s.k, s.c, True, "J", s.blk, s.path, s.base, s.lvl, s.stmt)
-            ).otherwise(s)
-            return F.struct(
-                next_top.alias("top"),
-                stack.alias("stack"),
-                F.concat(acc.events, own, listed).alias("events"),
-                (n + 1).alias("n"),
-            )
-
-        return let(top, with_next)
-
-    return let(acc.top, with_top)
-
-
-def table_events(piece_array: Column) -> Column:
+def _step() -> str:
+    from_ok = f"({_T}.k = 'S' AND {_T}.c = '') OR {_T}.k = 'R'"
+    join_ok = f"{_T}.k IN ('S', 'G', 'D', 'R') AND ({_T}.c <> 'E' OR {_T}.k = 'R')"
+    by_op = (
+        f"CASE p.op WHEN '(' THEN {_open()} WHEN ')' THEN {_close()} WHEN 'SELECT' THEN {_select()} "
+        f"WHEN 'FROM' THEN {_table('F', from_ok)} WHEN 'JOIN' THEN {_table('J', join_ok)} "
+        f"WHEN ';' THEN {_next_statement()} WHEN 'DELETE' THEN {_state()} ELSE {_end()} END"
+    )
+    lists = "z.top.c = 'F' AND contains(p.rest, ',') AND p.op IN ('FROM', 'JOIN', '(', ')')"
+    return let("z", by_op, f"CASE WHEN {lists} THEN {_with_listed()} ELSE z END")
+
+
+def table_events(pieces_column: str) -> Column:
     """Events in block order: S block starts, F and J name tables, E the clause ends.
 
     An F or J without table stands for a derived table.
     """
-    start = F.struct(
-        _frame("R", "", False, "", F.lit(-1), F.lit(",-1,"), F.lit(","), F.lit(0), F.lit(0)).alias("top"),
-        empty_array(f"struct<{_FRAME}>").alias("stack"),
-        empty_array(f"struct<{_EVENT}>").alias("events"),
-        F.lit(0).alias("n"),
-    ).cast(f"struct<{_STATE}>")
-    step = lambda acc, p: _step(acc, p).cast(f"struct<{_STATE}>")
-    return F.array_sort(F.aggregate(piece_array, start, step, lambda acc: acc.events))
+    start = struct(
+        top=_frame("'R'", "''", "''", _id("0", "0", "-1", "','")),
+        stack=empty(_FRAME),
+        events=empty(_EVENT),
+        n="0",
+    )
+    return F.expr(f"sort_array(aggregate({pieces_column}, {start}, (a, p) -> {_step()}, a -> a.events))")
 
 
-def inside(path: Column, block: Column) -> Column:
-    return F.contains(path, F.concat(F.lit(","), block.cast("string"), F.lit(",")))
+def inside(event: str, block: str) -> str:
+    return f"contains({event}.id.path, concat(',', {block}, ','))"
 
 
-def derived_table(events: Column, e: Column) -> Column:
-    """First table of the derived table at event ``e``: the shallowest FROM inside it."""
-    froms = F.filter(
-        events,
-        lambda d: (d.op == "F") & (d.tbl != "") & (d.stmt == e.stmt) & (d.pos > e.pos) & inside(d.path, e.blk),
-    )
-    return F.get(froms, F.lit(0)).tbl
+def derived_from(events: str, event: str) -> str:
+    """First FROM event of the derived table at ``event``: the shallowest one inside it."""
+    hit = f"d.op = 'F' AND d.tbl <> '' AND d.id.stmt = {event}.id.stmt AND d.pos > {event}.pos"
+    return f"get(filter({events}, d -> {hit} AND {inside('d', f'{event}.id.blk')}), 0)"

@@ -7,34 +7,42 @@ quoted ``--``, ``;`` or ``FROM`` never looks like SQL.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from joinscope.functions.columns import collapse_ws, first, last, strip
-from joinscope.functions.keywords import FUSED_KEYWORDS, SLASH_REMARK, TERADATA_RULES
+from joinscope.functions.columns import collapse_ws, let, strip
+from joinscope.functions.keywords import FUSED_KEYWORDS, SLASH_REMARK, TERADATA_RULES, TERADATA_WORDS
 
 _BLOCK = r"(?s)/\*.*?\*/"
 _LINE = r"--[^\n]*"
 
 
+def _replace(value: Column, needle: str, pattern: str, replacement: str) -> Column:
+    """``regexp_replace``, spared where a cheap search for ``needle`` finds nothing."""
+    return let(
+        value,
+        lambda v: F.when(F.contains(v, F.lit(needle)), F.regexp_replace(v, pattern, replacement)).otherwise(v),
+    )
+
+
 def blank_literals(sql: Column, slash_comments: bool = False) -> Column:
     """Empty every quoted literal outside comments; comments stay for the later rules."""
     slashes = r"|//[^\n]*" if slash_comments else ""
     lexical = rf"(?s)(')[^']*(')|(/\*.*?\*/|--[^\n]*{slashes}|\"[^\"]*\")"
-    return F.regexp_replace(sql, lexical, "$1$2$3")
+    return _replace(sql, "'", lexical, "$1$2$3")
 
 
 def strip_comments(sql: Column) -> Column:
     """Drop block comments and ``--`` and ``//`` line comments."""
-    no_blocks = F.regexp_replace(sql, _BLOCK, " ")
-    return strip(F.regexp_replace(no_blocks, r"--[^\n]*|//[^\n]*", ""))
+    no_dashes = _replace(_replace(sql, "/*", _BLOCK, " "), "--", r"--[^\n]*|//[^\n]*", "")
+    return strip(_replace(no_dashes, "//", r"//[^\n]*", ""))
 
 
 def strip_hints_and_comments(sql: Column) -> Column:
     """Drop optimizer hints (block comments that start with ``+``) and comments."""
-    return strip(F.regexp_replace(F.regexp_replace(sql, _BLOCK, " "), _LINE, " "))
+    return strip(_replace(_replace(sql, "/*", _BLOCK, " "), "--", _LINE, " "))
 
 
 def flatten_sql(sql: Column) -> Column:
@@ -44,10 +52,17 @@ def flatten_sql(sql: Column) -> Column:
 
 def clean_teradata(sql: Column) -> Column:
     """Drop dialect noise, comments, tool commands and the last semicolon, in rule order."""
-    out = strip(sql)
-    for pattern, replacement in TERADATA_RULES:
-        out = F.regexp_replace(out, "(?i)" + pattern, replacement)
-    return strip(out)
+
+    def cleaned(s: Column) -> Column:
+        every_rule = s
+        for pattern, replacement in TERADATA_RULES:
+            every_rule = F.regexp_replace(every_rule, "(?i)" + pattern, replacement)
+        # Most texts hold no dialect word at all and need only the common rules.
+        common = _replace(_replace(s, "--", _LINE, ""), "/*", _BLOCK, " ")
+        common = collapse_ws(_replace(common, ";", r";\s*$", ""))
+        return F.when(s.rlike(TERADATA_WORDS), every_rule).otherwise(common)
+
+    return strip(let(strip(sql), cleaned))
 
 
 def split_fused_keywords(sql: Column, protect: Sequence[str] = ()) -> Column:
@@ -57,30 +72,33 @@ def split_fused_keywords(sql: Column, protect: Sequence[str] = ()) -> Column:
     ``protect`` are left whole.
     """
     ends_word = r"(?=[^A-Za-z0-9_]|$)"
-    out = sql
-    for kw in FUSED_KEYWORDS:
-        kept = "".join(
-            rf"(?<!\b{re.escape(w[: -len(kw)])})"
-            for w in protect
-            if w.upper().endswith(kw) and len(w) > len(kw)
-        )
-        out = F.regexp_replace(out, rf"(?i)(?<=[A-Za-z0-9_]){kept}({kw}){ends_word}", " $1")
-    # One cheap probe spares clean text the whole series of rewrites.
-    probe = rf"(?i)[A-Za-z0-9_](?:{'|'.join(FUSED_KEYWORDS)}){ends_word}"
-    return F.regexp_replace(F.when(sql.rlike(probe), out).otherwise(sql), r"[ \t]+", " ")
+
+    def split(s: Column) -> Column:
+        out = s
+        for kw in FUSED_KEYWORDS:
+            kept = "".join(
+                rf"(?<!\b{re.escape(w[: -len(kw)])})"
+                for w in protect
+                if w.upper().endswith(kw) and len(w) > len(kw)
+            )
+            out = F.regexp_replace(out, rf"(?i)(?<=[A-Za-z0-9_]){kept}({kw}){ends_word}", " $1")
+        # One cheap probe spares clean text the whole series of rewrites.
+        probe = rf"(?i)[A-Za-z0-9_](?:{'|'.join(FUSED_KEYWORDS)}){ends_word}"
+        return F.when(s.rlike(probe), out).otherwise(s)
+
+    return F.regexp_replace(let(sql, split), r"[ \t]+", " ")
 
 
 def drop_slash_remarks(sql: Column) -> Column:
     """Drop ``/remark/`` pseudo comments; real block comments are left alone."""
-    return F.regexp_replace(sql, SLASH_REMARK, " ")
+    return _replace(sql, "/", SLASH_REMARK, " ")
 
 
 def repair_sql(sql: Column, protect: Sequence[str] = ()) -> Column:
     """Repair a dirty statement: comments and remarks out, one line, keywords apart."""
-    out = F.regexp_replace(sql, r"(?m)--.*$", "")
-    out = F.regexp_replace(drop_slash_remarks(out), _BLOCK, " ")
-    out = split_fused_keywords(strip(collapse_ws(out)), protect)
-    return strip(collapse_ws(out))
+    out = drop_slash_remarks(_replace(sql, "--", r"(?m)--.*$", ""))
+    out = strip(collapse_ws(_replace(out, "/*", _BLOCK, " ")))
+    return strip(split_fused_keywords(out, protect))
 
 
 _JOIN_TARGET = (
@@ -102,25 +120,16 @@ def comment_join_tables(sql: Column, protect: Sequence[str] = ()) -> Column:
         dangling = strip(split_fused_keywords(code, protect)).rlike(r"(?i)\bJOIN\s*$")
         target = F.regexp_extract(strip(split_fused_keywords(comment, protect)), r"\b([\w.]{3,})", 1)
         whole = F.filter(
-            F.transform(F.regexp_extract_all(comment, F.lit(_JOIN_TARGET)), lambda t: last(F.split(t, r"\."))),
+            F.transform(F.regexp_extract_all(comment, F.lit(_JOIN_TARGET)), lambda t: F.substring_index(t, ".", -1)),
             lambda t: F.length(t) > 2,
         )
-        named = F.filter(F.array(last(F.split(target, r"\."))), lambda t: t != "")
+        named = F.filter(F.array(F.substring_index(target, ".", -1)), lambda t: t != "")
         return F.when(dangling, named).otherwise(whole)
 
     lines = F.filter(F.split(sql, r"\r\n|[\n\r\x0b\x0c]"), lambda l: F.contains(l, F.lit("--")))
     return F.flatten(F.transform(lines, of_line))
 
 
-def first_from_table(sql: Column) -> Column:
-    return last(F.split(F.regexp_extract(sql, r"(?i)\bFROM\s+([\w.]+)", 1), r"\."))
-
-
-def join_targets(sql: Column) -> Column:
-    """Bare names after JOIN, in order, as plain text search finds them."""
-    return F.transform(F.regexp_extract_all(sql, F.lit(_JOIN_TARGET)), lambda t: last(F.split(t, r"\.")))
-
-
 def statements(sql: Column) -> Column:
     """Non-blank statements of a text whose literals are blanked."""
     return F.filter(F.transform(F.split(sql, ";"), strip), lambda s: s != "")
@@ -129,5 +138,3 @@ def statements(sql: Column) -> Column:
 def has_sql(sql: Column) -> Column:
     return ~F.coalesce(F.lower(strip(sql)), F.lit("")).isin("", "nan", "none")
 
-
-Cleaner = Callable[[Column], Column]

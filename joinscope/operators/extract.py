@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joinscope.functions import pairs as P
-from joinscope.functions import scopes, text
+from joinscope.functions import scopes, sqltext, text
 from joinscope.functions.columns import blank_to_null
-from joinscope.functions.names import bare_lower, qualified_name, qualify
 from joinscope.modes import Mode
 
-_WORK = ("_sql", "_raw", "_pieces", "_events", "_comment_tables", "_structured")
+_WORK = ("_sql", "_pieces", "_events", "_comment_tables", "_structured")
 
 
 def clean_sql(sql: Column, mode: Mode, mask_literals: bool = True, protect: Sequence[str] = ()) -> Column:
@@ -34,16 +33,10 @@ def clean_sql(sql: Column, mode: Mode, mask_literals: bool = True, protect: Sequ
     return text.clean_teradata(source)
 
 
-def _named(mode: Mode):
-    if mode.qualified:
-        return lambda t: qualified_name(t, F.col("Db_nm"))
-    return bare_lower
-
-
-def driving_table(mode: Mode) -> Column:
+def driving_table(mode: Mode) -> str:
     """Name of the log's own table, for queries without a join."""
-    whole = qualify(F.col("Db_nm"), F.col("Tbl_nm"))
-    return whole if mode.qualified else bare_lower(whole)
+    whole = sqltext.qualify("Db_nm", "Tbl_nm")
+    return whole if mode.qualified else sqltext.last_part(whole)
 
 
 def extract_pairs(
@@ -58,47 +51,39 @@ def extract_pairs(
         "_sql", clean_sql(F.col("SqlTextInfo"), mode, mask_literals, protect)
     )
     if mode.scope == "nearest_preceding":
-        df = df.withColumn("pairs", P.nearest_preceding(F.col("_sql")))
+        df = df.withColumn("pairs", F.expr(P.nearest_preceding("_sql")))
     else:
         df = df.withColumn("_pieces", scopes.pieces(F.col("_sql")))
-        df = df.withColumn("_events", scopes.table_events(F.col("_pieces")))
-        events = F.col("_events")
+        df = df.withColumn("_events", scopes.table_events("_pieces"))
         if mode.scope == "all_scopes":
-            df = df.withColumn("pairs", P.all_scopes(events))
+            df = df.withColumn("pairs", F.expr(P.all_scopes("_events")))
         elif mode.scope == "top_level":
-            fused = F.col("_sql").rlike(P.FUSED_FROM)
-            df = df.withColumn("pairs", P.top_level(events, F.col("Tbl_nm"), fused))
+            fused = f"rlike(_sql, {sqltext.quote(P.FUSED_FROM)})"
+            df = df.withColumn("pairs", F.expr(P.top_level("_events", "Tbl_nm", unless=fused)))
         elif mode.scope == "dirty_log":
             raw = text.blank_literals(F.col("SqlTextInfo")) if mask_literals else F.col("SqlTextInfo")
             df = df.withColumn("_comment_tables", text.comment_join_tables(raw, protect))
-            df = df.withColumn("_structured", P.top_level(events, None))
-            df = df.withColumn(
-                "pairs",
-                F.when(
-                    F.size("_structured") > 0, P.with_comment_tables(F.col("_structured"), F.col("_comment_tables"))
-                ).otherwise(P.chained_by_text(F.col("_sql"), F.col("_comment_tables"), F.col("Tbl_nm"))),
-            )
+            df = df.withColumn("_structured", F.expr(P.top_level("_events", None)))
+            with_comments = F.expr(P.with_comment_tables("_structured", "_comment_tables"))
+            by_text = F.expr(P.chained_by_text("_sql", "_comment_tables", "Tbl_nm"))
+            df = df.withColumn("pairs", F.when(F.size("_structured") > 0, with_comments).otherwise(by_text))
         else:
-            df = df.withColumn(
-                "_structured",
-                P.both_sides(P.per_block(F.col("_pieces"), events, _named(mode), mode.with_keys)),
-            )
-            by_text = P.on_keyed(F.col("_sql"), F.col("Db_nm"), distinct_tables=not mode.qualified)
+            structured = P.per_block("_pieces", "_events", "Db_nm" if mode.qualified else None, mode.with_keys)
+            df = df.withColumn("_structured", F.expr(P.both_sides(structured)))
+            by_text = P.on_keyed("_sql", "Db_nm", distinct_tables=not mode.qualified)
             if not mode.qualified:
-                by_text = F.transform(
-                    by_text, lambda p: P.pair(bare_lower(p.left), bare_lower(p.right), p.join_type, p.join_keys)
-                )
-            df = df.withColumn(
-                "pairs", F.when(F.size("_structured") > 0, F.col("_structured")).otherwise(P.both_sides(by_text))
-            )
+                by_text = P.bare_pairs(by_text)
+            by_text = F.expr(P.both_sides(by_text))
+            df = df.withColumn("pairs", F.when(F.size("_structured") > 0, F.col("_structured")).otherwise(by_text))
     if mode.per_query_distinct:
-        df = df.withColumn("pairs", P.distinct_pairs(F.col("pairs")))
+        df = df.withColumn("pairs", F.expr(P.distinct_pairs("pairs")))
     if mode.no_join_rows:
-        alone = F.when(
-            driving_table(mode) != "",
-            F.array(P.pair(driving_table(mode), F.lit(""), F.lit("NONE"), F.array().cast(P.KEYS))),
-        ).otherwise(P.no_pairs())
-        df = df.withColumn("pairs", F.when(F.size("pairs") == 0, alone).otherwise(F.col("pairs")))
+        alone = sqltext.let(
+            "dt",
+            driving_table(mode),
+            f"CASE WHEN dt <> '' THEN array({P.pair('dt', "''", "'NONE'", P.NO_KEYS)}) ELSE {P.NO_PAIRS} END",
+        )
+        df = df.withColumn("pairs", F.when(F.size("pairs") == 0, F.expr(alone)).otherwise(F.col("pairs")))
     return df.drop(*_WORK)
 
 
@@ -128,7 +113,7 @@ def explode_counted_pairs(with_pairs: DataFrame) -> DataFrame:
     are a plain count.
     """
     counted = F.transform(
-        P.distinct_pairs(F.col("pairs")),
+        F.expr(P.distinct_pairs("pairs")),
         lambda p: F.struct(
             p.left.alias("left"),
             p.right.alias("right"),
@@ -160,7 +145,7 @@ def split_statements(log: DataFrame) -> DataFrame:
 def tables_as_written(log: DataFrame, mode: Mode) -> DataFrame:
     """Alias map rows: one per aliased table of each query, in block order."""
     df = log.withColumn("_pieces", scopes.pieces(clean_sql(F.col("SqlTextInfo"), mode)))
-    df = df.withColumn("_e", F.explode_outer(scopes.table_events(F.col("_pieces"))))
+    df = df.withColumn("_e", F.explode_outer(scopes.table_events("_pieces")))
     return df.filter((F.col("_e.tbl") != "") & blank_to_null(F.col("_e.aka")).isNotNull()).select(
         *log.columns, F.col("_e.aka").alias("alias"), F.col("_e.tbl").alias("table_name")
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,11 +44,17 @@ def number_rows(df: DataFrame, order: Sequence[str], id_column: str = "Row_id")
         level = df.groupBy(*keys).agg(F.count("*").alias("_n"))
         level = level.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
         if offsets is not None:
-            level = (
-                level.join(offsets.withColumnRenamed("_before", "_outer"), keys[:-1])
-                .select(*keys, (F.col("_before") + F.col("_outer")).alias("_before"))
+            level = _join_prefix(level, offsets, keys[:-1]).select(
+                *keys, (F.col("_before") + F.col("_outer")).alias("_before")
             )
         offsets = level
-    return numbered.join(offsets, names[:-1]).select(
-        (F.col("_before") + F.col("_place")).alias(id_column), *[F.col(f"`{c}`") for c in df.columns]
+    return _join_prefix(numbered, offsets, names[:-1]).select(
+        (F.col("_outer") + F.col("_place")).alias(id_column), *[F.col(f"`{c}`") for c in df.columns]
     )
+
+
+def _join_prefix(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_outer``, the offset of each row's key prefix; null keys match each other."""
+    right = offsets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_before").alias("_outer"))
+    same = [rows[k].eqNullSafe(right[f"_k_{k}"]) for k in keys]
+    return rows.join(right, reduce(and_, same)).drop(*[f"_k_{k}" for k in keys])
