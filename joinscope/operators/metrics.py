@@ -28,6 +28,17 @@ def app_of(user: Column, mode: Mode) -> Column:
     return names.app_before_underscore(user)
 
 
+def app_bit(user: Column, mode: Mode) -> Column:
+    """One bit per app of the fixed list, so that distinct apps need no distinct aggregate."""
+    apps = [*APP_PREFIXES, "OTHER"]
+    place = F.array_position(F.array(*[F.lit(a) for a in apps]), app_of(user, mode))
+    return F.when(place > 0, F.shiftleft(F.lit(1), (place - 1).cast("int")))
+
+
+def count_bits(column: str) -> Column:
+    return F.coalesce(F.bit_count(F.bit_or(column)), F.lit(0)).cast("long")
+
+
 def with_run_attributes(log: DataFrame, mode: Mode) -> DataFrame:
     """Date keys and run time of each query; unreadable dates as the mode wants them."""
     day = F.col("LogDate")
@@ -68,17 +79,12 @@ def pair_metrics(counted: DataFrame, mode: Mode) -> DataFrame:
         F.sum(F.when(timed, F.col("n"))).alias("timed"),
         F.sum(F.col("n") * F.col("runtime_micros")).alias("micros"),
     )
-    app = app_of(F.col("user_name"), mode)
     if mode.app == "before_underscore":
+        per_user = per_user.withColumn("app", app_of(F.col("user_name"), mode))
         unique_app = F.count_distinct("app")
     else:
-        # Few fixed values: one bit each, so no distinct aggregate is needed.
-        apps = [*APP_PREFIXES, "OTHER"]
-        bit = F.get(F.array(*[F.lit(1 << i) for i in range(len(apps))]), F.array_position(F.array(*map(F.lit, apps)), app).cast("int") - 1)
-        per_user = per_user.withColumn("app_bit", F.when(app.isNotNull(), bit))
-        unique_app = F.coalesce(F.bit_count(F.bit_or("app_bit")), F.lit(0))
-    if mode.app == "before_underscore":
-        per_user = per_user.withColumn("app", app)
+        per_user = per_user.withColumn("app_bit", app_bit(F.col("user_name"), mode))
+        unique_app = count_bits("app_bit")
 
     rows = F.sum("n")
     query_count = {
@@ -93,7 +99,7 @@ def pair_metrics(counted: DataFrame, mode: Mode) -> DataFrame:
     return per_user.groupBy(*PAIR_KEYS).agg(
         join_count.alias("join_count"),
         F.count("user_name").alias("unique_users"),
-        unique_app.cast("long").alias("unique_app"),
+        unique_app.alias("unique_app"),
         query_count.alias("query_count"),
         F.round(F.when(timed_rows > 0, seconds / timed_rows), mode.runtime_decimals).alias("avg_runtime"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from joinscope import modes
-from joinscope.functions import scores, text
+from joinscope.functions import pairs, scores
 from joinscope.operators import extract
 from joinscope.operators.metrics import counted_pairs, daily_pair_metrics, pair_metrics
 from joinscope.schemas import SCORED_COLUMNS, SLIM_COLUMNS
@@ -70,15 +70,14 @@ def slim_lineage(log: DataFrame, random_ids: bool = False, **text_options) -> Da
 
 
 def parse_funnel(parsed: DataFrame) -> DataFrame:
-    """How many ragged records came through: total, parsed, and skipped by reason."""
-    mode = modes.NEAREST_PRECEDING
-    cleaned = extract.clean_sql(F.col("SqlTextInfo"), mode)
-    good = parsed.filter(F.col("parse_error").isNull() & text.has_sql(cleaned))
-    outcome = (
-        extract.extract_pairs(good.select("SqlTextInfo"), mode)
-        .select(F.when(F.size("pairs") > 0, "parsed").otherwise("no join pair").alias("status"))
+    """How many ragged records came through: parsed, or skipped and why."""
+    sql = F.col("_sql")
+    df = parsed.withColumn("_sql", extract.clean_sql(F.col("SqlTextInfo"), modes.NEAREST_PRECEDING))
+    found = F.when(F.col("parse_error").isNull() & (sql != ""), F.expr(pairs.nearest_preceding("_sql")))
+    df = df.withColumn("_pairs", found)
+    status = F.coalesce(
+        F.col("parse_error"),
+        F.when(sql == "", "empty SQL"),
+        F.when(F.size("_pairs") > 0, "parsed").otherwise("no join pair"),
     )
-    failed = parsed.filter(F.col("parse_error").isNotNull() | ~text.has_sql(cleaned)).select(
-        F.coalesce("parse_error", F.lit("empty SQL")).alias("status")
-    )
-    return outcome.unionByName(failed).groupBy("status").agg(F.count("*").alias("records"))
+    return df.groupBy(status.alias("status")).agg(F.count("*").alias("records"))

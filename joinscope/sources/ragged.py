@@ -31,7 +31,7 @@ def records_from_lines(lines: DataFrame) -> DataFrame:
     ``lines`` has (file, block, line_no, value). The number does not depend on how the file
     was split. Header records are left out.
     """
-    line = F.regexp_replace("value", "^﻿", "")
+    line = F.regexp_replace("value", "^\ufeff", "")
     starts = line.rlike(RECORD_START).cast("int")
     split = Window.partitionBy("file", "block")
     so_far = split.orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
