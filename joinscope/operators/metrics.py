@@ -32,7 +32,7 @@ def app_bit(user: Column, mode: Mode) -> Column:
     """One bit per app of the fixed list, so that distinct apps need no distinct aggregate."""
     apps = [*APP_PREFIXES, "OTHER"]
     place = F.array_position(F.array(*[F.lit(a) for a in apps]), app_of(user, mode))
-    return F.when(place > 0, F.shiftleft(F.lit(1), (place - 1).cast("int")))
+    return F.when(place > 0, F.call_function("shiftleft", F.lit(1), (place - 1).cast("int")))
 
 
 def count_bits(column: str) -> Column:

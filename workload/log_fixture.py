@@ -41,3 +41,95 @@ def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("StartTime"),
         end.alias("LastResponseTime"),
     )
+
+
+OBJECTS = (
+    "orders", "customer", "dept", "part", "supplier", "nation", "region", "lineitem",
+    "invoice", "shipment", "campaign", "ledger",
+)
+
+
+def usage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily usage of twelve products, from the events; some metadata is missing on purpose."""
+    product = (F.col("user_id") % 12).cast("int")
+    is_app = F.col("event_id") % 3 == 0
+    name = F.get(F.array(*[F.lit(o) for o in OBJECTS]), F.col("product"))
+    cents = F.sum(F.round(F.col("value") * 100).cast("long"))
+    daily = (
+        table(spark, sf_dir, "events")
+        .select(F.col("ts").cast("date").alias("metric_date"), product.alias("product"), "user_id", "event_id", "event_type", "value", is_app.alias("app"))
+        .groupBy("metric_date", "product")
+        .agg(
+            F.count_if(~F.col("app")).alias("user_query_count"),
+            F.count_if("app").alias("app_query_count"),
+            F.count_distinct(F.when(~F.col("app"), F.col("user_id"))).alias("unique_user"),
+            F.count_distinct(F.when(F.col("app"), F.col("event_id") % 7)).alias("unique_app"),
+            (cents / 100.0).alias("total_execution_time_in_seconds"),
+            F.count_if(F.col("event_type") == "error").alias("failed_query_count"),
+        )
+    )
+    return daily.select(
+        F.concat_ws("-", "metric_date", "product").alias("row_wid"),
+        "metric_date",
+        F.concat(F.lit("product_"), F.col("product")).alias("data_product_name"),
+        F.when(F.col("product") != 9, "sales").alias("data_object_database_name"),
+        name.alias("data_product_object_name"),
+        F.when(F.col("product") != 7, F.concat(F.lit("ID-"), F.col("product"))).alias("data_product_object_id"),
+        "user_query_count",
+        "app_query_count",
+        "unique_user",
+        "unique_app",
+        "total_execution_time_in_seconds",
+        (F.col("total_execution_time_in_seconds") / (F.col("user_query_count") + F.col("app_query_count"))).alias(
+            "average_execution_time_in_seconds"
+        ),
+        "failed_query_count",
+        F.col("metric_date").cast("timestamp").alias("created_timestamp"),
+    )
+
+
+def column_usage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column usage from the parts: five tables of twenty columns, one of them never used."""
+    key, size = F.col("p_partkey"), F.col("p_size") % 20
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (key % 30).cast("int"))
+    return table(spark, sf_dir, "part").select(
+        key.cast("string").alias("row_wid"),
+        day.alias("log_date"),
+        F.get(F.array(*[F.lit(o) for o in OBJECTS[:5]]), (key % 5).cast("int")).alias("table_name"),
+        F.concat(F.lit("col_"), size).alias("column_name"),
+        F.when(size == 0, 0).otherwise(key % 50).alias("usage_count"),
+        (key % 9).alias("distinct_users"),
+        (key % 3).alias("distinct_apps"),
+        day.cast("timestamp").alias("created_timestamp"),
+    )
+
+
+def ragged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as lines of ragged text in four files, with splits that cut records in two.
+
+    Some records lack the date, a time or most fields.
+    """
+    log = query_log(spark, sf_dir)
+    key = F.col("query_id")
+    time = lambda c: F.date_format(c, "M/d/yyyy H:mm")
+    user = F.coalesce("user_name", F.lit("anon7"))
+    head = F.concat_ws(",", user, "Db_nm", "Tbl_nm")
+    quoted = F.concat(F.lit('"'), F.col("SqlTextInfo"), F.lit('"'))
+    sql = F.when(key % 3 == 0, quoted).when(key % 3 == 1, F.concat(F.lit('"'), F.col("SqlTextInfo"), F.lit("\n\n"))).otherwise(
+        F.col("SqlTextInfo")
+    )
+    ended = F.coalesce("LastResponseTime", "StartTime")
+    text = (
+        F.when(key % 50 == 7, F.concat_ws(",", head, sql))
+        .when(key % 60 == 3, F.concat_ws(",", user, "Db_nm"))
+        .when(key % 70 == 5, F.concat_ws(",", head, sql, time("LogDate"), time("StartTime")))
+        .otherwise(F.concat_ws(",", head, sql, time("LogDate"), time("StartTime"), F.replace(time(ended), F.lit(" "), F.lit("\n"))))
+    )
+    lines = log.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "value"))
+    place = key * 8 + F.col("pos")
+    return lines.select(
+        F.concat(F.lit("part-"), key % 4).alias("file"),
+        F.floor(place / 1000).alias("block"),
+        place.alias("line_no"),
+        "value",
+    )
