@@ -45,7 +45,7 @@ def top(df: DataFrame, metric: str, names: Sequence[str], k: int, least: bool =
     best = df.orderBy(*order).limit(k)
     # At most k rows are left to number.
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
-    return best.select(place.alias("place"), *names, metric)
+    return best.select(place.cast("long").alias("place"), *names, metric)
 
 
 def usage_ranking(usage: DataFrame, k: int = 10) -> DataFrame:

@@ -6,6 +6,9 @@ everything else is ordinary aggregation.
 
 from __future__ import annotations
 
+import re
+
+from joinscope.operators.recommend import RULES
 from workload import golden
 from workload.log_fixture import OBJECTS
 
@@ -177,7 +180,7 @@ meta AS (
       / (count(*) * 4), 2) AS metadata_score
   FROM usage GROUP BY 1),
 colf AS (
-  SELECT data_product_name, sum(n) AS columns, sum(z) AS unused_columns FROM obj LEFT JOIN
+  SELECT data_product_name, coalesce(sum(n), 0) AS columns, coalesce(sum(z), 0) AS unused_columns FROM obj LEFT JOIN
     (SELECT table_name, count(*) AS n, count(*) FILTER (uses = 0) AS z FROM col GROUP BY 1) c ON c.table_name = obj.tbl
   GROUP BY 1),
 keyed AS (
@@ -200,8 +203,8 @@ feat AS (
       + (users - c0) / (c1 - c0)::DOUBLE + (apps - d0) / (d1 - d0)::DOUBLE) / 4, 2) AS usage_score,
     round(greatest(least(100.0::DOUBLE - failure_rate, 100.0::DOUBLE), 0), 2) AS quality_score,
     date_diff('day', last_active, (SELECT max(metric_date) FROM usage)) AS idle_days
-  FROM roll, span JOIN meta USING (data_product_name) JOIN colf USING (data_product_name)
-    JOIN joinf USING (data_product_name)),
+  FROM roll JOIN meta USING (data_product_name) JOIN colf USING (data_product_name)
+    JOIN joinf USING (data_product_name) CROSS JOIN span),
 lim AS (
   SELECT quantile_cont(average_seconds, 0.9) AS slow_from, quantile_cont(total_seconds, 0.9) AS heavy_from,
     quantile_cont(joins, 0.9) AS joins_from, quantile_cont(queries, 0.5) AS median_queries,
@@ -219,7 +222,7 @@ total AS (
   SELECT *, round((usage_score + quality_score + metadata_score + freshness_score + optimization_score) / 5, 2)
     AS overall_health_score FROM scored)"""
 
-# Rules as (type, condition, impact metric, confidence inputs, lower is worse).
+# Rules as (type, condition, impact metric, lower is worse); only the wording is shared.
 _RULES = (
     ("INDEX_RECOMMENDATION", "index_candidate", "key_patterns", False),
     ("MATERIALIZED_VIEW", "stored_days > 0", "stored_joins", False),
@@ -237,17 +240,50 @@ _RULES = (
 )
 
 
-def _fired() -> str:
+# What each rule's reason reports, in the order of its text.
+_REASON_VALUES = {
+    "INDEX_RECOMMENDATION": ("key_patterns", "composite_patterns"),
+    "MATERIALIZED_VIEW": ("stored_joins", "stored_days"),
+    "QUERY_OPTIMIZATION": ("average_seconds", "slow_from"),
+    "TABLE_OPTIMIZATION": ("total_seconds", "queries"),
+    "COLUMN_OPTIMIZATION": ("unused_columns", "columns"),
+    "PERFORMANCE_IMPROVEMENT": ("average_seconds", "usage_score"),
+    "JOIN_OPTIMIZATION": ("joins", "partners"),
+    "ARCHIVAL": ("idle_days",),
+    "DATA_GOVERNANCE": ("metadata_score",),
+    "MONITORING": ("failed", "queries"),
+    "RELIABILITY": ("failed", "queries"),
+    "HIGH_USAGE_ALERT": ("usage_score",),
+    "LOW_USAGE_ALERT": ("usage_score",),
+}
+
+
+def _recommendations() -> str:
+    wording = {r.type: r for r in RULES}
     parts = []
     for kind, condition, metric, inverse in _RULES:
-        rank = f"CASE WHEN {metric} IS NULL THEN 0.0 ELSE (rank() OVER (PARTITION BY {metric} IS NULL ORDER BY {metric}) - 1)"
-        rank += f" / nullif(count({metric}) OVER () - 1, 0)::DOUBLE END"
-        severity = f"1.0::DOUBLE - ({rank})" if inverse else rank
+        rank = f"(rank() OVER (ORDER BY {metric}) - 1) / (count(*) OVER () - 1)::DOUBLE"
+        severity = f"1.0::DOUBLE - {rank}" if inverse else rank
+        rule = wording[kind]
+        pieces = rule.reason.replace("%.2f", "%d").split("%d")
+        formats = re.findall("%d|%.2f", rule.reason)
+        reason = _lit(pieces[0])
+        for form, value, piece in zip(formats, _REASON_VALUES[kind], pieces[1:]):
+            shown = f"CAST({value} AS BIGINT)" if form == "%d" else f"CAST({value} AS DECIMAL(18, 2))"
+            reason += f" || CAST({shown} AS VARCHAR) || {_lit(piece)}"
         parts.append(
-            f"SELECT data_product_name, product_id, as_of, '{kind}' AS kind, "
-            f"CAST(round(100 * ({severity})) AS INTEGER) AS impact, {condition} AS fires FROM total"
+            f"SELECT data_product_name, product_id AS data_product_id, as_of AS recommendation_date, "
+            f"'{kind}' AS recommendation_type, {_lit(rule.title)} AS recommendation_title, "
+            f"{_lit(rule.description)} AS recommendation_description, {reason} AS recommendation_reason, "
+            f"{_lit(rule.benefit)} AS expected_benefit, CAST(round(100 * ({severity})) AS INTEGER) AS estimated_impact_score, "
+            f"{condition} AS fires FROM total"
         )
-    return " UNION ALL ".join(parts)
+    return f"""{HEALTH}, fired AS ({' UNION ALL '.join(parts)})
+SELECT row_number() OVER w AS row_id, 'REC-' || lpad(CAST(row_number() OVER w AS VARCHAR), 6, '0') AS recommendation_id,
+  * EXCLUDE (fires), strftime(recommendation_date, '%Y%m%d') AS recommendation_date_wid, 1.0::DOUBLE AS confidence_score,
+  CASE WHEN estimated_impact_score >= 70 THEN 'HIGH' WHEN estimated_impact_score >= 40 THEN 'MEDIUM' ELSE 'LOW' END
+    AS recommendation_priority, 'Enterprise AI Recommendation Engine' AS generated_by, 'NEW' AS status
+FROM fired WHERE fires WINDOW w AS (ORDER BY data_product_name, recommendation_type)"""
 
 
 def _text_rules() -> dict[str, str]:
@@ -468,6 +504,7 @@ def oracle() -> dict[str, str]:
                 queries - lag(queries) OVER w AS change,
                 round(avg(queries) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS moving_mean,
                 round(a / queries::DOUBLE, 4) AS app_share FROM d WINDOW w AS (PARTITION BY data_product_name ORDER BY metric_date)""",
+            "recommendations": _recommendations(),
             "health_summary": f"""{HEALTH} SELECT data_product_name, usage_score, quality_score, metadata_score, freshness_score,
                 optimization_score, overall_health_score, round(100.0::DOUBLE - overall_health_score, 2) AS recommendation_score
                 FROM total""",
