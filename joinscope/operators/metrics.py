@@ -61,22 +61,35 @@ def with_run_attributes(log: DataFrame, mode: Mode) -> DataFrame:
     )
 
 
-def counted_pairs(log: DataFrame, mode: Mode, **text_options) -> DataFrame:
-    """Narrow part of every pipeline: one row per query and distinct pair."""
-    wanted = ["user_name", "Db_nm", "Tbl_nm", "SqlTextInfo", "date_wid", "Metric date", "runtime_micros"]
-    rows = with_run_attributes(log, mode).select(*wanted)
+def counted_pairs(log: DataFrame, mode: Mode, combine_repeats: bool = False, **text_options) -> DataFrame:
+    """Narrow part of every pipeline: one row per query and distinct pair.
+
+    With ``combine_repeats`` equal texts of one user and day are first counted together and
+    parsed once. That pays where the same statements run again and again; where nearly every
+    text is different it only moves the texts through a shuffle.
+    """
+    keys = ["user_name", "Db_nm", "Tbl_nm", "SqlTextInfo", "date_wid", "Metric date"]
+    timed = F.col("runtime_micros").isNotNull().cast("long")
+    rows = with_run_attributes(log, mode).select(*keys, "runtime_micros", timed.alias("timed_runs"))
+    if combine_repeats:
+        rows = rows.groupBy(*keys).agg(
+            F.sum("runtime_micros").alias("runtime_micros"),
+            F.sum("timed_runs").alias("timed_runs"),
+            F.count("*").alias("runs"),
+        )
+    else:
+        rows = rows.withColumn("runs", F.lit(1).cast("long"))
     exploded = explode_counted_pairs(extract_pairs(rows, mode, **text_options))
     return exploded.drop("Db_nm", "Tbl_nm", "SqlTextInfo")
 
 
 def pair_metrics(counted: DataFrame, mode: Mode) -> DataFrame:
     """Metrics per (date, left, right) from rows of :func:`counted_pairs`."""
-    timed = F.col("runtime_micros").isNotNull()
     per_user = counted.groupBy(*PAIR_KEYS, "user_name").agg(
-        F.sum("n").alias("n"),
-        F.count("*").alias("queries"),
-        F.sum("n_keys").alias("keys"),
-        F.sum(F.when(timed, F.col("n"))).alias("timed"),
+        F.sum(F.col("n") * F.col("runs")).alias("n"),
+        F.sum("runs").alias("queries"),
+        F.sum(F.col("n_keys") * F.col("runs")).alias("keys"),
+        F.sum(F.col("n") * F.col("timed_runs")).alias("timed"),
         F.sum(F.col("n") * F.col("runtime_micros")).alias("micros"),
     )
     if mode.app == "before_underscore":

@@ -445,6 +445,7 @@ def oracle() -> dict[str, str]:
                 count(DISTINCT query_id) AS query_count, round(avg(whole), 4) AS avg_runtime FROM rows GROUP BY 1, 2, 3, 4)
               SELECT row_number() OVER (ORDER BY left_join_table_name, right_join_table_name, date_wid) AS "Row_id", * FROM agg""",
             "bare_lineage": AGG["per_block"],
+            "combined_repeats": AGG["per_block"],
             "lineage_preview": f"SELECT * FROM ({AGG['all_scopes']}) WHERE \"Row_id\" <= 10",
             "scored_lineage": f"""{_PRODUCTS} SELECT {_wid("l || '|' || r || '|' || date_wid", 16)} AS row_wid, date_wid,
                 {_wid("l || '|' || r || '|' || date_wid")} AS metric_wid, l AS left_data_product_name,

@@ -251,6 +251,11 @@ def bare_lineage(spark, sf):
     return lineage.bare_lineage(query_log(spark, sf))
 
 
+@query
+def combined_repeats(spark, sf):
+    return lineage.pair_lineage(query_log(spark, sf), modes.PER_BLOCK, combine_repeats=True)
+
+
 @query
 def scored_lineage(spark, sf):
     return lineage.scored_lineage(query_log(spark, sf)).drop("created_timestamp")
