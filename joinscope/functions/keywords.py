@@ -78,3 +78,27 @@ IDENT = r"(?:[\w$#@]+|\"[^\"]+\"|`[^`]+`)"
 QUALIFIED = rf"{IDENT}(?:\s*\.\s*{IDENT})*"
 # Table reference with optional alias; two capture groups.
 TABLE_REF = rf"{NOT_A_NAME}({QUALIFIED})(?:\s+(?:AS\s+)?{NOT_A_NAME}({IDENT}))?"
+
+# --- Textual patterns: the shapes are fixed values, the name guards are ours. -----------
+
+# A JOIN and the name after it.
+JOIN_TARGET = (
+    r"(?i)\b(?:INNER\s+|LEFT\s+(?:OUTER\s+)?|RIGHT\s+(?:OUTER\s+)?|FULL\s+(?:OUTER\s+)?|CROSS\s+)?JOIN\s+([\w.]+)"
+)
+FROM_TABLE = r"(?i)\bFROM\s+([\w.]+)"
+# A FROM glued to the word before it.
+FUSED_FROM = r"(?i)\wFROM\b"
+# Any FROM or JOIN with its table; groups: join side, glued character, word, table, alias.
+TABLE_MENTION = (
+    r"(?i)(?:(INNER\s+|LEFT\s+(?:OUTER\s+)?|RIGHT\s+(?:OUTER\s+)?|FULL\s+(?:OUTER\s+)?|CROSS\s+|NATURAL\s+)|(\w))?"
+    rf"(FROM|JOIN)\s+{TABLE_REF}"
+)
+_ON_ALIAS = rf"(?:\s+AS\s+({IDENT})|\s+{NOT_A_NAME}({IDENT}))?"
+# Groups: table, two forms of alias.
+ON_REFERENCE = rf"(?i)(?:FROM|JOIN)\s+{NOT_A_NAME}({QUALIFIED}){_ON_ALIAS}"
+# Groups: join type, table, two forms of alias, condition.
+ON_CLAUSE = (
+    rf"(?is)((?:LEFT|RIGHT|FULL|CROSS|INNER|OUTER)\s+(?:OUTER\s+)?)?JOIN\s+{NOT_A_NAME}({QUALIFIED}){_ON_ALIAS}"
+    r"\s+ON\s+(.+?)(?=(?:LEFT|RIGHT|FULL|CROSS|INNER|OUTER)?\s*JOIN|\s+WHERE|\s+GROUP|\s+ORDER|\s+HAVING|$)"
+)
+ON_EQUALITY = r"[\w$.]+\s*=\s*[\w$.]+"

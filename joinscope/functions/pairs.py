@@ -6,10 +6,9 @@ leave the last two null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from joinscope.functions.keywords import IDENT, NOT_A_NAME, QUALIFIED, TABLE_REF
+from joinscope.functions.keywords import (
+    FROM_TABLE, JOIN_TARGET, NOT_A_NAME, ON_CLAUSE, ON_EQUALITY, ON_REFERENCE, TABLE_MENTION,
+)
 from joinscope.functions.scopes import derived_from, inside
 from joinscope.functions.sqltext import (
     bare, bare_lower, empty, last, last_part, let, norm, qualified, quote, strip, struct, unquote,
@@ -85,8 +84,11 @@ def per_block(pieces: str, events: str, qualified_by: str | None, with_keys: boo
     A derived table on the right gives no pair and leaves the left side as it was.
     """
     name = (lambda t: qualified(t, qualified_by)) if qualified_by else bare_lower
-    following = "get(filter(slice(ev, i + 2, size(ev)), f -> f.id.blk = e.id.blk), 0).pos"
-    until = f"coalesce({following}, size({pieces}))"
+    # Events of a block follow each other; a listed table ends inside the piece it is in.
+    until = (
+        f"CASE WHEN get(ev, i + 1).id.blk = e.id.blk "
+        f"THEN get(ev, i + 1).pos + CASE WHEN get(ev, i + 1).seq > 0 THEN 1 ELSE 0 END ELSE size({pieces}) END"
+    )
     text = "concat(CASE WHEN pc.op IN ('(', ')') THEN pc.op ELSE ' ' END, pc.rest)"
     cond = (
         f"concat({pieces}[e.pos].rest, array_join(transform("
@@ -179,19 +181,13 @@ def top_level(events: str, driving_table: str | None, unless: str = "false") ->
 
 # --- textual modes: read names in order of appearance ----------------------------------
 
-FUSED_FROM = r"(?i)\wFROM\b"
-
 _CUT, _SEP = "\u0001", "\u0002"
-_JOIN_SIDE = (
-    r"INNER\s+|LEFT\s+(?:OUTER\s+)?|RIGHT\s+(?:OUTER\s+)?|FULL\s+(?:OUTER\s+)?|CROSS\s+|NATURAL\s+"
-)
-_REFERENCE = rf"(?i)(?:({_JOIN_SIDE})|(\w))?(FROM|JOIN)\s+{TABLE_REF}"
 
 
 def nearest_preceding(sql: str) -> str:
     """Left of each JOIN is the nearest table named before it that is another table."""
     fields = f"{_CUT}$3{_SEP}$1{_SEP}$2{_SEP}$4{_SEP}$5{_SEP}"
-    marked = f"regexp_replace({sql}, {quote(_REFERENCE)}, {quote(fields)})"
+    marked = f"regexp_replace({sql}, {quote(TABLE_MENTION)}, {quote(fields)})"
     cut = f"transform(filter(split({marked}, '{_CUT}'), s -> contains(s, '{_SEP}')), s -> split(s, '{_SEP}'))"
     # A plain JOIN glued to a word names a table but is no join.
     ref = struct(
@@ -209,16 +205,6 @@ def nearest_preceding(sql: str) -> str:
     )
 
 
-_ON_SIDE = r"(?:LEFT|RIGHT|FULL|CROSS|INNER|OUTER)"
-_ON_ALIAS = rf"(?:\s+AS\s+({IDENT})|\s+{NOT_A_NAME}({IDENT}))?"
-_ON_REF = rf"(?i)(?:FROM|JOIN)\s+{NOT_A_NAME}({QUALIFIED}){_ON_ALIAS}"
-_ON_CLAUSE = (
-    rf"(?is)({_ON_SIDE}\s+(?:OUTER\s+)?)?JOIN\s+{NOT_A_NAME}({QUALIFIED}){_ON_ALIAS}"
-    rf"\s+ON\s+(.+?)(?={_ON_SIDE}?\s*JOIN|\s+WHERE|\s+GROUP|\s+ORDER|\s+HAVING|$)"
-)
-_ON_EQUALITY = r"[\w$.]+\s*=\s*[\w$.]+"
-
-
 def on_keyed(sql: str, default_db: str, distinct_tables: bool = False) -> str:
     """Left of ``JOIN t ON ..`` is the table of the ON side that is not ``t``.
 
@@ -234,25 +220,25 @@ def on_keyed(sql: str, default_db: str, distinct_tables: bool = False) -> str:
 
     ref = let(
         "rw",
-        group(_ON_REF, 1),
+        group(ON_REFERENCE, 1),
         struct(
             tbl=qualified("rw", default_db),
             own=norm(last_part("rw")),
-            aka=alias_of("rw", group(_ON_REF, 2), group(_ON_REF, 3)),
+            aka=alias_of("rw", group(ON_REFERENCE, 2), group(ON_REFERENCE, 3)),
         ),
     )
     clause = let(
         "rw",
-        group(_ON_CLAUSE, 2),
+        group(ON_CLAUSE, 2),
         struct(
-            side=group(_ON_CLAUSE, 1),
+            side=group(ON_CLAUSE, 1),
             tbl=qualified("rw", default_db),
-            aka=alias_of("rw", group(_ON_CLAUSE, 3), group(_ON_CLAUSE, 4)),
-            cond=group(_ON_CLAUSE, 5),
+            aka=alias_of("rw", group(ON_CLAUSE, 3), group(ON_CLAUSE, 4)),
+            cond=group(ON_CLAUSE, 5),
         ),
     )
-    refs = f"transform(regexp_extract_all({sql}, {quote(_ON_REF)}, 0), m -> {ref})"
-    clauses = f"transform(regexp_extract_all({sql}, {quote(_ON_CLAUSE)}, 0), m -> {clause})"
+    refs = f"transform(regexp_extract_all({sql}, {quote(ON_REFERENCE)}, 0), m -> {ref})"
+    clauses = f"transform(regexp_extract_all({sql}, {quote(ON_CLAUSE)}, 0), m -> {clause})"
     tables = "transform(rs, r -> r.tbl)"
     listed = f"array_distinct({tables})" if distinct_tables else tables
     both = f"array({struct(aka='r.aka', tbl='r.tbl')}, {struct(aka='r.own', tbl='r.tbl')})"
@@ -274,7 +260,7 @@ def on_keyed(sql: str, default_db: str, distinct_tables: bool = False) -> str:
         f"WHEN k.a.tbl = c.tbl THEN {key('true', 'k.b.tbl', 'k.b.col', 'k.a.col')} "
         f"ELSE {key('false', 'cast(null as string)', 'k.a.col', 'k.b.col')} END"
     )
-    found = f"transform(regexp_extract_all(c.cond, {quote(_ON_EQUALITY)}, 0), m -> split(m, '='))"
+    found = f"transform(regexp_extract_all(c.cond, {quote(ON_EQUALITY)}, 0), m -> split(m, '='))"
     keys = let("als", aliases, f"transform(transform({found}, sd -> {sides}), k -> {oriented})")
     before = f"CASE WHEN size(li) >= 2 THEN get(li, cast(greatest(array_position(li, c.tbl) - 2, 0) as int)) ELSE '' END"
     of_clause = let(
@@ -302,18 +288,15 @@ def with_comment_tables(pairs: str, comment_tables: str) -> str:
     return f"aggregate({comment_tables}, {pairs}, (a, t) -> CASE WHEN {seen} THEN a ELSE {added} END)"
 
 
-_JOIN_TARGET = (
-    r"(?i)\b(?:INNER\s+|LEFT\s+(?:OUTER\s+)?|RIGHT\s+(?:OUTER\s+)?|FULL\s+(?:OUTER\s+)?|CROSS\s+)?JOIN\s+([\w.]+)"
-)
 _PLAUSIBLE = rf"(?i)^{NOT_A_NAME}[A-Za-z_]"
 
 
 def chained_by_text(sql: str, comment_tables: str, driving_table: str) -> str:
     """First FROM table, then all JOIN targets, then comment tables, each once, as one chain."""
-    first_from = last_part(f"regexp_extract({sql}, {quote(r'(?i)\bFROM\s+([\w.]+)')}, 1)")
+    first_from = last_part(f"regexp_extract({sql}, {quote(FROM_TABLE)}, 1)")
     start = f"coalesce(nullif({first_from}, ''), nullif({bare(driving_table)}, ''))"
     in_sql = (
-        f"transform(filter(regexp_extract_all({sql}, {quote(_JOIN_TARGET)}, 1), t -> rlike(t, {quote(_PLAUSIBLE)})), "
+        f"transform(filter(regexp_extract_all({sql}, {quote(JOIN_TARGET)}, 1), t -> rlike(t, {quote(_PLAUSIBLE)})), "
         f"t -> {last_part('t')})"
     )
     once = "filter(al, (t, i) -> length(t) > 1 AND NOT exists(slice(al, 1, i), u -> lower(u) = lower(t)))"
@@ -321,7 +304,3 @@ def chained_by_text(sql: str, comment_tables: str, driving_table: str) -> str:
     chained = drop_self(_chain("ts", "st"), ignore_case=True)
     of_start = f"CASE WHEN st IS NULL THEN {NO_PAIRS} ELSE {let('ts', targets, chained)} END"
     return let("st", start, of_start)
-
-
-def as_column(sql: str) -> Column:
-    return F.expr(sql)

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from joinscope.functions.columns import collapse_ws, let, strip
-from joinscope.functions.keywords import FUSED_KEYWORDS, SLASH_REMARK, TERADATA_RULES, TERADATA_WORDS
+from joinscope.functions.keywords import FUSED_KEYWORDS, JOIN_TARGET, SLASH_REMARK, TERADATA_RULES, TERADATA_WORDS
 
 _BLOCK = r"(?s)/\*.*?\*/"
 _LINE = r"--[^\n]*"
@@ -101,12 +101,6 @@ def repair_sql(sql: Column, protect: Sequence[str] = ()) -> Column:
     return strip(split_fused_keywords(out, protect))
 
 
-_JOIN_TARGET = (
-    r"(?i)\b(?:INNER\s+|LEFT\s+(?:OUTER\s+)?|RIGHT\s+(?:OUTER\s+)?|FULL\s+(?:OUTER\s+)?|CROSS\s+)?"
-    r"JOIN\s+([\w.]+)"
-)
-
-
 def comment_join_tables(sql: Column, protect: Sequence[str] = ()) -> Column:
     """Tables that line comments carry, in order.
 
@@ -120,7 +114,7 @@ def comment_join_tables(sql: Column, protect: Sequence[str] = ()) -> Column:
         dangling = strip(split_fused_keywords(code, protect)).rlike(r"(?i)\bJOIN\s*$")
         target = F.regexp_extract(strip(split_fused_keywords(comment, protect)), r"\b([\w.]{3,})", 1)
         whole = F.filter(
-            F.transform(F.regexp_extract_all(comment, F.lit(_JOIN_TARGET)), lambda t: F.substring_index(t, ".", -1)),
+            F.transform(F.regexp_extract_all(comment, F.lit(JOIN_TARGET)), lambda t: F.substring_index(t, ".", -1)),
             lambda t: F.length(t) > 2,
         )
         named = F.filter(F.array(F.substring_index(target, ".", -1)), lambda t: t != "")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from joinscope.functions import pairs as P
 from joinscope.functions import scopes, sqltext, text
 from joinscope.functions.columns import blank_to_null
+from joinscope.functions.keywords import FUSED_FROM
 from joinscope.modes import Mode
 
 _WORK = ("_sql", "_pieces", "_events", "_comment_tables", "_structured")
@@ -58,7 +59,7 @@ def extract_pairs(
         if mode.scope == "all_scopes":
             df = df.withColumn("pairs", F.expr(P.all_scopes("_events")))
         elif mode.scope == "top_level":
-            fused = f"rlike(_sql, {sqltext.quote(P.FUSED_FROM)})"
+            fused = f"rlike(_sql, {sqltext.quote(FUSED_FROM)})"
             df = df.withColumn("pairs", F.expr(P.top_level("_events", "Tbl_nm", unless=fused)))
         elif mode.scope == "dirty_log":
             raw = text.blank_literals(F.col("SqlTextInfo")) if mask_literals else F.col("SqlTextInfo")

@@ -30,16 +30,30 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", partition_by: Sequen
     return True
 
 
-def json_document(recommendations: DataFrame, health: DataFrame) -> DataFrame:
-    """Both tables as one JSON text with two arrays, for small results only."""
+# Results beyond this many rows are no single document.
+DOCUMENT_ROWS = 10_000
+
+
+def json_document(recommendations: DataFrame, health: DataFrame, max_rows: int = DOCUMENT_ROWS) -> DataFrame:
+    """Both tables as one JSON text with two arrays; raises when they have over ``max_rows`` rows."""
+    recommendations, health = materialize(recommendations), materialize(health)
+    if _rows(recommendations, health) > max_rows:
+        raise ValueError(f"over {max_rows} rows: write two tables instead")
+    return _document(recommendations, health)
+
+
+def _rows(*tables: DataFrame) -> int:
+    return sum(t.count() for t in tables)
+
+
+def _document(recommendations: DataFrame, health: DataFrame) -> DataFrame:
     iso = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 
     def rows(df: DataFrame, name: str):
         # Sorted by the first column, which is unique in both tables.
         return df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name)).scalar()
 
-    one = recommendations.sparkSession.range(1)
-    return one.select(
+    return recommendations.sparkSession.range(1).select(
         F.to_json(
             F.struct(
                 rows(recommendations, "r").alias("DATA_PRODUCT_RECOMMENDATION"),
@@ -50,14 +64,14 @@ def json_document(recommendations: DataFrame, health: DataFrame) -> DataFrame:
     )
 
 
-def write_report(recommendations: DataFrame, health: DataFrame, path: str, document_rows: int = 10_000) -> str:
+def write_report(recommendations: DataFrame, health: DataFrame, path: str, document_rows: int = DOCUMENT_ROWS) -> str:
     """Write one JSON document when both tables together have at most ``document_rows`` rows.
 
     Larger reports become two JSON-lines tables of the same names. Returns which it was.
     """
     recommendations, health = materialize(recommendations), materialize(health)
-    if recommendations.count() + health.count() <= document_rows:
-        json_document(recommendations, health).coalesce(1).write.mode("overwrite").text(path)
+    if _rows(recommendations, health) <= document_rows:
+        _document(recommendations, health).coalesce(1).write.mode("overwrite").text(path)
         return "document"
     for name, df in (("DATA_PRODUCT_RECOMMENDATION", recommendations), ("DATA_PRODUCT_HEALTH_SUMMARY", health)):
         df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")

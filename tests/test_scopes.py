@@ -82,14 +82,16 @@ def test_case(by_mode, mode, sql, want):
 def test_keys(spark):
     sql = (
         "SELECT 1 FROM a JOIN b ON (a.k = b.k AND a.\"J\" = b.j) AND COALESCE(a.x, 0) = b.x AND a.z = 'q' AND a.m >= b.m "
-        "JOIN c USING (k) JOIN d ON d.k = (SELECT max(k) FROM e WHERE e.p = 1)"
+        "JOIN c USING (k) JOIN x ON NVL(c.x, 1) = x.x, y JOIN d ON d.k = (SELECT max(k) FROM e WHERE e.p = 1)"
     )
     log = spark.createDataFrame([(1, "s", "t", sql)], SCHEMA)
     got = extract_pairs(log, modes.PER_BLOCK_QUALIFIED).first().pairs
     keys = {(p.left, p.right): [(k.left_key, k.right_key) for k in p.join_keys] for p in got}
     assert keys[("s.a", "s.b")] == [("k", "k"), ("J", "j"), ("", "x"), ("z", "")]
     assert keys[("s.b", "s.c")] == []
-    assert keys[("s.c", "s.d")] == [("k", ""), ("p", "1")]
+    assert keys[("s.c", "s.x")] == [("", "x")]
+    assert keys[("s.x", "s.y")] == []
+    assert keys[("s.y", "s.d")] == [("k", ""), ("p", "1")]
 
 
 def test_blank_sql_is_skipped(spark):

@@ -13,9 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores even when the input file has fewer row groups than there are cores."""
+    """Use all cores even when the input has fewer splits than there are cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
