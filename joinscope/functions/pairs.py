@@ -42,9 +42,12 @@ def distinct_pairs(pairs: str) -> str:
 
 
 def lookup(entries: str, name: str, ignore_case: bool = False) -> str:
-    """Last definition of ``name`` in ``array<aka, tbl>``, else the name itself."""
-    same = "lower(al.aka) = lower(nm)" if ignore_case else "al.aka = nm"
-    return let("nm", name, f"coalesce({last(f'filter({entries}, al -> {same})')}.tbl, nm)")
+    """Last definition of ``name`` in ``array<aka, tbl>``, else the name itself.
+
+    With ``ignore_case`` the entries have to be in lower case.
+    """
+    found = f"coalesce({last('filter(' + entries + ', al -> al.aka = ky)')}.tbl, nm)"
+    return let("nm", name, let("ky", "lower(nm)" if ignore_case else "nm", found))
 
 
 def _chain(tables: str, start: str) -> str:
@@ -65,8 +68,8 @@ def _keys_of(cond: str) -> str:
     on = f"regexp_extract({cond}, {quote(r'(?is)^\s*ON\b(.*)$')}, 1)"
 
     def column_of(part: str) -> str:
-        no_column = quote("[()']")
-        return f"CASE WHEN rlike({part}, {no_column}) THEN '' ELSE {bare(part)} END"
+        no_column = " OR ".join(f"contains({part}, {quote(c)})" for c in "()'")
+        return f"CASE WHEN {no_column} THEN '' ELSE {bare(part)} END"
 
     key = struct(left_key=column_of("get(sd, 0)"), right_key=column_of("get(sd, 1)"))
     found = f"regexp_extract_all({on}, {quote(_KEY_EQUALITY)}, 0)"
@@ -89,9 +92,9 @@ def per_block(pieces: str, events: str, qualified_by: str | None, with_keys: boo
         f"CASE WHEN get(ev, i + 1).id.blk = e.id.blk "
         f"THEN get(ev, i + 1).pos + CASE WHEN get(ev, i + 1).seq > 0 THEN 1 ELSE 0 END ELSE size({pieces}) END"
     )
-    text = "concat(CASE WHEN pc.op IN ('(', ')') THEN pc.op ELSE ' ' END, pc.rest)"
+    text = "concat(CASE WHEN pc[0] IN ('(', ')') THEN pc[0] ELSE ' ' END, pc[4])"
     cond = (
-        f"concat({pieces}[e.pos].rest, array_join(transform("
+        f"concat({pieces}[e.pos][4], array_join(transform("
         f"slice({pieces}, e.pos + 2, greatest({until} - e.pos - 1, 0)), pc -> {text}), ''))"
     )
     keys = NO_KEYS
@@ -118,9 +121,10 @@ def per_block(pieces: str, events: str, qualified_by: str | None, with_keys: boo
     return let("ev", f"filter({events}, e -> e.sel AND e.op <> 'S')", fold)
 
 
-def _aliases(events: str, condition: str) -> str:
+def _aliases(events: str, condition: str, lower_aka: bool = False) -> str:
     """Alias definitions in block order: array<aka, tbl>, names bare with their letter case."""
-    entry = struct(aka=unquote("e.aka"), tbl=bare("e.tbl"))
+    aka = unquote("e.aka")
+    entry = struct(aka=f"lower({aka})" if lower_aka else aka, tbl=bare("e.tbl"))
     return f"transform(filter({events}, e -> e.tbl <> '' AND e.aka <> '' AND {condition}), e -> {entry})"
 
 
@@ -175,7 +179,7 @@ def top_level(events: str, driving_table: str | None, unless: str = "false") ->
     )
     fold = f"aggregate(transform(ou, e -> {named}), {start}, (a, e) -> {step}, a -> a.out)"
     own = "e.id.stmt = 0 AND lower(e.aka) <> lower(e.tbl)"
-    with_aliases = let("als", _aliases(events, own), drop_self(fold, ignore_case=True))
+    with_aliases = let("als", _aliases(events, own, lower_aka=True), drop_self(fold, ignore_case=True))
     return let("ou", outer, f"CASE WHEN exists(ou, e -> e.op = 'J') THEN {with_aliases} ELSE {NO_PAIRS} END")
 
 

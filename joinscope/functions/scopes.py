@@ -18,31 +18,32 @@ _CUT, _SEP = "\u0001", "\u0002"
 _SIDE_WORDS = "NATURAL|INNER|LEFT|RIGHT|FULL|CROSS|OUTER|SEMI|ANTI"
 _CLAUSE_END = r"WHERE|GROUP\s+BY|ORDER\s+BY|HAVING|QUALIFY|LIMIT|UNION|INTERSECT|EXCEPT|MINUS|WINDOW|SET"
 
+# Words are tried only at word borders. Groups: deleting, join side, JOIN or FROM, its table and
+# alias, SELECT or clause end, parenthesis with the table and alias that may follow it, closing.
 _PIECE = (
-    r"(?i)\b(DELETE)\s+FROM\b"
-    rf"|((?:\b(?:{_SIDE_WORDS})\s+)*)\b(JOIN|FROM)\b(?:\s+(?:LATERAL\s+)?{TABLE_REF})?"
+    rf"(?i)\b(?=[A-Za-z])(?:(DELETE)\s+FROM\b"
+    rf"|((?:(?:{_SIDE_WORDS})\s+)*)(JOIN|FROM)\b(?:\s+(?:LATERAL\s+)?{TABLE_REF})?"
+    rf"|(SELECT|{_CLAUSE_END})\b)"
     rf"|(\()(?:(?=\s*{TABLE_REF})|)"
     r"|([);])"
-    rf"|\b(SELECT|{_CLAUSE_END})\b"
 )
-_PIECE_FIELDS = f"{_CUT}$1$3$6$9$10{_SEP}$2{_SEP}$4$7{_SEP}$5$8{_SEP}"
+_PIECE_FIELDS = f"{_CUT}$1$3$6$7$10{_SEP}$2{_SEP}$4$8{_SEP}$5$9{_SEP}"
 _LISTED = rf"(?i),\s*(?:LATERAL\s+)?({NOT_A_NAME}{QUALIFIED}(?:\s+(?:AS\s+)?{NOT_A_NAME}{IDENT})?)"
 _LISTED_NAME = rf"^{QUALIFIED}"
 _LISTED_ALIAS = rf"(?i)^{QUALIFIED}\s+(?:AS\s+)?({IDENT})$"
 _OPEN_LIST = r"(?i),\s*(?:LATERAL\s*)?$"
 
 
+# A piece is an array of strings; these read the one at hand, ``p``.
+_OP, _SIDE, _TBL, _AKA, _REST = "upper(p[0])", "p[1]", "p[2]", "p[3]", "p[4]"
+
+
 def pieces(sql: Column) -> Column:
-    """Text cut before each structural word: array<op, side, tbl, aka, rest>."""
-    one_line = F.regexp_replace(sql, r"[\s\x00-\x1f]+", " ")
+    """Text cut before each structural word: array of (word, join side, table, alias, rest)."""
+    one_line = F.regexp_replace(sql, r"[\x00-\x1f][\x00-\x20]*|\x20[\x00-\x20]+", " ")
     marked = F.regexp_replace(one_line, _PIECE, _PIECE_FIELDS)
     cut = F.filter(F.split(marked, _CUT), lambda s: F.contains(s, F.lit(_SEP)))
-    return F.transform(
-        F.transform(cut, lambda s: F.split(s, _SEP)),
-        lambda f: F.struct(
-            F.upper(f[0]).alias("op"), f[1].alias("side"), f[2].alias("tbl"), f[3].alias("aka"), f[4].alias("rest")
-        ),
-    )
+    return F.transform(cut, lambda s: F.split(s, _SEP))
 
 
 # Where an event or an open parenthesis belongs: statement, nesting level, block, and the
@@ -84,11 +85,11 @@ def _open() -> str:
     group = _state(
         _frame("'G'", "'F'", "''", f"{_T}.id"),
         pushed_parent,
-        _event(f"{_T}.id", f"{_T}.x", _SEL, tbl="p.tbl", aka="p.aka"),
+        _event(f"{_T}.id", f"{_T}.x", _SEL, tbl=_TBL, aka=_AKA),
     )
     in_place = f"{_T}.c = 'F' AND {_T}.x <> ''"
     return (
-        f"CASE WHEN {in_place} AND p.tbl <> '' THEN {group} "
+        f"CASE WHEN {in_place} AND {_TBL} <> '' THEN {group} "
         f"WHEN {in_place} THEN {_state(_frame(quote('D'), quote('F'), f'{_T}.x', inner), pushed_parent)} "
         f"ELSE {_state(_frame(quote('P'), quote(''), quote(''), inner), pushed_parent)} END"
     )
@@ -104,19 +105,16 @@ def _close() -> str:
 def _select() -> str:
     # A further SELECT of a set operation starts a new block on the same level.
     again = _id(f"{_T}.id.stmt", f"{_T}.id.lvl", "a.n", f"{_T}.id.base")
-    started = let(
-        "i",
-        f"CASE WHEN {_T}.k = 'S' THEN {again} ELSE {_T}.id END",
-        _state(_frame("'S'", "''", "''", "i"), new=_event("i", "'S'", "true")),
-    )
+    own = f"CASE WHEN {_T}.k = 'S' THEN {again} ELSE {_T}.id END"
+    started = _state(_frame("'S'", "''", "''", own), new=_event(own, "'S'", "true"))
     return f"CASE WHEN {_T}.k = 'G' THEN {_state()} ELSE {started} END"
 
 
 def _table(op: str, allowed: str) -> str:
-    waits = f"CASE WHEN p.tbl = '' THEN '{op}' ELSE '' END"
+    waits = f"CASE WHEN {_TBL} = '' THEN '{op}' ELSE '' END"
     taken = _state(
         _frame(f"{_T}.k", "'F'", waits, f"{_T}.id"),
-        new=_event(f"{_T}.id", f"'{op}'", _SEL, "p.side", "p.tbl", "p.aka"),
+        new=_event(f"{_T}.id", f"'{op}'", _SEL, _SIDE, _TBL, _AKA),
     )
     return f"CASE WHEN {allowed} THEN {taken} ELSE {_state()} END"
 
@@ -136,8 +134,8 @@ def _with_listed() -> str:
     entry = struct(
         tbl=f"regexp_extract(s, {quote(_LISTED_NAME)}, 0)", aka=f"regexp_extract(s, {quote(_LISTED_ALIAS)}, 1)"
     )
-    waits = f"rlike(p.rest, {quote(_OPEN_LIST)})"
-    named = f"transform(regexp_extract_all(p.rest, {quote(_LISTED)}, 1), s -> {entry})"
+    waits = f"rlike({_REST}, {quote(_OPEN_LIST)})"
+    named = f"transform(regexp_extract_all({_REST}, {quote(_LISTED)}, 1), s -> {entry})"
     derived = f"CASE WHEN {waits} THEN array({struct(tbl=quote(''), aka=quote(''))}) ELSE array() END"
     event = struct(
         id="z.top.id", pos="z.n - 1", seq="i + 1", op="'J'", sel="z.top.k <> 'R'", side="''", tbl="m.tbl", aka="m.aka"
@@ -155,12 +153,14 @@ def _step() -> str:
     from_ok = f"({_T}.k = 'S' AND {_T}.c = '') OR {_T}.k = 'R'"
     join_ok = f"{_T}.k IN ('S', 'G', 'D', 'R') AND ({_T}.c <> 'E' OR {_T}.k = 'R')"
     by_op = (
-        f"CASE p.op WHEN '(' THEN {_open()} WHEN ')' THEN {_close()} WHEN 'SELECT' THEN {_select()} "
+        f"CASE {_OP} WHEN '(' THEN {_open()} WHEN ')' THEN {_close()} WHEN 'SELECT' THEN {_select()} "
         f"WHEN 'FROM' THEN {_table('F', from_ok)} WHEN 'JOIN' THEN {_table('J', join_ok)} "
         f"WHEN ';' THEN {_next_statement()} WHEN 'DELETE' THEN {_state()} ELSE {_end()} END"
     )
-    lists = "z.top.c = 'F' AND contains(p.rest, ',') AND p.op IN ('FROM', 'JOIN', '(', ')')"
-    return let("z", by_op, f"CASE WHEN {lists} THEN {_with_listed()} ELSE z END")
+    # A bound value is copied, so only texts with a comma there pay for it.
+    lists = f"contains({_REST}, ',') AND {_OP} IN ('FROM', 'JOIN', '(', ')')"
+    listed = let("z", by_op, f"CASE WHEN z.top.c = 'F' THEN {_with_listed()} ELSE z END")
+    return f"CASE WHEN {lists} THEN {listed} ELSE {by_op} END"
 
 
 def table_events(pieces_column: str) -> Column:

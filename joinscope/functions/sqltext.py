@@ -42,11 +42,12 @@ def strip(value: str) -> str:
 
 
 def unquote(name: str) -> str:
-    return f"btrim({strip(name)}, {QUOTES})"
+    """A name as cut from the text, without identifier quotes."""
+    return f"replace(replace({name}, '\"', ''), '`', '')"
 
 
 def bare(name: str) -> str:
-    return unquote(last_part(name))
+    return f"trim({last_part(unquote(name))})"
 
 
 def bare_lower(name: str) -> str:
@@ -54,7 +55,8 @@ def bare_lower(name: str) -> str:
 
 
 def norm(name: str) -> str:
-    return f"coalesce(lower({unquote(name)}), '')"
+    """Trimmed, without quotes, lower case; never null."""
+    return f"coalesce(lower(btrim({strip(name)}, {QUOTES})), '')"
 
 
 def qualify(db: str, table: str) -> str:
@@ -63,5 +65,6 @@ def qualify(db: str, table: str) -> str:
 
 def qualified(name: str, default_db: str) -> str:
     """Last two parts of a dotted name; a bare name gets the default database."""
-    db = f"CASE WHEN contains({name}, '.') THEN substring_index(substring_index({name}, '.', -2), '.', 1) ELSE {default_db} END"
-    return qualify(db, last_part(name))
+    dotted = f"lower(trim(substring_index(substring_index({unquote(name)}, '.', -2), '.', 1)))"
+    db = f"CASE WHEN contains({name}, '.') THEN {dotted} ELSE {norm(default_db)} END"
+    return f"concat_ws('.', nullif({db}, ''), nullif({bare_lower(name)}, ''))"

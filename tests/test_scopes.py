@@ -1,7 +1,6 @@
 """Pairs of trickier statements, and properties of the extraction."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from joinscope import modes
 from joinscope.operators.extract import extract_pairs
