@@ -71,7 +71,7 @@ def _event(id: str, op: str, sel: str, side="''", tbl="''", aka="''", seq="0") -
 
 
 def _state(top: str = "a.top", stack: str = "a.stack", new: str | None = None) -> str:
-    events = f"concat(a.events, array({new}))" if new else "a.events"
+    events = f"array_append(a.events, {new})" if new else "a.events"
     return struct(top=top, stack=stack, events=events, n="a.n + 1")
 
 
