@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.llm import quality_rules
+from joinscope.llm import license_scan, quality_rules, source_mix
 from joinscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,19 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    taken = F.col("size") * F.size("copies")
+    shard = F.array_min(F.transform("copies", lambda c: c["shard"]))
+    return source_mix.plan(docs).select("row.doc_id", "size", "source_size", "target", taken.alias("taken"), shard.alias("first_shard"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
