@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.llm import license_scan, quality_rules, source_mix
+from joinscope.llm import license_scan, minhash_dedup, quality_rules, secret_scan, source_mix
 from joinscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +33,20 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.plan(docs).select("row.doc_id", "size", "source_size", "target", taken.alias("taken"), shard.alias("first_shard"))
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), into="s")
+    counts = [f"s.{c}" for c in ("n_assign", "n_access", "n_hex")]
+    return s.select("doc_id", *counts, F.sha2(F.col("s.base"), 256).alias("base_sha256"), "s.spans")
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     q = quality_rules.judge(docs, into="q")
     return q.select("doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")])
+
+
+@query
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
