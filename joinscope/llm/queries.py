@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.llm import license_scan, minhash_dedup, quality_rules, secret_scan, source_mix
+from joinscope.llm import license_scan, minhash_dedup, packing, quality_rules, secret_scan, source_mix
 from joinscope.llm.common import table
 
+#: A tokenizer file; each machine has it at this path.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -20,6 +23,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
