@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.llm import license_scan, minhash_dedup, packing, quality_rules, secret_scan, source_mix
+from joinscope.llm import license_scan, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, source_mix, toxicity_knn
 from joinscope.llm.common import table
+from joinscope.llm.labelled import held_out
 
 #: A tokenizer file; each machine has it at this path.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +24,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    s = quality_fm.classify(docs, table(spark, sf_dir, "labels"), metadata=("n_chars",))
+    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -58,3 +66,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    s = toxicity_knn.classify(docs, table(spark, sf_dir, "labels"), "toxic")
+    score = F.col("toxicity.score")
+    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score, (score >= 0.3).cast("int").alias("predicted"), F.col("toxicity.examples").alias("evidence"))
