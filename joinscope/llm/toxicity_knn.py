@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and their beginnings (other languages build compounds), of which those stay that
-say something about the label by a log-likelihood ratio. Examples are unit TF-IDF vectors in an
+say something about the label by a log-likelihood ratio; all other words of a text are one more
+term, so that a single hit weighs less in a long text. Examples are unit TF-IDF vectors in an
 inverted index whose postings are cut into blocks of examples, each with the largest weight of a
 term in it. A query adds these maxima up to a bound for every block, visits blocks by falling
 bound and stops when no bound can beat the worst of the k best, so the result is exact.
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from joinscope.llm.common import fresh
 from joinscope.llm.labelled import SAMPLE, labelled_sample
 
-K, BLOCK, TERMS, LEAST_RATIO, BEGINNINGS = 15, 64, 4096, 12.0, (5, 6, 7)
+K, BLOCK, TERMS, LEAST_RATIO, LEAST_SEEN, BEGINNINGS = 15, 64, 4096, 20.0, 4, (5, 6, 7)
+#: Inverse document frequency of the term that stands for all others.
+REST = 0.5
 #: Pseudo-votes of the base rate beside the neighbours' votes.
 DOUBT = 0.2
 REMEMBERED = 300_000
@@ -64,19 +67,19 @@ class Index:
             seen.update(terms)
             if positive:
                 hits.update(terms)
-        names = sorted(t for t, n in seen.items() if n >= 3 and hits[t] * len(y) > n * y.sum())
+        names = sorted(t for t, n in seen.items() if n >= LEAST_SEEN and hits[t] * len(y) > n * y.sum())
         n, a = (np.array([c[t] for t in names], float) for c in (seen, hits))
         ratio = _ratio(a, n, int(y.sum()), len(y)) if len(names) else np.zeros(0)
         best = np.argsort(-ratio, kind="stable")[:TERMS]
         best = np.sort(best[ratio[best] >= LEAST_RATIO])
         self.terms = {names[i]: k for k, i in enumerate(best)}
-        self.idf = np.log((len(y) + 1) / (n[best] + 1)) + 1 if len(names) else np.zeros(0)
+        self.idf = np.append(np.log((len(y) + 1) / (n[best] + 1)) + 1 if len(names) else np.zeros(0), REST)
         self.known: dict[str, list[int]] = {}
         vectors = [self.vector(b) for b in bags]
         full = [i for i, (t, _) in enumerate(vectors) if len(t)]
         self.without = (y.sum() - y[full].sum() + self.rate) / (len(y) - len(full) + 1)
         # in the order of their strongest term, blocks hold examples that are alike
-        full.sort(key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), sample["doc_id"][i]))
+        full.sort(key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1][:-1])]), sample["doc_id"][i]))
         self.y = y[full]
         self.ids = sample["doc_id"].to_numpy()[full] if full else np.zeros(0, np.int64)
         self._index([vectors[i] for i in full])
@@ -88,6 +91,7 @@ class Index:
     def vector(self, bag: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Sorted term numbers and unit weights."""
         tf: dict[int, int] = {}
+        rest = 0
         known, terms = self.known, self.terms
         if len(known) > REMEMBERED:
             known.clear()
@@ -95,17 +99,19 @@ class Index:
             at = known.get(word)
             if at is None:
                 at = known[word] = [terms[t] for t in _terms_of(word) if t in terms]
+            rest += 0 if at else n
             for t in at:
                 tf[t] = tf.get(t, 0) + n
         if not tf:
             return np.zeros(0, np.int64), np.zeros(0)
         t = np.array(sorted(tf), np.int64)
-        w = (1 + np.log([tf[k] for k in t.tolist()])) * self.idf[t]
+        t = np.append(t, len(terms))
+        w = np.sqrt([*[tf[k] for k in t[:-1].tolist()], rest]) * self.idf[t]
         return t, w / np.sqrt((w * w).sum())
 
     def _index(self, vectors: list) -> None:
         self.n_blocks = -(-len(vectors) // BLOCK)
-        self.most = np.zeros((len(self.terms), self.n_blocks))
+        self.most = np.zeros((len(self.idf), self.n_blocks))
         blocks: list[dict[int, list]] = [{} for _ in range(self.n_blocks)]
         for k, (t, w) in enumerate(vectors):
             for i, x in zip(t.tolist(), w.tolist(), strict=True):
@@ -160,7 +166,7 @@ def _monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             last[2] = (last[2] * last[1] + at_ * n) / (last[1] + n)
             last[0] += s
             last[1] += n
-    share = [(s + 0.5 * min(1.0, 1.0)) / (n + 1) for s, n, _ in pools]
+    share = [(s + 0.5) / (n + 1) for s, n, _ in pools]
     return np.array([p[2] for p in pools]), np.maximum.accumulate(np.array(share))
 
 
