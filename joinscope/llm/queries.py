@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.llm import license_scan, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, source_mix, toxicity_knn
+from joinscope.llm import block_ann, lattice_lm, license_scan, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, source_mix, toxicity_knn
 from joinscope.llm.common import table
 from joinscope.llm.labelled import held_out
 
 #: A tokenizer file; each machine has it at this path.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -68,6 +69,17 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query
+def op9_block_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return block_ann.neighbours(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
 @query
 def op10_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
