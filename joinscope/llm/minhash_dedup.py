@@ -4,13 +4,14 @@
    functions keep their minima. Texts with the same set are one class from here on, so a group of
    copies is one row however large it is.
 2. The minima, cut into bands, deal the classes into buckets. In a bucket, each class meets the
-   smallest member and its neighbour: two pairs a row, not all pairs. Pairs whose minima agree
-   enough are confirmed on the full sets.
+   smallest member: one pair a row, not all pairs. Pairs whose minima agree enough (one byte of
+   each tells) are confirmed on the full sets.
 3. Links become components by alternating large-star and small-star.
 4. A bucket that still holds several components could hide a link. Such buckets are cut into
-   blocks, and every two blocks meet in one task which compares, of the pairs in different
-   components, the full sets where the minima agree enough. A task returns at most a spanning
-   forest of its links, so rows stay in proportion to members. Step 3 then runs again.
+   blocks, and every two blocks meet in one task. A first pass over the minima alone finds the
+   members which agree enough with one of another component; a second one compares the full sets
+   of these. It returns at most a spanning forest of its links, so rows stay in proportion to
+   members. Step 3 then runs again.
 
 With 32 bands of 4, two texts of similarity 0.75 share no bucket with a probability of 5e-6;
 texts in one bucket are never left uncompared for its size.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from joinscope.llm.common import keep
@@ -143,10 +144,15 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
+def _mark(minima: pd.Series) -> pd.Series:
+    """One byte of each minimum."""
+    return minima.map(lambda m: np.frombuffer(m, np.uint8)[::4].tobytes())
+
+
 def _agree(x: pd.Series, y: pd.Series) -> pd.Series:
     if not len(x):
         return pd.Series([], dtype=bool)
-    left, right = (np.frombuffer(b"".join(s), "<u4").reshape(len(s), -1) for s in (x, y))
+    left, right = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (x, y))
     return pd.Series(agreement(left, right) >= LEAST_AGREEMENT)
 
 
@@ -164,12 +170,9 @@ def buckets(classes: DataFrame) -> DataFrame:
 
 
 def stars(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) with a < b: each member of a bucket with the smallest and with the next smaller."""
-    first = rows.groupBy("bucket").agg(F.min("id").alias("first"))
-    order = Window.partitionBy("bucket").orderBy("id")
-    near = rows.withColumn("near", F.lag("id").over(order)).where("near is not null")
-    near = near.join(first, "bucket")
-    return near.select(F.explode(F.array("first", "near")).alias("a"), F.col("id").alias("b")).where("a < b").distinct()
+    """Pairs (a, b) with a < b: each member of a bucket with the smallest."""
+    first = rows.groupBy("bucket").agg(F.min("id").alias("a"))
+    return rows.join(first, "bucket").select("a", F.col("id").alias("b")).where("a < b").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -216,74 +219,117 @@ def _forest(ids: np.ndarray, comps: np.ndarray, pairs: Iterator[tuple[int, int]]
     return out
 
 
-def _tile(rows: pd.DataFrame) -> pd.DataFrame:
-    """All links between the members of one or two blocks that join their components."""
-    rows = rows.sort_values(["block", "id"], kind="stable").reset_index(drop=True)
-    marks = np.frombuffer(b"".join(rows["minima"]), "<u4").reshape(len(rows), -1)
-    ids, comps, blocks = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-    sets = [np.frombuffer(x, "<u8") for x in rows["own"]]
-    two = blocks[0] != blocks[-1]
+def _groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of a partition that is sorted by ``key``; a group may span batches."""
+    open_: list[pd.DataFrame] = []
+    last = None
+    for batch in batches:
+        keys = batch[key].to_numpy()
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
+            if a == b:
+                continue
+            if open_ and tuple(keys[a]) != last:
+                yield pd.concat(open_, ignore_index=True) if len(open_) > 1 else open_[0]
+                open_ = []
+            open_.append(batch.iloc[a:b])
+            last = tuple(keys[a])
+    if open_:
+        yield pd.concat(open_, ignore_index=True)
+
+
+def _suspects(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
+    """Pairs (places in ``rows``) in different components, and blocks if there are two, that agree enough."""
+    marks = np.frombuffer(b"".join(rows["mark"]), np.uint8).reshape(len(rows), -1)
+    comps, blocks = rows["component"].to_numpy(), rows["block"].to_numpy()
+    two = len(set(blocks.tolist())) > 1
+    for i in range(len(rows) - 1):
+        near = comps[i + 1 :] != comps[i]
+        if two:
+            near &= blocks[i + 1 :] != blocks[i]
+        at = np.flatnonzero(near)
+        if len(at):
+            at = at[agreement(marks[i + 1 + at], marks[i]) >= LEAST_AGREEMENT]
+            for j in at.tolist():
+                yield i, i + 1 + j
+
+
+def _flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The members of each tile that agree enough with one of another component."""
+    for rows in _groups(batches, _TILE):
+        if len(at := sorted({x for pair in _suspects(rows) for x in pair})):
+            yield rows.iloc[at][["bucket", "id"]]
+
+
+def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of each tile that join components, a spanning forest at most."""
+    for rows in _groups(batches, _TILE):
+        sets = [np.frombuffer(x, "<u8") for x in rows["own"]]
+        links = _forest(rows["id"].to_numpy(), rows["component"].to_numpy(), _suspects(rows), lambda i, j, s=sets: similar(s[i], s[j]))
+        if links:
+            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+_TILE = ["bucket", "i", "j"]
+
+
+def _tiles(members: DataFrame) -> DataFrame:
+    """(bucket, i, j, id, component, block): rows of ``members`` for each tile that they are in."""
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    cut = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    # a block meets itself and every other one: tile (i, j) with i <= j
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    cut = cut.select("bucket", "id", "component", "block", other)
+    return cut.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "block")
 
-    def pairs() -> Iterator[tuple[int, int]]:
-        for i in range(len(rows) - 1):
-            others = slice(i + 1, None)
-            near = agreement(marks[others], marks[i]) >= LEAST_AGREEMENT
-            near &= comps[others] != comps[i]
-            if two:
-                near &= blocks[others] != blocks[i]
-            for j in np.flatnonzero(near):
-                yield i, i + 1 + int(j)
 
-    links = _forest(ids, comps, pairs(), lambda i, j: similar(sets[i], sets[j]))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+def _by_tile(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_TILE).sortWithinPartitions(*_TILE, "id")
 
 
-def hidden_links(rows: DataFrame, comps: DataFrame, classes: DataFrame, sets) -> DataFrame:
+def hidden_links(rows: DataFrame, comps: DataFrame, marks: DataFrame, sets) -> DataFrame:
     """Links between members of one bucket that are in different components so far.
 
-    ``sets``: gives the sets of the ids of a DataFrame.
+    ``marks``: (id, mark). ``sets``: gives the sets of the ids of a DataFrame.
     """
     placed = rows.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")).where("x < y")
-    open_ = keep(placed.join(mixed.select("bucket", "members"), "bucket"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    cut = open_.select("bucket", "id", "component", block.alias("block"), blocks.alias("blocks"))
-    # a block meets itself and every other one: tile (i, j) with i <= j
-    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    cut = cut.select("bucket", "id", "component", "block", F.explode(tiles).alias("tile"))
-    known = classes.join(open_.select("id").distinct(), "id", "left_semi").select("id", "minima")
-    known = keep(known.join(sets(open_.select("id").distinct()), "id"))
-    return cut.join(known, "id").groupBy("bucket", "tile").applyInPandas(_tile, "a long, b long").distinct()
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
+    open_ = placed.join(mixed, "bucket").select("bucket", "id", "component")
+    flagged = _by_tile(_tiles(open_).join(marks, "id")).mapInPandas(_flag, "bucket long, id long")
+    flagged = keep(flagged.distinct().join(comps, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    wanted = flagged.select("id").distinct()
+    known = keep(marks.join(wanted, "id").join(sets(wanted), "id"))
+    return _by_tile(_tiles(flagged).join(known, "id")).mapInPandas(_confirm, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row of ``docs``."""
-    marks = keep(sketches(docs, id_col, text_col))
+    every = keep(sketches(docs, id_col, text_col))
     own = ["n", "print1", "print2"]
-    with_words = marks.where("n > 0 and id is not null")
-    heads = with_words.groupBy(*own).agg(F.min("id").alias("head"))
-    classes = keep(with_words.groupBy(*own).agg(F.min_by("minima", "id").alias("minima"), F.min("id").alias("id")).select("id", "minima"))
+    with_words = every.where("n > 0 and id is not null")
+    classes = keep(with_words.groupBy(*own).agg(F.min_by("minima", "id").alias("minima"), F.min("id").alias("id")))
     rows = keep(buckets(classes))
+    marks = classes.select("id", F.pandas_udf(_mark, "binary")("minima").alias("mark"))
+    marks = keep(marks.join(rows.select("id").distinct(), "id", "left_semi"))
 
     def sets(ids: DataFrame) -> DataFrame:
         there = F.col(id_col).cast("long") == F.col("wanted")
         some = docs.join(ids.select(F.col("id").alias("wanted")).distinct(), there, "left_semi")
         return shingle_sets(some, id_col, text_col)
 
-    x, y = (classes.select(F.col("id").alias(i), F.col("minima").alias(f"m{i}")) for i in "ab")
+    x, y = (marks.select(F.col("id").alias(i), F.col("mark").alias(f"m{i}")) for i in "ab")
     pairs = stars(rows).join(x, "a").join(y, "b").where(F.pandas_udf(_agree, "boolean")("ma", "mb")).select("a", "b")
     pairs = keep(pairs)
     known = keep(sets(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
     x, y = (known.select(F.col("id").alias(i), F.col("own").alias(f"s{i}")) for i in "ab")
     links = keep(pairs.join(x, "a").join(y, "b").where(F.pandas_udf(_similar, "boolean")("sa", "sb")).select("a", "b"))
     comps = components(links)
-    more = keep(hidden_links(rows, comps, classes, sets))
+    more = keep(hidden_links(rows, comps, marks, sets))
     if not more.isEmpty():
         edges = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
         comps = components(edges)
 
-    member = marks.join(heads, own, "left").join(comps.select(F.col("id").alias("head"), "component"), "head", "left")
+    member = every.drop("minima").join(classes.select(*own, F.col("id").alias("head")), own, "left").join(comps.select(F.col("id").alias("head"), "component"), "head", "left")
     return member.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
