@@ -20,21 +20,9 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(_WS))
 
 
-def last(arr: Column) -> Column:
-    return F.try_element_at(arr, F.lit(-1))
-
-
-def first(arr: Column) -> Column:
-    return F.get(arr, F.lit(0))
-
-
 def collapse_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"\s+", " ")
 
 
-def empty_array(ddl: str) -> Column:
-    return F.from_json(F.lit("[]"), f"array<{ddl}>")
-
-
 def blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)

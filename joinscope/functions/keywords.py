@@ -44,10 +44,14 @@ TERADATA_RULES = (
     (r"\s+", " "),
 )
 
-# A text without any of these words is changed by none of the dialect rules above.
-TERADATA_WORDS = (
-    r"(?i)\b(?:FORMAT|TITLE|NAMED|CASEWORD|ISOLATION|LOCKING|COMPRESS|NORMALIZE|EXPAND|BTEQ)\b"
-)
+# Rules that every text needs; the rest are dialect rules.
+COMMON_RULES = (r"--[^\n]*", r"(?s)/\*.*?\*/", r";\s*$", r"\s+")
+
+# A text that no dialect rule matches is changed by none of them: built from the rules themselves.
+TERADATA_PROBE = "(?i)" + "|".join(f"(?:{p})" for p, _ in TERADATA_RULES if p not in COMMON_RULES)
+
+# A word ends here, for keywords glued to the end of another word.
+WORD_END = r"(?=[^A-Za-z0-9_]|$)"
 
 # A slash-delimited remark of three characters or more, as seen in dirty logs.
 SLASH_REMARK = r"(?s)(?<!\*)(?<!/)/(?!\*)/?.{3,}?(?<!\*)/(?!\*)"

@@ -1,4 +1,4 @@
-"""Table names, users, dates and run times as Column expressions."""
+"""Users, dates and run times as Column expressions."""
 
 from __future__ import annotations
 
@@ -8,31 +8,6 @@ from pyspark.sql import functions as F
 from joinscope.functions.columns import blank_to_null, strip
 from joinscope.functions.keywords import APP_PREFIXES
 
-_QUOTES = "\"'` "
-
-
-def unquote(name: Column) -> Column:
-    return F.btrim(strip(name), F.lit(_QUOTES))
-
-
-def normalize_name(name: Column) -> Column:
-    """Trimmed, without quotes, lower case; never null."""
-    return F.coalesce(F.lower(unquote(name)), F.lit(""))
-
-
-def bare_name(name: Column) -> Column:
-    """Last part of a dotted name, letter case kept."""
-    return unquote(F.substring_index(name, ".", -1))
-
-
-def bare_lower(name: Column) -> Column:
-    return F.lower(bare_name(name))
-
-
-def qualify(db: Column, table: Column) -> Column:
-    """``db.table``, or whichever of the two there is."""
-    return F.concat_ws(".", blank_to_null(normalize_name(db)), blank_to_null(normalize_name(table)))
-
 
 def app_prefix(user: Column) -> Column:
     """Service-account prefix of the user, null for people."""

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from joinscope.functions.columns import collapse_ws, let, strip
-from joinscope.functions.keywords import FUSED_KEYWORDS, JOIN_TARGET, SLASH_REMARK, TERADATA_RULES, TERADATA_WORDS
+from joinscope.functions.keywords import FUSED_KEYWORDS, JOIN_TARGET, SLASH_REMARK, TERADATA_PROBE, TERADATA_RULES, WORD_END
 
 _BLOCK = r"(?s)/\*.*?\*/"
 _LINE = r"--[^\n]*"
@@ -57,22 +57,20 @@ def clean_teradata(sql: Column) -> Column:
         every_rule = s
         for pattern, replacement in TERADATA_RULES:
             every_rule = F.regexp_replace(every_rule, "(?i)" + pattern, replacement)
-        # Most texts hold no dialect word at all and need only the common rules.
+        # Most texts match no dialect rule at all and need only the common ones.
         common = _replace(_replace(s, "--", _LINE, ""), "/*", _BLOCK, " ")
         common = collapse_ws(_replace(common, ";", r";\s*$", ""))
-        return F.when(s.rlike(TERADATA_WORDS), every_rule).otherwise(common)
+        return F.when(s.rlike(TERADATA_PROBE), every_rule).otherwise(common)
 
     return strip(let(strip(sql), cleaned))
 
 
 def split_fused_keywords(sql: Column, protect: Sequence[str] = ()) -> Column:
-    """Put a blank before a keyword glued to the end of a word (``KEYWHERE`` -> ``KEY WHERE``).
+    """Put a blank before a keyword glued to the end of a word (``costWHERE`` -> ``cost WHERE``).
 
     Any longer word that ends in a keyword is cut, ``region`` too; words listed in
     ``protect`` are left whole.
     """
-    ends_word = r"(?=[^A-Za-z0-9_]|$)"
-
     def split(s: Column) -> Column:
         out = s
         for kw in FUSED_KEYWORDS:
@@ -81,9 +79,9 @@ def split_fused_keywords(sql: Column, protect: Sequence[str] = ()) -> Column:
                 for w in protect
                 if w.upper().endswith(kw) and len(w) > len(kw)
             )
-            out = F.regexp_replace(out, rf"(?i)(?<=[A-Za-z0-9_]){kept}({kw}){ends_word}", " $1")
+            out = F.regexp_replace(out, rf"(?i)(?<=[A-Za-z0-9_]){kept}({kw}){WORD_END}", " $1")
         # One cheap probe spares clean text the whole series of rewrites.
-        probe = rf"(?i)[A-Za-z0-9_](?:{'|'.join(FUSED_KEYWORDS)}){ends_word}"
+        probe = rf"(?i)[A-Za-z0-9_](?:{'|'.join(FUSED_KEYWORDS)}){WORD_END}"
         return F.when(s.rlike(probe), out).otherwise(s)
 
     return F.regexp_replace(let(sql, split), r"[ \t]+", " ")

@@ -104,6 +104,12 @@ def _join_features(usage: DataFrame, patterns: DataFrame) -> DataFrame:
     )
 
 
+def _with(df: DataFrame, more: DataFrame) -> DataFrame:
+    """Left join on the product, where products without a name are one product too."""
+    more = more.withColumnRenamed(PRODUCT, "_product")
+    return df.join(more, F.col(PRODUCT).eqNullSafe(F.col("_product")), "left").drop("_product")
+
+
 def product_features(
     usage: DataFrame, columns: DataFrame, patterns: DataFrame, as_of: datetime.date | None = None
 ) -> DataFrame:
@@ -116,9 +122,9 @@ def product_features(
     failure = F.coalesce("failure_rate", F.lit(0.0))
     df = (
         rollup.withColumn("usage_score", _usage_score(rollup))
-        .join(metadata_completeness(usage), PRODUCT, "left")
-        .join(column_features, PRODUCT, "left")
-        .join(_join_features(usage, patterns), PRODUCT, "left")
+        .transform(_with, metadata_completeness(usage))
+        .transform(_with, column_features)
+        .transform(_with, _join_features(usage, patterns))
         .withColumns(
             {
                 "as_of": day,

@@ -126,10 +126,6 @@ def daily_pair_metrics(log: DataFrame, mode: Mode, numbered: bool = True, **text
     return number_rows(metrics, mode.order).select(*[F.col(f"`{c}`") for c in PAIR_METRIC_COLUMNS])
 
 
-def sorted_metrics(metrics: DataFrame) -> DataFrame:
-    return metrics.orderBy("Row_id")
-
-
 def preview(metrics: DataFrame, rows: int = 10) -> DataFrame:
     """First rows in number order, as a top-k plan."""
     return metrics.orderBy("Row_id").limit(rows)

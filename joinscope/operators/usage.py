@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from joinscope.operators.distribution import quantiles, value_positions
+from joinscope.session import materialize
 
 PRODUCT = "data_product_name"
 DATABASE = "data_object_database_name"
@@ -56,9 +57,12 @@ def usage_ranking(usage: DataFrame, k: int = 10) -> DataFrame:
         "most used table": ([DATABASE, OBJECT], False),
         "most used database": ([DATABASE], False),
     }
+    every = (PRODUCT, DATABASE, OBJECT)
+    objects = materialize(usage_rollup(usage, every).select(*every, "queries"))
     out = None
     for title, (keys, least) in reports.items():
-        ranked = top(usage_rollup(usage, keys).select(*keys, "queries"), "queries", keys, k, least).select(
+        totals = objects.groupBy(*keys).agg(F.sum("queries").alias("queries"))
+        ranked = top(totals, "queries", keys, k, least).select(
             F.lit(title).alias("report"), "place", F.concat_ws(".", *keys).alias("name"), "queries"
         )
         out = ranked if out is None else out.unionByName(ranked)
@@ -94,7 +98,7 @@ def performance_hotspots(rollup: DataFrame, fraction: float = 0.9) -> DataFrame:
 
 def expensive_joins(pair_metrics: DataFrame, fraction: float = 0.9) -> DataFrame:
     """Daily pairs whose average run time reaches the ``fraction`` quantile."""
-    timed = pair_metrics.filter(F.col("avg_runtime").isNotNull())
+    timed = materialize(pair_metrics.filter(F.col("avg_runtime").isNotNull()))
     limit = quantiles(value_positions(_long(timed, ["avg_runtime"])), {"limit": ("avg_runtime", fraction)})
     return timed.filter(F.col("avg_runtime") >= limit.scalar())
 

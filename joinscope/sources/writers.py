@@ -5,48 +5,37 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from joinscope.session import materialize
-
 log = logging.getLogger(__name__)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", partition_by: Sequence[str] = ()) -> bool:
-    """Write a flat table; an empty result writes nothing and only warns."""
+    """Write a flat table; an empty result leaves nothing behind and only warns.
+
+    The rows are counted while they are written, so the result is computed once.
+    """
     if fmt not in {"csv", "parquet", "json", "orc"}:
         raise ValueError(f"unsupported output format {fmt!r}")
-    df = materialize(df)
-    if df.isEmpty():
-        log.warning("result is empty, nothing written to %s", path)
-        return False
-    writer = df.write.mode("overwrite")
+    written = Observation()
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
+    if not written.get["rows"]:
+        log.warning("result is empty, nothing left at %s", path)
+        jvm = df.sparkSession._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        return False
     return True
 
 
-# Results beyond this many rows are no single document.
-DOCUMENT_ROWS = 10_000
-
-
-def json_document(recommendations: DataFrame, health: DataFrame, max_rows: int = DOCUMENT_ROWS) -> DataFrame:
-    """Both tables as one JSON text with two arrays; raises when they have over ``max_rows`` rows."""
-    recommendations, health = materialize(recommendations), materialize(health)
-    if _rows(recommendations, health) > max_rows:
-        raise ValueError(f"over {max_rows} rows: write two tables instead")
-    return _document(recommendations, health)
-
-
-def _rows(*tables: DataFrame) -> int:
-    return sum(t.count() for t in tables)
-
-
-def _document(recommendations: DataFrame, health: DataFrame) -> DataFrame:
+def json_document(recommendations: DataFrame, health: DataFrame) -> DataFrame:
+    """Both tables as one JSON text with two arrays: one value, so for reports that fit into one."""
     iso = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 
     def rows(df: DataFrame, name: str):
@@ -64,15 +53,12 @@ def _document(recommendations: DataFrame, health: DataFrame) -> DataFrame:
     )
 
 
-def write_report(recommendations: DataFrame, health: DataFrame, path: str, document_rows: int = DOCUMENT_ROWS) -> str:
-    """Write one JSON document when both tables together have at most ``document_rows`` rows.
-
-    Larger reports become two JSON-lines tables of the same names. Returns which it was.
-    """
-    recommendations, health = materialize(recommendations), materialize(health)
-    if _rows(recommendations, health) <= document_rows:
-        _document(recommendations, health).coalesce(1).write.mode("overwrite").text(path)
-        return "document"
-    for name, df in (("DATA_PRODUCT_RECOMMENDATION", recommendations), ("DATA_PRODUCT_HEALTH_SUMMARY", health)):
-        df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
-    return "tables"
+def write_report(recommendations: DataFrame, health: DataFrame, path: str, form: str = "tables") -> None:
+    """Write the report as two JSON-lines tables, or as one JSON document if ``form`` says so."""
+    if form == "document":
+        json_document(recommendations, health).coalesce(1).write.mode("overwrite").text(path)
+    elif form == "tables":
+        for name, df in (("DATA_PRODUCT_RECOMMENDATION", recommendations), ("DATA_PRODUCT_HEALTH_SUMMARY", health)):
+            df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
+    else:
+        raise ValueError(f"unknown form {form!r}")

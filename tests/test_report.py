@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from joinscope.operators import health, patterns, recommend
 from joinscope.plans import report
@@ -79,3 +80,13 @@ def test_equal_usage_scores(spark):
     rollup = health.usage_rollup(usage)
     scores = rollup.select(health._usage_score(rollup).alias("s")).collect()
     assert {r.s for r in scores} == {100.0}
+
+
+def test_product_without_a_name_has_all_scores(spark, inputs):
+    usage, columns, joins = inputs
+    named = F.when(F.col("data_product_name") != "product_3", F.col("data_product_name"))
+    recs, summary = report.health_report(usage.withColumn("data_product_name", named), columns, joins)
+    row = summary.where("data_product_name is null").collect()
+    assert len(row) == 1 and all(row[0][c] is not None for c in HEALTH_COLUMNS[2:9])
+    assert row[0].metadata_score < 100
+    assert recs.where("data_product_name is null and recommendation_type = 'DATA_GOVERNANCE'").count() == 1

@@ -133,7 +133,7 @@ def test_write_table(spark, tmp_path):
 def test_report_document_and_tables(spark, tmp_path):
     recs = spark.sql("SELECT 2L AS row_id, 'x' AS t, timestamp'2026-01-02 03:04:05' AS at UNION ALL SELECT 1L, null, null")
     health = spark.sql("SELECT 'h' AS row_wid, 1.5D AS score")
-    assert writers.write_report(recs, health, str(tmp_path / "doc")) == "document"
+    writers.write_report(recs, health, str(tmp_path / "doc"), form="document")
     text = spark.read.text(str(tmp_path / "doc")).collect()
     doc = json.loads(text[0].value)
     assert list(doc) == ["DATA_PRODUCT_RECOMMENDATION", "DATA_PRODUCT_HEALTH_SUMMARY"]
@@ -141,7 +141,7 @@ def test_report_document_and_tables(spark, tmp_path):
         {"row_id": 1, "t": None, "at": None}, {"row_id": 2, "t": "x", "at": "2026-01-02T03:04:05Z"},
     ]
     assert doc["DATA_PRODUCT_HEALTH_SUMMARY"] == [{"row_wid": "h", "score": 1.5}]
-    assert writers.write_report(recs, health, str(tmp_path / "tables"), document_rows=1) == "tables"
+    writers.write_report(recs, health, str(tmp_path / "tables"))
     assert spark.read.json(str(tmp_path / "tables" / "DATA_PRODUCT_RECOMMENDATION")).count() == 2
 
 

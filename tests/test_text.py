@@ -23,7 +23,7 @@ def apply(spark, rule, value):
         (text.clean_teradata, "LOCKING db.t FOR READ SELECT 1 ;", "SELECT 1"),
         (text.clean_teradata, "SELECT a (NAMED b), c COMPRESS 0, d FROM t /* x */ EXPAND ON p", "SELECT a (), c , d FROM t"),
         (text.clean_teradata, "SELECT 1;\nBTEQ end", "SELECT 1"),
-        (text.split_fused_keywords, "VINNER JOIN X_NOW_CDFROM t KEYWHERE", "V INNER JOIN X_NOW_CD FROM t KEY WHERE"),
+        (text.split_fused_keywords, "costINNER JOIN paid_atFROM t codeWHERE", "cost INNER JOIN paid_at FROM t code WHERE"),
         (text.split_fused_keywords, "orders region alias", "orders regi on ali as"),
         (text.drop_slash_remarks, "a / b /remark here/ c", "a  remark here/ c"),
         (text.repair_sql, "SELECT a.k_CDFROM t -- c\n/old AND join/JOIN u", "SELECT a.k_CD FROM t JOIN u"),
@@ -33,6 +33,13 @@ def test_rules(spark, rule, given, want):
     assert apply(spark, rule, given) == want
 
 
+@pytest.mark.parametrize("sql", ["SELECT a FROM normalized_a JOIN b", "SELECT format FROM titles, compressed c"])
+def test_dialect_words_elsewhere_change_no_name(spark, sql):
+    alone = apply(spark, text.clean_teradata, sql)
+    beside = apply(spark, text.clean_teradata, sql + " WHERE x (TITLE 'x') = 1")
+    assert beside == alone + " WHERE x () = 1"
+
+
 def test_protected_names_stay_whole(spark):
     rule = lambda c: text.split_fused_keywords(c, protect=["region", "nation"])
     assert apply(spark, rule, "FROM region JOIN nation KEYON") == "FROM region JOIN nation KEY ON"

@@ -13,9 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores even when the input has fewer splits than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows out by key, as a log of many files would be."""
+    return df.repartition(key)
 
 
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from joinscope.operators.recommend import RULES
+from joinscope.schemas import HEALTH_COLUMNS, RECOMMENDATION_COLUMNS
 from workload import golden
 from workload.log_fixture import OBJECTS
 
@@ -297,7 +298,7 @@ def _text_rules() -> dict[str, str]:
         "text_strip_hints": over(f"'SELECT   k' || {{k}} || '  ' || {nl} || 'FROM t'"),
         "text_flatten": over("'SELECT k' || {k} || ' FROM t'"),
         "text_teradata": over("'SELECT a () (), b' || {k} || ' () FROM t'"),
-        "text_split_fused": over("'SELECT regi on, k' || {k} || ' FROM t WHERE a UNI ON bV INNER JOIN u'"),
+        "text_split_fused": over("'SELECT regi on, k' || {k} || ' FROM t WHERE a UNI ON cost INNER JOIN u'"),
         "text_slash_remarks": over("'SELECT a  remark ' || {k} || ' here/ FROM t /* kept */'"),
         "text_repair": over("'SELECT a.k' || {k} || ' FROM t JOIN u a ON a.k = u.k'"),
         "name_normalize": over("'tab' || {k}"),
@@ -310,6 +311,20 @@ def _text_rules() -> dict[str, str]:
     }
 
 
+def _document() -> str:
+    """Both result tables as one JSON text, each ordered by its first column."""
+    wid = _wid("data_product_name || '|health'", 16)
+    recs = ", ".join(c for c in RECOMMENDATION_COLUMNS if c != "created_timestamp")
+    summary = ", ".join(c for c in HEALTH_COLUMNS if c != "last_updated")
+    rows = lambda columns, order: f"list(struct_pack({', '.join(f'{c} := {c}' for c in columns.split(', '))}) ORDER BY {order})"
+    return f"""
+SELECT to_json(struct_pack(
+  DATA_PRODUCT_RECOMMENDATION := (SELECT {rows(recs, "row_id")} FROM ({_recommendations()})),
+  DATA_PRODUCT_HEALTH_SUMMARY := (SELECT {rows(summary, "row_wid")} FROM (
+    SELECT *, {wid} AS row_wid, round(100.0::DOUBLE - overall_health_score, 2) AS recommendation_score
+    FROM ({HEALTH} SELECT * FROM total)))))::VARCHAR AS value"""
+
+
 def _ragged() -> str:
     """The ragged records, their place in the file, and what each has to parse to."""
     key = "query_id"
@@ -506,6 +521,7 @@ def oracle() -> dict[str, str]:
                 round(avg(queries) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS moving_mean,
                 round(a / queries::DOUBLE, 4) AS app_share FROM d WINDOW w AS (PARTITION BY data_product_name ORDER BY metric_date)""",
             "recommendations": _recommendations(),
+            "report_document": _document(),
             "health_summary": f"""{HEALTH} SELECT data_product_name, usage_score, quality_score, metadata_score, freshness_score,
                 optimization_score, overall_health_score, round(100.0::DOUBLE - overall_health_score, 2) AS recommendation_score
                 FROM total""",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joinscope import modes
-from joinscope.functions import names, scores, text
+from joinscope.functions import names, scores, sqltext, text
 from joinscope.functions import pairs as P
 from joinscope.operators import correlate, health, metrics, patterns, recommend, usage
 from joinscope.operators.extract import clean_sql, explode_pairs, extract_pairs, split_statements, tables_as_written
@@ -184,12 +184,12 @@ TEXT_RULES = {
         "LOCKING ROW FOR ACCESS SELECT a (FORMAT 'x9') (TITLE 'T'), b",
         " (NAMED c) FROM t -- z\n AT ISOLATION LEVEL READ NORMALIZE /* q */ ;  ",
     ),
-    "text_split_fused": (text.split_fused_keywords, "SELECT region, k", "FROM  tWHERE aUNION bVINNER JOIN u"),
+    "text_split_fused": (text.split_fused_keywords, "SELECT region, k", "FROM  tWHERE aUNION costINNER JOIN u"),
     "text_slash_remarks": (text.drop_slash_remarks, "SELECT a / b /remark ", " here/ FROM t /* kept */"),
     "text_repair": (text.repair_sql, "SELECT a.k", "FROM t -- x\n/old text/ JOIN u /* y */ aON a.k = u.k"),
-    "name_normalize": (names.normalize_name, ' "Tab', '" '),
-    "name_bare": (names.bare_name, "Db.Schema.`Tab", "`"),
-    "name_qualify": (lambda c: names.qualify(F.lit(" SALES "), c), '"Tab', '"'),
+    "name_normalize": (lambda c: F.expr(sqltext.norm("raw")), ' "Tab', '" '),
+    "name_bare": (lambda c: F.expr(sqltext.bare("raw")), "Db.Schema.`Tab", "`"),
+    "name_qualify": (lambda c: F.expr(sqltext.qualify("' SALES '", "raw")), '"Tab', '"'),
     "name_app_prefix": (lambda c: F.coalesce(names.app_prefix(c), F.lit("none")), "svp_", ""),
     "name_app_other": (names.app_prefix_or_other, " jdoe", ""),
     "name_app_before_underscore": (names.app_before_underscore, "fin_app_", ""),
