@@ -15,43 +15,87 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from joinscope.llm.common import keep
 
 LIMIT, END_ID = 4096, 2
 PIECES_PER_PART = 100_000
 #: Words whose ids a worker remembers, about 200 bytes each, before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: A word of its own between words that are encoded together; one id in the tokenizer.
+SEPARATOR = "^"
+_ENDS_IN_MARKS = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)\Z", re.DOTALL)
 
-PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
+PIECE = ("start", "length", "ids_crc32", "doc_tokens")
 
 
 class WordIds:
     """Ids of a text as little-endian 32-bit bytes, word by word.
 
-    The tokenizers used here never join characters over a blank or line break, so the ids of a
-    text are those of its words one after another, and each different word is encoded once.
+    The tokenizers used here never join characters over a blank or line break, nor a letter or
+    digit with marks after it, so the ids of a text are those of its words one after another, and
+    those of a word that ends in ASCII marks are those of its two parts. Each different part is
+    encoded once, many at a time with a separator between them. The least recently met words are
+    forgotten when there are too many.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode, self.ids = Tokenizer.from_file(path).encode_batch_fast, {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.between = self._encoded(SEPARATOR)
+
+    def _encoded(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encode(self, words: list[str]) -> None:
+        plain = [w for w in words if SEPARATOR not in w] if len(self.between) == 1 else []
+        for k in range(0, len(plain), 1000):
+            some = plain[k : k + 1000]
+            ids = np.array(self._encoded(f" {SEPARATOR} ".join(some)), "<u4")
+            cuts = (4 * np.flatnonzero(ids == self.between[0])).tolist()
+            data = ids.tobytes()
+            for word, a, b in zip(some, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True):
+                self.ids[word] = data[a:b]
+        for word in set(words).difference(plain):
+            self.ids[word] = np.array(self._encoded(word), "<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        if len(self.ids) > REMEMBERED:
+            self.ids, self.older = {}, self.ids
+        ids, older, whole, parted = self.ids, self.older, [], []
+        for word in new:
+            if (known := older.get(word)) is not None:
+                ids[word] = known
+            elif "|>" not in word and (m := _ENDS_IN_MARKS.match(word)):  # special tokens stay whole
+                parted.append((word, m[1], m[2]))
+            else:
+                whole.append(word)
+        parts = {p for _, *both in parted for p in both}.difference(ids, whole)
+        self._encode([*whole, *parts])
+        for word, stem, marks in parted:
+            ids[word] = ids[stem] + ids[marks]
 
     def of(self, text: str) -> bytes:
+        if text.isascii() and "<|" not in text:
+            text = text.lower()  # as the tokenizer does
         words = text.replace("\n", " ").split(" ")
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        if new := list(set(words).difference(self.ids)):
-            for word, e in zip(new, self.encode(new, add_special_tokens=False), strict=True):
-                self.ids[word] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        if new := set(words).difference(self.ids):
+            if len(self.ids) + len(new) > REMEMBERED:
+                new = set(words)  # those known may be forgotten now
+            self._learn(new)
         return b"".join(map(self.ids.__getitem__, words))
 
 
@@ -64,24 +108,27 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, limit: i
     ``tokenizer``: a file that is at this path on every executor.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    id_type = docs.schema[id_col].dataType
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _LOADED.get(tokenizer) or _LOADED.setdefault(tokenizer, WordIds(tokenizer))
         end = end_id.to_bytes(4, "little")
         for batch in batches:
-            rows = []
-            for id_, text in zip(batch["id"], batch["text"], strict=True):
-                ids = known.of(text) + end if text else end
-                n = len(ids) // 4
-                for at in range(0, n, limit):
-                    piece = ids[4 * at : 4 * (at + limit)]
-                    rows.append((id_, at, len(piece) // 4, zlib.crc32(piece), n))
-            yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens"])
-
-    id_type = dict(docs.dtypes)[id_col]
+            for k in range(0, batch.num_rows, 256):
+                some = batch.slice(k, 256)
+                rows = []
+                for place, text in enumerate(some.column(1).to_pylist()):
+                    ids = known.of(text) + end if text else end
+                    n = len(ids) // 4
+                    for at in range(0, n, limit):
+                        piece = ids[4 * at : 4 * (at + limit)]
+                        rows.append((place, at, len(piece) // 4, zlib.crc32(piece), n))
+                place, *numbers = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(place)), *[pa.array(x, pa.int64()) for x in numbers]], ["id", *PIECE])
+
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    if id_type in ("bigint", "int"):  # pandas would turn whole numbers with nulls into floats
-        slim = slim.withColumn("id", F.col("id").cast("string"))
-    return slim.mapInPandas(cut, f"id string, {PIECE}").withColumn("id", F.col("id").cast(id_type))
+    schema = T.StructType([T.StructField("id", id_type), *[T.StructField(c, T.LongType()) for c in PIECE]])
+    return slim.mapInArrow(cut, schema)
 
 
 def pack_histogram(counts: dict[int, int], limit: int = LIMIT) -> list[tuple[int, int, int, int, int]]:
