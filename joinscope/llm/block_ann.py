@@ -78,6 +78,11 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
     return vectors.mapInPandas(pack, _BLOCK)
 
 
+def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Dot products by row, added from left to right, so that equal rows give equal sums everywhere."""
+    return np.cumsum(x * y, axis=1)[:, -1]
+
+
 def best_pairs(q: tuple, c: tuple, dim: int, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query of a tile its id, and ids and cosines of its k best candidates or more at ties."""
     (qi, qs, qscale, qerror, qx), (ci, cs, cscale, cerror, cx) = q, c
@@ -88,11 +93,11 @@ def best_pairs(q: tuple, c: tuple, dim: int, k: int) -> Iterator[tuple[int, np.n
     low = np.where(own, -np.inf, about - error)
     least = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(qi), -np.inf)
     maybe = (about + error >= least[:, None]) & ~own
-    qnorm, cnorm = np.sqrt((qx * qx).sum(axis=1)), np.sqrt((cx * cx).sum(axis=1))
+    qnorm, cnorm = np.sqrt(_dots(qx, qx)), np.sqrt(_dots(cx, cx))
     for i in range(len(qi)):
         at = np.flatnonzero(maybe[i])
         if len(at):
-            yield int(qi[i]), ci[at], (cx[at] * qx[i]).sum(axis=1) / (cnorm[at] * qnorm[i])
+            yield int(qi[i]), ci[at], _dots(cx[at], qx[i]) / (cnorm[at] * qnorm[i])
 
 
 def _opened(row, side: str) -> tuple:

@@ -1,4 +1,7 @@
-"""The registered query of each operator: its operator over the whole table, with the digest columns."""
+"""The registered query of each operator: its operator over the whole table, with the digest columns.
+
+``ORACLE`` is the check SQL of those that SQL can express.
+"""
 
 from __future__ import annotations
 
@@ -11,13 +14,13 @@ from pyspark.sql import functions as F
 from joinscope.llm import block_ann, lattice_lm, license_scan, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, source_mix, toxicity_knn
 from joinscope.llm.common import table
 from joinscope.llm.labelled import held_out
+from joinscope.llm.oracle import ORACLE
 
 #: A tokenizer file; each machine has it at this path.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -61,7 +64,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     q = quality_rules.judge(docs, into="q")
-    return q.select("doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")])
+    return q.select("doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
 @query
@@ -86,3 +89,6 @@ def op10_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = toxicity_knn.classify(docs, table(spark, sf_dir, "labels"), "toxic")
     score = F.col("toxicity.score")
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score, (score >= 0.3).cast("int").alias("predicted"), F.col("toxicity.examples").alias("evidence"))
+
+
+__all__ = ["ORACLE", "QUERIES"]
