@@ -9,7 +9,7 @@ counted over the segmentations that the tokenizer itself gives to each different
 1. Each task counts its different words; one aggregation makes the table of words.
 2. Over that table: how often each piece occurs (at most as many rows as there are pieces), then
    each word's log probability, once for each different word.
-3. The most frequent words, a fixed number, are broadcast; texts are scored with them in place.
+3. The most frequent words, a bounded number, are broadcast; texts are scored with them in place.
    All other occurrences go through a join with the table of words. None of those words is
    frequent, so no key is hot, and the table may grow with the corpus.
 
@@ -161,6 +161,22 @@ def weighed(words: DataFrame, lattice: Lattice) -> DataFrame:
     return words.select("word", "c").mapInPandas(weigh, "word string, c long, h long, lm double")
 
 
+def most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words from a count upwards, so chosen that they are ``most`` at most.
+
+    Counts are compared by their sixteenths of a power of two, of which there are a thousand.
+    """
+    step = F.floor(F.log2("c") * 16)
+    rows = words.where("c > 0").groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    left, least = most, math.inf
+    for r in sorted(rows, key=lambda r: -r["step"]):
+        left -= r["n"]
+        if left < 0:
+            break
+        least = r["step"]
+    return words.where((F.col("c") > 0) & (step >= F.lit(float(least))))
+
+
 def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
     spark = docs.sparkSession
@@ -172,7 +188,7 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
     lattice = Lattice.counted(piece_names(vocabulary), piece_counts(counted, vocabulary), ends)
     table = keep(weighed(counted, lattice))
     log_n = math.log10(n + 0.1 * (v + 1))
-    frequent = table.orderBy(F.desc("c"), "word").limit(FREQUENT).select("word", "c", "lm")
+    frequent = most_frequent(table, FREQUENT).select("word", "c", "lm")
     known = {w: (math.log10(c + 0.1) - log_n, lm, c > 0) for w, c, lm in frequent.toPandas().itertuples(index=False)}
     sent = spark.sparkContext.broadcast(known)
     end = (math.log10(ends + 0.1) - log_n, lattice.end, int(ends > 0))
