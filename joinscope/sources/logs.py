@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from joinscope.functions.names import parse_time
 from joinscope.schemas import QUERY_LOG_COLUMNS, TIME_COLUMNS
+from joinscope.sources.quoted import read_quoted_csv
 
 _FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".jsonl": "json", ".orc": "orc"}
 
@@ -25,17 +26,22 @@ def format_of(path: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str | None = None, schema: str | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, fmt: str | None = None, schema: str | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Read a table by file type. CSV columns are all strings unless a schema is given.
 
-    Quoted CSV fields may span lines, which ties each file to one task; pass
-    ``multi_line=False`` for large files without line breaks inside fields.
+    With ``multi_line``, quoted CSV fields may span lines; files are read in splits either way.
     """
     fmt = fmt or format_of(path)
     reader = spark.read.schema(schema) if schema else spark.read
     if fmt == "csv":
-        return reader.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(path)
+        if multi_line:
+            texts = read_quoted_csv(spark, path)
+            if schema is None:
+                return texts
+            typed = spark.createDataFrame([], schema).schema
+            return texts.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in typed.fields])
+        return reader.options(header=True, quote='"', escape='"').csv(path)
     if fmt not in set(_FORMATS.values()):
         raise ValueError(f"unsupported format {fmt!r}; expected one of {sorted(set(_FORMATS.values()))}")
     return reader.format(fmt).load(path)
@@ -76,7 +82,7 @@ def resolve_log(df: DataFrame) -> DataFrame:
 
 def read_query_log(spark: SparkSession, path: str, fmt: str | None = None, strict: bool = False) -> DataFrame:
     """A log ready for the pipelines; ``strict`` requires all seven columns by exact name."""
-    df = read_table(spark, path, fmt)
+    df = read_table(spark, path, fmt, multi_line=True)
     if strict:
         require_columns(df, QUERY_LOG_COLUMNS)
     return resolve_log(df)

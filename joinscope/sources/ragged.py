@@ -50,6 +50,15 @@ def records_from_lines(lines: DataFrame) -> DataFrame:
     splits = lines.groupBy("file", "block").agg(F.sum(starts).alias("started"))
     splits = splits.withColumn("before", F.coalesce(F.sum("started").over(in_file), F.lit(0)))
 
+    return assembled(fragments, splits).filter(~F.ltrim("text").startswith("user_name"))
+
+
+def assembled(fragments: DataFrame, splits: DataFrame) -> DataFrame:
+    """Records (file, record_no, text) of fragments; those cut by a split border are joined.
+
+    ``fragments``: (file, block, place, text), place 0 being what goes on from the split before.
+    ``splits``: (file, block, started, before), records that start in a split and before it.
+    """
     numbered = fragments.join(splits, ["file", "block"]).withColumn("record_no", F.col("before") + F.col("place"))
     whole = (F.col("place") > 0) & (F.col("place") < F.col("started"))
     inner = numbered.filter(whole).select("file", "record_no", "text")
@@ -62,7 +71,7 @@ def records_from_lines(lines: DataFrame) -> DataFrame:
             ).alias("text")
         )
     )
-    return inner.unionByName(at_border).filter(~F.ltrim("text").startswith("user_name"))
+    return inner.unionByName(at_border)
 
 
 def parse_records(records: DataFrame) -> DataFrame:

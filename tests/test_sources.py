@@ -152,3 +152,22 @@ def test_empty_log_gives_empty_result(spark):
         assert out.count() == 0 and out.columns[0] == "Row_id"
     assert lineage.scored_lineage(log).count() == 0
     assert lineage.slim_lineage(log).select(F.count("*")).first()[0] == 0
+
+
+def test_quoted_csv_over_real_splits(spark, tmp_path):
+    rows = [("id", "text", "last")]
+    for i in range(400):
+        rows.append((str(i), f'line {i}\nsays ""quoted, with comma""\n' + "x" * (i % 37), f"end {i}"))
+    text = "\n".join(f'{a},"{b}",{c}' if a != "id" else "id,text,last" for a, b, c in rows) + "\n"
+    (tmp_path / "log.csv").write_text(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = logs.read_table(spark, str(tmp_path / "log.csv"), multi_line=True)
+        assert df.columns == ["id", "text", "last"]
+        lines = spark.read.text(str(tmp_path / "log.csv"))
+        assert lines.select(F.spark_partition_id()).distinct().count() > 4
+        got = {r.id: (r.text, r.last) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {a: (b.replace('""', '"'), c) for a, b, c in rows[1:]}

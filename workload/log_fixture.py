@@ -132,3 +132,26 @@ def ragged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         place.alias("line_no"),
         "value",
     )
+
+
+CSV_COLUMNS = ("query_id", "user_name", "Db_nm", "Tbl_nm", "SqlTextInfo", "LogDate", "StartTime", "LastResponseTime")
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as lines of quoted CSV in four files, with splits that cut records in two."""
+    log = query_log(spark, sf_dir)
+    key = F.col("query_id")
+    text = F.concat(F.lit("\n"), F.col("SqlTextInfo"), F.when(key % 3 == 0, "\n\n").otherwise(" "))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    time = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
+    fields = [key.cast("string"), F.coalesce("user_name", F.lit("")), F.col("Db_nm"), F.col("Tbl_nm"), quoted]
+    record = F.concat_ws(",", *fields, *[time(c) for c in CSV_COLUMNS[5:]])
+    lines = log.select(key, F.posexplode(F.split(record, "\n")).alias("pos", "value"))
+    place = key * 64 + F.col("pos")
+    file = F.concat(F.lit("part-"), key % 4)
+    body = lines.select(file.alias("file"), F.floor(place / 5000).alias("block"), place.alias("line_no"), "value")
+    heads = spark.range(4).select(
+        F.concat(F.lit("part-"), "id").alias("file"), F.lit(0).cast("long").alias("block"),
+        F.lit(-1).cast("long").alias("line_no"), F.lit(",".join(CSV_COLUMNS)).alias("value"),
+    )
+    return body.unionByName(heads)

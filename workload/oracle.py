@@ -459,6 +459,7 @@ def oracle() -> dict[str, str]:
                 count(*) AS join_count, count(DISTINCT u) AS unique_users, count(DISTINCT app) AS unique_app,
                 count(DISTINCT query_id) AS query_count, round(avg(whole), 4) AS avg_runtime FROM rows GROUP BY 1, 2, 3, 4)
               SELECT row_number() OVER (ORDER BY left_join_table_name, right_join_table_name, date_wid) AS "Row_id", * FROM agg""",
+            "csv_log_lineage": AGG["nearest_preceding"],
             "bare_lineage": AGG["per_block"],
             "combined_repeats": AGG["per_block"],
             "lineage_preview": f"SELECT * FROM ({AGG['all_scopes']}) WHERE \"Row_id\" <= 10",

@@ -15,6 +15,8 @@ from joinscope.operators.extract import clean_sql, explode_pairs, extract_pairs,
 from joinscope.plans import lineage, report
 from joinscope.session import materialize
 from joinscope.sources import ragged, writers
+from joinscope.sources.logs import resolve_log
+from joinscope.sources.quoted import parse_quoted, quoted_records
 from workload import log_fixture as fx
 from workload.log_fixture import query_log
 
@@ -243,6 +245,12 @@ def ragged_lineage(spark, sf):
     return lineage.pair_lineage(ragged.accepted(parsed), modes.NEAREST_PRECEDING)
 
 
+@query
+def csv_log_lineage(spark, sf):
+    log = resolve_log(parse_quoted(quoted_records(fx.csv_lines(spark, sf)), fx.CSV_COLUMNS))
+    return lineage.pair_lineage(log, modes.NEAREST_PRECEDING)
+
+
 # --- lineage tables --------------------------------------------------------------------
 
 
