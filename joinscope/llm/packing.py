@@ -31,7 +31,7 @@ from joinscope.llm.common import keep
 LIMIT, END_ID = 4096, 2
 PIECES_PER_PART = 100_000
 #: Words whose ids a worker remembers, about 200 bytes each, before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 #: A word of its own between words that are encoded together; one id in the tokenizer.
 SEPARATOR = "^"
 _ENDS_IN_MARKS = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)\Z", re.DOTALL)
