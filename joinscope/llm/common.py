@@ -27,7 +27,17 @@ def keep(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/kept-{uuid.uuid4()}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def discard(*kept: DataFrame) -> None:
+    """Delete results of ``keep`` that nothing reads any more."""
+    for df in kept:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.kept_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

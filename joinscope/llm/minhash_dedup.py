@@ -4,13 +4,13 @@
    functions keep their minima. Texts with the same set are one class from here on, so a group of
    copies is one row however large it is.
 2. The minima, cut into bands, deal the classes into buckets. In a bucket, each class meets the
-   smallest member: one pair a row, not all pairs. Pairs whose minima agree enough (one byte of
-   each tells) are confirmed on the full sets.
+   smallest member: one pair a row, not all pairs. Of its pairs over all bands, each class keeps
+   the one whose minima agree most (one byte of each tells), confirmed on the full sets.
 3. Links become components by alternating large-star and small-star.
 4. A bucket that still holds several components could hide a link. Such buckets are cut into
    blocks, and every two blocks meet in one task. A first pass over the minima alone finds the
-   members which agree enough with one of another component; a second one compares the full sets
-   of these. It returns at most a spanning forest of its links, so rows stay in proportion to
+   members which agree enough with one of another component, each pair in the first band that it
+   shares; a second one compares the full sets of these. It returns at most a spanning forest of its links, so rows stay in proportion to
    members. Step 3 then runs again.
 
 With 32 bands of 4, two texts of similarity 0.75 share no bucket with a probability of 5e-6;
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +34,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from joinscope.llm.common import keep
+from joinscope.llm.common import discard, keep
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, SEED = 32, 4, 7
-#: Pairs whose minima agree less are not confirmed: at similarity 0.75, 4.5 standard deviations.
-LEAST_AGREEMENT = 0.58
+#: Pairs whose minima agree less are not confirmed: at similarity 0.75, four standard deviations.
+LEAST_AGREEMENT = 0.6
 #: Members of a bucket that one block holds.
 BLOCK = 512
 
@@ -115,12 +116,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, own): the sets as sorted little-endian unsigned 64-bit hashes."""
+    """(id, own): the sets, six bytes for each shingle."""
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for batch in batches:
-            own = [shingles(t, known).astype("<u8").tobytes() for t in batch["text"]]
+            own = [packed(shingles(t, known)) for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "own": own})
             if len(known) > _TIDY:
                 known.clear()
@@ -128,6 +129,17 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(gather, "id long, own binary")
 
 
+def packed(own: np.ndarray) -> bytes:
+    """The upper six bytes of each hash; sorted stays sorted, and two texts that share one by chance are rare."""
+    return own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).mean(axis=-1)
 
@@ -144,27 +156,32 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
+_MARK = BANDS * ROWS
+
+
 def _mark(minima: pd.Series) -> pd.Series:
-    """One byte of each minimum."""
-    return minima.map(lambda m: np.frombuffer(m, np.uint8)[::4].tobytes())
+    """One byte of each minimum, then a checksum of each band."""
+    width = 4 * ROWS
+    bands = lambda m: np.array([zlib.crc32(m[k * width : (k + 1) * width]) for k in range(BANDS)], "<u4").tobytes()
+    return minima.map(lambda m: np.frombuffer(m, np.uint8)[::4].tobytes() + bands(m))
 
 
 def _agree(x: pd.Series, y: pd.Series) -> pd.Series:
     if not len(x):
-        return pd.Series([], dtype=bool)
-    left, right = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (x, y))
-    return pd.Series(agreement(left, right) >= LEAST_AGREEMENT)
+        return pd.Series([], dtype=float)
+    left, right = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1)[:, :_MARK] for s in (x, y))
+    return pd.Series(agreement(left, right))
 
 
 def _similar(x: pd.Series, y: pd.Series) -> pd.Series:
-    return pd.Series([similar(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")) for a, b in zip(x, y, strict=True)], dtype=bool)
+    return pd.Series([similar(unpacked(a), unpacked(b)) for a, b in zip(x, y, strict=True)], dtype=bool)
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, id) of all buckets with two classes at least; ``classes``: id and minima."""
+    """(bucket, band, id) of all buckets with two classes at least; ``classes``: id and minima."""
     width = 4 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("minima", k * width + 1, width)) for k in range(BANDS)])
-    rows = classes.select("id", F.explode(keys).alias("bucket"))
+    rows = classes.select("id", F.posexplode(keys).alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     return rows.join(shared.select("bucket"), "bucket")
 
@@ -183,6 +200,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     edges = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     state = None
     for _ in range(most_rounds):
+        old = edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -191,6 +209,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = keep(small.where("u > v").distinct())
+        discard(old, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -239,32 +258,36 @@ def _groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.Data
 
 
 def _suspects(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
-    """Pairs (places in ``rows``) in different components, and blocks if there are two, that agree enough."""
-    marks = np.frombuffer(b"".join(rows["mark"]), np.uint8).reshape(len(rows), -1)
-    comps, blocks = rows["component"].to_numpy(), rows["block"].to_numpy()
-    two = len(set(blocks.tolist())) > 1
+    """Pairs (places in ``rows``) that may be links: in different components, and blocks if there are
+    two, of fitting sizes, agreeing enough, and in no earlier band together."""
+    both = np.frombuffer(b"".join(rows["mark"]), np.uint8).reshape(len(rows), -1)
+    marks, bands = both[:, :_MARK], np.ascontiguousarray(both[:, _MARK:]).view("<u4")
+    comps, blocks, n = (rows[c].to_numpy() for c in ("component", "block", "n"))
+    band, two = int(rows["band"].iloc[0]), len(set(blocks.tolist())) > 1
     for i in range(len(rows) - 1):
-        near = comps[i + 1 :] != comps[i]
+        rest = slice(i + 1, None)
+        near = (comps[rest] != comps[i]) & (100 * np.minimum(n[rest], n[i]) >= PERCENT * np.maximum(n[rest], n[i]))
         if two:
-            near &= blocks[i + 1 :] != blocks[i]
-        at = np.flatnonzero(near)
+            near &= blocks[rest] != blocks[i]
+        at = i + 1 + np.flatnonzero(near)
         if len(at):
-            at = at[agreement(marks[i + 1 + at], marks[i]) >= LEAST_AGREEMENT]
+            at = at[agreement(marks[at], marks[i]) >= LEAST_AGREEMENT]
+            at = at[~(bands[at, :band] == bands[i, :band]).any(axis=1)]
             for j in at.tolist():
-                yield i, i + 1 + j
+                yield i, j
 
 
 def _flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The members of each tile that agree enough with one of another component."""
     for rows in _groups(batches, _TILE):
         if len(at := sorted({x for pair in _suspects(rows) for x in pair})):
-            yield rows.iloc[at][["bucket", "id"]]
+            yield rows.iloc[at][["bucket", "band", "id"]]
 
 
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links of each tile that join components, a spanning forest at most."""
     for rows in _groups(batches, _TILE):
-        sets = [np.frombuffer(x, "<u8") for x in rows["own"]]
+        sets = [unpacked(x) for x in rows["own"]]
         links = _forest(rows["id"].to_numpy(), rows["component"].to_numpy(), _suspects(rows), lambda i, j, s=sets: similar(s[i], s[j]))
         if links:
             yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
@@ -274,13 +297,14 @@ _TILE = ["bucket", "i", "j"]
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """(bucket, i, j, id, component, block): rows of ``members`` for each tile that they are in."""
+    """(bucket, band, i, j, id, component, block): rows of ``members`` for each tile that they are in."""
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     cut = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     # a block meets itself and every other one: tile (i, j) with i <= j
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cut = cut.select("bucket", "id", "component", "block", other)
-    return cut.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "block")
+    cut = cut.select("bucket", "band", "id", "component", "block", other)
+    tile = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    return cut.select("bucket", *tile, "band", "id", "component", "block")
 
 
 def _by_tile(rows: DataFrame) -> DataFrame:
@@ -290,16 +314,18 @@ def _by_tile(rows: DataFrame) -> DataFrame:
 def hidden_links(rows: DataFrame, comps: DataFrame, marks: DataFrame, sets) -> DataFrame:
     """Links between members of one bucket that are in different components so far.
 
-    ``marks``: (id, mark). ``sets``: gives the sets of the ids of a DataFrame.
+    ``marks``: (id, n, mark). ``sets``: gives the sets of the ids of a DataFrame.
     """
     placed = rows.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-    open_ = placed.join(mixed, "bucket").select("bucket", "id", "component")
-    flagged = _by_tile(_tiles(open_).join(marks, "id")).mapInPandas(_flag, "bucket long, id long")
+    open_ = placed.join(mixed, "bucket").select("bucket", "band", "id", "component")
+    flagged = _by_tile(_tiles(open_).join(marks, "id")).mapInPandas(_flag, "bucket long, band int, id long")
     flagged = keep(flagged.distinct().join(comps, "id", "left").withColumn("component", F.coalesce("component", "id")))
     wanted = flagged.select("id").distinct()
     known = keep(marks.join(wanted, "id").join(sets(wanted), "id"))
-    return _by_tile(_tiles(flagged).join(known, "id")).mapInPandas(_confirm, "a long, b long").distinct()
+    links = keep(_by_tile(_tiles(flagged).join(known, "id")).mapInPandas(_confirm, "a long, b long").distinct())
+    discard(flagged, known)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -309,7 +335,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with_words = every.where("n > 0 and id is not null")
     classes = keep(with_words.groupBy(*own).agg(F.min_by("minima", "id").alias("minima"), F.min("id").alias("id")))
     rows = keep(buckets(classes))
-    marks = classes.select("id", F.pandas_udf(_mark, "binary")("minima").alias("mark"))
+    marks = classes.select("id", "n", F.pandas_udf(_mark, "binary")("minima").alias("mark"))
     marks = keep(marks.join(rows.select("id").distinct(), "id", "left_semi"))
 
     def sets(ids: DataFrame) -> DataFrame:
@@ -318,13 +344,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return shingle_sets(some, id_col, text_col)
 
     x, y = (marks.select(F.col("id").alias(i), F.col("mark").alias(f"m{i}")) for i in "ab")
-    pairs = stars(rows).join(x, "a").join(y, "b").where(F.pandas_udf(_agree, "boolean")("ma", "mb")).select("a", "b")
-    pairs = keep(pairs)
+    near = stars(rows).join(x, "a").join(y, "b").select("a", "b", F.pandas_udf(_agree, "double")("ma", "mb").alias("agreement"))
+    near = near.where(F.col("agreement") >= LEAST_AGREEMENT).groupBy("b").agg(F.max_by("a", F.struct("agreement", -F.col("a"))).alias("a"))
+    pairs = keep(near)
     known = keep(sets(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
     x, y = (known.select(F.col("id").alias(i), F.col("own").alias(f"s{i}")) for i in "ab")
     links = keep(pairs.join(x, "a").join(y, "b").where(F.pandas_udf(_similar, "boolean")("sa", "sb")).select("a", "b"))
+    discard(pairs, known)
     comps = components(links)
-    more = keep(hidden_links(rows, comps, marks, sets))
+    more = hidden_links(rows, comps, marks, sets)
+    discard(rows, marks)
     if not more.isEmpty():
         edges = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
         comps = components(edges)
