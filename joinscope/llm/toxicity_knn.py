@@ -21,7 +21,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
