@@ -3,9 +3,10 @@
 A text is scanned for three kinds of secrets. Then every part of it that looks encoded (URL
 escapes, Unicode escapes, base64, and gzip or zlib data within base64) is decoded into a layer of
 its own, which is scanned and searched for encoded parts in turn, until nothing new appears.
-Layers seen before are not visited again, so texts that decode to each other end. Each layer
-keeps, for every character, which characters of the original it came from, so that a secret is
-reported at its place there; out of base64 that is the whole encoded run.
+A layer with the content and the places of one seen before is not visited again, so texts that
+decode to each other end, and an encoded part that comes again is reported at each of its places.
+Each layer keeps, for every character, which characters of the original it came from, so that a
+secret is reported at its place there; out of base64 that is the whole encoded run.
 
 Text columns are worked on in Arrow batches, one text at a time, and nothing is shuffled.
 
@@ -122,15 +123,15 @@ def layers(text: str) -> Iterator[Layer]:
 def secrets(text: str) -> tuple[set[tuple[int, str, int]], set[tuple[int, str, int]]]:
     """The spans in the text itself, and all spans with those from decoded layers."""
     base = set(found(text))
-    all_, seen, work = set(base), {text}, [(text, None)]
+    all_, seen, work = set(base), set(), [(text, None)]
     while work:
         outer, origin = work.pop()
         for inner, places in layers(outer):
-            if inner in seen:
-                continue
-            seen.add(inner)
             if origin is not None:
                 places = [(origin[a][0], origin[b - 1][1]) for a, b in places]
+            if not inner or (key := (inner, tuple(places))) in seen:
+                continue
+            seen.add(key)
             all_.update((places[a][0], kind, places[b - 1][1]) for a, kind, b in found(inner))
             work.append((inner, places))
     return base, all_

@@ -146,6 +146,15 @@ def test_secret_behind_two_layers(first, second):
     assert "hunter2" not in secret_scan.redacted(text) and secret_scan.redacted(text).startswith("see ")
 
 
+@pytest.mark.parametrize("kind", ["base64", "url", "unicode", "gzip"])
+def test_same_encoded_secret_at_several_places(kind):
+    blob = layered(SECRET)[kind]
+    text = f"one {blob} two {blob}\nthree {blob} end"
+    places = {m.start() for m in re.finditer(re.escape(blob), text)}
+    assert len(places) == 3 and {a for a, _, _ in secret_scan.secrets(text)[1]} == places
+    assert secret_scan.redacted(text).count("[SECRET]") == 3 and blob[8:-8] not in secret_scan.redacted(text)
+
+
 def test_place_of_a_secret_within_a_url():
     text = "go to x?q=1&pass%77ord%3Dabcdefgh12 now"
     assert secret_scan.secrets(text)[1] == {(text.index("pass"), "assign", text.index(" now"))}
