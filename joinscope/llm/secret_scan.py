@@ -1,8 +1,8 @@
 """Secret scan with a worklist of decoded layers.
 
-A text is scanned for three kinds of secrets. Then every part of it that looks encoded (URL
-escapes, Unicode escapes, base64, and gzip or zlib data within base64) is decoded into a layer of
-its own, which is scanned and searched for encoded parts in turn, until nothing new appears.
+A text is scanned for three kinds of secrets. Then the whole text with its URL escapes decoded, the
+whole text with its Unicode escapes decoded, and every base64 run (and gzip or zlib data within it)
+are layers of their own, which are scanned and decoded further in turn, until nothing new appears.
 A layer with the content and the places of one seen before is not visited again, so texts that
 decode to each other end, and an encoded part that comes again is reported at each of its places.
 Each layer keeps, for every character, which characters of the original it came from, so that a
@@ -22,8 +22,8 @@ import binascii
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,15 +37,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_CHARACTERS = 8
 
-URL_RUN = re.compile(r"(?:[^\s%]*%[0-9A-Fa-f]{2})+[^\s%]*")
 URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_RUN = re.compile(r"(?:[^\s\\]*\\(?:u[0-9A-Fa-f]{4}|x[0-9A-Fa-f]{2}))+[^\s\\]*")
 UNICODE_CHAR = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2}))")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 MAX_UNPACKED = 16 << 20
 
 Span = tuple[int, int]
-Layer = tuple[str, "list[Span] | None"]
+#: A text and, for each of its characters, the start and the end of what it came from.
+Layer = tuple[str, np.ndarray, np.ndarray]
 
 
 def found(text: str) -> Iterator[tuple[int, str, int]]:
@@ -58,29 +57,26 @@ def found(text: str) -> Iterator[tuple[int, str, int]]:
             yield m.start(), kind, m.end()
 
 
-def _spliced(run: str, at: int, pattern: re.Pattern, decode) -> Layer | None:
-    """``run`` with the matches of ``pattern`` decoded, and where its characters came from."""
-    out, places, done = [], [], 0
-    for m in pattern.finditer(run):
-        piece = decode(m)
-        if piece is None:
-            continue
-        out += [run[done : m.start()], piece]
-        places += zip(range(at + done, at + m.start()), range(at + done + 1, at + m.start() + 1), strict=True)
-        places += repeat((at + m.start(), at + m.end()), len(piece))
+def _spliced(text: str, pattern: re.Pattern, decode) -> Layer | None:
+    """``text`` with all matches of ``pattern`` decoded, and where its characters came from."""
+    out, starts, ends, done = [], [], [], 0
+    for m in pattern.finditer(text):
+        piece, kept = decode(m), np.arange(done, m.start())
+        out += [text[done : m.start()], piece]
+        starts += [kept, np.full(len(piece), m.start())]
+        ends += [kept + 1, np.full(len(piece), m.end())]
         done = m.end()
     if not done:
         return None
-    out.append(run[done:])
-    places += zip(range(at + done, at + len(run)), range(at + done + 1, at + len(run) + 1), strict=True)
-    return "".join(out), places
+    kept = np.arange(done, len(text))
+    return "".join([*out, text[done:]]), np.concatenate([*starts, kept]), np.concatenate([*ends, kept + 1])
 
 
-def _url_bytes(m: re.Match) -> str | None:
+def _url_bytes(m: re.Match) -> str:
     return bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace")
 
 
-def _unicode_char(m: re.Match) -> str | None:
+def _unicode_char(m: re.Match) -> str:
     return chr(int(m[1] or m[2], 16))
 
 
@@ -106,34 +102,31 @@ def _base64_text(run: str) -> str | None:
 
 
 def layers(text: str) -> Iterator[Layer]:
-    """One step of decoding: each encoded run of ``text``, decoded, with places in ``text``."""
-    if "%" in text:
-        for m in URL_RUN.finditer(text):
-            if layer := _spliced(m[0], m.start(), URL_BYTES, _url_bytes):
-                yield layer
-    if "\\" in text:
-        for m in UNICODE_RUN.finditer(text):
-            if layer := _spliced(m[0], m.start(), UNICODE_CHAR, _unicode_char):
-                yield layer
+    """One step of decoding, with places in ``text``: all of it without its URL escapes, all of it
+    without its Unicode escapes, and each base64 run."""
+    if "%" in text and (layer := _spliced(text, URL_BYTES, _url_bytes)):
+        yield layer
+    if "\\" in text and (layer := _spliced(text, UNICODE_CHAR, _unicode_char)):
+        yield layer
     for m in BASE64_RUN.finditer(text):
         if inner := _base64_text(m[0]):
-            yield inner, [(m.start(), m.end())] * len(inner)
+            yield inner, np.full(len(inner), m.start()), np.full(len(inner), m.end())
 
 
 def secrets(text: str) -> tuple[set[tuple[int, str, int]], set[tuple[int, str, int]]]:
     """The spans in the text itself, and all spans with those from decoded layers."""
     base = set(found(text))
-    all_, seen, work = set(base), set(), [(text, None)]
+    all_, seen, work = set(base), set(), [(text, None, None)]
     while work:
-        outer, origin = work.pop()
-        for inner, places in layers(outer):
-            if origin is not None:
-                places = [(origin[a][0], origin[b - 1][1]) for a, b in places]
-            if not inner or (key := (inner, tuple(places))) in seen:
+        outer, first, last = work.pop()
+        for inner, starts, ends in layers(outer):
+            if first is not None:
+                starts, ends = first[starts], last[ends - 1]
+            if not inner or (key := (inner, starts.tobytes(), ends.tobytes())) in seen:
                 continue
             seen.add(key)
-            all_.update((places[a][0], kind, places[b - 1][1]) for a, kind, b in found(inner))
-            work.append((inner, places))
+            all_.update((int(starts[a]), kind, int(ends[b - 1])) for a, kind, b in found(inner))
+            work.append((inner, starts, ends))
     return base, all_
 
 

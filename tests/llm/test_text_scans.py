@@ -155,6 +155,20 @@ def test_same_encoded_secret_at_several_places(kind):
     assert secret_scan.redacted(text).count("[SECRET]") == 3 and blob[8:-8] not in secret_scan.redacted(text)
 
 
+@pytest.mark.parametrize(
+    ("text", "start", "end"),
+    [
+        (r"say {password\u0022: \u0022hunter2hunter2\u0022} now", 5, 41),
+        ("a token %3D abcdefgh12 b", 2, 22),
+        ("a password%3A hunter2hunter2 b", 2, 28),
+        ("a%20b token %253D\\u0020abcdefgh12", 6, 33),
+    ],
+)
+def test_secret_over_several_escaped_runs(text, start, end):
+    assert (start, "assign", end) in secret_scan.secrets(text)[1]
+    assert not re.search("hunter2|abcdefgh", secret_scan.redacted(text))
+
+
 def test_place_of_a_secret_within_a_url():
     text = "go to x?q=1&pass%77ord%3Dabcdefgh12 now"
     assert secret_scan.secrets(text)[1] == {(text.index("pass"), "assign", text.index(" now"))}
