@@ -6,7 +6,8 @@ are layers of their own, which are scanned and decoded further in turn, until no
 A layer with the content and the places of one seen before is not visited again, so texts that
 decode to each other end, and an encoded part that comes again is reported at each of its places.
 Each layer keeps, for every character, which characters of the original it came from, so that a
-secret is reported at its place there; out of base64 that is the whole encoded run.
+secret is reported at its place there; out of base64 that is the whole encoded text, which may be
+wrapped over lines or stand behind a prefix of base64 characters.
 
 Text columns are worked on in Arrow batches, one text at a time, and nothing is shuffled.
 
@@ -18,7 +19,6 @@ that a decompression bomb can't take an executor; what lies beyond is not scanne
 from __future__ import annotations
 
 import base64
-import binascii
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,7 +39,19 @@ ASSIGN_CHARACTERS = 8
 
 URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_CHAR = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2}))")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+# Lines of a wrapped run are one run; a shorter word only starts one at the end of its line.
+_B, _WRAP = "[A-Za-z0-9+/_-]", r"[ \t]*+\r?\n[ \t]*+"
+BASE64_RUN = re.compile(rf"(?<!{_B})(?:{_B}{{19,}}+|{_B}++(?={_WRAP}{_B}))(?:{_WRAP}{_B}++)*+={{0,2}}")
+#: Characters of the shortest secret's (14 bytes) base64 without padding.
+BASE64_LEAST = 19
+STANDARD = str.maketrans("-_", "+/")
+READABLE = re.compile(rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){14,}+")
+#: What gzip, or zlib without a dictionary, starts with.
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: Base64 characters of a garbage prefix that may happen to be readable.
+PREFIX = 8
+#: Characters of runs whose findings are remembered for one text.
+REMEMBERED = 32 << 20
 MAX_UNPACKED = 16 << 20
 
 Span = tuple[int, int]
@@ -80,43 +92,123 @@ def _unicode_char(m: re.Match) -> str:
     return chr(int(m[1] or m[2], 16))
 
 
-def _base64_text(run: str) -> str | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
+class Runs:
+    """Kinds of secrets within base64 runs; those of one text, so that a repeated run is read once.
+
+    A run may have a prefix, such as a path, so it is decoded at each of the four alignments. At the
+    wrong ones, and within the prefix, the bytes are no text. Secrets are looked for in every
+    readable stretch and in all compressed data, and their place is that of the whole stretch.
+    """
+
+    def __init__(self):
+        self.known: dict[tuple, set[tuple[int, str, int]]] = {}
+        self.held, self.active, self.looped = 0, set(), False
+
+    def spans(self, text: str) -> Iterator[tuple[int, str, int]]:
+        """(start, kind, end) in ``text``."""
+        for m in BASE64_RUN.finditer(text):
+            lines = m[0].rstrip("=").split()
+            run = "".join(lines)
+            if len(run) < BASE64_LEAST:
+                continue
+            second, last = (len(lines[0]), len(run) - len(lines[-1])) if len(lines) > 1 else (0, len(run))
+            at = None
+            for a, kind, b in self.within(run, second, last):
+                if at is None:
+                    at = range(m.start(), m.end()) if len(lines) == 1 else [m.start() + i for i, c in enumerate(m[0]) if not c.isspace()]
+                yield at[a], kind, m.end() if b == len(run) else at[b - 1] + 1
+
+    def kinds(self, text: str) -> set[str]:
+        """Kinds of secrets in ``text`` and all of its layers."""
+        out, seen, work = set(), {text}, [text]
+        while work and len(out) < len(KINDS):
+            layer = work.pop()
+            out.update(k for _, k, _ in found(layer))
+            out.update(k for _, k, _ in self.spans(layer))
+            for inner in (URL_BYTES.sub(_url_bytes, layer), UNICODE_CHAR.sub(_unicode_char, layer)):
+                if inner not in seen:
+                    seen.add(inner)
+                    work.append(inner)
+        return out
+
+    def within(self, run: str, second: int, last: int) -> set[tuple[int, str, int]]:
+        """(start, kind, end) in ``run``, whose second line starts at ``second``, its last at ``last``."""
+        key = (run, second, last)
+        if key in self.known:
+            return self.known[key]
+        if key in self.active:  # it holds itself
+            self.looped = True
+            return set()
+        self.active.add(key)
+        out = set().union(*[self._decoded(run, k, second, last) for k in range(4)])
+        self.active.remove(key)
+        self.looped &= bool(self.active)
+        if not self.looped:  # what lies in a loop is complete for the outermost run only
+            self.held += len(run)
+            if self.held > REMEMBERED:
+                self.known, self.held = {}, len(run)
+            self.known[key] = out
+        return out
+
+    def _decoded(self, run: str, shift: int, second: int, last: int) -> Iterator[tuple[int, str, int]]:
+        body = run[shift : len(run) - ((len(run) - shift) % 4 == 1)]  # one character alone is no byte
+        data = base64.b64decode(body.translate(STANDARD) + "=" * (-len(body) % 4))
+
+        def start(byte: int) -> int:
+            return shift + byte * 8 // 6
+
+        def end(byte: int) -> int:
+            return len(run) if byte >= len(data) else shift - (-byte * 8 // 6)
+
+        for m in READABLE.finditer(data):
+            if not (kinds := self.kinds(m[0].decode("utf-8", "replace"))):
+                continue
+            a, b = m.span()
+            # a border just after the start, or the last line, may part garbage from the text
+            if start(a):
+                borders = [i + 1 for i in range(start(a), start(a) + PREFIX) if run[i : i + 1] in ("/", "_", "-") or i + 1 == second]
+                for cut in reversed(borders):
+                    byte = -(-(cut - shift) * 6 // 8)
+                    if (cut - shift) % 4 == 0 and self.kinds(data[byte:b].decode("utf-8", "replace")) == kinds:
+                        a = byte
+                        break
+            if start(a) < last < end(b) < len(run):
+                byte = (last - shift) * 6 // 8
+                if self.kinds(data[a:byte].decode("utf-8", "replace")) == kinds:
+                    b = byte
+            for kind in kinds:
+                yield start(a), kind, end(b)
+        done = 0
+        for m in PACKED.finditer(data):
+            if m.start() >= done:
+                kinds, used = self._unpacked(data[m.start() :])
+                done = m.start() + used
+                for kind in kinds:
+                    yield start(m.start()), kind, end(done)
+
+    def _unpacked(self, data: bytes) -> tuple[set[str], int]:
+        """Kinds of secrets in compressed data, and the number of its bytes."""
+        unpack = zlib.decompressobj(47)  # 47: gzip or zlib, whichever it is
         try:
-            data = zlib.decompressobj(47).decompress(data, MAX_UNPACKED)  # 47: gzip or zlib, whichever it is
+            text = unpack.decompress(data, MAX_UNPACKED).decode("utf-8", "ignore")
         except zlib.error:
-            return None
-        return data.decode("utf-8", "ignore")
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if sum(c.isprintable() or c.isspace() for c in text) >= 0.95 * len(text) else None
+            return set(), 0
+        return self.kinds(text), len(data) - len(unpack.unused_data)
 
 
 def layers(text: str) -> Iterator[Layer]:
-    """One step of decoding, with places in ``text``: all of it without its URL escapes, all of it
-    without its Unicode escapes, and each base64 run."""
+    """One step of decoding, with places in ``text``: all of it without its URL escapes, and all of
+    it without its Unicode escapes."""
     if "%" in text and (layer := _spliced(text, URL_BYTES, _url_bytes)):
         yield layer
     if "\\" in text and (layer := _spliced(text, UNICODE_CHAR, _unicode_char)):
         yield layer
-    for m in BASE64_RUN.finditer(text):
-        if inner := _base64_text(m[0]):
-            yield inner, np.full(len(inner), m.start()), np.full(len(inner), m.end())
 
 
 def secrets(text: str) -> tuple[set[tuple[int, str, int]], set[tuple[int, str, int]]]:
     """The spans in the text itself, and all spans with those from decoded layers."""
-    base = set(found(text))
-    all_, seen, work = set(base), set(), [(text, None, None)]
+    base, runs = set(found(text)), Runs()
+    all_, seen, work = base | set(runs.spans(text)), set(), [(text, None, None)]
     while work:
         outer, first, last = work.pop()
         for inner, starts, ends in layers(outer):
@@ -125,7 +217,8 @@ def secrets(text: str) -> tuple[set[tuple[int, str, int]], set[tuple[int, str, i
             if not inner or (key := (inner, starts.tobytes(), ends.tobytes())) in seen:
                 continue
             seen.add(key)
-            all_.update((int(starts[a]), kind, int(ends[b - 1])) for a, kind, b in found(inner))
+            for a, kind, b in (*found(inner), *runs.spans(inner)):
+                all_.add((int(starts[a]), kind, int(ends[b - 1])))
             work.append((inner, starts, ends))
     return base, all_
 

@@ -169,6 +169,37 @@ def test_secret_over_several_escaped_runs(text, start, end):
     assert not re.search("hunter2|abcdefgh", secret_scan.redacted(text))
 
 
+@pytest.mark.parametrize("prefix", ["https://host.com/cb/", "key_", "key", "a-b", "x", "path/of/callback/", "xy/"])
+@pytest.mark.parametrize("kind", ["base64", "gzip"])
+def test_base64_behind_a_prefix(prefix, kind):
+    blob = layered(SECRET)[kind]
+    text = f"see {prefix}{blob} there"
+    spans = {s for s in secret_scan.secrets(text)[1] if s[1] == "assign"}
+    assert len(spans) == 1 and all(4 <= a <= 4 + len(prefix) and b == len(text) - 6 for a, _, b in spans)
+    assert secret_scan.redacted(text).endswith("[SECRET] there")
+
+
+def test_base64_of_the_shortest_secrets():
+    for secret, kind in (("token=abcdefgh", "assign"), ("AKIAABCDEFGHIJKL", "access"), ("0123456789abcdef" * 2, "hex")):
+        padded = base64.b64encode(secret.encode()).decode()
+        for blob in (padded, padded.rstrip("=")):
+            assert secret_scan.secrets(f"a {blob} b")[1] == {(2, kind, 2 + len(blob))}
+            assert secret_scan.secrets(f"some a\n{blob}\nNext word")[1] == {(7, kind, 7 + len(blob))}
+
+
+@pytest.mark.parametrize("width", [7, 16, 60, 64, 76])
+@pytest.mark.parametrize("wrap", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("kind", ["base64", "gzip"])
+def test_base64_wrapped_over_lines(width, wrap, kind):
+    filler = " ".join(hashlib.sha256(bytes([i])).hexdigest()[:9] for i in range(40))
+    blob = layered(f"{filler[:200]} {SECRET} {filler[200:]}")[kind]
+    lines = [blob[i : i + width] for i in range(0, len(blob), width)]
+    text = f"data:{wrap}{wrap.join(lines)}\nThe end"
+    assert "assign" in {k for _, k, _ in secret_scan.secrets(text)[1]}
+    clean = secret_scan.redacted(text)
+    assert clean.startswith("data:") and clean.endswith("[SECRET]\nThe end") and len(clean) < 40
+
+
 def test_place_of_a_secret_within_a_url():
     text = "go to x?q=1&pass%77ord%3Dabcdefgh12 now"
     assert secret_scan.secrets(text)[1] == {(text.index("pass"), "assign", text.index(" now"))}
