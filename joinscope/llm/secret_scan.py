@@ -12,13 +12,16 @@ wrapped over lines or stand behind a prefix of base64 characters.
 Text columns are worked on in Arrow batches, one text at a time, and nothing is shuffled.
 
 Defined results: a null or empty text has no span; repeated rows each get their result; other
-columns are left alone. Compressed data is unpacked to at most ``MAX_UNPACKED`` bytes a run, so
-that a decompression bomb can't take an executor; what lies beyond is not scanned.
+columns are left alone. Compressed data is unpacked to its end, in overlapping
+windows, so that a decompression bomb can't take an executor; base64 of compressed data within it
+goes on from window to window. Between two windows only these may be missed: a secret that takes more
+than ``OVERLAP`` characters as it is encoded there, and compressed data whose base64 is escaped.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import re
 import zlib
 from collections.abc import Iterator
@@ -52,7 +55,10 @@ PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 PREFIX = 8
 #: Characters of runs whose findings are remembered for one text.
 REMEMBERED = 32 << 20
-MAX_UNPACKED = 16 << 20
+BASE64_MORE = re.compile(r"[A-Za-z0-9+/_\s-]*+")
+BLANKS = re.compile("\x20{2,}")
+#: Bytes of a window of unpacked data, and the characters that it repeats of the one before.
+WINDOW, OVERLAP = 4 << 20, 256 << 10
 
 Span = tuple[int, int]
 #: A text and, for each of its characters, the start and the end of what it came from.
@@ -104,8 +110,12 @@ class Runs:
         self.known: dict[tuple, set[tuple[int, str, int]]] = {}
         self.held, self.active, self.looped = 0, set(), False
 
-    def spans(self, text: str) -> Iterator[tuple[int, str, int]]:
-        """(start, kind, end) in ``text``."""
+    def spans(self, text: str, open_: list[Packed] | None = None, known: int = 0) -> Iterator[tuple[int, str, int]]:
+        """(start, kind, end) in ``text``.
+
+        If it is a window, ``open_`` gets the compressed data that starts after its first ``known``
+        characters, those of the window before, and goes on behind it.
+        """
         for m in BASE64_RUN.finditer(text):
             lines = m[0].rstrip("=").split()
             run = "".join(lines)
@@ -113,18 +123,23 @@ class Runs:
                 continue
             second, last = (len(lines[0]), len(run) - len(lines[-1])) if len(lines) > 1 else (0, len(run))
             at = None
-            for a, kind, b in self.within(run, second, last):
+            if open_ is not None and not text[m.end() : m.end() + OVERLAP].strip():
+                seen = sum(not c.isspace() for c in m[0][: max(0, known - m.start())])
+                inside = set().union(*[self._decoded(run, k, second, last, open_, seen) for k in range(4)])
+            else:
+                inside = self.within(run, second, last)
+            for a, kind, b in inside:
                 if at is None:
                     at = range(m.start(), m.end()) if len(lines) == 1 else [m.start() + i for i, c in enumerate(m[0]) if not c.isspace()]
                 yield at[a], kind, m.end() if b == len(run) else at[b - 1] + 1
 
-    def kinds(self, text: str) -> set[str]:
-        """Kinds of secrets in ``text`` and all of its layers."""
+    def kinds(self, text: str, open_: list[Packed] | None = None, known: int = 0) -> set[str]:
+        """Kinds of secrets in ``text`` and all of its layers; ``open_`` and ``known`` as in ``spans``."""
         out, seen, work = set(), {text}, [text]
         while work and len(out) < len(KINDS):
             layer = work.pop()
             out.update(k for _, k, _ in found(layer))
-            out.update(k for _, k, _ in self.spans(layer))
+            out.update(k for _, k, _ in (self.spans(layer, open_, known) if layer is text else self.spans(layer)))
             for inner in (URL_BYTES.sub(_url_bytes, layer), UNICODE_CHAR.sub(_unicode_char, layer)):
                 if inner not in seen:
                     seen.add(inner)
@@ -150,7 +165,7 @@ class Runs:
             self.known[key] = out
         return out
 
-    def _decoded(self, run: str, shift: int, second: int, last: int) -> Iterator[tuple[int, str, int]]:
+    def _decoded(self, run: str, shift: int, second: int, last: int, open_: list[Packed] | None = None, seen: int = 0) -> Iterator[tuple[int, str, int]]:
         body = run[shift : len(run) - ((len(run) - shift) % 4 == 1)]  # one character alone is no byte
         data = base64.b64decode(body.translate(STANDARD) + "=" * (-len(body) % 4))
 
@@ -179,21 +194,68 @@ class Runs:
             for kind in kinds:
                 yield start(a), kind, end(b)
         done = 0
+        if open_ is not None:
+            data = data[: len(body) // 4 * 3]  # the characters behind the last whole four go on later
         for m in PACKED.finditer(data):
-            if m.start() >= done:
-                kinds, used = self._unpacked(data[m.start() :])
-                done = m.start() + used
-                for kind in kinds:
-                    yield start(m.start()), kind, end(done)
-
-    def _unpacked(self, data: bytes) -> tuple[set[str], int]:
-        """Kinds of secrets in compressed data, and the number of its bytes."""
-        unpack = zlib.decompressobj(47)  # 47: gzip or zlib, whichever it is
+            if m.start() < done:
+                continue
+            inner = Packed(self)
+            inner.feed(data[m.start() :])
+            if inner.unpack.eof:
+                done = len(data) - len(inner.unpack.unused_data)
+            for kind in inner.kinds:
+                yield start(m.start()), kind, end(done if inner.unpack.eof else len(data))
+            if open_ is not None and inner.alive() and m.end() > (seen - shift) // 4 * 3:
+                inner.rest = run[shift + len(body) // 4 * 4 :]
+                open_.append(inner)
+
+
+class Packed:
+    """Kinds of secrets in compressed data that comes in parts and is unpacked window by window."""
+
+    def __init__(self, runs: Runs):
+        self.unpack = zlib.decompressobj(47)  # 47: gzip or zlib, whichever it is
+        self.characters = codecs.getincrementaldecoder("utf-8")("ignore")
+        self.runs, self.kinds, self.failed = runs, set(), False
+        self.tail, self.open = "", []
+        self.rest, self.lasts = "", True  # for compressed data that goes on behind a window
+
+    def feed(self, data: bytes) -> None:
         try:
-            text = unpack.decompress(data, MAX_UNPACKED).decode("utf-8", "ignore")
+            while not self.unpack.eof:
+                piece = self.unpack.decompress(data, WINDOW)
+                data = self.unpack.unconsumed_tail
+                self._window(self.characters.decode(piece))
+                if len(piece) < WINDOW and not data:
+                    break
         except zlib.error:
-            return set(), 0
-        return self.kinds(text), len(data) - len(unpack.unused_data)
+            self.failed = True
+
+    def more(self, text: str) -> bool:
+        """Go on with the base64 characters that ``text`` starts with; whether they may go on after it."""
+        m = BASE64_MORE.match(text)
+        body = self.rest + "".join(m[0].split())
+        whole = len(body) // 4 * 4
+        self.feed(base64.b64decode(body[:whole].translate(STANDARD)))
+        self.rest = body[whole:]
+        if m.end() < len(text) and len(self.rest) > 1:
+            self.feed(base64.b64decode(self.rest.translate(STANDARD) + "=" * (4 - len(self.rest))))
+        return m.end() == len(text) and self.alive()
+
+    def alive(self) -> bool:
+        return not (self.failed or self.unpack.eof)
+
+    def _window(self, text: str) -> None:
+        if len(self.kinds) == len(KINDS):
+            return
+        text = BLANKS.sub(" ", text)  # their number means nothing to any pattern
+        for inner in self.open:
+            inner.lasts = inner.more(text)
+            self.kinds |= inner.kinds
+        self.open = [inner for inner in self.open if inner.lasts]
+        known, text = len(self.tail), self.tail + text
+        self.kinds |= self.runs.kinds(text, self.open, known)
+        self.tail = text[-OVERLAP:]
 
 
 def layers(text: str) -> Iterator[Layer]:

@@ -200,6 +200,32 @@ def test_base64_wrapped_over_lines(width, wrap, kind):
     assert clean.startswith("data:") and clean.endswith("[SECRET]\nThe end") and len(clean) < 40
 
 
+def noise(n):
+    return "\n".join(hashlib.sha256(str(i).encode()).hexdigest()[:30] for i in range(n))
+
+
+def test_secret_behind_much_unpacked_data():
+    blob = base64.b64encode(gzip.compress((" line\n" * 3_000_000 + SECRET).encode())).decode()
+    assert secret_scan.secrets(f"a {blob} b")[1] == {(2, "assign", 2 + len(blob))}
+
+
+@pytest.mark.parametrize("wrap", [0, 76])
+@pytest.mark.parametrize("shift", range(4))
+def test_secret_in_windows_of_unpacked_data(monkeypatch, wrap, shift):
+    monkeypatch.setattr(secret_scan, "WINDOW", 5000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 700)
+
+    def packed(text):
+        blob = base64.b64encode(gzip.compress(text.encode())).decode()
+        return "\n".join(blob[i : i + wrap] for i in range(0, len(blob), wrap)) if wrap else blob
+
+    for lines in (155, 156, 157, 158, 159, 160, 161, 162, 800):
+        direct = packed(f"{noise(lines)}\n{SECRET} {noise(200)}")
+        twice = packed(f"{noise(70)}\n{'x' * shift}{packed(noise(lines) + SECRET + noise(500))} {noise(90)}")
+        for blob in (direct, twice):
+            assert secret_scan.secrets(f"a {blob} b")[1] == {(2, "assign", 2 + len(blob))}
+
+
 def test_place_of_a_secret_within_a_url():
     text = "go to x?q=1&pass%77ord%3Dabcdefgh12 now"
     assert secret_scan.secrets(text)[1] == {(text.index("pass"), "assign", text.index(" now"))}
