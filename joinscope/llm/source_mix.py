@@ -4,7 +4,8 @@
 2. A source's target is its share by weight; what exceeds its cap goes to the others by weight.
 3. Whole passes over a source and one partial pass give each row its number of copies. The
    partial pass takes blocks in (random) order; of the block that the target falls into, it takes
-   the largest rows that still fit.
+   the largest rows that still fit, and goes on to later blocks with rows small enough for what
+   room is left, until there is none.
 4. How many blocks of each source an output shard gets comes from a tree: each node deals its
    block quotas to its two halves by one multivariate hypergeometric draw, down to the shards.
    A source's blocks, permuted anew for each pass, then go to the shards by these quotas.
@@ -136,16 +137,60 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap
     return filled.select(*sources.columns, "rank", target.cast("double").alias("target"))
 
 
-def fitting(rows: Column, left: Column) -> Column:
-    """The hashes of the rows of a block, largest first, that still fit into ``left`` words."""
-    units = F.transform(F.array_distinct(rows), lambda x: F.struct((-x["size"] * F.size(F.filter(rows, lambda y: y["h"] == x["h"]))).alias("less"), x["h"].alias("h")))
+def units(rows: Column) -> Column:
+    """The rows of a block, equal ones together: (less, h), minus the words of all of them and their hash."""
+    return F.transform(F.array_distinct(rows), lambda x: F.struct((-x["size"] * F.size(F.filter(rows, lambda y: y["h"] == x["h"]))).alias("less"), x["h"].alias("h")))
+
+
+def fitting(parts: Column, left: Column) -> Column:
+    """The hashes of those ``units``, largest first, that still fit into ``left`` words, and what is then left."""
     start = F.struct(left.cast("double").alias("left"), F.array().cast("array<bigint>").alias("taken"))
 
     def step(s: Column, x: Column) -> Column:
         more = F.struct((s["left"] + x["less"]).alias("left"), F.concat(s["taken"], F.array(x["h"])).alias("taken"))
         return F.when(s["left"] + x["less"] >= 0, more).otherwise(s)
 
-    return F.aggregate(F.array_sort(units), start, step, lambda s: s["taken"])
+    return F.aggregate(F.array_sort(parts), start, step)
+
+
+def with_earlier(blocks: DataFrame, by: str, **sums: Column) -> DataFrame:
+    """``blocks`` and, for each of ``sums``, its total over the earlier blocks of the source by number ``by``.
+
+    First over ranges of blocks, then within each range.
+    """
+    reach = F.floor(F.col(by) / BLOCKS_PER_RANGE)
+    totals = blocks.groupBy("k", reach.alias("reach")).agg(*[x.alias(c) for c, x in sums.items()])
+    earlier = Window.partitionBy("k").orderBy("reach").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("k", "reach", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_0") for c in sums])
+    inside = Window.partitionBy("k", "reach").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn("reach", reach).join(totals, ["k", "reach"])
+    return placed.select(*blocks.columns, *[(F.col(f"{c}_0") + F.coalesce(x.over(inside), F.lit(0))).alias(c) for c, x in sums.items()])
+
+
+def filled_up(ordered: DataFrame, known) -> DataFrame:
+    """(k, at, more): what else the partial pass takes of the blocks behind the one that the target falls into.
+
+    Of these, in order, all units that fit into the room left are taken up to the block that they
+    would exceed it in, and there the largest that fit. This halves the room at least, and is
+    repeated behind that block until no unit is small enough, a few times even for long rows.
+    """
+    room = ordered.where(F.col("taken").isNotNull()).select("k", F.col("at").alias("behind"), F.col("fit.left").alias("room"))
+    parts = None
+    while True:
+        room = keep(room.where("room >= 1"))
+        later = ordered.select("k", "at", "rows").join(known(room), "k").where(F.col("at") > F.col("behind"))
+        small = units(F.filter("rows", lambda x: (x["size"] > 0) & (x["size"] <= F.col("room"))))
+        later = later.select("k", "at", "room", F.filter(small, lambda x: -x["less"] <= F.col("room")).alias("small")).where(F.size("small") > 0)
+        later = keep(later.withColumn("w", F.aggregate("small", F.lit(0).cast("long"), lambda s, x: s - x["less"])))
+        if later.isEmpty():
+            return parts
+        left = F.col("room") - F.col("before")
+        some = with_earlier(later, "at", before=F.sum("w")).where(left > 0)
+        fit = F.when(left < F.col("w"), fitting(F.col("small"), left))
+        some = keep(some.select("k", "at", fit.alias("fit"), F.transform("small", lambda x: x["h"]).alias("all")))
+        part = some.select("k", "at", F.coalesce("fit.taken", "all").alias("more"))
+        parts = part if parts is None else parts.unionByName(part)
+        room = some.where(F.col("fit").isNotNull()).select("k", F.col("at").alias("behind"), F.col("fit.left").alias("room"))
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: float = CAP, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -173,21 +218,16 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     targets = keep(targets.withColumn("full", full).withColumn("rest", F.when(F.col("words") > 0, F.col("target") - F.col("full") * F.col("words")).otherwise(0.0)))
     known = (lambda df: F.broadcast(df)) if targets.count() <= BROADCAST_SOURCES else (lambda df: df)
 
-    # running sums over a source's blocks: first over ranges of blocks, then within each range
-    reach = F.floor(F.col("block") / BLOCKS_PER_RANGE).alias("reach")
-    sums = blocks.groupBy("k", reach).agg(F.sum("words").alias("w"), F.count("*").alias("c"))
-    earlier = Window.partitionBy("k").orderBy("reach").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("k", "reach", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("w", "c")])
-    inside = Window.partitionBy("k", "reach").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = blocks.withColumn("reach", reach).join(sums, ["k", "reach"]).select(
-        "k", "block", "rows", F.col("words").alias("w"),
-        (F.col("w0") + F.coalesce(F.sum("words").over(inside), F.lit(0))).alias("before"),
-        (F.col("c0") + F.coalesce(F.count("*").over(inside), F.lit(0))).alias("at"),
-    )
+    # running sums over a source's blocks
+    ordered = with_earlier(blocks.select("k", "block", "rows", F.col("words").alias("w")), "block", before=F.sum("w"), at=F.count("*"))
     ordered = ordered.join(known(targets.select("k", "rank", "words", "n", "target", "full", "rest")), "k")
     left = F.col("rest") - F.col("before")
-    ordered = ordered.withColumn("taken", F.when((left > 0) & (left < F.col("w")), fitting(F.col("rows"), left)))
-    ordered = keep(ordered.withColumn("whole", (left > 0) & (left >= F.col("w"))).drop("rows", "w"))
+    ordered = ordered.withColumn("fit", F.when((left > 0) & (left < F.col("w")), fitting(units(F.col("rows")), left)))
+    ordered = keep(ordered.withColumn("taken", F.col("fit.taken")).withColumn("whole", (left > 0) & (left >= F.col("w"))).drop("w"))
+    more = filled_up(ordered, known)
+    ordered = ordered.drop("rows", "fit")
+    if more is not None:
+        ordered = keep(ordered.join(more, ["k", "at"], "left").withColumn("taken", F.coalesce("taken", "more")).drop("more"))
 
     partial = F.count(F.when(F.col("whole") | (F.size("taken") > 0), 1))
     quotas = ordered.groupBy("rank").agg((F.max(F.col("n") * F.col("full")) + partial).alias("blocks"))

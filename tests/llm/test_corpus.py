@@ -108,6 +108,23 @@ def test_mix_of_whole_table(spark, sf_dir):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_mix_fills_up_behind_a_very_long_row(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(source_mix, "ROWS_PER_BLOCK", 8)
+    monkeypatch.setattr(source_mix, "BLOCKS_PER_RANGE", 4)
+    rows = [(i, "a", 5 + i * 7 % 40) for i in range(150)] + [(900, "a", 30_000), (901, "a", 3_000)]
+    rows += [(1000 + i, "b", 20 + i * 3 % 50) for i in range(150)] + [(2000, "b", 9_000)]
+    docs = spark.createDataFrame([(i, "w " * n, s) for i, s, n in rows], "doc_id long, text string, source string")
+    got = source_mix.plan(docs).select("row.doc_id", "row.source", "size", "target", F.size("copies").alias("n")).collect()
+    assert len(got) == len(rows)
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        rest = mine[0].target - sum(r.size * r.n for r in mine)
+        full = min(r.n for r in mine)
+        assert 0 <= rest < min(r.size for r in mine if r.n == full)
+
+
 def test_shards_get_all_blocks(spark):
     q = spark.createDataFrame([(1, 10_000), (2, 37), (3, 0), (4, 801)], "rank int, blocks long")
     ends = {r["rank"]: list(r.ends) for r in source_mix.shard_quotas(q, 12, 5).collect()}
