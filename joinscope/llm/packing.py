@@ -138,23 +138,21 @@ def pack_histogram(counts: dict[int, int], limit: int = LIMIT) -> list[tuple[int
     """
     by_room: dict[int, list[tuple[int, tuple[int, ...]]]] = defaultdict(list)
     for length in range(limit, 0, -1):
-        left, grown = counts.get(length, 0), []
+        left = counts.get(length, 0)
         for room in range(limit - 1, length - 1, -1):  # the shortest packs have the most room
             while left and by_room[room]:
                 n, lengths = by_room[room].pop()
                 used = min(n, left)
                 if used < n:
                     by_room[room].append((n - used, lengths))
-                grown.append((room - length, used, (*lengths, length)))
+                by_room[room - length].append((used, (*lengths, length)))  # may take more of this length
                 left -= used
         while left:
             # as many new packs as needed, each with as many of this length as it takes
             each = min(limit // length, left)
             packs = left // each
-            grown.append((limit - each * length, packs, (length,) * each))
+            by_room[limit - each * length].append((packs, (length,) * each))
             left -= each * packs
-        for room, n, lengths in grown:
-            by_room[room].append((n, lengths))
     slots, rank, sequence = [], defaultdict(int), 0
     for room in sorted(by_room):
         for n, lengths in by_room[room]:

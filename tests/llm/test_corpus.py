@@ -66,6 +66,11 @@ def test_packs_fill_up():
     assert len(packs) <= math.ceil(sum(k * v for k, v in counts.items()) / 4096) + 2
 
 
+def test_pack_takes_several_pieces_of_one_length():
+    slots = packing.pack_histogram({2000: 1, 500: 4})
+    assert {first for _, _, _, first, _ in slots} == {0} and sorted(at for *_, at in slots) == [0, 2000, 2500, 3000, 3500]
+
+
 def test_packing_with_odd_rows(spark, odd_docs, no_docs):
     rows = packing.pack(odd_docs, TOKENIZER).collect()
     assert sum(r.start == 0 for r in rows) == odd_docs.count()
