@@ -21,7 +21,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n: int = SAM
     """Texts and labels of at most ``n`` rows outside the held-out fold, by the hash of the id.
 
     Several labels of one document count as their maximum, null labels not at all. Texts are
-    taken in the same order as long as they fit into ``characters`` together.
+    taken in the same order; one that does not fit into what is left of ``characters`` is passed over.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(label).alias("label"))
@@ -30,7 +30,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n: int = SAM
     slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *columns)
     rows = slim.join(F.broadcast(chosen), "doc_id")  # n rows at most
     sizes = rows.select("doc_id", F.char_length("text").alias("c")).orderBy(F.xxhash64("doc_id"), "doc_id", "c").limit(n).toPandas()
-    fits = sizes.loc[sizes["c"].cumsum() <= characters, "doc_id"]
+    fits, most, left = [], 0, characters
+    for doc_id, c in zip(sizes["doc_id"].tolist(), sizes["c"].tolist(), strict=True):
+        if c <= left:
+            fits.append(doc_id)
+            most, left = max(most, c), left - c
     if len(fits) < len(sizes):
-        rows = rows.where(F.col("doc_id").isin(fits.tolist()))
+        rows = rows.where(F.col("doc_id").isin(fits) & (F.char_length("text") <= most))
     return rows.toPandas().sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id").reset_index(drop=True)

@@ -29,6 +29,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert m[1, 1] >= 0.6 * m[1].sum() and m[0, 1] <= 0.02 * m[0].sum()
 
 
+def test_sample_passes_over_a_text_that_does_not_fit(spark):
+    from pyspark.sql import functions as F
+
+    from joinscope.llm.labelled import held_out, labelled_sample
+
+    ids = [r.id for r in spark.range(40).where(~held_out(F.col("id"))).orderBy(F.xxhash64("id")).collect()]
+    docs = spark.createDataFrame([(i, "x" * (1000 if i == ids[0] else 10)) for i in ids], "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("toxic"))
+    assert labelled_sample(docs, labels, "toxic", characters=900)["doc_id"].tolist() == sorted(ids[1:])
+
+
 def test_sum_of_squares_is_the_sum_of_pairs():
     rng = np.random.default_rng(1)
     machine = quality_fm.Machine(0.3, rng.standard_normal(50), rng.standard_normal((50, 4)), (np.zeros(1), np.ones(1)))
