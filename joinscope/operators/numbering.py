@@ -1,4 +1,9 @@
-"""Consecutive row numbers in a total order, without one task seeing all rows."""
+"""Total order and consecutive numbers in it, without one task seeing all rows.
+
+Rows are dealt into ranges of the order and sorted within them, and each range is written once
+with the place of its rows. What crosses ranges is one count for each range and group; their
+running sums are the offsets of the numbers.
+"""
 
 from __future__ import annotations
 
@@ -12,49 +17,37 @@ from pyspark.sql import functions as F
 from joinscope.session import materialize
 
 
-def _ordering(key: str) -> Column:
-    return F.desc(key[1:]) if key.startswith("-") else F.asc(key)
+def ordering(key: str) -> Column:
+    """``col`` rises, nulls first; ``-col`` falls, nulls last."""
+    return F.desc(f"`{key[1:]}`") if key.startswith("-") else F.asc(f"`{key}`")
+
 
+def in_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """Rows dealt into rising ranges of ``order`` and sorted within each.
 
-def _name(key: str) -> str:
-    return key.lstrip("-")
+    Partition k holds nothing that belongs before partition k - 1. Rows with equal keys share a
+    partition, so ``order`` should end in something that tells rows apart.
+    """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [ordering(k) for k in order]
+    return df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
 
 
-def number_rows(df: DataFrame, order: Sequence[str], id_column: str = "Row_id") -> DataFrame:
-    """Number rows 1..n in ``order``, which must be unique; ``-col`` means descending.
+def number_rows(
+    df: DataFrame, order: Sequence[str], id_column: str = "Row_id", within: Sequence[str] = (), ranges: int | None = None
+) -> DataFrame:
+    """Number rows 1..n in ``order``, for each group ``within`` apart; ``-col`` means descending.
 
-    The number is the sum of one offset per key prefix plus the place within the last
-    prefix. A window never covers more than the distinct values of one key under one prefix,
-    so no task gets the whole table. The input is read several times and is therefore
-    materialised first.
+    Null keys are a group like any other. Rows equal in all keys get numbers in any order.
     """
-    df = materialize(df)
-    names = [_name(k) for k in order]
-    place = F.row_number().over(Window.partitionBy(*names[:-1]).orderBy(_ordering(order[-1])))
-    numbered = df.withColumn("_place", place.cast("long"))
-    if len(names) == 1:
-        return numbered.withColumnRenamed("_place", id_column).select(id_column, *df.columns)
-
-    offsets = None
-    for depth in range(1, len(names)):
-        keys = names[:depth]
-        before = (
-            Window.partitionBy(*keys[:-1]) if depth > 1 else Window.partitionBy(F.lit(0))
-        ).orderBy(_ordering(order[depth - 1])).rowsBetween(Window.unboundedPreceding, -1)
-        level = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-        level = level.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-        if offsets is not None:
-            level = _join_prefix(level, offsets, keys[:-1]).select(
-                *keys, (F.col("_before") + F.col("_outer")).alias("_before")
-            )
-        offsets = level
-    return _join_prefix(numbered, offsets, names[:-1]).select(
-        (F.col("_outer") + F.col("_place")).alias(id_column), *[F.col(f"`{c}`") for c in df.columns]
-    )
-
-
-def _join_prefix(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_outer``, the offset of each row's key prefix; null keys match each other."""
-    right = offsets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_before").alias("_outer"))
-    same = [rows[k].eqNullSafe(right[f"_k_{k}"]) for k in keys]
-    return rows.join(right, reduce(and_, same)).drop(*[f"_k_{k}" for k in keys])
+    place, part, first, before = "_place", "_part", "_first", "_before"
+    placed = in_ranges(df, [*within, *order], ranges).withColumn(place, F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn(part, F.shiftright(place, 33)))
+    counts = placed.groupBy(*within, part).agg(F.min(place).alias(first), F.count("*").alias("_n"))
+    # One row for each range that the group has rows in: bounded by the number of ranges.
+    earlier = Window.partitionBy(*[f"`{k}`" for k in within]).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn(before, F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    offsets = offsets.select(*[F.col(f"`{k}`").alias(f"_k_{i}") for i, k in enumerate(within)], F.col(part).alias("_k"), first, before)
+    same = [placed[f"`{k}`"].eqNullSafe(F.col(f"_k_{i}")) for i, k in enumerate(within)] + [placed[part] == F.col("_k")]
+    number = F.col(before) + F.col(place) - F.col(first) + 1
+    return placed.join(offsets, reduce(and_, same)).select(number.alias(id_column), *[F.col(f"`{c}`") for c in df.columns])
