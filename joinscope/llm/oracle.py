@@ -93,8 +93,56 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
 
+def _manifest() -> str:
+    """The tree level by level: each node's run is its parent's text; levels that are not there pass a node on."""
+    framed = lambda c: f"coalesce(octet_length(encode(v.{c}::VARCHAR)) || ':' || v.{c}::VARCHAR, '-')"
+    leaf = " || ".join(framed(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    levels = 8
+    steps = [f"""
+l0 AS (SELECT r, g, i, leaf AS h FROM numbered)"""]
+
+    def climb(name: str, group: str) -> None:
+        for k in range(levels):
+            steps.append(f"""
+{name}r{k} AS (SELECT {group}, i // 16 AS i, string_agg(h, '' ORDER BY i) AS run, any_value(n) AS n FROM (
+  SELECT *, count(*) OVER (PARTITION BY {group}) AS n FROM {name}{k}) GROUP BY {group}, i // 16),
+{name}{k + 1} AS (SELECT {group}, i, CASE WHEN n = 1 THEN run ELSE sha256(run) END AS h FROM {name}r{k})""")
+
+    climb("l", "g")
+    steps.append(f"""
+s0 AS (SELECT 0 AS z, g AS i, h FROM l{levels})""")
+    climb("s", "z")
+    # Downwards: siblings and place of each leaf on each level, then of its group.
+    cur, seen, joins = "changed", [], []
+    for name, key, at in [("l", "{t}.g = d.g", "d.i"), ("s", "true", "d.g")]:
+        for k in range(levels):
+            t = f"{name}r{k}"
+            joins.append(f"JOIN {t} ON {key.format(t=t)} AND {t}.i = {at} // {16 ** (k + 1)}")
+            seen.append((t, f"({at} // {16 ** k}) % 16"))
+    folds = ["f0 AS (SELECT d.*, changed AS cur, '' AS proof" + "".join(f", CASE WHEN {t}.n > 1 THEN {t}.run END AS {t}, {p} AS p_{t}" for t, p in seen) + " FROM numbered d " + " ".join(joins) + ")"]
+    for k, (t, _) in enumerate(seen):
+        folds.append(f"""f{k + 1} AS (SELECT * EXCLUDE (cur, proof), CASE WHEN {t} IS NULL THEN cur ELSE sha256(substr({t}, 1, 64 * p_{t}) || cur || substr({t}, 64 * p_{t} + 65)) END AS cur,
+  CASE WHEN {t} IS NULL THEN proof ELSE proof || substr({t}, 1, 64 * p_{t}) || substr({t}, 64 * p_{t} + 65) END AS proof FROM f{k})""")
+    bits = "x"
+    for _ in range(8):
+        bits = f"list_transform([{bits}], lambda y: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)[1]"
+    return f"""
+WITH crc AS (SELECT list({bits} ORDER BY x) AS t FROM range(256) AS v(x)),
+v AS (SELECT row_number() OVER () AS r, * FROM documents),
+tampered AS (SELECT v.* REPLACE (CASE WHEN xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(v.doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda a, b: xor(a >> 8, crc.t[1 + (xor(a, b) & 255)])), 4294967295) % 5 = 0 THEN translate(v.text, '{_UPPER}', '{_UPPER.lower()}') ELSE v.text END AS text) FROM v, crc),
+hashed AS (SELECT v.r, v.doc_id, v.source, sha256({leaf}) AS leaf FROM v),
+changed AS (SELECT v.r, sha256({leaf}) AS changed FROM tampered v),
+numbered AS (SELECT r, doc_id, leaf, changed, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed JOIN changed USING (r)),{",".join(steps)},
+{", ".join(folds)}
+SELECT doc_id, leaf, l{levels}.h AS subroot, s{levels}.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = s{levels}.h AS verified
+FROM f{len(seen)} f JOIN l{levels} ON l{levels}.g = f.g CROSS JOIN s{levels}"""
+
+
 ORACLE = {
     "op3_license_scan": _licences(),
     "op6_quality_rules": _rules(),
     "op9_block_ann": _neighbours(),
+    "op11_merkle_manifest": _manifest(),
 }

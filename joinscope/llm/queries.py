@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.llm import block_ann, lattice_lm, license_scan, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, source_mix, toxicity_knn
-from joinscope.llm.common import table
+from joinscope.llm import block_ann, lattice_lm, license_scan, merkle_manifest, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, source_mix, toxicity_knn
+from joinscope.llm.common import ascii_lower, table
 from joinscope.llm.labelled import held_out
 from joinscope.llm.oracle import ORACLE
 
@@ -91,4 +91,13 @@ def op10_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score, (score >= 0.3).cast("int").alias("predicted"), F.col("toxicity.examples").alias("evidence"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = merkle_manifest.leaf([ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in columns])
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, tampered)
+    m = merkle_manifest.manifest(table(spark, sf_dir, "documents"), columns, "source", other=changed, witness=False)
+    return m.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 __all__ = ["ORACLE", "QUERIES"]
