@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.llm import block_ann, lattice_lm, license_scan, merkle_manifest, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, sentence_pieces, source_mix, toxicity_knn
+from joinscope.llm import block_ann, embedding_whitening, lattice_lm, license_scan, merkle_manifest, minhash_dedup, packing, quality_fm, quality_rules, secret_scan, sentence_pieces, source_mix, toxicity_knn
 from joinscope.llm.common import ascii_lower, table
 from joinscope.llm.labelled import held_out
 from joinscope.llm.oracle import ORACLE
@@ -100,6 +100,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
