@@ -1,10 +1,10 @@
 """Nearest neighbours by a block matrix join with int8 tiles and error bounds.
 
 Vectors are packed into blocks: unit vectors rounded to int8, each with its scale and the norm of
-its rounding error, and the originals. Query blocks meet candidate blocks by an equi-join on the
-candidate's group. A tile is one product of int8 blocks; with both errors it bounds each cosine
+its rounding error, and the originals. Blocks are dealt onto a grid of candidate groups by query
+groups, whose size follows from the number of pairs, and meet by an equi-join on its cells. A tile is one product of int8 blocks; with both errors it bounds each cosine
 from below and above. Pairs whose upper bound reaches the k-th best lower bound of their query
-are computed again in double precision on the originals. Each task merges the best of its tiles in heaps,
+are computed again in double precision on the originals (held to a scale that cannot overflow). Each task merges the best of its tiles in heaps,
 and a ranking by query merges those of the tasks.
 
 Every query meets every candidate, so nothing is missed; the work is |queries| x |candidates|, in
@@ -12,12 +12,16 @@ tiles of fixed size. Neither side is broadcast or collected.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part,
 nor do rows with a null id; vectors meet only those of their own length; equal cosines go to the
-smaller id; rows with one id are separate candidates, none of which is a neighbour of that id.
+smaller id; rows with one id are separate candidates, none of which is a neighbour of that id;
+query rows equal in id and vector are one query, and those of one id with different vectors each have
+their own neighbours.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +29,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CANDIDATES, QUERIES, GROUPS = 1024, 256, 64
+CANDIDATES, QUERIES = 1024, 256
+#: Pairs that a cell of the grid has at least, and those that it has at most.
+CELL_LEAST, CELL_MOST = 1 << 21, 1 << 32
 #: Rounding of the float32 products of a tile.
 SLACK = 1e-5
 #: Queries whose heaps a task holds before it hands them on.
@@ -52,6 +58,14 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(v, lambda x: x != 0)
 
 
+def grid(candidates: int, queries: int, partitions: int) -> tuple[int, int]:
+    """Groups of candidates and of queries: some cells for each partition, and few copies of either side."""
+    pairs = max(1, candidates * queries)
+    cells = max(min(pairs / CELL_LEAST, 4 * partitions), pairs / CELL_MOST, 1)
+    across = min(math.ceil(math.sqrt(cells * candidates / max(1, queries))), math.ceil(cells), -(-candidates // CANDIDATES))
+    return max(1, across), max(1, math.ceil(cells / max(1, across)))
+
+
 def blocks(vectors: DataFrame, size: int) -> DataFrame:
     """Blocks of at most ``size`` rows of (id, vector), by length of the vectors."""
 
@@ -61,6 +75,8 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
         def block(dim: int) -> tuple:
             rows = held.pop(dim)
             x = np.array([v for _, v in rows], np.float64)
+            # a power of two is exact, and leaves cosines as they are
+            x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
             small, scale, error = quantised(x)
             return dim, np.array([i for i, _ in rows], np.int64).tobytes(), small.tobytes(), scale.tobytes(), error.tobytes(), x.tobytes()
 
@@ -83,8 +99,8 @@ def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.cumsum(x * y, axis=1)[:, -1]
 
 
-def best_pairs(q: tuple, c: tuple, dim: int, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query of a tile its id, and ids and cosines of its k best candidates or more at ties."""
+def best_pairs(q: tuple, c: tuple, dim: int, k: int) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
+    """For each query of a tile its id and a print of its vector, and ids and cosines of its k best candidates or more at ties."""
     (qi, qs, qscale, qerror, qx), (ci, cs, cscale, cerror, cx) = q, c
     kind = np.float32 if dim <= 1024 else np.float64  # sums of int8 products are whole numbers below 2^24
     about = (qs.astype(kind) @ cs.astype(kind).T) * qscale[:, None] * cscale[None, :]
@@ -97,7 +113,7 @@ def best_pairs(q: tuple, c: tuple, dim: int, k: int) -> Iterator[tuple[int, np.n
     for i in range(len(qi)):
         at = np.flatnonzero(maybe[i])
         if len(at):
-            yield int(qi[i]), ci[at], _dots(cx[at], qx[i]) / (cnorm[at] * qnorm[i])
+            yield (int(qi[i]), zlib.crc32(qx[i].tobytes())), ci[at], _dots(cx[at], qx[i]) / (cnorm[at] * qnorm[i])
 
 
 def _opened(row, side: str) -> tuple:
@@ -121,16 +137,19 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "ve
     def named(df: DataFrame, side: str) -> DataFrame:
         return df.select("dim", *[F.col(c).alias(f"{side}_{c}") for c in ("ids", "small", "scales", "errors", "exact")])
 
-    c = named(blocks(sound(vectors), CANDIDATES), "c").withColumn("group", F.pmod(F.xxhash64("c_ids"), F.lit(GROUPS)).cast("int"))
-    q = named(blocks(sound(queries), QUERIES), "q").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
+    across, down = grid(vectors.count(), queries.count(), int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    group = lambda ids, n: F.pmod(F.xxhash64(ids), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    c = named(blocks(sound(vectors), CANDIDATES), "c").withColumns({"x": group("c_ids", across), "y": every(down)})
+    q = named(blocks(sound(queries).distinct(), QUERIES), "q").withColumns({"x": every(across), "y": group("q_ids", down)})
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heaps: dict[int, list[tuple[float, int]]] = {}
+        heaps: dict[tuple[int, int], list[tuple[float, int]]] = {}
 
         def out() -> pd.DataFrame:
-            rows = [(i, -m, s) for i, h in heaps.items() for s, m in h]
+            rows = [(*i, -m, s) for i, h in heaps.items() for s, m in h]
             heaps.clear()
-            return pd.DataFrame(rows, columns=["query_id", "id", "score"])
+            return pd.DataFrame(rows, columns=["query_id", "print", "id", "score"])
 
         for batch in batches:
             for row in batch.to_dict("records"):
@@ -145,6 +164,6 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "ve
                     yield out()
         yield out()
 
-    best = c.join(q, ["dim", "group"]).drop("group").mapInPandas(merge, "query_id long, id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    best = c.join(q, ["dim", "x", "y"]).drop("x", "y").mapInPandas(merge, "query_id long, print long, id long, score double")
+    order = Window.partitionBy("query_id", "print").orderBy(F.desc("score"), "id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -42,10 +42,11 @@ PIECE = ("start", "length", "ids_crc32", "doc_tokens")
 class WordIds:
     """Ids of a text as little-endian 32-bit bytes, word by word.
 
-    The tokenizers used here never join characters over a blank or line break, nor a letter or
-    digit with marks after it, so the ids of a text are those of its words one after another, and
-    those of a word that ends in ASCII marks are those of its two parts. Each different part is
-    encoded once, many at a time with a separator between them. The least recently met words are
+    The tokenizers used here never join characters over a blank or line break, nor what stays one
+    letter or digit in their normal form with marks after it, so the ids of a text are those of
+    its words one after another, and those of a word that ends in ASCII marks are those of its two
+    parts. A letter that becomes several characters, the last one a combining mark, is not parted
+    from what follows. Each different part is encoded once, many at a time with a separator between them. The least recently met words are
     forgotten when there are too many.
     """
 
@@ -56,6 +57,7 @@ class WordIds:
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.between = self._encoded(SEPARATOR)
+        self.letters: dict[str, bool] = {}
 
     def _encoded(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -72,6 +74,16 @@ class WordIds:
         for word in set(words).difference(plain):
             self.ids[word] = np.array(self._encoded(word), "<u4").tobytes()
 
+    def _ends_word(self, character: str) -> bool:
+        """Whether the tokenizer takes it for one letter or digit, which marks do not join."""
+        known = self.letters.get(character)
+        if known is None:
+            t = self.tokenizer
+            normal = t.normalizer.normalize_str(character) if t.normalizer else character
+            apart = t.pre_tokenizer.pre_tokenize_str(normal + "!") if t.pre_tokenizer and len(normal) == 1 else []
+            known = self.letters[character] = len(apart) == 2
+        return known
+
     def _learn(self, new: set[str]) -> None:
         if len(self.ids) > REMEMBERED:
             self.ids, self.older = {}, self.ids
@@ -79,7 +91,7 @@ class WordIds:
         for word in new:
             if (known := older.get(word)) is not None:
                 ids[word] = known
-            elif "|>" not in word and (m := _ENDS_IN_MARKS.match(word)):  # special tokens stay whole
+            elif "|>" not in word and (m := _ENDS_IN_MARKS.match(word)) and self._ends_word(m[1][-1]):  # special tokens stay whole
                 parted.append((word, m[1], m[2]))
             else:
                 whole.append(word)
