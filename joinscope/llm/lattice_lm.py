@@ -20,10 +20,11 @@ with a null id train or not by the checksum of an empty text; an empty table giv
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain, repeat
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import xxhash
@@ -41,16 +42,17 @@ COUNTED = 400_000
 SMOOTHING = 0.1
 SPACE = "▁"
 
-_UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Words that go through the lattice together.
+TOGETHER = 5_000
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.translate(_UPPER)) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    """Words in UTF-8; of bytes, ``lower`` and ``split`` know A-Z and the blank and \\x09-\\x0D only."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def word_hash(word: str) -> int:
-    h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+def word_hash(word: bytes) -> int:
+    h = xxhash.xxh64_intdigest(word)
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -59,36 +61,64 @@ class Lattice:
 
     def __init__(self, pieces: dict[str, float], end: float):
         self.pieces, self.end = pieces, end
-        self.longest = max(map(len, pieces), default=1)
+        self.least = min(pieces.values(), default=-20.0)
+        self.automaton = None
 
     @classmethod
     def counted(cls, names: list[str], counts: dict[int, int], ends: int) -> Lattice:
         total = sum(counts.values()) + ends + SMOOTHING * (len(names) + 1)
-        logs = {n: math.log((counts.get(i, 0) + SMOOTHING) / total) for i, n in enumerate(names)}
+        logs = {n: math.log((counts.get(i, 0) + SMOOTHING) / total) for i, n in enumerate(names) if n}
         return cls(logs, math.log((ends + SMOOTHING) / total))
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"automaton": None}
+
     def _bytes(self, character: str) -> float:
-        least = min(self.pieces.values(), default=-20.0)
-        return sum(self.pieces.get(f"<0x{b:02X}>", least) for b in character.encode("utf-8", "surrogatepass"))
+        return sum(self.pieces.get(f"<0x{b:02X}>", self.least) for b in character.encode("utf-8", "surrogatepass"))
+
+    def _prepare(self) -> None:
+        names = list(self.pieces)
+        self.logs, self.sizes = np.array([*self.pieces.values(), 0.0]), np.array([*map(len, names), 1])
+        self.automaton = ahocorasick.Automaton()
+        for k, name in enumerate(names):
+            self.automaton.add_word(name, k)
+        self.automaton.make_automaton()
+
+    def words(self, words: Sequence[str]) -> np.ndarray:
+        """One forward recursion over all of ``words``, a step for each place in the longest."""
+        if not len(words):
+            return np.zeros(0)
+        if self.automaton is None:
+            self._prepare()
+        text = " ".join([SPACE + w for w in words])  # no piece holds a blank
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        first = np.cumsum(lengths + 1) - lengths - 1
+        found = list(self.automaton.iter(text)) if self.pieces else []
+        flat = np.fromiter(chain.from_iterable(found), np.int64, 2 * len(found)).reshape(-1, 2)
+        end, piece = flat[:, 0] + 1, flat[:, 1]
+        start, log = end - self.sizes[piece], self.logs[piece]
+        # A character that is no piece is spelt in bytes.
+        inside = np.ones(len(text), bool)
+        inside[first[1:] - 1] = False
+        inside[end[self.sizes[piece] == 1] - 1] = False
+        spelt = np.flatnonzero(inside)
+        costs = {c: self._bytes(c) for c in {text[i] for i in spelt.tolist()}}
+        start, end = np.append(start, spelt), np.append(end, spelt + 1)
+        log = np.append(log, [costs[text[i]] for i in spelt.tolist()])
+        place = end - first[np.searchsorted(first, start, "right") - 1]
+        order = np.lexsort((end, place))
+        start, end, log, place = start[order], end[order], log[order], place[order]
+        steps = np.append(np.flatnonzero(np.diff(place, prepend=0)), len(place)).tolist()
+        forward = np.full(len(text) + 1, -np.inf)
+        forward[first] = 0.0
+        for a, b in zip(steps, steps[1:], strict=False):
+            at = end[a:b]
+            groups = np.flatnonzero(np.diff(at, prepend=-1))
+            forward[at[groups]] = np.logaddexp.reduceat(forward[start[a:b]] + log[a:b], groups)
+        return forward[first + lengths]
 
     def word(self, word: str) -> float:
-        s = SPACE + word
-        get, longest = self.pieces.get, self.longest
-        forward = [0.0]
-        for j in range(1, len(s) + 1):
-            ways = []
-            for i in range(max(0, j - longest), j):
-                p = get(s[i:j])
-                if p is not None:
-                    ways.append(forward[i] + p)
-            if get(s[j - 1]) is None:  # a character that is no piece is spelt in bytes
-                ways.append(forward[j - 1] + self._bytes(s[j - 1]))
-            if len(ways) == 1:
-                forward.append(ways[0])
-            else:
-                most = max(ways)
-                forward.append(most + math.log(sum(math.exp(w - most) for w in ways)))
-        return forward[-1]
+        return float(self.words([word])[0])
 
 
 def piece_names(vocabulary: str) -> list[str]:
@@ -111,7 +141,7 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         def out() -> pd.DataFrame:
             rest = [w for w in other if w not in trained]
-            frame = pd.DataFrame({"word": pd.Series([*trained, *rest], dtype=object), "c": [*trained.values(), *[0] * len(rest)]})
+            frame = pd.DataFrame({"word": [*trained, *rest], "c": [*trained.values(), *[0] * len(rest)]})
             trained.clear()
             other.clear()
             return frame
@@ -126,7 +156,11 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     yield out()
         yield out()
 
-    return _slim(docs, id_col, text_col).select("text", "trains").mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return _slim(docs, id_col, text_col).select("text", "trains").mapInPandas(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def _texts(words: Sequence[bytes]) -> list[str]:
+    return [bytes(w).decode("utf-8", "surrogatepass") for w in words]
 
 
 def piece_counts(words: DataFrame, vocabulary: str) -> dict[int, int]:
@@ -138,7 +172,7 @@ def piece_counts(words: DataFrame, vocabulary: str) -> dict[int, int]:
         sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
         n = np.zeros(sp.get_piece_size(), np.int64)
         for batch in batches:
-            ids = sp.encode(batch["word"].tolist(), num_threads=1)
+            ids = sp.encode(_texts(batch["word"]), num_threads=1)
             if any(ids):
                 sizes = [len(x) for x in ids]
                 np.add.at(n, np.concatenate([np.asarray(x, np.int64) for x in ids]), np.repeat(batch["c"].to_numpy(), sizes))
@@ -156,9 +190,11 @@ def weighed(words: DataFrame, lattice: Lattice) -> DataFrame:
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = sent.value
         for batch in batches:
-            yield batch.assign(word=batch["word"].astype(object), h=[word_hash(w) for w in batch["word"]], lm=[model.word(w) for w in batch["word"]])
+            words = _texts(batch["word"])
+            lm = [model.words(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
+            yield batch.assign(h=[word_hash(bytes(w)) for w in batch["word"]], lm=np.concatenate([np.zeros(0), *lm]))
 
-    return words.select("word", "c").mapInPandas(weigh, "word string, c long, h long, lm double")
+    return words.select("word", "c").mapInPandas(weigh, "word binary, c long, h long, lm double")
 
 
 def most_frequent(words: DataFrame, most: int) -> DataFrame:
@@ -189,26 +225,27 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
     table = keep(weighed(counted, lattice))
     log_n = math.log10(n + 0.1 * (v + 1))
     frequent = most_frequent(table, FREQUENT).select("word", "c", "lm")
-    known = {w: (math.log10(c + 0.1) - log_n, lm, c > 0) for w, c, lm in frequent.toPandas().itertuples(index=False)}
-    sent = spark.sparkContext.broadcast(known)
-    end = (math.log10(ends + 0.1) - log_n, lattice.end, int(ends > 0))
+    known = frequent.toPandas()
+    index = {bytes(w): k for k, w in enumerate(known["word"])}
+    c = known["c"].to_numpy(np.float64)
+    values = np.stack([np.log10(c + 0.1) - log_n, known["lm"].to_numpy(np.float64), np.ones(len(c))])
+    sent = spark.sparkContext.broadcast((index, values))
+    end = np.array([math.log10(ends + 0.1) - log_n, lattice.end, ends > 0])
 
     def score_frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get, row = sent.value.get, TaskContext.get().partitionId() << 40
+        (index, values), row = sent.value, TaskContext.get().partitionId() << 40
         for batch in batches:
             out = []
             for id_, text, trains_ in zip(batch["id"], batch["text"], batch["trains"], strict=True):
                 words = words_of(text)
-                (base, lm, hits), rare = end, {}
-                for w, k in Counter(words).items():
-                    if (p := get(w)) is not None:
-                        base += k * p[0]
-                        lm += k * p[1]
-                        hits += k * p[2]
-                    else:
-                        rare[word_hash(w)] = k
+                counts = Counter(words)
+                at = np.fromiter(map(index.get, counts, repeat(-1)), np.int64, len(counts))
+                times = np.fromiter(counts.values(), np.int64, len(counts))
+                here = at >= 0
+                base, lm, hits = end + values[:, at[here]] @ times[here]
+                rare = [word_hash(w) for w, k in zip(counts, at.tolist(), strict=True) if k < 0]
                 row += 1
-                out.append((row, id_, not trains_, len(words) + 1, hits, base, lm, list(rare), list(rare.values())))
+                out.append((row, id_, not trains_, len(words) + 1, int(hits), base, lm, rare, times[~here]))
             yield pd.DataFrame(out, columns=["row", "id", "held_out", "n_tokens", "hits", "base", "lm", "rare", "times"])
 
     kind = dict(docs.dtypes)[id_col]
