@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joinscope.session import ensure_checkpoint_dir
+from joinscope.session import kept_folder, remove
 
 #: Characters `\x09-\x0D` and the blank part words, in Java's regular expressions.
 BLANKS = r"[ \t-\r]+"
@@ -18,14 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keep(df: DataFrame) -> DataFrame:
+#: Rows of a narrow table that one file holds at least, where their number is known.
+ROWS_PER_FILE = 500_000
+
+
+def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared checkpoint folder and read it from there.
 
-    The lineage ends there, so a lost executor costs no more than one read.
+    The lineage ends there, so a lost executor costs no more than one read. ``rows``: about how many
+    there are; a small table is then written as few files. What is not discarded before is
+    deleted when the program ends.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/kept-{uuid.uuid4()}"
+    path = f"{kept_folder(spark)}/kept-{uuid.uuid4()}"
+    if rows is not None:
+        df = df.coalesce(rows // ROWS_PER_FILE + 1)
     df.write.option("compression", "zstd").parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept.kept_at = path
@@ -35,9 +42,7 @@ def keep(df: DataFrame) -> DataFrame:
 def discard(*kept: DataFrame) -> None:
     """Delete results of ``keep`` that nothing reads any more."""
     for df in kept:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.kept_at)
-        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        remove(df.sparkSession, df.kept_at)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -198,19 +198,20 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     Each round is two aggregations and two joins on written tables; ends when no edge changes.
     """
     edges = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
-    state = None
+    state, n = None, edges.count()
     for _ in range(most_rounds):
         old = edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = keep(large.distinct())
+        large = keep(large.distinct(), 2 * n)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = keep(small.where("u > v").distinct())
+        edges = keep(small.where("u > v").distinct(), n)
         discard(old, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        n = now[0]
         if now == state:
             break
         state = now
@@ -333,6 +334,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = keep(sketches(docs, id_col, text_col))
     own = ["n", "print1", "print2"]
     with_words = every.where("n > 0 and id is not null")
+    n = every.count()
     classes = keep(with_words.groupBy(*own).agg(F.min_by("minima", "id").alias("minima"), F.min("id").alias("id")))
     rows = keep(buckets(classes))
     marks = classes.select("id", "n", F.pandas_udf(_mark, "binary")("minima").alias("mark"))
@@ -346,7 +348,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     x, y = (marks.select(F.col("id").alias(i), F.col("mark").alias(f"m{i}")) for i in "ab")
     near = stars(rows).join(x, "a").join(y, "b").select("a", "b", F.pandas_udf(_agree, "double")("ma", "mb").alias("agreement"))
     near = near.where(F.col("agreement") >= LEAST_AGREEMENT).groupBy("b").agg(F.max_by("a", F.struct("agreement", -F.col("a"))).alias("a"))
-    pairs = keep(near)
+    pairs = keep(near, n)
     known = keep(sets(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
     x, y = (known.select(F.col("id").alias(i), F.col("own").alias(f"s{i}")) for i in "ab")
     links = keep(pairs.join(x, "a").join(y, "b").where(F.pandas_udf(_similar, "boolean")("sa", "sb")).select("a", "b"))

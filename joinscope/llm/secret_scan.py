@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_CHARACTERS = 8
 
 URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_CHAR = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2}))")
+UNICODE_CHAR = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8})|u\{([0-9A-Fa-f]{1,6})\})")
 # Lines of a wrapped run are one run; a shorter word only starts one at the end of its line.
 _B, _WRAP = "[A-Za-z0-9+/_-]", r"[ \t]*+\r?\n[ \t]*+"
 BASE64_RUN = re.compile(rf"(?<!{_B})(?:{_B}{{19,}}+|{_B}++(?={_WRAP}{_B}))(?:{_WRAP}{_B}++)*+={{0,2}}")
@@ -49,6 +50,8 @@ BASE64_RUN = re.compile(rf"(?<!{_B})(?:{_B}{{19,}}+|{_B}++(?={_WRAP}{_B}))(?:{_W
 BASE64_LEAST = 19
 STANDARD = str.maketrans("-_", "+/")
 READABLE = re.compile(rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){14,}+")
+#: Plain text in UTF-16, of either byte order.
+WIDE = re.compile(rb"(?:[\t-\r\x20-\x7e]\x00){14,}+|(?:\x00[\t-\r\x20-\x7e]){14,}+")
 #: What gzip, or zlib without a dictionary, starts with.
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 #: Base64 characters of a garbage prefix that may happen to be readable.
@@ -59,6 +62,12 @@ BASE64_MORE = re.compile(r"[A-Za-z0-9+/_\s-]*+")
 BLANKS = re.compile("\x20{2,}")
 #: Bytes of a window of unpacked data, and the characters that it repeats of the one before.
 WINDOW, OVERLAP = 4 << 20, 256 << 10
+#: Windows halve from layer to layer down to this, so that deep nesting stays in bounded memory.
+WINDOW_LEAST = 512 << 10
+#: Bytes over which compressed data and data around it have to be equal to be taken for a cycle, where its end isn't seen.
+HEAD = 64 << 10
+#: Layers of compressed data directly in compressed data.
+DEEPEST = 1000
 
 Span = tuple[int, int]
 #: A text and, for each of its characters, the start and the end of what it came from.
@@ -95,7 +104,8 @@ def _url_bytes(m: re.Match) -> str:
 
 
 def _unicode_char(m: re.Match) -> str:
-    return chr(int(m[1] or m[2], 16))
+    code = int(m[1] or m[2] or m[3] or m[4], 16)
+    return chr(code) if code < 0x110000 else m[0]
 
 
 class Runs:
@@ -193,6 +203,9 @@ class Runs:
                     b = byte
             for kind in kinds:
                 yield start(a), kind, end(b)
+        for m in WIDE.finditer(data) if b"\0" in data else ():
+            for kind in self.kinds(m[0].replace(b"\0", b"").decode()):
+                yield start(m.start()), kind, end(m.end())
         done = 0
         if open_ is not None:
             data = data[: len(body) // 4 * 3]  # the characters behind the last whole four go on later
@@ -211,25 +224,94 @@ class Runs:
 
 
 class Packed:
-    """Kinds of secrets in compressed data that comes in parts and is unpacked window by window."""
+    """Kinds of secrets in compressed data that comes in parts and is unpacked window by window.
 
-    def __init__(self, runs: Runs):
+    Compressed data in what was unpacked is a layer of its own, whose kinds are those of the
+    outermost one; the same data is visited once. A worklist goes through the layers, not recursion:
+    what lies within a window is unpacked before the window after it.
+    """
+
+    def __init__(self, runs: Runs, outer: Packed | None = None):
         self.unpack = zlib.decompressobj(47)  # 47: gzip or zlib, whichever it is
         self.characters = codecs.getincrementaldecoder("utf-8")("ignore")
-        self.runs, self.kinds, self.failed = runs, set(), False
+        self.outer, self.depth = outer, outer.depth + 1 if outer else 0
+        self.runs, self.kinds, self.failed = runs, outer.kinds if outer else set(), False
+        self.window = max(WINDOW >> self.depth, WINDOW_LEAST)
+        self.head, self.taken = b"", 0  # the first bytes that came in, and how many were used
+        self.inner: list[Packed] = []
+        self.seen: set[bytes] = outer.seen if outer else set()  # compressed data that needs no second visit
+        self.last = b""
         self.tail, self.open = "", []
         self.rest, self.lasts = "", True  # for compressed data that goes on behind a window
 
     def feed(self, data: bytes) -> None:
+        self.head += data[: HEAD - len(self.head)]
+        stack: list[Iterator[tuple[Packed, bytes | None, bytes | None]]] = [iter([(self, data, None)])]
+        while stack:
+            if (item := next(stack[-1], None)) is None:
+                stack.pop()
+                continue
+            layer, left, piece = item
+            if piece is None:
+                piece, left = layer._step(left)
+            if left is not None:
+                stack.append(iter([(layer, left, None)]))
+            if piece and len(self.kinds) < len(KINDS):
+                stack.append(layer._layers(piece))
+
+    def _step(self, data: bytes) -> tuple[bytes, bytes | None]:
+        """One window of what ``data`` unpacks to, and what is left of it if there may be another."""
+        if not self.alive():
+            return b"", None
         try:
-            while not self.unpack.eof:
-                piece = self.unpack.decompress(data, WINDOW)
-                data = self.unpack.unconsumed_tail
-                self._window(self.characters.decode(piece))
-                if len(piece) < WINDOW and not data:
-                    break
+            piece = self.unpack.decompress(data, self.window)
         except zlib.error:
             self.failed = True
+            return b"", None
+        left = self.unpack.unconsumed_tail
+        self.taken += len(data) - len(left) - len(self.unpack.unused_data)
+        self._window(self.characters.decode(piece))
+        return piece, left if not self.unpack.eof and (len(piece) == self.window or left) else None
+
+    def _layers(self, piece: bytes) -> Iterator[tuple[Packed, bytes | None, bytes | None]]:
+        """The compressed data in a window: what of it is still packed, and what was just unpacked."""
+        self.inner = [x for x in self.inner if x.alive()]
+        data, new, done = self.last + piece, len(self.last), 0
+        self.last = data[-2:]
+        for x in list(self.inner):
+            x.head += piece[: HEAD - len(x.head)]
+            yield x, piece, None
+        for m in PACKED.finditer(data) if self.depth < DEEPEST else ():
+            if m.end() <= new or m.start() < done:
+                continue
+            part = data[m.start() :]
+            if self._around(part):
+                continue
+            x = Packed(self.runs, self)
+            x.head = part[:HEAD]
+            got, left = x._step(part)
+            if x.failed:
+                continue
+            if x.unpack.eof:
+                done = m.start() + x.taken
+                if (seen := hashlib.sha256(part[: x.taken]).digest()) in self.seen:
+                    continue
+                self.seen.add(seen)
+            else:
+                self.inner.append(x)
+                if left is None and x.taken >= HEAD:  # it is no chance, and goes on behind the window
+                    done = len(data)
+            yield x, left, got
+
+    def _around(self, part: bytes) -> bool:
+        """Whether ``part`` starts with the data that this or an outer layer was unpacked from."""
+        layer = self
+        while layer is not None:
+            n = min(layer.taken, HEAD) if layer.unpack.eof else HEAD
+            if len(layer.head) >= n <= len(part) and layer.head[:n] == part[:n]:
+                return True
+            layer = layer.outer
+        return False
 
     def more(self, text: str) -> bool:
         """Go on with the base64 characters that ``text`` starts with; whether they may go on after it."""
@@ -248,7 +330,7 @@ class Packed:
     def _window(self, text: str) -> None:
         if len(self.kinds) == len(KINDS):
             return
-        text = BLANKS.sub(" ", text)  # their number means nothing to any pattern
+        text = BLANKS.sub(" ", text.replace("\0", ""))  # their number means nothing to any pattern, nor do the zeros of UTF-16
         for inner in self.open:
             inner.lasts = inner.more(text)
             self.kinds |= inner.kinds
