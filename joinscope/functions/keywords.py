@@ -47,8 +47,10 @@ TERADATA_RULES = (
 # Rules that every text needs; the rest are dialect rules.
 COMMON_RULES = (r"--[^\n]*", r"(?s)/\*.*?\*/", r";\s*$", r"\s+")
 
-# A text that no dialect rule matches is changed by none of them: built from the rules themselves.
-TERADATA_PROBE = "(?i)" + "|".join(f"(?:{p})" for p, _ in TERADATA_RULES if p not in COMMON_RULES)
+# Each dialect rule needs one of these words: a text without them is changed by none of the rules.
+TERADATA_WORDS = (
+    "FORMAT", "TITLE", "NAMED", "CASEWORD", "ISOLATION", "LOCKING", "COMPRESS", "NORMALIZE", "EXPAND", "BTEQ",
+)
 
 # A word ends here, for keywords glued to the end of another word.
 WORD_END = r"(?=[^A-Za-z0-9_]|$)"

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from joinscope.functions.columns import collapse_ws, let, strip
-from joinscope.functions.keywords import FUSED_KEYWORDS, JOIN_TARGET, SLASH_REMARK, TERADATA_PROBE, TERADATA_RULES, WORD_END
+from joinscope.functions.keywords import FUSED_KEYWORDS, JOIN_TARGET, SLASH_REMARK, TERADATA_RULES, TERADATA_WORDS, WORD_END
 
 _BLOCK = r"(?s)/\*.*?\*/"
 _LINE = r"--[^\n]*"
@@ -57,10 +59,11 @@ def clean_teradata(sql: Column) -> Column:
         every_rule = s
         for pattern, replacement in TERADATA_RULES:
             every_rule = F.regexp_replace(every_rule, "(?i)" + pattern, replacement)
-        # Most texts match no dialect rule at all and need only the common ones.
+        # Most texts hold no word of a dialect rule and need only the common ones.
         common = _replace(_replace(s, "--", _LINE, ""), "/*", _BLOCK, " ")
         common = collapse_ws(_replace(common, ";", r";\s*$", ""))
-        return F.when(s.rlike(TERADATA_PROBE), every_rule).otherwise(common)
+        some_word = let(F.upper(s), lambda u: reduce(or_, [F.contains(u, F.lit(w)) for w in TERADATA_WORDS]))
+        return F.when(some_word, every_rule).otherwise(common)
 
     return strip(let(strip(sql), cleaned))
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joinscope.functions.names import parse_time
 from joinscope.schemas import QUERY_LOG_COLUMNS, TIME_COLUMNS
-from joinscope.sources.quoted import read_quoted_csv
+from joinscope.sources.quoted import Verify, read_quoted, read_quoted_csv
 
 _FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".jsonl": "json", ".orc": "orc"}
 
@@ -25,23 +25,43 @@ def format_of(path: str) -> str:
     return _FORMATS[suffix]
 
 
+def typed(texts: DataFrame, schema: str, rescued: str | None = None) -> DataFrame:
+    """Text columns cast to ``schema``, by name; absent columns are null.
+
+    A cell that doesn't cast is null. With ``rescued``, a column of that name maps the columns of a
+    row's bad cells to their texts; it is null for a row without any.
+    """
+    fields = texts.sparkSession.createDataFrame([], schema).schema.fields
+    have = {c.lower(): c for c in texts.columns}
+    text = {f.name: F.trim(F.col(f"`{have[f.name.lower()]}`")) for f in fields if f.name.lower() in have}
+    value = {f.name: text[f.name].try_cast(f.dataType) if f.name in text else F.lit(None).cast(f.dataType) for f in fields}
+    columns = [value[f.name].alias(f.name) for f in fields]
+    if rescued:
+        cells = [F.when((t != "") & value[c].isNull(), F.struct(F.lit(c).alias("column"), F.col(f"`{have[c.lower()]}`").alias("text"))) for c, t in text.items()]
+        bad = F.map_from_entries(F.array_compact(F.array(*cells)))
+        columns.append(F.when(F.size(bad) > 0, bad).alias(rescued))
+    return texts.select(*columns)
+
+
+def bad_cells(df: DataFrame, keys: Iterable[str], rescued: str = "_rescued") -> DataFrame:
+    """(keys, column, text) of the cells that ``typed`` could not cast."""
+    return df.where(F.col(rescued).isNotNull()).select(*keys, F.explode(rescued).alias("column", "text"))
+
+
 def read_table(
-    spark: SparkSession, path: str, fmt: str | None = None, schema: str | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, fmt: str | None = None, schema: str | None = None, multi_line: bool = False, rescued: str | None = None
 ) -> DataFrame:
     """Read a table by file type. CSV columns are all strings unless a schema is given.
 
-    With ``multi_line``, quoted CSV fields may span lines; files are read in splits either way.
+    With ``multi_line`` or a schema, quoted CSV fields may span lines, and each file's columns go by its
+    own header; files are read in splits either way. ``rescued``: see ``typed``.
     """
     fmt = fmt or format_of(path)
     reader = spark.read.schema(schema) if schema else spark.read
     if fmt == "csv":
-        if multi_line:
-            texts = read_quoted_csv(spark, path)
-            if schema is None:
-                return texts
-            typed = spark.createDataFrame([], schema).schema
-            return texts.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in typed.fields])
-        return reader.options(header=True, quote='"', escape='"').csv(path)
+        if schema is not None:
+            return typed(read_quoted_csv(spark, path), schema, rescued)
+        return read_quoted_csv(spark, path) if multi_line else reader.options(header=True, quote='"', escape='"').csv(path)
     if fmt not in set(_FORMATS.values()):
         raise ValueError(f"unsupported format {fmt!r}; expected one of {sorted(set(_FORMATS.values()))}")
     return reader.format(fmt).load(path)
@@ -86,3 +106,17 @@ def read_query_log(spark: SparkSession, path: str, fmt: str | None = None, stric
     if strict:
         require_columns(df, QUERY_LOG_COLUMNS)
     return resolve_log(df)
+
+
+def is_log_record(fields: Column) -> Column:
+    """Whether a record that is read again after a damaged one may count: its log date is a time, and its names are words."""
+    named = lambda *names: F.map_values(F.map_filter(fields, lambda name, _: F.lower(name).isin(*names)))
+    dated = parse_time(F.try_element_at(named("logdate"), F.lit(1))).isNotNull()
+    names = named("user_name", "usr_nm", "db_nm", "obj_db_nm", "tbl_nm", "obj_tbl_nm")
+    return dated & F.forall(names, lambda n: n.isNull() | ~F.trim(n).rlike(r"\s"))
+
+
+def read_checked_log(spark: SparkSession, path: str, verified: Verify = is_log_record) -> tuple[DataFrame, DataFrame]:
+    """(query log, rejected) of CSV files that may hold damaged records."""
+    texts, rejected = read_quoted(spark, path, verified=verified)
+    return resolve_log(texts), rejected

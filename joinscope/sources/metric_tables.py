@@ -12,17 +12,18 @@ def _columns(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
-def _read(spark: SparkSession, path: str, schema: str, fmt: str | None) -> DataFrame:
-    return require_columns(read_table(spark, path, fmt, schema, multi_line=False), _columns(schema))
+def _read(spark: SparkSession, path: str, schema: str, fmt: str | None, rescued: str | None) -> DataFrame:
+    return require_columns(read_table(spark, path, fmt, schema, rescued=rescued), _columns(schema))
 
 
-def read_usage_metrics(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return _read(spark, path, USAGE_METRICS, fmt)
+def read_usage_metrics(spark: SparkSession, path: str, fmt: str | None = None, rescued: str | None = None) -> DataFrame:
+    """``rescued``: a column for the CSV cells that don't cast, see ``logs.typed``."""
+    return _read(spark, path, USAGE_METRICS, fmt, rescued)
 
 
-def read_column_usage(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return _read(spark, path, COLUMN_USAGE, fmt)
+def read_column_usage(spark: SparkSession, path: str, fmt: str | None = None, rescued: str | None = None) -> DataFrame:
+    return _read(spark, path, COLUMN_USAGE, fmt, rescued)
 
 
-def read_join_patterns(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return _read(spark, path, JOIN_PATTERNS, fmt)
+def read_join_patterns(spark: SparkSession, path: str, fmt: str | None = None, rescued: str | None = None) -> DataFrame:
+    return _read(spark, path, JOIN_PATTERNS, fmt, rescued)

@@ -1,53 +1,250 @@
-"""Quoted CSV whose fields may span lines, read in splits.
+"""Quoted CSV whose fields may span lines, read in splits, with damaged records told apart.
 
-A line starts a record unless a quote is still open before it. Quotes are counted within each
-split; what crosses splits is one row for each: whether its quotes are odd in number, and how many
-records start in it for either state at its start. Records cut by a split border are put together
-afterwards. A line break within a field is ``\\n``, whatever the file has.
+A quote opens a field at the field's start and closes it before a comma or the end of a line; ``""``
+is a quote within it, and a quote anywhere else is text. So a line says where it ends, inside a
+field or outside, for either state at its start: it keeps the state, turns it, or sets it whatever
+it was. Such functions are composed over the lines of a split and over the splits of a file; what
+crosses splits is one row for each. A line that starts outside starts a record. A line break within a
+field is ``\\n``, whatever the file has.
+
+A quote that is missing or too many makes a record swallow the lines after it. A record is sound if
+it is closed, has as many fields as its file's header, is not longer than ``MOST_LINES`` lines, and has
+no single quote within a field that spans lines; blank lines between records are none. From the first unsound record of several lines, its
+first line is rejected alone, and the lines after it are read again as outside, up to the next sound
+record; this goes on until nothing changes. What is read again, or stands shortly after an unsound
+record, has to pass ``verified`` too, since a line of SQL may have as many commas as a record. Every line is in a record or among the rejected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from joinscope.sources.ragged import assembled, read_lines
+from joinscope.functions.columns import let
+from joinscope.session import materialize
+from joinscope.sources.ragged import read_lines
 
+#: A longer record is taken for one whose quote is not closed.
+MOST_LINES = 10_000
+#: Damaged records that may follow each other directly; of more, the rest is rejected as it stands.
+MOST_ROUNDS = 20
+#: Records after an unsound one that have to pass ``verified`` as well: what is left of it may look like a record.
+NEAR = 16
+#: Records of a file among which a run of unsound ones is looked for.
+STRETCH = 1_000_000
 
-def quoted_records(lines: DataFrame) -> DataFrame:
-    """Records (file, record_no, text) of ``lines`` (file, block, line_no, value), numbered from 1."""
+_WITHIN = r'(?:[^"]++|""|"(?!,|\n|\z))*+'
+_CLOSED = rf'(?:"{_WITHIN}"|[^",][^,]*+|)'
+_OPENED = rf'(?:{_CLOSED},)*+"{_WITHIN}\z'
+ENDS_INSIDE_FROM_OUTSIDE = rf"\A{_OPENED}"
+ENDS_INSIDE_FROM_INSIDE = rf'\A{_WITHIN}(?:\z|",{_OPENED})'
+#: With its comma; a comma is put before the first one.
+FIELD = rf',("{_WITHIN}"|[^",][^,]*+|)(?=,|\z)'
+#: A quoted field over several lines with a quote in it that is not doubled.
+SINGLE_QUOTE = r'\A"(?=[\s\S]*\n)(?:[^"]++|"")*+"(?!\z)'
+
+Verify = Callable[[Column], Column]
+
+
+def _inside_before(df: DataFrame, keys: Sequence[str], order: str, from_outside: str, from_inside: str) -> DataFrame:
+    """Add ``if_outside`` and ``if_inside``: the state before each row, for either state before the first.
+
+    ``from_outside``, ``from_inside``: whether the row ends inside. After the last row that sets the
+    state, only the number of rows that turn it counts.
+    """
+    rows = Window.partitionBy(*keys).orderBy(order)
+    upto, before = (rows.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1))
+    o, i = F.col(from_outside), F.col(from_inside)
+    turned = F.coalesce(F.sum("_turns").over(before), F.lit(0))
+    df = df.withColumn("_turns", (o & ~i).cast("int")).withColumn("_turned", F.sum("_turns").over(upto))
+    df = df.withColumns(
+        {"_set": F.last(F.when(o == i, F.struct(o.alias("inside"), F.col("_turned").alias("at"))), ignorenulls=True).over(before), "_now": turned}
+    )
+    odd = lambda n: n % 2 == 1
+    known = F.col("_set.inside") != odd(F.col("_now") - F.col("_set.at"))
+    return df.withColumns(
+        {"if_outside": F.coalesce(known, odd(F.col("_now"))), "if_inside": F.coalesce(known, ~odd(F.col("_now")))}
+    ).drop("_turns", "_turned", "_set", "_now")
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``lines`` (file, block, line_no, value) with ``record_no`` in the file from 1, and ``inside``
+    after the line. Whatever is before the first record of a file has number 0."""
     line = F.regexp_replace("value", "^\ufeff", "")
-    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2
-    split = Window.partitionBy("file", "block").orderBy("line_no")
-    earlier = split.rowsBetween(Window.unboundedPreceding, -1)
-    marked = lines.select("file", "block", "line_no", line.alias("line"), odd.alias("odd")).withColumn(
-        "inside", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
+    quoted = F.contains("line", F.lit('"'))
+    marked = lines.select("file", "block", "line_no", line.alias("line")).withColumns(
+        {"_o": quoted & F.col("line").rlike(ENDS_INSIDE_FROM_OUTSIDE), "_i": ~quoted | F.col("line").rlike(ENDS_INSIDE_FROM_INSIDE)}
     )
-    per_split = marked.groupBy("file", "block").agg(
-        F.sum("odd").alias("odd"),
-        F.count_if(F.col("inside") == 0).alias("from_outside"),
-        F.count_if(F.col("inside") == 1).alias("from_inside"),
+    marked = _inside_before(marked, ("file", "block"), "line_no", "_o", "_i")
+    after = lambda state: F.when(F.col(state), F.col("_i")).otherwise(F.col("_o"))
+    splits = marked.groupBy("file", "block").agg(
+        F.max_by(after("if_outside"), "line_no").alias("_so"), F.max_by(after("if_inside"), "line_no").alias("_si"),
+        F.count_if(~F.col("if_outside")).alias("n_outside"), F.count_if(~F.col("if_inside")).alias("n_inside"),
+    )
+    splits = _inside_before(splits, ("file",), "block", "_so", "_si")
+    started = F.when(F.col("if_outside"), F.col("n_inside")).otherwise(F.col("n_outside"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("started", started).select(
+        "file", "block", F.col("if_outside").alias("opened"), F.coalesce(F.sum("started").over(earlier), F.lit(0)).alias("before"), "started"
     )
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
-    splits = per_split.withColumn("opened", opened).withColumn(
-        "started", F.when(F.col("opened") == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
+    so_far = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = marked.join(splits, ["file", "block"])
+    both = both.withColumn("_in", F.when(F.col("opened"), F.col("if_inside")).otherwise(F.col("if_outside")))
+    both = both.withColumn("place", F.sum((~F.col("_in")).cast("int")).over(so_far))
+    return both.select(
+        "file", "block", "line_no", "line", "place", "started", (F.col("before") + F.col("place")).alias("record_no"),
+        F.when(F.col("_in"), F.col("_i")).otherwise(F.col("_o")).alias("inside"),
+    )
+
+
+def _candidates(numbered: DataFrame) -> DataFrame:
+    """(file, record_no, lines, closed, text) of the records; a longer one than allowed has its first line as text."""
+
+    def joined(order: str, text: str) -> Column:
+        rows = F.sort_array(F.collect_list(F.struct(order, text)))
+        return F.array_join(F.transform(rows, lambda x: x[text]), "\n")
+
+    of_record = Window.partitionBy("file", "block", "place").orderBy("line_no")
+    few = numbered.withColumn("_k", F.row_number().over(of_record))
+    fragments = few.groupBy("file", "block", "place").agg(
+        F.first("record_no").alias("record_no"), F.first("started").alias("started"), F.count("*").alias("lines"),
+        F.max_by(~F.col("inside"), "line_no").alias("closed"), F.min_by("line", "line_no").alias("first"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("_k") <= MOST_LINES, F.struct("line_no", "line")))), lambda x: x["line"]), "\n").alias("text"),
+    )
+    too_long = F.col("lines") > MOST_LINES
+    whole = (F.col("place") > 0) & (F.col("place") < F.col("started"))
+    columns = ["file", "record_no", "lines", "closed", "first", "text"]
+    inner = fragments.where(whole).select(*columns)
+    border = fragments.where(~whole)
+    sizes = border.groupBy("file", "record_no").agg(
+        F.sum("lines").alias("lines"), F.max_by("closed", "block").alias("closed"), F.min_by("first", "block").alias("first")
     )
-    splits = splits.withColumn("before", F.coalesce(F.sum("started").over(before), F.lit(0)))
-    starts = ((F.col("inside") + F.col("opened")) % 2 == 0).cast("int")
-    fragments = (
-        marked.join(splits.select("file", "block", "opened"), ["file", "block"])
-        .withColumn("place", F.sum(starts).over(split.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .groupBy("file", "block", "place")
-        .agg(
-            F.array_join(
-                F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x.line), "\n"
-            ).alias("text")
-        )
+    texts = border.join(sizes.where(~too_long).select("file", "record_no"), ["file", "record_no"])
+    texts = texts.groupBy("file", "record_no").agg(joined("block", "text").alias("text"))
+    at_border = sizes.join(texts, ["file", "record_no"], "left").select(*columns)
+    text = F.when(too_long, F.col("first")).otherwise(F.col("text"))
+    return inner.unionByName(at_border).select("file", "record_no", "lines", "closed", text.alias("text"))
+
+
+def quoted_records(lines: DataFrame) -> DataFrame:
+    """Records (file, record_no, text) of ``lines`` (file, block, line_no, value), numbered from 1, as they stand."""
+    return _candidates(numbered_lines(lines)).where("record_no > 0").select("file", "record_no", "text")
+
+
+def _raw_fields(text: Column) -> Column:
+    return F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(FIELD))
+
+
+def fields(text: Column) -> Column:
+    """The fields of a record as text, in order; those without any character are null."""
+
+    def bare(f: Column) -> Column:
+        quoted = F.substring(f, F.lit(2), F.length(f) - 2)
+        return F.when(f.startswith('"') & f.endswith('"') & (F.length(f) > 1), F.replace(quoted, F.lit('""'), F.lit('"'))).otherwise(f)
+
+    return F.transform(_raw_fields(text), lambda f: F.nullif(bare(f), F.lit("")))
+
+
+NO_RECORD = "no record by its values"
+#: A blank line outside is nothing by itself, but one after a damaged record may belong to a field.
+BLANK = "blank line"
+
+
+def _passes(verified: Verify) -> Column:
+    return F.coalesce(let(F.map_from_arrays("names", fields(F.col("text"))), verified), F.lit(False))
+
+
+def _judged(candidates: DataFrame, headers: DataFrame, origin: str, verified: Verify | None) -> DataFrame:
+    """Candidates with their file's column ``names`` and ``error``, null for a sound record."""
+    lone = F.col("text").contains("\n") & F.exists("raw", lambda f: f.rlike(SINGLE_QUOTE))
+    judged = candidates.withColumn("raw", _raw_fields(F.col("text"))).join(headers.withColumnRenamed("file", "_of"), F.col(origin) == F.col("_of")).drop("_of")
+    error = (
+        F.when(F.trim("text") == "", F.lit(BLANK))
+        .when(F.col("lines") > MOST_LINES, F.lit(f"longer than {MOST_LINES} lines"))
+        .when(~F.col("closed"), F.lit("quote not closed"))
+        .when(F.size("raw") != F.size("names"), F.concat(F.size("raw").cast("string"), F.lit(" fields instead of "), F.size("names").cast("string")))
+        .when(lone, F.lit("single quote in a field over several lines"))
     )
-    return assembled(fragments, splits.select("file", "block", "started", "before"))
+    if verified is not None:
+        error = F.coalesce(error, F.when(~_passes(verified), F.lit(NO_RECORD)))
+    return judged.withColumn("error", error).drop("raw")
+
+
+def _regions(unsound: DataFrame) -> DataFrame:
+    """(file, record_no, region, cut) of unsound records that follow each other.
+
+    ``region``: the first of several lines; null for what is before one. ``cut``: it is that record.
+    """
+    order = Window.partitionBy("file", "_stretch").orderBy("record_no")
+    run = Window.partitionBy("file", "_stretch", "_run").orderBy("record_no")
+    df = unsound.withColumn("_stretch", F.floor(F.col("record_no") / STRETCH))
+    new = F.coalesce(F.lag("record_no").over(order) != F.col("record_no") - 1, F.lit(True)).cast("int")
+    df = df.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order))
+    first = F.first(F.when(F.col("lines") > 1, F.col("record_no")), ignorenulls=True).over(run)
+    return df.withColumn("region", first).select("file", "record_no", "region", (F.col("region") == F.col("record_no")).alias("cut"))
+
+
+def headers_of(lines: DataFrame) -> DataFrame:
+    """(file, names): the first record of each file; names without blanks around them."""
+    first = _candidates(numbered_lines(lines)).where("record_no = 1")
+    return first.select("file", F.transform(fields(F.col("text")), F.trim).alias("names"))
+
+
+def sound_records(lines: DataFrame, headers: DataFrame, verified: Verify | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, rejected) of ``lines``: (file, names, text), and (file, error, text) of what is no record.
+
+    ``headers``: (file, names); the first record of each file is left out as its header.
+    ``verified``: a condition on the map from column names to texts that records read again must fulfil.
+    """
+    numbered = numbered_lines(lines).where("record_no > 0")
+    judged = _judged(_candidates(numbered), headers, "file", None).where("record_no > 1")
+    good = judged.where("error is null")
+    bad = judged.where("error is not null").withColumn("origin", F.col("file"))
+    if verified is not None:
+        bad = materialize(bad)
+        after = F.sequence(F.col("record_no") + 1, F.col("record_no") + NEAR)
+        near = bad.where(F.col("error") != BLANK).select("file", F.explode(after).alias("record_no")).distinct()
+        chance = materialize(good.join(near, ["file", "record_no"]).where(~_passes(verified)))
+        good = good.join(chance.select("file", "record_no"), ["file", "record_no"], "left_anti")
+        bad = bad.unionByName(chance.withColumns({"origin": F.col("file"), "error": F.lit(NO_RECORD)}))
+    good = good.select("file", "names", "text")
+    again = numbered.withColumn("origin", F.col("file"))
+    rejected = None
+    for round_ in range(MOST_ROUNDS):
+        bad = materialize(bad.select("file", "origin", "record_no", "lines", "error", "text"))
+        regions = materialize(_regions(bad).where("region is not null")) if round_ + 1 < MOST_ROUNDS else None
+        if regions is None or regions.isEmpty():
+            final = bad
+        else:
+            final = bad.join(regions.where("not cut").select("file", "record_no"), ["file", "record_no"], "left_anti")
+            final = final.join(regions.where("cut").select("file", "record_no", "cut"), ["file", "record_no"], "left")
+            final = final.withColumn("text", F.when(F.col("cut"), F.substring_index("text", "\n", 1)).otherwise(F.col("text")))
+        final = final.select(F.col("origin").alias("file"), "error", "text")
+        rejected = final if rejected is None else rejected.unionByName(final)
+        if regions is None or regions.isEmpty():
+            break
+        part = again.join(regions, ["file", "record_no"])
+        first = F.row_number().over(Window.partitionBy("file", "record_no").orderBy("block", "line_no"))
+        cut = part.where("cut").withColumn("_k", first).where("_k > 1").drop("_k")
+        part = cut.unionByName(part.where("not cut"))
+        part = part.select("origin", F.concat_ws("#", "file", "region").alias("file"), "block", "line_no", F.col("line").alias("value"))
+        part = materialize(part)
+        origins = materialize(part.select("file", "origin").distinct())
+        again = numbered_lines(part.drop("origin")).join(origins, "file")
+        judged = _judged(_candidates(again).join(origins, "file"), headers, "origin", verified)
+        good = good.unionByName(judged.where("error is null").select(F.col("origin").alias("file"), "names", "text"))
+        bad = judged.where("error is not null")
+    return good, rejected.where(F.col("error") != BLANK)
+
+
+def by_name(records: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The records' fields as text under their file's own column names; absent ones are null."""
+    value = lambda c: F.try_element_at("f", F.try_element_at(F.col("at"), F.lit(c)))
+    at = F.map_from_arrays("names", F.sequence(F.lit(1), F.size("names")))
+    found = records.select(fields(F.col("text")).alias("f"), at.alias("at"))
+    return found.select(*[value(c).alias(c) for c in columns])
 
 
 def parse_quoted(records: DataFrame, columns: Sequence[str], header: bool = True) -> DataFrame:
@@ -58,7 +255,23 @@ def parse_quoted(records: DataFrame, columns: Sequence[str], header: bool = True
     return rows.filter(F.trim("text") != "").select(parsed.alias("r")).select("r.*")
 
 
+def read_quoted(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, verified: Verify | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(table, rejected) of CSV files, each with a header of its own; all columns as text.
+
+    ``columns``: those of the table; else all that any header names, in order of their names
+    unless there is one order for all files.
+    """
+    lines = read_lines(spark, path)
+    headers = materialize(headers_of(lines))
+    if columns is None:
+        orders = [r.names for r in headers.select("names").distinct().limit(2).collect()]
+        columns = orders[0] if len(orders) == 1 else [r[0] for r in headers.select(F.explode("names")).distinct().orderBy("col").collect()]
+    records, rejected = sound_records(lines, headers, verified)
+    return by_name(records, columns), rejected
+
+
 def read_quoted_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """All columns as text. ``columns`` is taken from the header if it isn't given."""
-    columns = columns or spark.read.options(header=True, quote='"', escape='"').csv(path).columns
-    return parse_quoted(quoted_records(read_lines(spark, path)), columns)
+    """The table of ``read_quoted`` alone."""
+    return read_quoted(spark, path, columns)[0]

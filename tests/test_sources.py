@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from joinscope import modes
 from joinscope.plans import lineage
-from joinscope.sources import logs, metric_tables, ragged, writers
+from joinscope.sources import logs, metric_tables, quoted, ragged, writers
 from workload import log_fixture as fx
 
 CSV = (
@@ -171,3 +171,84 @@ def test_quoted_csv_over_real_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == {a: (b.replace('""', '"'), c) for a, b, c in rows[1:]}
+
+
+DAMAGED_A = '''id,user,sql,date
+1,ann,"SELECT a, b
+
+FROM t",2020-01-01
+2,bob,"SELECT x",2020-01-02
+3,cyd,"SELECT lost
+FROM u,2020-01-03
+4,dan,"SELECT y
+FROM v",2020-01-04
+
+5,5" pipe,SELECT z,2020-01-05
+6,eve,"a ""quoted"" word",2020-01-06
+7,"fay,"SELECT 1",2020-01-07
+8,gus,"SELECT 2",2020-01-08
+9,hal,"SELECT lost
+10,ian,"SELECT lost too
+11,jon,"SELECT 3
+FROM w",2020-01-11
+,kim,,2020-01-12
+13,leo,x
+14,"",y,2020-01-14
+15,mia,"open
+'''
+DAMAGED_B = 'date,id,sql,extra\r\n2021-01-01,101,"SELECT 7\r\n, 8",e\r\n2021-01-02,102,SELECT 9,\r\n'
+
+
+def _dated(fields):
+    return F.try_element_at(fields, F.lit("date")).rlike(r"^\d{4}-\d\d-\d\d$")
+
+
+def test_damaged_csv_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(DAMAGED_A)
+    (tmp_path / "b.csv").write_bytes(DAMAGED_B.encode())
+    log, rejected = quoted.read_quoted(spark, str(tmp_path), verified=_dated)
+    got = {(r.id, r.user, r.sql, r.date, r.extra) for r in log.collect()}
+    assert got == {
+        ("1", "ann", "SELECT a, b\n\nFROM t", "2020-01-01", None), ("2", "bob", "SELECT x", "2020-01-02", None),
+        ("4", "dan", "SELECT y\nFROM v", "2020-01-04", None), ("5", '5" pipe', "SELECT z", "2020-01-05", None),
+        ("6", "eve", 'a "quoted" word', "2020-01-06", None), ("8", "gus", "SELECT 2", "2020-01-08", None),
+        ("11", "jon", "SELECT 3\nFROM w", "2020-01-11", None), (None, "kim", None, "2020-01-12", None), ("14", None, "y", "2020-01-14", None),
+        ("101", None, "SELECT 7\n, 8", "2021-01-01", "e"), ("102", None, "SELECT 9", "2021-01-02", None),
+    }
+    assert sorted(r.text for r in rejected.collect()) == sorted(
+        ['3,cyd,"SELECT lost', "FROM u,2020-01-03", '7,"fay,"SELECT 1",2020-01-07', '9,hal,"SELECT lost', '10,ian,"SELECT lost too', "13,leo,x", '15,mia,"open']
+    )
+
+
+def test_record_longer_than_allowed_is_rejected_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quoted, "MOST_LINES", 20)
+    rows = [f"{i},x,2020-01-01" for i in range(200)]
+    (tmp_path / "a.csv").write_text("\n".join(["id,sql,date", *rows[:50], '50,"never closed,2020-01-01', *rows[51:]]))
+    log, rejected = quoted.read_quoted(spark, str(tmp_path / "a.csv"), verified=_dated)
+    assert sorted(int(r.id) for r in log.collect()) == [i for i in range(200) if i != 50]
+    assert [(r.error, r.text) for r in rejected.collect()] == [("longer than 20 lines", '50,"never closed,2020-01-01')]
+
+
+def test_states_do_not_depend_on_the_splits(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(DAMAGED_A * 30)
+    lines = ragged.read_lines(spark, str(tmp_path / "a.csv"))
+    want = {(r.record_no, r.text) for r in quoted.quoted_records(lines).collect()}
+    for size in (1, 3, 7):
+        cut = lines.withColumn("block", F.floor(F.col("line_no") / size))
+        assert {(r.record_no, r.text) for r in quoted.quoted_records(cut).collect()} == want
+
+
+def test_bad_cells_are_reported(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("log_date,row_wid,table_name,column_name,usage_count,distinct_users\n2026-01-02,r1,t,c,3 times,1\nsoon,r2,t,c, 4 ,\n")
+    table = metric_tables.read_column_usage(spark, str(tmp_path / "u.csv"), rescued="_rescued")
+    rows = {r.row_wid: r for r in table.collect()}
+    assert rows["r1"].usage_count is None and rows["r2"].usage_count == 4 and rows["r2"].log_date is None
+    assert {tuple(r) for r in logs.bad_cells(table, ["row_wid"]).collect()} == {("r1", "usage_count", "3 times"), ("r2", "log_date", "soon")}
+
+
+def test_checked_log(spark, tmp_path):
+    (tmp_path / "log.csv").write_text(CSV + 'x,sales,t,"SELECT lost,3/24/2026,,\n' + CSV.split("\n", 1)[1])
+    log, rejected = logs.read_checked_log(spark, str(tmp_path / "log.csv"))
+    assert [r.user_name for r in log.collect()].count("svp1") == 2
+    # shortly after a damaged record, one without a date does not count
+    assert sorted(r.text for r in rejected.collect()) == ["jdoe,,orders,SELECT 1,never,,", 'x,sales,t,"SELECT lost,3/24/2026,,']

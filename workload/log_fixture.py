@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from workload.golden import TEMPLATES
 
 
+#: Partitions of the log.
+SPLITS = 32
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows out by key, as a log of many files would be."""
-    return df.repartition(key)
+    """Deal the rows out by key, as a log of many files would be.
+
+    The number is fixed: without one, adaptive execution would put a small table into one partition.
+    """
+    return df.repartition(SPLITS, key)
 
 
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,3 +162,54 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("line_no"), F.lit(",".join(CSV_COLUMNS)).alias("value"),
     )
     return body.unionByName(heads)
+
+
+#: Column order of each of the four damaged files; the last one has no user and a column of its own.
+DAMAGED_COLUMNS = (
+    CSV_COLUMNS,
+    CSV_COLUMNS[::-1],
+    CSV_COLUMNS[3:] + CSV_COLUMNS[:3],
+    ("query_id", "note", "Db_nm", "Tbl_nm", "SqlTextInfo", "LogDate", "StartTime", "LastResponseTime"),
+)
+
+
+def damaged_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as four CSV files with headers of their own and damaged records, at times two in a row.
+
+    Damage by key: the quote after the SQL text is lost (1 of 37), or the last field is (1 of 43).
+    A quote within an unquoted field (7 of 41) does no harm.
+    """
+    log = query_log(spark, sf_dir)
+    key = F.col("query_id")
+    lost = key % 37 == 5
+    short = (key % 43 == 11) & ~lost
+    text = F.concat(F.lit("\n"), F.col("SqlTextInfo"), F.when(key % 3 == 0, "\n\n").otherwise(" "))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.when(lost, "").otherwise('"'))
+    time = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
+    field = {
+        "query_id": key.cast("string"), "user_name": F.coalesce("user_name", F.lit("")), "Db_nm": F.col("Db_nm"),
+        "Tbl_nm": F.when(key % 41 < 7, 'ord"ers').otherwise(F.col("Tbl_nm")), "SqlTextInfo": quoted, "note": F.lit("n/a"),
+        **{c: time(c) for c in CSV_COLUMNS[5:]},
+    }
+    rows = [[field[c] for c in order] for order in DAMAGED_COLUMNS]
+    record = F.coalesce(*[F.when(key % 4 == i, F.when(short, F.concat_ws(",", *r[:-1])).otherwise(F.concat_ws(",", *r))) for i, r in enumerate(rows)])
+    lines = log.select(key, F.posexplode(F.split(record, "\n")).alias("pos", "value"))
+    place = key * 64 + F.col("pos")
+    file = F.concat(F.lit("part-"), key % 4)
+    body = lines.select(file.alias("file"), F.floor(place / 5000).alias("block"), place.alias("line_no"), "value")
+    heads = [(f"part-{i}", 0, -1, ",".join(order)) for i, order in enumerate(DAMAGED_COLUMNS)]
+    return body.unionByName(spark.createDataFrame(heads, "file string, block long, line_no long, value string"))
+
+
+def usage_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usage metrics as text, with cells that are no numbers or dates; some are blank."""
+    usage = usage_metrics(spark, sf_dir)
+    day = F.day("metric_date")
+    texts = usage.select(*[F.col(c).cast("string").alias(c) for c in usage.columns])
+    n = F.col("user_query_count")
+    return texts.withColumns(
+        {
+            "user_query_count": F.when(day % 7 == 3, F.concat(n, F.lit(" queries"))).when(day % 7 == 4, " ").otherwise(n),
+            "created_timestamp": F.when(day % 5 == 2, "soon").otherwise(F.col("created_timestamp")),
+        }
+    )

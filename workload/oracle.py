@@ -74,6 +74,9 @@ agg AS (
 SELECT row_number() OVER (ORDER BY {order}) AS "Row_id", * FROM agg"""
 
 
+_DAMAGED = f"""
+WITH {LOG},
+marked AS (SELECT log.*, sql, query_id % 37 = 5 OR query_id % 43 = 11 AS damaged FROM log JOIN {_TEMPLATES} USING (t))"""
 _CLIPPED = "CASE WHEN seconds < 0 THEN 0 ELSE seconds END"
 _BY_DATE = "date_wid, left_join_table_name, right_join_table_name"
 _USERS, _APPS = "count(DISTINCT user_name)", "count(DISTINCT app)"
@@ -460,6 +463,25 @@ def oracle() -> dict[str, str]:
                 count(DISTINCT query_id) AS query_count, round(avg(whole), 4) AS avg_runtime FROM rows GROUP BY 1, 2, 3, 4)
               SELECT row_number() OVER (ORDER BY left_join_table_name, right_join_table_name, date_wid) AS "Row_id", * FROM agg""",
             "csv_log_lineage": AGG["nearest_preceding"],
+            "csv_damaged_log": f"""{_DAMAGED} SELECT CAST(query_id AS VARCHAR) AS query_id,
+                CASE WHEN query_id % 4 < 3 THEN nullif(coalesce(user_name, ''), '') END AS user_name, 'sales' AS "Db_nm",
+                CASE WHEN query_id % 41 < 7 THEN 'ord"ers' ELSE 'orders' END AS "Tbl_nm",
+                length(sql) + CASE WHEN query_id % 3 = 0 THEN 3 ELSE 2 END AS sql_length,
+                strftime(log_date, '%Y-%m-%d %H:%M:%S') AS "LogDate",
+                strftime(log_date + to_seconds(query_id % 86400 + seconds), '%Y-%m-%d %H:%M:%S') AS "LastResponseTime",
+                CASE WHEN query_id % 4 = 3 THEN 'n/a' END AS note
+              FROM marked WHERE NOT damaged""",
+            "csv_rejected_lines": f"""{_DAMAGED}, counted AS (
+                SELECT 'part-' || CAST(query_id % 4 AS VARCHAR) AS file, 1 + len(string_split(sql, chr(10))) + CASE WHEN query_id % 3 = 0 THEN 1 ELSE 0 END AS n
+                FROM marked WHERE damaged)
+              SELECT file, CAST(sum(n) AS BIGINT) AS rejected, CAST(sum(n) AS BIGINT) AS lines FROM counted GROUP BY file""",
+            "usage_bad_cells": f"""WITH {USAGE}, cells AS (
+                SELECT strftime(metric_date, '%Y-%m-%d') || '-' || split_part(data_product_name, '_', 2) AS row_wid,
+                  CASE WHEN day(metric_date) % 7 NOT IN (3, 4) THEN user_query_count END AS user_query_count, app_query_count,
+                  CASE WHEN day(metric_date) % 5 <> 2 THEN CAST(metric_date AS TIMESTAMP) END AS created_timestamp,
+                  user_query_count AS n, day(metric_date) AS d FROM usage)
+              SELECT row_wid, user_query_count, app_query_count, created_timestamp, 'user_query_count' AS "column", n || ' queries' AS text FROM cells WHERE d % 7 = 3
+              UNION ALL SELECT row_wid, user_query_count, app_query_count, created_timestamp, 'created_timestamp', 'soon' FROM cells WHERE d % 5 = 2""",
             "bare_lineage": AGG["per_block"],
             "combined_repeats": AGG["per_block"],
             "lineage_preview": f"SELECT * FROM ({AGG['all_scopes']}) WHERE \"Row_id\" <= 10",

@@ -15,8 +15,9 @@ from joinscope.operators.extract import clean_sql, explode_pairs, extract_pairs,
 from joinscope.plans import lineage, report
 from joinscope.session import materialize
 from joinscope.sources import ragged, writers
-from joinscope.sources.logs import resolve_log
-from joinscope.sources.quoted import parse_quoted, quoted_records
+from joinscope.schemas import USAGE_METRICS
+from joinscope.sources.logs import bad_cells, is_log_record, resolve_log, typed
+from joinscope.sources.quoted import by_name, headers_of, parse_quoted, quoted_records, sound_records
 from workload import log_fixture as fx
 from workload.log_fixture import query_log
 
@@ -251,6 +252,31 @@ def csv_log_lineage(spark, sf):
     return lineage.pair_lineage(log, modes.NEAREST_PRECEDING)
 
 
+def _damaged(spark, sf):
+    lines = fx.damaged_csv_lines(spark, sf)
+    return sound_records(lines, headers_of(lines), is_log_record)
+
+
+@query
+def csv_damaged_log(spark, sf):
+    log = by_name(_damaged(spark, sf)[0], (*fx.CSV_COLUMNS, "note"))
+    sql = F.col("SqlTextInfo")
+    return log.select("query_id", "user_name", "Db_nm", "Tbl_nm", F.char_length(sql).alias("sql_length"), "LogDate", "LastResponseTime", "note")
+
+
+@query
+def csv_rejected_lines(spark, sf):
+    rejected = _damaged(spark, sf)[1]
+    lines = F.sum(F.size(F.split("text", "\n"))).alias("lines")
+    return rejected.groupBy("file").agg(F.count("*").alias("rejected"), lines)
+
+
+@query
+def usage_bad_cells(spark, sf):
+    usage = typed(fx.usage_texts(spark, sf), USAGE_METRICS, rescued="_rescued")
+    return bad_cells(usage, ("row_wid", "user_query_count", "app_query_count", "created_timestamp"))
+
+
 # --- lineage tables --------------------------------------------------------------------
 
 
