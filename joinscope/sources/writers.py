@@ -3,35 +3,65 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from joinscope.operators.numbering import in_ranges
+from joinscope.session import remove
+
 log = logging.getLogger(__name__)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv", partition_by: Sequence[str] = ()) -> bool:
-    """Write a flat table; an empty result leaves nothing behind and only warns.
+def write_table(
+    df: DataFrame, path: str, fmt: str = "csv", partition_by: Sequence[str] = (), order_by: Sequence[str] = ()
+) -> bool:
+    """Write a flat table; an empty result leaves what was there before and only warns.
 
-    The rows are counted while they are written, so the result is computed once.
+    The rows are counted while they are written, so the result is computed once. They are written
+    beside the target, which is replaced at the end: a run that fails changes nothing. With
+    ``order_by`` (``-col`` falls), the files in the order of their names hold the rows in that order.
     """
     if fmt not in {"csv", "parquet", "json", "orc"}:
         raise ValueError(f"unsupported output format {fmt!r}")
+    if order_by:
+        df = in_ranges(df, order_by)
     written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    target = path.rstrip("/")
+    beside = f"{target}.writing-{uuid.uuid4()}"
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.format(fmt).save(path)
-    if not written.get["rows"]:
-        log.warning("result is empty, nothing left at %s", path)
-        jvm = df.sparkSession._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
-        return False
-    return True
+    try:
+        writer.format(fmt).save(beside)
+        if not written.get["rows"]:
+            log.warning("result is empty, %s stays as it is", target)
+            return False
+        replace(df.sparkSession, beside, target)
+        return True
+    finally:
+        remove(df.sparkSession, beside)
+
+
+def replace(spark: SparkSession, new: str, target: str) -> None:
+    """Put the folder ``new`` in the place of ``target``, which is only deleted after that."""
+    jvm = spark._jvm
+    here, there = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(target)
+    old = jvm.org.apache.hadoop.fs.Path(f"{target}.replaced-{uuid.uuid4()}")
+    fs = there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    before = fs.exists(there)
+    if before and not fs.rename(there, old):
+        raise OSError(f"could not set {target} aside")
+    if not fs.rename(here, there):
+        if before:
+            fs.rename(old, there)
+        raise OSError(f"could not move the result to {target}")
+    if before:
+        fs.delete(old, True)
 
 
 def json_document(recommendations: DataFrame, health: DataFrame) -> DataFrame:

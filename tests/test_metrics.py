@@ -78,6 +78,30 @@ def test_numbering_with_hot_keys_and_nulls(spark):
     assert [(r.id, r.c) for r in single] == [(i + 1, 2999 - i) for i in range(3000)]
 
 
+def test_numbering_within_groups(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "hot", "hot", "hot", "b"]), rng.randint(0, 99), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, a int, c int").repartition(16)
+    got = {(r.g, r.a, r.c): r.id for r in number_rows(df, ("-a", "c"), "id", within=("g",), ranges=23).collect()}
+    for g in (None, "hot", "b"):
+        mine = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))
+        assert [got[r] for r in mine] == list(range(1, len(mine) + 1))
+    assert number_rows(df.limit(0), ("a",), "id", within=("g",)).count() == 0
+
+
+def test_close_values_are_cut_into_many_ranges(spark):
+    close = spark.range(100_000).select(F.lit("m").alias("metric"), (F.lit(10.0) + F.col("id") / 1e8).alias("value"))
+    both = close.unionByName(spark.createDataFrame([("m", -1e300), ("m", 1e300)], "metric string, value double"))
+    positions = distribution.value_positions(both)
+    plan = positions._jdf.queryExecution().optimizedPlan().toString()
+    assert "bucket" in plan
+    below = {r.value: r.below for r in positions.where("value in (-1e300, 10.0, 10.0005, 1e300)").collect()}
+    assert below[-1e300] == 0 and below[10.0] == 1 and below[1e300] == 100_001
+    shares = [(k + 1) / (distribution.SPLITTERS + 1) for k in range(distribution.SPLITTERS)]
+    cuts = sorted(set(close.agg(F.percentile_approx("value", shares, 10_000)).first()[0]))
+    assert len(cuts) > 200 and max(b - a for a, b in zip(cuts, cuts[1:], strict=False)) < 1e-5
+
+
 def test_quantiles_and_ranks(spark):
     rng = random.Random(2)
     # A third of all values is the same, and some are negative or missing.

@@ -130,6 +130,28 @@ def test_write_table(spark, tmp_path):
         writers.write_table(df, str(tmp_path / "x"), "xlsx")
 
 
+def test_empty_or_failed_write_leaves_the_old_table(spark, tmp_path):
+    out = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    assert writers.write_table(df, out, "parquet")
+    assert not writers.write_table(df.filter("n > 5"), out, "parquet")
+    with pytest.raises(Exception, match="no number"):
+        writers.write_table(df.select(F.when(F.col("n") < 2, F.col("n")).otherwise(F.raise_error("no number").cast("int")).alias("n")), out, "parquet")
+    assert spark.read.parquet(out).count() == 2
+    assert writers.write_table(df.filter("n = 1"), out, "parquet") and spark.read.parquet(out).count() == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]  # nothing is left beside it
+
+
+def test_ordered_write(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("g")).repartition(7)
+    writers.write_table(df, str(tmp_path / "o"), "csv", order_by=("-g", "k"))
+    rows = []
+    for part in sorted((tmp_path / "o").glob("part-*.csv")):
+        rows += [tuple(map(int, line.split(","))) for line in part.read_text().splitlines()[1:]]
+    assert rows == sorted(rows, key=lambda r: (-r[1], r[0])) and len(rows) == 5000
+    assert len(list((tmp_path / "o").glob("part-*.csv"))) > 1
+
+
 def test_report_document_and_tables(spark, tmp_path):
     recs = spark.sql("SELECT 2L AS row_id, 'x' AS t, timestamp'2026-01-02 03:04:05' AS at UNION ALL SELECT 1L, null, null")
     health = spark.sql("SELECT 'h' AS row_wid, 1.5D AS score")

@@ -482,6 +482,12 @@ def oracle() -> dict[str, str]:
                   user_query_count AS n, day(metric_date) AS d FROM usage)
               SELECT row_wid, user_query_count, app_query_count, created_timestamp, 'user_query_count' AS "column", n || ' queries' AS text FROM cells WHERE d % 7 = 3
               UNION ALL SELECT row_wid, user_query_count, app_query_count, created_timestamp, 'created_timestamp', 'soon' FROM cells WHERE d % 5 = 2""",
+            "ordered_output": f"""SELECT row_number() OVER (ORDER BY join_count DESC, date_wid, left_join_table_name, right_join_table_name) AS place,
+                date_wid, left_join_table_name, right_join_table_name, join_count FROM ({AGG["top_level"]})""",
+            "user_query_numbers": f"""WITH {LOG} SELECT row_number() OVER (PARTITION BY user_name ORDER BY log_date + to_seconds(query_id % 86400), query_id) AS number,
+                user_name, query_id FROM log""",
+            "runtime_ranks": f"""WITH {LOG} SELECT query_id, percent_rank() OVER (ORDER BY seconds + 1e-7::DOUBLE * query_id) AS percent_rank
+                FROM log WHERE seconds IS NOT NULL""",
             "bare_lineage": AGG["per_block"],
             "combined_repeats": AGG["per_block"],
             "lineage_preview": f"SELECT * FROM ({AGG['all_scopes']}) WHERE \"Row_id\" <= 10",

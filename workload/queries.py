@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from joinscope import modes
 from joinscope.functions import names, scores, sqltext, text
 from joinscope.functions import pairs as P
-from joinscope.operators import correlate, health, metrics, patterns, recommend, usage
+from joinscope.operators import correlate, distribution, health, metrics, patterns, recommend, usage
 from joinscope.operators.extract import clean_sql, explode_pairs, extract_pairs, split_statements, tables_as_written
+from joinscope.operators.numbering import number_rows
 from joinscope.plans import lineage, report
-from joinscope.session import materialize
+from joinscope.session import kept_folder, materialize
 from joinscope.sources import ragged, writers
 from joinscope.schemas import USAGE_METRICS
 from joinscope.sources.logs import bad_cells, is_log_record, resolve_log, typed
@@ -321,6 +323,36 @@ def recommendation_score(spark, sf):
     return query_log(spark, sf).select("query_id", score.alias("score"))
 
 
+@query
+def ordered_output(spark, sf):
+    """Daily metrics written in order; each row's place in the files, by their names."""
+    daily = lineage.pair_lineage(query_log(spark, sf), modes.TOP_LEVEL, numbered=False)
+    path = f"{kept_folder(spark)}/ordered-{uuid.uuid4()}"
+    writers.write_table(daily, path, "parquet", order_by=("-join_count", "date_wid", *_PAIR))
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    files = rows.groupBy("file").agg(F.count("*").alias("n")).select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("row") + 1
+    return rows.join(files, "file").select(place.alias("place"), "date_wid", *_PAIR, "join_count")
+
+
+@query
+def user_query_numbers(spark, sf):
+    """Each user's queries, numbered by start; a third of the users' rows may be one user's."""
+    log = query_log(spark, sf).select("user_name", "StartTime", "query_id")
+    return number_rows(log, ("StartTime", "query_id"), "number", within=("user_name",)).select("number", "user_name", "query_id")
+
+
+@query
+def runtime_ranks(spark, sf):
+    """Each query's place among the run times of its database, from exact counts in ranges."""
+    seconds = F.timestamp_diff("SECOND", "StartTime", "LastResponseTime").cast("double")
+    values = query_log(spark, sf).select("query_id", F.col("Db_nm").alias("metric"), (seconds + 1e-7 * F.col("query_id")).alias("value"))
+    positions = distribution.value_positions(values.select("metric", "value"))
+    ranked = distribution.percent_ranks(values, positions).where("value is not null")
+    return ranked.select("query_id", "percent_rank")
+
+
 # --- metric tables ---------------------------------------------------------------------
 
 
