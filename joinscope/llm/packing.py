@@ -34,6 +34,8 @@ PIECES_PER_PART = 100_000
 REMEMBERED = 500_000
 #: A word of its own between words that are encoded together; one id in the tokenizer.
 SEPARATOR = "^"
+#: Marks that make one character with an A-Z before them, at times with its small letter only.
+_COMBINING = re.compile("[\u0300-\u036f]")
 _ENDS_IN_MARKS = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)\Z", re.DOTALL)
 
 PIECE = ("start", "length", "ids_crc32", "doc_tokens")
@@ -101,8 +103,11 @@ class WordIds:
             ids[word] = ids[stem] + ids[marks]
 
     def of(self, text: str) -> bytes:
-        if text.isascii() and "<|" not in text:
-            text = text.lower()  # as the tokenizer does
+        if "<|" not in text:  # as the tokenizer does, so that a word is learnt once
+            if text.isascii():
+                text = text.lower()
+            elif not _COMBINING.search(text):
+                text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # of A-Z only
         words = text.replace("\n", " ").split(" ")
         if new := set(words).difference(self.ids):
             if len(self.ids) + len(new) > REMEMBERED:

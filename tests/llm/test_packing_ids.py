@@ -27,7 +27,7 @@ def test_letters_that_change_before_and_after_marks(words):
 
 
 def test_texts_of_many_scripts(words):
-    for text in ("BELEDİYESİ, ANKARA", "এটা হয়, ভালো", "बड़ड़, था", "בשׁ, x", "STRASSE, ẞ! ΣΑΣ, ς.", "한국어, 각.", "ﬁ, ①! Å."):
+    for text in ("BELEDİYESİ, ANKARA", "এটা হয়, ভালো", "बड़ड़, था", "בשׁ, x", "STRASSE, ẞ! ΣΑΣ, ς.", "한국어, 각.", "ﬁ, ①! Å.", "J\u030c é, J\u030cX", "I\u0307 E\u0301, ÀB", "Der Fluß WAR Größer, ÜBER"):
         assert same(words, text), text
 
 
