@@ -50,7 +50,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     taken = F.col("size") * F.size("copies")
     shard = F.array_min(F.transform("copies", lambda c: c["shard"]))
-    return source_mix.plan(docs).select("row.doc_id", "size", "source_size", "target", taken.alias("taken"), shard.alias("first_shard"))
+    return source_mix.plan(docs, carry=("doc_id",)).select("row.doc_id", "size", "source_size", "target", taken.alias("taken"), shard.alias("first_shard"))
 
 
 @query

@@ -21,6 +21,8 @@ pass through and may have any name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,16 +195,18 @@ def filled_up(ordered: DataFrame, known) -> DataFrame:
         room = some.where(F.col("fit").isNotNull()).select("k", F.col("at").alias("behind"), F.col("fit.left").alias("room"))
 
 
-def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: float = CAP, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: float = CAP, shards: int = SHARDS, seed: int = SEED, carry: Sequence[str] | None = None) -> DataFrame:
     """One row for each row of ``docs``: it as struct ``row``, and its part in the mix.
 
+    ``carry``: the columns in ``row``, all if not given; only these are shuffled.
+
     ``size``, ``source_size``, ``target`` and ``copies``, an array of (pass, shard, place) with
     one entry for each time that the mix takes the row.
     """
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
     source = F.col(source_col).cast("string")
     sized = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row"),
         source.alias("source"),
         F.coalesce(F.concat(F.lit("s"), source), F.lit("")).alias("k"),
         size.alias("size"),
