@@ -11,7 +11,7 @@ from joinscope.functions import scores
 from joinscope.operators.correlate import product_objects, usage_with_columns
 from joinscope.operators.distribution import quantiles, value_positions
 from joinscope.operators.patterns import join_hotspots, pattern_sides, repeated_pairs
-from joinscope.operators.usage import DATABASE, OBJECT, PRODUCT, _long, usage_rollup
+from joinscope.operators.usage import DATABASE, OBJECT, PRODUCT, _long, column_usage, usage_rollup
 from joinscope.schemas import HEALTH_COLUMNS
 from joinscope.session import materialize
 
@@ -70,9 +70,12 @@ def _usage_score(rollup: DataFrame) -> Column:
 def _join_features(usage: DataFrame, patterns: DataFrame) -> DataFrame:
     """Per product: joins, partners, index candidates and stored-join candidates of its objects."""
     sides = pattern_sides(patterns)
-    keyed = sides.filter(F.col("side_key").isNotNull()).groupBy("db", "tbl", "side_key").agg(F.count("*").alias("seen"))
-    keyed = keyed.groupBy("db", "tbl").agg(
+    keys = sides.filter(F.col("side_key").isNotNull()).groupBy("db", "tbl", "side_key").agg(F.count("*").alias("seen"))
+    keys = materialize(keys)
+    often = quantiles(value_positions(_long(keys, ["seen"])), {"p90": ("seen", 0.9)}).scalar()
+    keyed = keys.groupBy("db", "tbl").agg(
         F.max("seen").alias("key_patterns"),
+        F.bool_or(F.col("seen") >= often).alias("top_key"),
         F.max(F.when(F.contains("side_key", F.lit(",")), F.col("seen"))).alias("composite_patterns"),
     )
     pairs = repeated_pairs(patterns)
@@ -99,11 +102,24 @@ def _join_features(usage: DataFrame, patterns: DataFrame) -> DataFrame:
         zero(F.max("partners")).alias("partners"),
         zero(F.max("key_patterns")).alias("key_patterns"),
         zero(F.max("composite_patterns")).alias("composite_patterns"),
+        F.coalesce(F.bool_or("top_key"), F.lit(False)).alias("top_key"),
         zero(F.max("stored_days")).alias("stored_days"),
         zero(F.max("stored_joins")).alias("stored_joins"),
     )
 
 
+def _column_features(usage: DataFrame, columns: DataFrame) -> DataFrame:
+    """Per product: columns of its objects, unused ones, and those rarely used among all used columns."""
+    rare = column_usage(columns).filter(F.col("usage_class") == "rare").groupBy(F.col("table_name").alias("tbl")).agg(
+        F.count("*").alias("rare_columns")
+    )
+    return usage_with_columns(usage, columns).join(rare, "tbl", "left").groupBy(PRODUCT).agg(
+        F.sum("columns").alias("columns"),
+        F.sum("unused_columns").alias("unused_columns"),
+        F.coalesce(F.sum("rare_columns"), F.lit(0)).alias("rare_columns"),
+    )
+
+
 def _with(df: DataFrame, more: DataFrame) -> DataFrame:
     """Left join on the product, where products without a name are one product too."""
     more = more.withColumnRenamed(PRODUCT, "_product")
@@ -115,15 +131,12 @@ def product_features(
 ) -> DataFrame:
     """One row per product with everything the scores and rules need; materialised."""
     rollup = materialize(usage_rollup(usage))
-    column_features = usage_with_columns(usage, columns).groupBy(PRODUCT).agg(
-        F.sum("columns").alias("columns"), F.sum("unused_columns").alias("unused_columns")
-    )
     day = as_of_date(usage, as_of)
     failure = F.coalesce("failure_rate", F.lit(0.0))
     df = (
         rollup.withColumn("usage_score", _usage_score(rollup))
         .transform(_with, metadata_completeness(usage))
-        .transform(_with, column_features)
+        .transform(_with, _column_features(usage, columns))
         .transform(_with, _join_features(usage, patterns))
         .withColumns(
             {

@@ -37,7 +37,7 @@ class Rule:
 
 RULES = (
     Rule(
-        "INDEX_RECOMMENDATION", f"key_patterns >= {INDEX_PATTERNS}", "key_patterns", ("joins", "key_patterns"),
+        "INDEX_RECOMMENDATION", f"key_patterns >= {INDEX_PATTERNS} OR top_key", "key_patterns", ("joins", "key_patterns"),
         "Index the repeated join key",
         "Create an index on the join key of this product's tables, a composite one where the key has several columns.",
         "A join key appears in %d join patterns, a composite key in %d; the inputs list no indexes, so this is a candidate.",
@@ -64,9 +64,9 @@ RULES = (
         ("total_seconds", "queries"), "Less data read per query and lower load.",
     ),
     Rule(
-        "COLUMN_OPTIMIZATION", "has_unused_columns", "unused_columns", ("columns", "unused_columns"),
-        "Clean up unused columns", "Drop or archive the columns of this product that no query uses.",
-        "%d of %d listed columns have a usage of 0.", ("unused_columns", "columns"), "Smaller tables and a clearer schema.",
+        "COLUMN_OPTIMIZATION", "has_unused_columns OR rare_columns > 0", "unused_columns", ("columns", "unused_columns"),
+        "Clean up unused columns", "Drop or archive the columns of this product that no query uses, and move rare ones apart.",
+        "%d of %d listed columns have a usage of 0, and %d are among the rarely used.", ("unused_columns", "columns", "rare_columns"), "Smaller tables and a clearer schema.",
     ),
     Rule(
         "PERFORMANCE_IMPROVEMENT", "slow AND usage_score >= limits.used_from", "average_seconds",

@@ -146,7 +146,7 @@ COLUMNS = f"""
 col AS (
   SELECT list_extract([{', '.join(_lit(o) for o in OBJECTS[:5])}], CAST(p_partkey % 5 + 1 AS INTEGER)) AS table_name,
     'col_' || CAST(p_size % 20 AS VARCHAR) AS column_name,
-    CAST(sum(CASE WHEN p_size % 20 = 0 THEN 0 ELSE p_partkey % 50 END) AS BIGINT) AS uses
+    CAST(sum(CASE WHEN p_size % 20 = 0 AND p_partkey % 5 <> 3 THEN 0 ELSE p_partkey % 50 END) AS BIGINT) AS uses
   FROM part GROUP BY 1, 2)"""
 
 PATTERNS = f"""
@@ -184,12 +184,15 @@ meta AS (
       / (count(*) * 4), 2) AS metadata_score
   FROM usage GROUP BY 1),
 colf AS (
-  SELECT data_product_name, coalesce(sum(n), 0) AS columns, coalesce(sum(z), 0) AS unused_columns FROM obj LEFT JOIN
-    (SELECT table_name, count(*) AS n, count(*) FILTER (uses = 0) AS z FROM col GROUP BY 1) c ON c.table_name = obj.tbl
+  SELECT data_product_name, coalesce(sum(n), 0) AS columns, coalesce(sum(z), 0) AS unused_columns, coalesce(sum(q), 0) AS rare_columns FROM obj LEFT JOIN
+    (SELECT table_name, count(*) AS n, count(*) FILTER (uses = 0) AS z,
+      count(*) FILTER (uses > 0 AND uses <= (SELECT quantile_cont(uses, 0.25) FROM col WHERE uses > 0)) AS q FROM col GROUP BY 1) c ON c.table_name = obj.tbl
   GROUP BY 1),
+seen AS (SELECT db, tbl, side_key, count(*) AS seen FROM side WHERE side_key IS NOT NULL GROUP BY ALL),
 keyed AS (
-  SELECT db, tbl, max(seen) AS key_patterns, max(seen) FILTER (side_key LIKE '%,%') AS composite_patterns
-  FROM (SELECT db, tbl, side_key, count(*) AS seen FROM side WHERE side_key IS NOT NULL GROUP BY ALL) GROUP BY 1, 2),
+  SELECT db, tbl, max(seen) AS key_patterns, max(seen) FILTER (side_key LIKE '%,%') AS composite_patterns,
+    bool_or(seen >= (SELECT quantile_cont(seen, 0.9) FROM seen)) AS top_key
+  FROM seen GROUP BY 1, 2),
 stored AS (SELECT * FROM rep WHERE days >= 3 AND total_joins >= (SELECT quantile_cont(total_joins, 0.9) FROM rep)),
 touched AS (
   SELECT db, tbl, max(days) AS stored_days, max(total_joins) AS stored_joins
@@ -198,10 +201,10 @@ touched AS (
 joinf AS (
   SELECT data_product_name, coalesce(sum(total_joins), 0) AS joins, coalesce(max(partners), 0) AS partners,
     coalesce(max(key_patterns), 0) AS key_patterns, coalesce(max(composite_patterns), 0) AS composite_patterns,
-    coalesce(max(stored_days), 0) AS stored_days, coalesce(max(stored_joins), 0) AS stored_joins
+    coalesce(max(stored_days), 0) AS stored_days, coalesce(max(stored_joins), 0) AS stored_joins, coalesce(bool_or(top_key), false) AS top_key
   FROM obj LEFT JOIN hot USING (db, tbl) LEFT JOIN keyed USING (db, tbl) LEFT JOIN touched USING (db, tbl) GROUP BY 1),
 feat AS (
-  SELECT roll.*, metadata_score, product_id, columns, unused_columns, joins, partners, key_patterns, composite_patterns,
+  SELECT roll.*, metadata_score, product_id, columns, unused_columns, rare_columns, joins, partners, key_patterns, composite_patterns, top_key,
     stored_days, stored_joins, (SELECT max(metric_date) FROM usage) AS as_of,
     round(100.0::DOUBLE * ((user_queries - a0) / (a1 - a0)::DOUBLE + (app_queries - b0) / (b1 - b0)::DOUBLE
       + (users - c0) / (c1 - c0)::DOUBLE + (apps - d0) / (d1 - d0)::DOUBLE) / 4, 2) AS usage_score,
@@ -228,11 +231,11 @@ total AS (
 
 # Rules as (type, condition, impact metric, lower is worse); only the wording is shared.
 _RULES = (
-    ("INDEX_RECOMMENDATION", "index_candidate", "key_patterns", False),
+    ("INDEX_RECOMMENDATION", "index_candidate OR top_key", "key_patterns", False),
     ("MATERIALIZED_VIEW", "stored_days > 0", "stored_joins", False),
     ("QUERY_OPTIMIZATION", "slow", "average_seconds", False),
     ("TABLE_OPTIMIZATION", "total_seconds >= heavy_from AND queries >= median_queries", "total_seconds", False),
-    ("COLUMN_OPTIMIZATION", "has_unused", "unused_columns", False),
+    ("COLUMN_OPTIMIZATION", "has_unused OR rare_columns > 0", "unused_columns", False),
     ("PERFORMANCE_IMPROVEMENT", "slow AND usage_score >= used_from", "average_seconds", False),
     ("JOIN_OPTIMIZATION", "many_joins", "joins", False),
     ("ARCHIVAL", "idle_days > 30", "idle_days", False),
@@ -250,7 +253,7 @@ _REASON_VALUES = {
     "MATERIALIZED_VIEW": ("stored_joins", "stored_days"),
     "QUERY_OPTIMIZATION": ("average_seconds", "slow_from"),
     "TABLE_OPTIMIZATION": ("total_seconds", "queries"),
-    "COLUMN_OPTIMIZATION": ("unused_columns", "columns"),
+    "COLUMN_OPTIMIZATION": ("unused_columns", "columns", "rare_columns"),
     "PERFORMANCE_IMPROVEMENT": ("average_seconds", "usage_score"),
     "JOIN_OPTIMIZATION": ("joins", "partners"),
     "ARCHIVAL": ("idle_days",),
