@@ -90,3 +90,30 @@ def test_product_without_a_name_has_all_scores(spark, inputs):
     assert len(row) == 1 and all(row[0][c] is not None for c in HEALTH_COLUMNS[2:9])
     assert row[0].metadata_score < 100
     assert recs.where("data_product_name is null and recommendation_type = 'DATA_GOVERNANCE'").count() == 1
+
+
+def test_top_join_keys_and_rare_columns(spark):
+    """A key of two patterns is in the top tenth here; one table has a rare column and none has unused ones."""
+    day = datetime.date(2026, 1, 1)
+    usage = spark.createDataFrame(
+        [(f"p{i}", "s", f"t{i}", f"id{i}", 10 + i, 1, 1, 1, 1.0, 0, day) for i in range(5)],
+        "data_product_name string, data_object_database_name string, data_product_object_name string, data_product_object_id string, "
+        "user_query_count long, app_query_count long, unique_user long, unique_app long, total_execution_time_in_seconds double, "
+        "failed_query_count long, metric_date date",
+    )
+    joined = [("2026-01-01", f"t{i}", f"k{i}") for i in range(5)] + [("2026-01-02", "t2", "k2")]
+    joins = spark.createDataFrame(
+        [(d, "s", t, "x", f"o{t}", "INNER", f"{k}={k}", 1) for d, t, k in joined],
+        "log_date string, left_table_database string, left_table_name string, right_table_database string, right_table_name string, "
+        "join_type string, join_keys string, join_count long",
+    )
+    columns = spark.createDataFrame(
+        [(f"t{i}", f"c{j}", 1 if (i, j) == (3, 0) else 100) for i in range(5) for j in range(2)], "table_name string, column_name string, usage_count long"
+    )
+    rare_from = columns.where("usage_count = 1").unionByName(columns.where("usage_count > 1").limit(3))
+    fired = recommend.fired_rules(report.scored_products(usage, rare_from, joins)).collect()
+    of = lambda kind: {r.data_product_name for r in fired if r.recommendation_type == kind}
+    assert of("INDEX_RECOMMENDATION") == {"p2"}
+    assert of("COLUMN_OPTIMIZATION") == {"p3"}
+    reason = next(r.recommendation_reason for r in fired if r.recommendation_type == "COLUMN_OPTIMIZATION")
+    assert reason.startswith("0 of ") and "1 are among the rarely used" in reason
