@@ -263,7 +263,7 @@ def _damaged(spark, sf):
 def csv_damaged_log(spark, sf):
     log = by_name(_damaged(spark, sf)[0], (*fx.CSV_COLUMNS, "note"))
     sql = F.col("SqlTextInfo")
-    return log.select("query_id", "user_name", "Db_nm", "Tbl_nm", F.char_length(sql).alias("sql_length"), "LogDate", "LastResponseTime", "note")
+    return log.select("query_id", "user_name", "Db_nm", "Tbl_nm", F.char_length(sql).cast("long").alias("sql_length"), "LogDate", "LastResponseTime", "note")
 
 
 @query
