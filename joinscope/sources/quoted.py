@@ -186,19 +186,25 @@ def _regions(unsound: DataFrame) -> DataFrame:
     return df.withColumn("region", first).select("file", "record_no", "region", (F.col("region") == F.col("record_no")).alias("cut"))
 
 
-def headers_of(lines: DataFrame) -> DataFrame:
+def _headers(numbered: DataFrame) -> DataFrame:
     """(file, names): the first record of each file; names without blanks around them."""
-    first = _candidates(numbered_lines(lines)).where("record_no = 1")
+    first = _candidates(numbered.where("record_no = 1")).where("record_no = 1")
     return first.select("file", F.transform(fields(F.col("text")), F.trim).alias("names"))
 
 
-def sound_records(lines: DataFrame, headers: DataFrame, verified: Verify | None = None) -> tuple[DataFrame, DataFrame]:
+def sound_records(lines: DataFrame, verified: Verify | None = None) -> tuple[DataFrame, DataFrame]:
     """(records, rejected) of ``lines``: (file, names, text), and (file, error, text) of what is no record.
 
-    ``headers``: (file, names); the first record of each file is left out as its header.
+    The first record of a file is its header and gives the ``names`` of its columns.
     ``verified``: a condition on the map from column names to texts that records read again must fulfil.
+    The lines are written once with their record numbers; everything else reads that table.
     """
-    numbered = numbered_lines(lines).where("record_no > 0")
+    numbered = materialize(numbered_lines(lines))
+    return _sound(numbered, materialize(_headers(numbered)), verified)
+
+
+def _sound(numbered: DataFrame, headers: DataFrame, verified: Verify | None) -> tuple[DataFrame, DataFrame]:
+    numbered = numbered.where("record_no > 0")
     judged = _judged(_candidates(numbered), headers, "file", None).where("record_no > 1")
     good = judged.where("error is null")
     bad = judged.where("error is not null").withColumn("origin", F.col("file"))
@@ -263,12 +269,12 @@ def read_quoted(
     ``columns``: those of the table; else all that any header names, in order of their names
     unless there is one order for all files.
     """
-    lines = read_lines(spark, path)
-    headers = materialize(headers_of(lines))
+    numbered = materialize(numbered_lines(read_lines(spark, path)))
+    headers = materialize(_headers(numbered))
     if columns is None:
         orders = [r.names for r in headers.select("names").distinct().limit(2).collect()]
         columns = orders[0] if len(orders) == 1 else [r[0] for r in headers.select(F.explode("names")).distinct().orderBy("col").collect()]
-    records, rejected = sound_records(lines, headers, verified)
+    records, rejected = _sound(numbered, headers, verified)
     return by_name(records, columns), rejected
 
 

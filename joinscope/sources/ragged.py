@@ -26,31 +26,37 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records_from_lines(lines: DataFrame) -> DataFrame:
-    """Records (file, record_no, text), numbered per file from 1; 0 is text before the first.
+    """Records (file, record_no, text), numbered per file from 1; 0 is a line before the first.
 
     ``lines`` has (file, block, line_no, value). The number does not depend on how the file
-    was split. Header records are left out.
+    was split. Header records are left out. Lines before the first record stay apart, so that a
+    file without any record start is many short texts.
     """
     line = F.regexp_replace("value", "^\ufeff", "")
     starts = line.rlike(RECORD_START).cast("int")
     split = Window.partitionBy("file", "block")
     so_far = split.orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One row per split: how many records start in it, and in the file before it.
+    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.sum(starts).alias("started"))
+    splits = splits.withColumn("before", F.coalesce(F.sum("started").over(in_file), F.lit(0)))
+    placed = lines.select("file", "block", "line_no", line.alias("line"), starts.alias("starts")).withColumn(
+        "place", F.sum("starts").over(so_far)
+    )
+    leading = (F.col("place") == 0) & (F.col("before") == 0)
     fragments = (
-        lines.select("file", "block", "line_no", line.alias("line"), starts.alias("starts"))
-        .withColumn("place", F.sum("starts").over(so_far))
-        .groupBy("file", "block", "place")
+        placed.join(splits.select("file", "block", "before"), ["file", "block"])
+        .withColumn("alone", F.when(leading, F.col("line_no")))
+        .groupBy("file", "block", "place", "alone")
         .agg(
             F.array_join(
                 F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x.line), "\n"
             ).alias("text")
         )
     )
-    # One row per split: how many records start in it, and in the file before it.
-    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = lines.groupBy("file", "block").agg(F.sum(starts).alias("started"))
-    splits = splits.withColumn("before", F.coalesce(F.sum("started").over(in_file), F.lit(0)))
-
-    return assembled(fragments, splits).filter(~F.ltrim("text").startswith("user_name"))
+    before = fragments.where("alone is not null").select("file", F.lit(0).cast("long").alias("record_no"), "text")
+    records = assembled(fragments.where("alone is null").drop("alone"), splits)
+    return records.unionByName(before).filter(~F.ltrim("text").startswith("user_name"))
 
 
 def assembled(fragments: DataFrame, splits: DataFrame) -> DataFrame:

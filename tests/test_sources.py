@@ -100,6 +100,18 @@ def test_ragged_file_over_many_splits(spark, tmp_path, split_bytes):
     assert len(ids) == 300 and [r.parse_error for r in rejected] == ["fewer than 4 comma-separated segments"]
 
 
+def test_ragged_lines_before_any_record_stay_apart(spark, tmp_path):
+    lines = [f"-- remark {i}" for i in range(500)]
+    (tmp_path / "none.txt").write_text("\n".join(lines))
+    (tmp_path / "some.txt").write_text("\n".join(lines[:3]) + '\nu1,d,t,"SELECT 1\nFROM t",3/24/2026,3/24/2026 2:35,3/24/2026 2:36\n')
+    read = ragged.read_lines(spark, str(tmp_path)).withColumn("block", F.floor(F.col("line_no") / 40))
+    got = [(r.file.rsplit("/", 1)[1], r.record_no, r.text) for r in ragged.records_from_lines(read).collect()]
+    assert sorted(got) == sorted(
+        [("none.txt", 0, t) for t in lines] + [("some.txt", 0, t) for t in lines[:3]]
+        + [("some.txt", 1, 'u1,d,t,"SELECT 1\nFROM t",3/24/2026,3/24/2026 2:35,3/24/2026 2:36')]
+    )
+
+
 def test_ragged_fields(spark):
     rows = [
         (1, 'u1,d,t,"SELECT 1",3/24/2026,3/24/2026 2:35,3/24/2026\n2:36'),

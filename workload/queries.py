@@ -19,7 +19,7 @@ from joinscope.session import kept_folder, materialize
 from joinscope.sources import ragged, writers
 from joinscope.schemas import USAGE_METRICS
 from joinscope.sources.logs import bad_cells, is_log_record, resolve_log, typed
-from joinscope.sources.quoted import by_name, headers_of, parse_quoted, quoted_records, sound_records
+from joinscope.sources.quoted import by_name, parse_quoted, quoted_records, sound_records
 from workload import log_fixture as fx
 from workload.log_fixture import query_log
 
@@ -255,8 +255,7 @@ def csv_log_lineage(spark, sf):
 
 
 def _damaged(spark, sf):
-    lines = fx.damaged_csv_lines(spark, sf)
-    return sound_records(lines, headers_of(lines), is_log_record)
+    return sound_records(fx.damaged_csv_lines(spark, sf), is_log_record)
 
 
 @query
