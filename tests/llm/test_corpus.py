@@ -250,6 +250,35 @@ def test_language_model_of_whole_table(spark, sf_dir, real, monkeypatch):
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out[i], len(w) + 1, sum(counts[x] > 0 for x in w) + 1, n)
         assert r.base_score == pytest.approx(base) and r.score < 0
 
+    # the model's score by a plain recursion over all segmentations, word by word
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    pieces = Counter()
+    for word, c in counts.items():
+        for piece in sp.encode(word):
+            pieces[piece] += c
+    names = lattice_lm.piece_names(VOCABULARY)
+    total = sum(pieces.values()) + ends + 0.1 * (len(names) + 1)
+    logs = {name: math.log((pieces[k] + 0.1) / total) for k, name in enumerate(names) if name}
+    longest, known = max(map(len, logs)), {}
+
+    def marginal(word):
+        spelt, forward = "▁" + word, [0.0]
+        for j in range(1, len(spelt) + 1):
+            ways = [forward[k] + logs[spelt[k:j]] for k in range(max(0, j - longest), j) if spelt[k:j] in logs]
+            if spelt[j - 1] not in logs:
+                ways.append(forward[j - 1] + sum(logs[f"<0x{b:02X}>"] for b in spelt[j - 1].encode()))
+            most = max(ways)
+            forward.append(most + math.log(sum(math.exp(x - most) for x in ways)))
+        return forward[-1]
+
+    for i, text in real:
+        for x in set(lowered_words(text)) - known.keys():
+            known[x] = marginal(x)
+        want = sum(known[x] for x in lowered_words(text)) + math.log((ends + 0.1) / total)
+        assert rows[i].score == pytest.approx(want / math.log(10))
+
 
 def brute_word(model, word):
     """All segmentations of the word, one by one."""
