@@ -32,7 +32,7 @@ MOST_LINES = 10_000
 MOST_ROUNDS = 20
 #: Records after an unsound one that have to pass ``verified`` as well: what is left of it may look like a record.
 NEAR = 16
-#: Records of a file among which a run of unsound ones is looked for.
+#: Records of a file that one task looks through for runs of unsound ones; runs are then joined over its ends.
 STRETCH = 1_000_000
 
 _WITHIN = r'(?:[^"]++|""|"(?!,|\n|\z))*+'
@@ -179,11 +179,23 @@ def _regions(unsound: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("file", "_stretch").orderBy("record_no")
     run = Window.partitionBy("file", "_stretch", "_run").orderBy("record_no")
-    df = unsound.withColumn("_stretch", F.floor(F.col("record_no") / STRETCH))
+    df = unsound.select("file", "record_no", "lines", F.floor(F.col("record_no") / STRETCH).alias("_stretch"))
     new = F.coalesce(F.lag("record_no").over(order) != F.col("record_no") - 1, F.lit(True)).cast("int")
     df = df.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order))
     first = F.first(F.when(F.col("lines") > 1, F.col("record_no")), ignorenulls=True).over(run)
-    return df.withColumn("region", first).select("file", "record_no", "region", (F.col("region") == F.col("record_no")).alias("cut"))
+    df = df.withColumn("region", first)
+    # A run goes on over the ends of stretches; at most two runs of a stretch lie at its ends.
+    ends = df.groupBy("file", "_stretch", "_run").agg(
+        F.min("record_no").alias("_from"), F.max("record_no").alias("_to"), F.min("region").alias("_region")
+    )
+    ends = ends.where((F.col("_from") % STRETCH == 0) | (F.col("_to") % STRETCH == STRETCH - 1))
+    in_file = Window.partitionBy("file").orderBy("_from")
+    new = F.coalesce(F.lag("_to").over(in_file) != F.col("_from") - 1, F.lit(True)).cast("int")
+    ends = ends.withColumn("_new", new).withColumn("_chain", F.sum("_new").over(in_file))
+    earlier = Window.partitionBy("file", "_chain").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("file", "_stretch", "_run", F.first("_region", ignorenulls=True).over(earlier).alias("_carried"))
+    df = df.join(ends, ["file", "_stretch", "_run"], "left").withColumn("region", F.coalesce("_carried", "region"))
+    return df.select("file", "record_no", "region", (F.col("region") == F.col("record_no")).alias("cut"))
 
 
 def _headers(numbered: DataFrame) -> DataFrame:

@@ -263,6 +263,17 @@ def test_record_longer_than_allowed_is_rejected_alone(spark, tmp_path, monkeypat
     assert [(r.error, r.text) for r in rejected.collect()] == [("longer than 20 lines", '50,"never closed,2020-01-01')]
 
 
+def test_runs_of_unsound_records_go_on_over_stretches(spark, monkeypatch):
+    # (record, lines): a run over three stretches of 4, one that ends with its stretch, one that starts with it
+    rows = [(2, 1), (3, 5), *[(n, 1) for n in range(4, 8)], (8, 2), (9, 1), (13, 1), (15, 3), (17, 2), (19, 1), (20, 2), (24, 2)]
+    unsound = spark.createDataFrame([(f, n, k) for f in ("a", "b") for n, k in rows], "file string, record_no long, lines long")
+    whole = {tuple(r) for r in quoted._regions(unsound).collect()}
+    assert {r[1]: r[2] for r in whole if r[0] == "a"} == {2: None, **dict.fromkeys(range(3, 10), 3), 13: None, 15: 15, 17: 17, 19: None, 20: 20, 24: 24}
+    for size in (1, 2, 4, 5):
+        monkeypatch.setattr(quoted, "STRETCH", size)
+        assert {tuple(r) for r in quoted._regions(unsound).collect()} == whole
+
+
 def test_states_do_not_depend_on_the_splits(spark, tmp_path):
     (tmp_path / "a.csv").write_text(DAMAGED_A * 30)
     lines = ragged.read_lines(spark, str(tmp_path / "a.csv"))
