@@ -1,13 +1,15 @@
 """From query-log rows to join pairs.
 
-Everything here is a narrow transform: no shuffle, no Python per row. Costly columns are
-added in separate steps, so that the optimizer keeps each as one projection and does not
-repeat it where a later step reads it twice.
+No Python per row. Costly columns are added in separate steps, so that the optimizer keeps
+each as one projection and does not repeat it where a later step reads it twice. The structured
+modes read a text that many rows share once; the rows of any other log are never shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,15 @@ from joinscope.functions.columns import blank_to_null
 from joinscope.functions.keywords import FUSED_FROM
 from joinscope.modes import Mode
 
+#: The columns that the pairs of a row depend on.
+_INPUTS = ("SqlTextInfo", "Db_nm", "Tbl_nm")
+#: Texts are read once for all their rows if there are at most so many different ones ..
+MOST_TEXTS = 10_000
+#: .. of at most so many characters in all ..
+MOST_CHARACTERS = 32_000_000
+#: .. and so many rows for each.
+REPEATS = 8
+
 _WORK = ("_sql", "_pieces", "_events", "_comment_tables", "_structured")
 
 
@@ -46,11 +57,32 @@ def extract_pairs(
     """Add ``pairs``, the ordered join pairs of each query text.
 
     Rows without SQL are dropped. ``mask_literals=False`` leaves quoted text visible to the
-    patterns; ``protect`` lists names the keyword repair must not cut.
+    patterns; ``protect`` lists names the keyword repair must not cut. Where few texts stand for
+    many rows, they are read apart and joined back; this looks at the log once beforehand.
     """
-    df = log.filter(text.has_sql(F.col("SqlTextInfo"))).withColumn(
-        "_sql", clean_sql(F.col("SqlTextInfo"), mode, mask_literals, protect)
-    )
+    log = log.filter(text.has_sql(F.col("SqlTextInfo")))
+    inputs = [c for c in _INPUTS if c in log.columns]
+    if mode.scope == "nearest_preceding" or not _few_texts(log, inputs):
+        return _with_pairs(log, mode, mask_literals, protect)
+    found = _with_pairs(log.select(*inputs).distinct(), mode, mask_literals, protect)
+    found = found.withColumnsRenamed({c: f"_of_{c}" for c in inputs})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in inputs])
+    return log.join(F.broadcast(found), same, "left").drop(*[f"_of_{c}" for c in inputs])
+
+
+def _few_texts(log: DataFrame, inputs: Sequence[str]) -> bool:
+    seen = log.agg(
+        F.count("*").alias("rows"),
+        F.approx_count_distinct(F.xxhash64(*inputs), 0.02).alias("texts"),
+        F.max(F.length(F.concat_ws("", *inputs))).alias("longest"),
+    ).first()
+    if not seen.rows or seen.texts > MOST_TEXTS or seen.texts * seen.longest > MOST_CHARACTERS:
+        return False
+    return seen.rows >= REPEATS * seen.texts
+
+
+def _with_pairs(log: DataFrame, mode: Mode, mask_literals: bool, protect: Sequence[str]) -> DataFrame:
+    df = log.withColumn("_sql", clean_sql(F.col("SqlTextInfo"), mode, mask_literals, protect))
     if mode.scope == "nearest_preceding":
         df = df.withColumn("pairs", F.expr(P.nearest_preceding("_sql")))
     else:

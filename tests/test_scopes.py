@@ -3,6 +3,7 @@
 import pytest
 
 from joinscope import modes
+from joinscope.operators import extract
 from joinscope.operators.extract import extract_pairs
 from workload.golden import TEMPLATES
 
@@ -118,3 +119,18 @@ def test_long_statement(spark):
     joins = " ".join(f"JOIN t{i} x{i} ON x{i}.k = x{i - 1}.k" for i in range(1, 300))
     got = pairs(spark, modes.PER_BLOCK, f"SELECT '{'x' * 50000}' FROM t0 x0 {joins} -- " + "y" * 50000)
     assert got == [(f"t{i}", f"t{i + 1}") for i in range(299)]
+
+
+@pytest.mark.parametrize("mode", modes.MODES.values(), ids=lambda m: m.name)
+def test_repeated_texts_are_read_once(spark, monkeypatch, mode):
+    rows = [(i, None if i % 3 == 0 else "Sales", None if i % 2 else "orders", TEMPLATES[i % 4] if i % 5 else " ") for i in range(400)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    many = extract_pairs(log, mode)
+    got = {r.id: r for r in many.collect()}
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join LeftOuter" in plan) == (mode.scope != "nearest_preceding")
+    monkeypatch.setattr(extract, "MOST_TEXTS", 1)
+    single = extract_pairs(log, mode)
+    assert "Join LeftOuter" not in single._jdf.queryExecution().optimizedPlan().toString()
+    want = {r.id: r for r in single.collect()}
+    assert got == want and len(want) == 320
