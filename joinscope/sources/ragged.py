@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from joinscope.functions.columns import blank_to_null, collapse_ws, let, strip
 from joinscope.functions.keywords import DATE_AFTER_COMMA, RECORD_START
 from joinscope.functions.names import parse_time
+from joinscope.session import materialize
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,27 +46,29 @@ def records_from_lines(lines: DataFrame) -> DataFrame:
     )
     leading = (F.col("place") == 0) & (F.col("before") == 0)
     fragments = (
-        placed.join(splits.select("file", "block", "before"), ["file", "block"])
+        placed.join(splits, ["file", "block"])
         .withColumn("alone", F.when(leading, F.col("line_no")))
-        .groupBy("file", "block", "place", "alone")
+        .groupBy("file", "block", "place", "alone", "started", "before")
         .agg(
             F.array_join(
                 F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x.line), "\n"
             ).alias("text")
         )
     )
+    # Three readers: lines before the first record, whole records, and those cut by a split border.
+    fragments = materialize(fragments)
     before = fragments.where("alone is not null").select("file", F.lit(0).cast("long").alias("record_no"), "text")
-    records = assembled(fragments.where("alone is null").drop("alone"), splits)
+    records = assembled(fragments.where("alone is null").drop("alone"))
     return records.unionByName(before).filter(~F.ltrim("text").startswith("user_name"))
 
 
-def assembled(fragments: DataFrame, splits: DataFrame) -> DataFrame:
+def assembled(fragments: DataFrame) -> DataFrame:
     """Records (file, record_no, text) of fragments; those cut by a split border are joined.
 
-    ``fragments``: (file, block, place, text), place 0 being what goes on from the split before.
-    ``splits``: (file, block, started, before), records that start in a split and before it.
+    ``fragments``: (file, block, place, started, before, text), place 0 being what goes on from the
+    split before; ``started`` records start in the split, ``before`` in the file before it.
     """
-    numbered = fragments.join(splits, ["file", "block"]).withColumn("record_no", F.col("before") + F.col("place"))
+    numbered = fragments.withColumn("record_no", F.col("before") + F.col("place"))
     whole = (F.col("place") > 0) & (F.col("place") < F.col("started"))
     inner = numbered.filter(whole).select("file", "record_no", "text")
     at_border = (
@@ -117,9 +120,11 @@ def parse_records(records: DataFrame) -> DataFrame:
         "StartTime": F.get("_tail", F.lit(1)),
         "LastResponseTime": last_time,
     }
-    return df.select(
-        *records.columns, error.alias("parse_error"), *[F.when(error.isNull(), c).alias(n) for n, c in fields.items()]
-    )
+    df = df.withColumn("_error", error)
+    good = F.col("_error").isNull()
+    row = F.struct(F.col("_error").alias("parse_error"), *[F.when(good, c).alias(n) for n, c in fields.items()])
+    # A filter on a field would be pushed below the parsing, which would then run twice; not below a generator.
+    return df.select(*records.columns, F.explode_outer(F.array(row)).alias("_r")).select(*records.columns, "_r.*")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -263,6 +263,15 @@ def test_record_longer_than_allowed_is_rejected_alone(spark, tmp_path, monkeypat
     assert [(r.error, r.text) for r in rejected.collect()] == [("longer than 20 lines", '50,"never closed,2020-01-01')]
 
 
+def test_ragged_text_is_parsed_once(spark, tmp_path):
+    (tmp_path / "r.txt").write_text("svp1,sales,orders,SELECT 1 FROM a JOIN b ON 1=1,3/24/2026,3/24/2026 9:05,3/24/2026 9:06\n")
+    log, rejected = ragged.read_ragged_log(spark, str(tmp_path / "r.txt"))
+    plan = log.where("SqlTextInfo <> ''")._jdf.queryExecution().optimizedPlan().toString()
+    # Once for each of the three readers of the stored fragments, which are not put together again.
+    assert plan.count("regexp_instr(") == 3 and "collect_list(struct(line_no" not in plan
+    assert [r.SqlTextInfo for r in log.collect()] == ["SELECT 1 FROM a JOIN b ON 1=1"] and rejected.count() == 0
+
+
 def test_runs_of_unsound_records_go_on_over_stretches(spark, monkeypatch):
     # (record, lines): a run over three stretches of 4, one that ends with its stretch, one that starts with it
     rows = [(2, 1), (3, 5), *[(n, 1) for n in range(4, 8)], (8, 2), (9, 1), (13, 1), (15, 3), (17, 2), (19, 1), (20, 2), (24, 2)]
