@@ -35,6 +35,9 @@ NEAR = 16
 #: Records of a file that one task looks through for runs of unsound ones; runs are then joined over its ends.
 STRETCH = 1_000_000
 
+#: Lines that one task numbers or puts together, about; more lines are dealt over more tasks.
+TASK_LINES = 500_000
+
 _WITHIN = r'(?:[^"]++|""|"(?!,|\n|\z))*+'
 _CLOSED = rf'(?:"{_WITHIN}"|[^",][^,]*+|)'
 _OPENED = rf'(?:{_CLOSED},)*+"{_WITHIN}\z'
@@ -69,14 +72,25 @@ def _inside_before(df: DataFrame, keys: Sequence[str], order: str, from_outside:
     ).drop("_turns", "_turned", "_set", "_now")
 
 
+def _parts(stored: DataFrame) -> int:
+    """Partitions for a stored table of lines, by their number."""
+    least = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-stored.count() // TASK_LINES))
+
+
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """``lines`` (file, block, line_no, value) with ``record_no`` in the file from 1, and ``inside``
-    after the line. Whatever is before the first record of a file has number 0."""
+    after the line. Whatever is before the first record of a file has number 0.
+
+    The lines are written once with how they end, which also gives their number.
+    """
     line = F.regexp_replace("value", "^\ufeff", "")
     quoted = F.contains("line", F.lit('"'))
     marked = lines.select("file", "block", "line_no", line.alias("line")).withColumns(
         {"_o": quoted & F.col("line").rlike(ENDS_INSIDE_FROM_OUTSIDE), "_i": ~quoted | F.col("line").rlike(ENDS_INSIDE_FROM_INSIDE)}
     )
+    marked = materialize(marked)
+    marked = marked.repartition(_parts(marked), "file", "block")
     marked = _inside_before(marked, ("file", "block"), "line_no", "_o", "_i")
     after = lambda state: F.when(F.col(state), F.col("_i")).otherwise(F.col("_o"))
     splits = marked.groupBy("file", "block").agg(
@@ -130,7 +144,9 @@ def _candidates(numbered: DataFrame) -> DataFrame:
 
 def quoted_records(lines: DataFrame) -> DataFrame:
     """Records (file, record_no, text) of ``lines`` (file, block, line_no, value), numbered from 1, as they stand."""
-    return _candidates(numbered_lines(lines)).where("record_no > 0").select("file", "record_no", "text")
+    numbered = materialize(numbered_lines(lines))
+    numbered = numbered.repartition(_parts(numbered), "file", "block", "place")
+    return _candidates(numbered).where("record_no > 0").select("file", "record_no", "text")
 
 
 def _raw_fields(text: Column) -> Column:
@@ -216,7 +232,7 @@ def sound_records(lines: DataFrame, verified: Verify | None = None) -> tuple[Dat
 
 
 def _sound(numbered: DataFrame, headers: DataFrame, verified: Verify | None) -> tuple[DataFrame, DataFrame]:
-    numbered = numbered.where("record_no > 0")
+    numbered = numbered.repartition(_parts(numbered), "file", "block", "place").where("record_no > 0")
     judged = _judged(_candidates(numbered), headers, "file", None).where("record_no > 1")
     good = judged.where("error is null")
     bad = judged.where("error is not null").withColumn("origin", F.col("file"))

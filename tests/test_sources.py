@@ -272,6 +272,17 @@ def test_ragged_text_is_parsed_once(spark, tmp_path):
     assert [r.SqlTextInfo for r in log.collect()] == ["SELECT 1 FROM a JOIN b ON 1=1"] and rejected.count() == 0
 
 
+def test_lines_are_dealt_by_their_number(spark, monkeypatch):
+    lines = spark.range(900).select(F.lit("f").alias("file"), F.floor(F.col("id") / 10).alias("block"), F.col("id").alias("line_no"), F.concat("id", F.lit(',"x\n"')).alias("value"))
+    want = {tuple(r) for r in quoted.quoted_records(lines).collect()}
+    monkeypatch.setattr(quoted, "TASK_LINES", 20)
+    many = quoted.quoted_records(lines)
+    assert {tuple(r) for r in many.collect()} == want and len(want) == 900
+    assert quoted._parts(lines) == 45
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(file" in plan and ", 45)" in plan
+
+
 def test_runs_of_unsound_records_go_on_over_stretches(spark, monkeypatch):
     # (record, lines): a run over three stretches of 4, one that ends with its stretch, one that starts with it
     rows = [(2, 1), (3, 5), *[(n, 1) for n in range(4, 8)], (8, 2), (9, 1), (13, 1), (15, 3), (17, 2), (19, 1), (20, 2), (24, 2)]
