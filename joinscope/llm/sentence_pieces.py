@@ -25,23 +25,78 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterable
+from operator import itemgetter
 
-import ahocorasick
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Words, parts of them and pairs, of each that many, that a worker remembers before it starts anew;
-#: words that come again are taken over.
-REMEMBERED = 250_000
+#: Words and parts of them, of each that many, and twice as many pairs and steps of the automaton,
+#: that a worker remembers before it starts anew; words that come again are taken over.
+REMEMBERED = 400_000
 #: Characters of a word or part that is worth remembering.
 LONGEST = 64
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_WORD = re.compile(f"{MARK}({MARK}*[^{MARK}]+|{MARK}*)")
 #: Where a word is looked at for a cut: between letters or digits and other characters.
 _PART = re.compile(rf"{MARK}*\w+|{MARK}*[^\w{MARK}]+|{MARK}+")
 
 
+class _State(dict):
+    """A state of the automaton: the next state by character, made when it is first met.
+
+    ``read`` is the longest end of what was read that a token starts with, and ``found`` the tokens
+    that end here, the longest first, with their lengths.
+    """
+
+    __slots__ = ("found", "make", "read")
+
+    def __init__(self, read: str, found: list[tuple[int, str]], make: Callable[[str], _State]):
+        self.read, self.found, self.make = read, found, make
+
+    def __missing__(self, character: str) -> _State:
+        self[character] = state = self.make(self.read + character)
+        return state
+
+
+class Automaton:
+    """Lists, character by character, the tokens that end at a place. Only what texts need is built."""
+
+    def __init__(self, tokens: set[str]):
+        self.tokens = tokens
+        self.starts = {t[:n] for t in tokens for n in range(len(t) + 1)}
+        self.forget()
+
+    def forget(self) -> None:
+        self.steps = 0
+        self.states: dict[str, _State] = {}
+        self.start = self._state("")
+        self.steps = 0
+
+    def _state(self, read: str) -> _State:
+        self.steps += 1
+        while read not in self.starts:
+            read = read[1:]
+        state = self.states.get(read)
+        if state is None:
+            ends = (read[k:] for k in range(len(read)))
+            self.states[read] = state = _State(read, [(len(t), t) for t in ends if t in self.tokens], self._state)
+        return state
+
+
+class _After(dict):
+    """For each token tested beside ``token``: its own :class:`_After` if the two stay as they are, else None."""
+
+    __slots__ = ("length", "test", "token")
+
+    def __init__(self, token: str, test: Callable[[str, str], _After | None]):
+        self.token, self.length, self.test = token, len(token), test
+
+    def __missing__(self, right: str) -> _After | None:
+        self[right] = after = self.test(self.token, right)
+        return after
+
+
 class PieceTable:
     """Ids of texts for one model file, and texts of ids."""
 
@@ -63,65 +118,66 @@ class PieceTable:
         self.cut_at_marks = not any(p[1] == MARK != p[0] for p in self.joined)
         # A character that is only found within pieces may still be merged: it is a token on the way.
         self.alphabet = {c for n in self.id for c in n}
-        tokens = self.alphabet.union(self.id)
-        self.automaton = ahocorasick.Automaton()
-        for token in tokens:
-            self.automaton.add_word(token, token)
-        self.automaton.make_automaton()
-        self.together: dict[str, dict[str, bool]] = {}
+        self.automaton = Automaton(self.alphabet.union(self.id))
+        self.together: dict[str, _After] = {}
         self.tested = 0
-        self.words: dict[str, bytes] = {}
-        self.texts: dict[str, bytes] = {}
-        self.older: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
-        self.parts: dict[str, list[int]] = {}
+        # Ids in decimal and decoded bytes of each word, without its first mark.
+        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.decimal = [b"%d" % i for i in ids]
 
     # --- one text through the table -----------------------------------------------------
 
     def merged(self, text: str) -> list[str]:
         """The tokens of a short text, by merging its pairs one after another."""
         tokens, score = list(text), self.score.get
-        while len(tokens) > 1:
-            best, at = None, -1
-            for k in range(len(tokens) - 1):
-                s = score(tokens[k] + tokens[k + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, k
-            if best is None:
-                break
-            tokens[at : at + 2] = [tokens[at] + tokens[at + 1]]
+        scores = [score(a + b, _NEVER) for a, b in zip(tokens, tokens[1:])]
+        while scores and (best := max(scores)) is not _NEVER:
+            k = scores.index(best)
+            tokens[k : k + 2] = [tokens[k] + tokens[k + 1]]
+            del scores[k]
+            if k:
+                scores[k - 1] = score(tokens[k - 1] + tokens[k], _NEVER)
+            if k < len(scores):
+                scores[k] = score(tokens[k] + tokens[k + 1], _NEVER)
         return tokens
 
-    def _together(self, left: str, right: str) -> bool:
+    def _together(self, left: str, right: str) -> _After | None:
         """Do the two tokens stay as they are beside each other? ``left`` is empty at the start."""
-        answer = self.merged(left + right) == ([left, right] if left else [right])
-        self.together.setdefault(left, {})[right] = answer
         self.tested += 1
-        return answer
+        return self._after(right) if self.merged(left + right) == ([left, right] if left else [right]) else None
+
+    def _after(self, token: str) -> _After:
+        return self.together.get(token) or self.together.setdefault(token, _After(token, self._together))
 
     def tokens(self, text: str) -> list[str]:
-        """Fill the table of last tokens prefix by prefix, then go back from the end."""
-        if self.tested >= REMEMBERED:
+        """Fill the table of last tokens prefix by prefix, then go back from the end.
+
+        ``text`` has characters of the alphabet only, so that each prefix has a last token.
+        """
+        if self.tested >= 2 * REMEMBERED:
             self.together, self.tested = {}, 0
-        last: list[str] = [""] * (len(text) + 1)
-        tests: list[dict[str, bool] | None] = [None] * (len(text) + 1)  # of the prefix's last token
-        together, tests[0], done = self.together, self.together.setdefault("", {}), 0
-        for end, token in self.automaton.iter(text):
-            if end < done:
-                continue  # this prefix has its token
-            start = end + 1 - len(token)
-            tested = tests[start]
-            if tested is None:
-                continue
-            goes = tested.get(token)
-            if self._together(last[start], token) if goes is None else goes:
-                done = end + 1
-                last[done] = token
-                tests[done] = together.get(token) or together.setdefault(token, {})
+        if self.automaton.steps >= 2 * REMEMBERED:
+            self.automaton.forget()
+        state, last = self.automaton.start, [self._after("")]
+        add = last.append
+        for character in text:
+            state = state[character]
+            for n, token in state.found:
+                after = last[-n][token]
+                if after is not None:
+                    add(after)
+                    break
+            else:
+                raise ValueError("a character of no piece")
         out, at = [], len(text)
         while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+            end = last[at]
+            out.append(end.token)
+            at -= end.length
+        out.reverse()
+        return out
 
     def _spelt(self, token: str) -> list[int]:
         known = self.id.get(token)
@@ -130,11 +186,14 @@ class PieceTable:
         ids = self.byte_id
         return [ids[b] for b in token.encode()] if ids else [self.unknown]
 
-    def _part(self, text: str) -> list[int]:
+    def _part(self, text: str) -> tuple[int, ...]:
         """Ids between two places that nothing is merged over."""
         known = self.parts.get(text)
         if known is None:
-            known = [i for t in self.tokens(text) for i in self._spelt(t)] if len(text) > 1 else self._spelt(text)
+            tokens = self.tokens(text) if len(text) > 1 else [text]
+            known = tuple(map(self.id.get, tokens))
+            if None in known:
+                known = tuple(i for t in tokens for i in self._spelt(t))
             if len(text) <= LONGEST:
                 if len(self.parts) >= REMEMBERED:
                     self.parts.clear()
@@ -143,6 +202,8 @@ class PieceTable:
 
     def _cut(self, spans: list[str]) -> list[int]:
         """Ids of a word that is given in spans, cut where no piece of the vocabulary goes over."""
+        if len(spans) == 1:
+            return list(self._part(spans[0]))
         joined, part, out = self.joined, spans[0], []
         for span in spans[1:]:
             if part[-1] + span[0] in joined:
@@ -150,7 +211,8 @@ class PieceTable:
             else:
                 out += self._part(part)
                 part = span
-        return out + self._part(part)
+        out += self._part(part)
+        return out
 
     def _ids(self, word: str) -> list[int]:
         # A character of no piece is cut out by itself.
@@ -159,14 +221,17 @@ class PieceTable:
     # --- whole texts --------------------------------------------------------------------
 
     def _words(self, text: str) -> list[str]:
-        """Cut before each run of marks, unless pieces go on over them."""
-        text = MARK + text.replace(" ", MARK)
-        return _WORD.findall(text) if self.cut_at_marks else [text]
+        """Cut before each run of marks, unless pieces go on over them; words go without their first mark."""
+        if not self.cut_at_marks:
+            return [text.replace(" ", MARK)]
+        if "  " not in text and MARK not in text and text[0] != " ":
+            return text.split(" ")
+        return _WORD.findall(MARK + text.replace(" ", MARK))
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        return [i for w in self._words(text) for i in self._ids(w)]
+        return [i for w in self._words(text) for i in self._ids(MARK + w)]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ``ids``; it goes without the mark that was put before it."""
@@ -188,28 +253,31 @@ class PieceTable:
         """
         if not text:
             return 0, _EMPTY, _EMPTY
-        words = self._words(text)
-        if new := set(words).difference(self.words):
-            if len(self.words) + len(new) > REMEMBERED:
-                self.older, self.words, self.texts = (self.words, self.texts), {}, {}
-                new = set(words)
-            older = self.older[0].get
+        words, known = self._words(text), self.words
+        if new := set(words).difference(known):
+            if len(known) + len(new) > REMEMBERED:
+                self.older, self.words = known, {}
+                known, new = self.words, set(words)
+            older, decimal, shown = self.older.get, self.decimal, self.shown
             for word in new:
-                if (before := older(word)) is not None:
-                    self.words[word], self.texts[word] = before, self.older[1][word]
-                    continue
-                ids = self._ids(word)
-                self.words[word] = ",".join(map(str, ids)).encode()
-                self.texts[word] = _readable(b"".join([self.shown[i] for i in ids])).encode()
-        ids = b",".join(map(self.words.__getitem__, words))
+                both = older(word)
+                if both is None:
+                    ids = self._ids(MARK + word)
+                    both = b",".join([decimal[i] for i in ids]), _readable(b"".join([shown[i] for i in ids])).encode()
+                known[word] = both
+        both = list(map(known.__getitem__, words))
+        ids = b",".join(map(_FIRST, both))
         # The first word opens with the mark that encoding put there.
-        decoded = b"".join(map(self.texts.__getitem__, words))[1:]
-        for word in [w for w in new if len(w) > LONGEST]:
-            del self.words[word], self.texts[word]
+        decoded = b"".join(map(_SECOND, both))[1:]
+        for word in new:
+            if len(word) > LONGEST:
+                del known[word]
         return ids.count(b",") + 1, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
+_NEVER = float("-inf")
 _EMPTY = hashlib.sha256(b"").hexdigest()
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
 
 def _readable(data: bytes) -> str:

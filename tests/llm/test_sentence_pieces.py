@@ -105,3 +105,35 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs, library):
         assert list(r.ids) == library.encode(r.text or "") and r.again == library.decode(list(r.ids))
         assert tuple(r.d) == digest(library, r.text)
     assert no_docs.select(sentence_pieces.digests(text, PATH)).count() == 0
+
+
+def test_automaton_lists_the_tokens_that_end_at_a_place_longest_first(table, monkeypatch):
+    text = "▁unbelievable▁representations();▁日本▁aaaa"
+    automaton = sentence_pieces.Automaton(table.alphabet.union(table.id))
+    for _ in range(2):
+        state = automaton.start
+        for end, character in enumerate(text, 1):
+            state = state[character]
+            ends = [text[k:end] for k in range(end)]
+            assert state.found == [(len(t), t) for t in ends if t in automaton.tokens]
+        assert len(automaton.states) <= automaton.steps <= len(text) + 1
+        automaton.forget()
+
+
+def test_words_go_without_their_first_mark(table):
+    texts = ["a", "a b", "a b ", " a", "a  b", "▁a b", "a ▁", " ", "  ", "a\n b", "a b  "]
+    for text in texts:
+        words = table._words(text)
+        marked = sentence_pieces.MARK + text.replace(" ", sentence_pieces.MARK)
+        assert "".join(sentence_pieces.MARK + w for w in words) == marked
+        assert all(w.lstrip(sentence_pieces.MARK) or w is words[-1] for w in words), text
+
+
+def test_a_word_known_already_is_not_cut_again(table, monkeypatch):
+    draw = random.Random(11)
+    known = ["".join(draw.choices("abcdefgh", k=9)) for _ in range(300_000)]
+    small = sentence_pieces.PieceTable(PATH)
+    monkeypatch.setattr(small, "_ids", lambda word: [300])
+    for k in range(0, len(known), 1000):
+        small.digest(" ".join(known[k : k + 1000]))
+    assert set(known) <= set(small.words)
