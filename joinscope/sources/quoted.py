@@ -8,8 +8,9 @@ crosses splits is one row for each. A line that starts outside starts a record.
 field is ``\\n``, whatever the file has.
 
 A quote that is missing or too many makes a record swallow the lines after it. A record is sound if
-it is closed, has as many fields as its file's header, is not longer than ``MOST_LINES`` lines, and has
-no single quote within a field that spans lines; blank lines between records are none. From the first unsound record of several lines, its
+it is closed, has as many fields as its file's header, and has no single quote within a field that
+spans lines; blank lines between records are none. One of more than ``MOST_LINES`` lines is judged line
+by line first and put together only if it is sound, so that a lost quote does not gather the rest of a file. From the first unsound record of several lines, its
 first line is rejected alone, and the lines after it are read again as outside, up to the next sound
 record; this goes on until nothing changes. What is read again, or stands shortly after an unsound
 record, has to pass ``verified`` too, since a line of SQL may have as many commas as a record. Every line is in a record or among the rejected.
@@ -26,7 +27,7 @@ from joinscope.functions.columns import let
 from joinscope.session import materialize
 from joinscope.sources.ragged import read_lines
 
-#: A longer record is taken for one whose quote is not closed.
+#: A longer record is put together only after its lines have shown that it is sound.
 MOST_LINES = 10_000
 #: Damaged records that may follow each other directly; of more, the rest is rejected as it stands.
 MOST_ROUNDS = 20
@@ -47,6 +48,8 @@ ENDS_INSIDE_FROM_INSIDE = rf'\A{_WITHIN}(?:\z|",{_OPENED})'
 FIELD = rf',("{_WITHIN}"|[^",][^,]*+|)(?=,|\z)'
 #: A quoted field over several lines with a quote in it that is not doubled.
 SINGLE_QUOTE = r'\A"(?=[\s\S]*\n)(?:[^"]++|"")*+"(?!\z)'
+#: The same in the part of such a field on one line, put in quotes.
+SINGLE_IN_PART = r'\A"(?:[^"]++|"")*+"(?!\z)'
 
 Verify = Callable[[Column], Column]
 
@@ -80,7 +83,7 @@ def _parts(stored: DataFrame) -> int:
 
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """``lines`` (file, block, line_no, value) with ``record_no`` in the file from 1, and ``inside``
-    after the line. Whatever is before the first record of a file has number 0.
+    after the line and ``within`` before it. Whatever is before the first record of a file has number 0.
 
     The lines are written once with how they end, which also gives their number.
     """
@@ -109,41 +112,67 @@ def numbered_lines(lines: DataFrame) -> DataFrame:
     both = both.withColumn("place", F.sum((~F.col("_in")).cast("int")).over(so_far))
     return both.select(
         "file", "block", "line_no", "line", "place", "started", (F.col("before") + F.col("place")).alias("record_no"),
-        F.when(F.col("_in"), F.col("_i")).otherwise(F.col("_o")).alias("inside"),
+        F.col("_in").alias("within"), F.when(F.col("_in"), F.col("_i")).otherwise(F.col("_o")).alias("inside"),
     )
 
 
-def _candidates(numbered: DataFrame) -> DataFrame:
-    """(file, record_no, lines, closed, text) of the records; a longer one than allowed has its first line as text."""
+def _candidates(numbered: DataFrame, apart: DataFrame | None = None) -> DataFrame:
+    """(file, record_no, lines, closed, whole, text) of the records, each with its whole text.
+
+    ``apart``: records (file, record_no, lines, closed, text) that stand as they are given instead.
+    """
 
     def joined(order: str, text: str) -> Column:
         rows = F.sort_array(F.collect_list(F.struct(order, text)))
-        return F.array_join(F.transform(rows, lambda x: x[text]), "\n")
+        return F.array_join(F.transform(rows, lambda x: x[text]), "\n").alias("text")
 
-    of_record = Window.partitionBy("file", "block", "place").orderBy("line_no")
-    few = numbered.withColumn("_k", F.row_number().over(of_record))
-    fragments = few.groupBy("file", "block", "place").agg(
+    if apart is not None:
+        numbered = numbered.join(apart.select("file", "record_no"), ["file", "record_no"], "left_anti")
+    fragments = numbered.groupBy("file", "block", "place").agg(
         F.first("record_no").alias("record_no"), F.first("started").alias("started"), F.count("*").alias("lines"),
-        F.max_by(~F.col("inside"), "line_no").alias("closed"), F.min_by("line", "line_no").alias("first"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("_k") <= MOST_LINES, F.struct("line_no", "line")))), lambda x: x["line"]), "\n").alias("text"),
+        F.max_by(~F.col("inside"), "line_no").alias("closed"), joined("line_no", "line"),
     )
-    too_long = F.col("lines") > MOST_LINES
     whole = (F.col("place") > 0) & (F.col("place") < F.col("started"))
-    columns = ["file", "record_no", "lines", "closed", "first", "text"]
-    inner = fragments.where(whole).select(*columns)
-    border = fragments.where(~whole)
-    sizes = border.groupBy("file", "record_no").agg(
-        F.sum("lines").alias("lines"), F.max_by("closed", "block").alias("closed"), F.min_by("first", "block").alias("first")
+    inner = fragments.where(whole).select("file", "record_no", "lines", "closed", "text")
+    at_border = fragments.where(~whole).groupBy("file", "record_no").agg(
+        F.sum("lines").alias("lines"), F.max_by("closed", "block").alias("closed"), joined("block", "text")
     )
-    texts = border.join(sizes.where(~too_long).select("file", "record_no"), ["file", "record_no"])
-    texts = texts.groupBy("file", "record_no").agg(joined("block", "text").alias("text"))
-    at_border = sizes.join(texts, ["file", "record_no"], "left").select(*columns)
-    text = F.when(too_long, F.col("first")).otherwise(F.col("text"))
-    return inner.unionByName(at_border).select("file", "record_no", "lines", "closed", text.alias("text"))
+    records = inner.unionByName(at_border).withColumn("whole", F.lit(True))
+    return records if apart is None else records.unionByName(apart.withColumn("whole", F.lit(False)))
+
+
+def _too_long(numbered: DataFrame, headers: DataFrame | None = None, origin: str = "file") -> DataFrame | None:
+    """(file, record_no, lines, closed, text) of the records of more than ``MOST_LINES`` lines that are
+    unsound by their lines, with the first one as text; None if no record is longer.
+
+    A field that goes on over a line's end is closed there, and opened again on the next line. Without
+    ``headers`` the number of fields does not count.
+    """
+    long = materialize(numbered.groupBy("file", "record_no").agg(F.count("*").alias("lines")).where(F.col("lines") > MOST_LINES))
+    if long.isEmpty():
+        return None
+    quote = lambda state: F.when(F.col(state), '"').otherwise("")
+    lines = numbered.join(long, ["file", "record_no"]).withColumn("parts", _raw_fields(F.concat(quote("within"), "line", quote("inside"))))
+    single = lambda state, at: F.col(state) & F.try_element_at("parts", F.lit(at)).rlike(SINGLE_IN_PART)
+    lone = F.coalesce(single("within", 1), F.lit(False)) | F.coalesce(single("inside", -1), F.lit(False))
+    place = F.struct("block", "line_no")
+    keys = ["file", "record_no"] if origin == "file" else ["file", "record_no", origin]
+    judged = lines.groupBy(*keys).agg(
+        F.first("lines").alias("lines"), F.max_by(~F.col("inside"), place).alias("closed"), F.min_by("line", place).alias("text"),
+        F.max(lone).alias("lone"), (F.sum(F.size("parts")) - F.count("*") + 1).alias("n_fields"),
+    )
+    unsound = ~F.col("closed") | F.col("lone")
+    if headers is not None:
+        judged = judged.join(headers.select(F.col("file").alias("_of"), F.size("names").alias("n_names")), F.col(origin) == F.col("_of"))
+        unsound |= F.col("n_fields") != F.col("n_names")
+    return materialize(judged.where(unsound).select("file", "record_no", "lines", "closed", "text"))
 
 
 def quoted_records(lines: DataFrame) -> DataFrame:
-    """Records (file, record_no, text) of ``lines`` (file, block, line_no, value), numbered from 1, as they stand."""
+    """Records (file, record_no, text) of ``lines`` (file, block, line_no, value), numbered from 1, as they stand.
+
+    A record is whole whatever its length; ``sound_records`` tells apart those that swallow others.
+    """
     numbered = materialize(numbered_lines(lines))
     numbered = numbered.repartition(_parts(numbered), "file", "block", "place")
     return _candidates(numbered).where("record_no > 0").select("file", "record_no", "text")
@@ -178,7 +207,7 @@ def _judged(candidates: DataFrame, headers: DataFrame, origin: str, verified: Ve
     judged = candidates.withColumn("raw", _raw_fields(F.col("text"))).join(headers.withColumnRenamed("file", "_of"), F.col(origin) == F.col("_of")).drop("_of")
     error = (
         F.when(F.trim("text") == "", F.lit(BLANK))
-        .when(F.col("lines") > MOST_LINES, F.lit(f"longer than {MOST_LINES} lines"))
+        .when(~F.col("whole"), F.lit(f"longer than {MOST_LINES} lines"))
         .when(~F.col("closed"), F.lit("quote not closed"))
         .when(F.size("raw") != F.size("names"), F.concat(F.size("raw").cast("string"), F.lit(" fields instead of "), F.size("names").cast("string")))
         .when(lone, F.lit("single quote in a field over several lines"))
@@ -216,7 +245,8 @@ def _regions(unsound: DataFrame) -> DataFrame:
 
 def _headers(numbered: DataFrame) -> DataFrame:
     """(file, names): the first record of each file; names without blanks around them."""
-    first = _candidates(numbered.where("record_no = 1")).where("record_no = 1")
+    first = numbered.where("record_no = 1")
+    first = _candidates(first, _too_long(first))
     return first.select("file", F.transform(fields(F.col("text")), F.trim).alias("names"))
 
 
@@ -232,8 +262,9 @@ def sound_records(lines: DataFrame, verified: Verify | None = None) -> tuple[Dat
 
 
 def _sound(numbered: DataFrame, headers: DataFrame, verified: Verify | None) -> tuple[DataFrame, DataFrame]:
+    too_long = _too_long(numbered.where("record_no > 1"), headers)
     numbered = numbered.repartition(_parts(numbered), "file", "block", "place").where("record_no > 0")
-    judged = _judged(_candidates(numbered), headers, "file", None).where("record_no > 1")
+    judged = _judged(_candidates(numbered.where("record_no > 1"), too_long), headers, "file", None)
     good = judged.where("error is null")
     bad = judged.where("error is not null").withColumn("origin", F.col("file"))
     if verified is not None:
@@ -247,10 +278,14 @@ def _sound(numbered: DataFrame, headers: DataFrame, verified: Verify | None) ->
     again = numbered.withColumn("origin", F.col("file"))
     rejected = None
     for round_ in range(MOST_ROUNDS):
-        bad = materialize(bad.select("file", "origin", "record_no", "lines", "error", "text"))
+        bad = materialize(bad.select("file", "origin", "record_no", "lines", "whole", "error", "text"))
         regions = materialize(_regions(bad).where("region is not null")) if round_ + 1 < MOST_ROUNDS else None
         if regions is None or regions.isEmpty():
             final = bad
+            if regions is None:  # the lines after the first of a record that was not put together
+                lines = again.join(bad.where("not whole").select("file", "record_no", "error"), ["file", "record_no"])
+                rest = lines.where("within").select("file", "record_no", "origin", "error", F.col("line").alias("text"))
+                final = final.unionByName(rest, allowMissingColumns=True)
         else:
             final = bad.join(regions.where("not cut").select("file", "record_no"), ["file", "record_no"], "left_anti")
             final = final.join(regions.where("cut").select("file", "record_no", "cut"), ["file", "record_no"], "left")
@@ -267,7 +302,7 @@ def _sound(numbered: DataFrame, headers: DataFrame, verified: Verify | None) ->
         part = materialize(part)
         origins = materialize(part.select("file", "origin").distinct())
         again = numbered_lines(part.drop("origin")).join(origins, "file")
-        judged = _judged(_candidates(again).join(origins, "file"), headers, "origin", verified)
+        judged = _judged(_candidates(again, _too_long(again, headers, "origin")).join(origins, "file"), headers, "origin", verified)
         good = good.unionByName(judged.where("error is null").select(F.col("origin").alias("file"), "names", "text"))
         bad = judged.where("error is not null")
     return good, rejected.where(F.col("error") != BLANK)

@@ -263,6 +263,58 @@ def test_record_longer_than_allowed_is_rejected_alone(spark, tmp_path, monkeypat
     assert [(r.error, r.text) for r in rejected.collect()] == [("longer than 20 lines", '50,"never closed,2020-01-01')]
 
 
+def _records_of(spark, tmp_path, text):
+    (tmp_path / "a.csv").write_text(text)
+    lines = ragged.read_lines(spark, str(tmp_path / "a.csv"))
+    cut = lines.withColumn("block", F.floor(F.col("line_no") / 7_000))  # over block ends as well
+    return {r.record_no: r.text for r in quoted.quoted_records(cut).collect()}
+
+
+def test_long_records_are_whole(spark, tmp_path, monkeypatch):
+    long = '1,"' + "\n".join(f"line {i}" for i in range(quoted.MOST_LINES + 5)) + '",x'
+    assert _records_of(spark, tmp_path, f"id,sql,last\n{long}\n2,b,y\n") == {1: "id,sql,last", 2: long, 3: "2,b,y"}
+    monkeypatch.setattr(quoted, "MOST_LINES", 3)
+    within, open_ = '1,"a\nb\nc\nd\n""e",x', '3,"a\nb\nc\nd'
+    assert _records_of(spark, tmp_path, f"id,sql,last\n{within}\n2,b,y\n{open_}") == {1: "id,sql,last", 2: within, 3: "2,b,y", 4: open_}
+
+
+def test_long_sound_records_are_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quoted, "MOST_LINES", 3)
+    sql = 'SELECT ""a"", b\n\n, c\nFROM t\nWHERE x = ""y""'
+    short = '2,"SELECT 1,\n2,\n3,\n4"'
+    text = "\n".join(["id,sql,date", f'1,"{sql}",2020-01-01', short, "3,x,2020-01-03", '4,"lost "quote\n\n\n\nz",2020-01-04', f'5,"{sql}\n",2020-01-05', "6,x,2020-01-06", '7,"open', "8,x,2020-01-08", "\n\n9,x,2020-01-09"])
+    (tmp_path / "a.csv").write_text(text)
+    log, rejected = quoted.read_quoted(spark, str(tmp_path / "a.csv"), verified=_dated)
+    whole = sql.replace('""', '"')
+    assert {(r.id, r.sql) for r in log.collect()} == {("1", whole), ("3", "x"), ("5", whole + "\n"), ("6", "x"), ("8", "x"), ("9", "x")}
+    assert sorted((r.error, r.text) for r in rejected.collect()) == sorted(
+        [("longer than 3 lines", t) for t in ('2,"SELECT 1,', '4,"lost "quote', '7,"open')]
+        + [("1 fields instead of 3", t) for t in ('4"',)] + [("2 fields instead of 3", t) for t in ("2,", "3,", 'z",2020-01-04')]
+    )
+
+
+def test_long_records_are_judged_by_their_lines_as_by_their_texts(spark, tmp_path, monkeypatch):
+    odd = ['1,"a""\n""b",c', '2,"""\n"""', '3,"\n"', '4,"\n",', '5,"a"b\nc",d', '6,"a\nb"c",d', '7,x,"\n,"",""\n",y', '8,"a\nb",c,d', '9,"\n""\nc"d",', 'e,"\n"",z\n""",f']
+    (tmp_path / "a.csv").write_text("id,sql,date\n" + "\n".join(["x,y,z", *odd, *odd[::-1], '9,"open\n"",']))
+    lines = ragged.read_lines(spark, str(tmp_path / "a.csv")).withColumn("block", F.floor(F.col("line_no") / 4))
+    numbered = quoted.materialize(quoted.numbered_lines(lines))
+    headers = quoted.materialize(quoted._headers(numbered))
+    judged = quoted._judged(quoted._candidates(numbered), headers, "file", None).where("lines > 1").collect()
+    monkeypatch.setattr(quoted, "MOST_LINES", 1)
+    got = {(r.record_no, r.lines, r.closed, r.text) for r in quoted._too_long(numbered, headers).collect()}
+    assert got == {(r.record_no, r.lines, r.closed, r.text.split("\n")[0]) for r in judged if r.error is not None}
+    assert len(judged) == 21 and 7 < len(got) < 21
+
+
+def test_no_line_is_lost_after_the_last_round(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quoted, "MOST_LINES", 3)
+    monkeypatch.setattr(quoted, "MOST_ROUNDS", 1)
+    (tmp_path / "a.csv").write_text('id,sql,date\n1,x,2020-01-01\n2,"open\nb\n\nc\nd')
+    log, rejected = quoted.read_quoted(spark, str(tmp_path / "a.csv"))
+    assert [r.id for r in log.collect()] == ["1"]
+    assert sorted(r.text for r in rejected.collect()) == sorted(['2,"open', "b", "", "c", "d"])
+
+
 def test_ragged_text_is_parsed_once(spark, tmp_path):
     (tmp_path / "r.txt").write_text("svp1,sales,orders,SELECT 1 FROM a JOIN b ON 1=1,3/24/2026,3/24/2026 9:05,3/24/2026 9:06\n")
     log, rejected = ragged.read_ragged_log(spark, str(tmp_path / "r.txt"))
