@@ -1,11 +1,13 @@
 """Nearest neighbours by a block matrix join with int8 tiles and error bounds.
 
-Vectors are packed into blocks: unit vectors rounded to int8, each with its scale and the norm of
-its rounding error, and the originals. Blocks are dealt onto a grid of candidate groups by query
-groups, whose size follows from the number of pairs, and meet by an equi-join on its cells. A tile is one product of int8 blocks; with both errors it bounds each cosine
-from below and above. Pairs whose upper bound reaches the k-th best lower bound of their query
-are computed again in double precision on the originals (held to a scale that cannot overflow). Each task merges the best of its tiles in heaps,
-and a ranking by query merges those of the tasks.
+Vectors are packed into blocks of ids and originals (held to a scale that cannot overflow). Blocks are
+dealt onto a grid of candidate groups by query groups, whose size follows from the number of pairs, and
+those of a cell come together by a cogroup, so that a block is sent once a cell and not once a tile. In a
+cell, unit vectors are rounded to int8, each with its scale and the norm of its rounding error. A tile is one
+product of int8 blocks; with both errors it bounds each cosine from below and above. Pairs whose upper
+bound reaches the k-th best cosine of their query so far, or the k-th best lower bound of its first tile,
+are computed again in double precision on the originals. Each cell keeps the k best of a query, and a
+ranking by query merges those of the cells.
 
 Every query meets every candidate, so nothing is missed; the work is |queries| x |candidates|, in
 tiles of fixed size. Neither side is broadcast or collected.
@@ -19,7 +21,6 @@ their own neighbours.
 
 from __future__ import annotations
 
-import heapq
 import math
 import zlib
 from collections.abc import Iterator
@@ -31,13 +32,15 @@ from pyspark.sql import functions as F
 
 CANDIDATES, QUERIES = 1024, 256
 #: Pairs that a cell of the grid has at least, and those that it has at most.
-CELL_LEAST, CELL_MOST = 1 << 21, 1 << 32
+CELL_LEAST, CELL_MOST = 1 << 24, 1 << 34
+#: Cells that are made for the sake of many tasks, where more would multiply the copies.
+CELLS_FREELY = 64
 #: Rounding of the float32 products of a tile.
 SLACK = 1e-5
-#: Queries whose heaps a task holds before it hands them on.
-HELD = 100_000
+#: Numbers that are computed again at once.
+AT_ONCE = 1 << 20
 
-_BLOCK = "dim int, ids binary, small binary, scales binary, errors binary, exact binary"
+_BLOCK = "dim int, ids binary, exact binary"
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,9 +62,14 @@ def usable(vector: Column) -> Column:
 
 
 def grid(candidates: int, queries: int, partitions: int) -> tuple[int, int]:
-    """Groups of candidates and of queries: some cells for each partition, and few copies of either side."""
+    """Groups of candidates and of queries: some cells for each partition, and few copies of either side.
+
+    A candidate goes to each group of queries and a query to each group of candidates. Cells for the sake of
+    tasks stop where the copies are four times the candidates; beyond that only ``CELL_MOST`` asks for more.
+    """
     pairs = max(1, candidates * queries)
-    cells = max(min(pairs / CELL_LEAST, 4 * partitions), pairs / CELL_MOST, 1)
+    freely = max(CELLS_FREELY, 4 * candidates / max(1, queries))
+    cells = max(min(pairs / CELL_LEAST, 2 * partitions, freely), pairs / CELL_MOST, 1)
     across = min(math.ceil(math.sqrt(cells * candidates / max(1, queries))), math.ceil(cells), -(-candidates // CANDIDATES))
     return max(1, across), max(1, math.ceil(cells / max(1, across)))
 
@@ -77,8 +85,8 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
             x = np.array([v for _, v in rows], np.float64)
             # a power of two is exact, and leaves cosines as they are
             x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
-            small, scale, error = quantised(x)
-            return dim, np.array([i for i, _ in rows], np.int64).tobytes(), small.tobytes(), scale.tobytes(), error.tobytes(), x.tobytes()
+            single = x.astype(np.float32)
+            return dim, np.array([i for i, _ in rows], np.int64).tobytes(), (single if (single == x).all() else x).tobytes()
 
         names = [c.split()[0] for c in _BLOCK.split(", ")]
         for batch in batches:
@@ -99,33 +107,61 @@ def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.cumsum(x * y, axis=1)[:, -1]
 
 
-def best_pairs(q: tuple, c: tuple, dim: int, k: int) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
-    """For each query of a tile its id and a print of its vector, and ids and cosines of its k best candidates or more at ties."""
-    (qi, qs, qscale, qerror, qx), (ci, cs, cscale, cerror, cx) = q, c
-    kind = np.float32 if dim <= 1024 else np.float64  # sums of int8 products are whole numbers below 2^24
-    about = (qs.astype(kind) @ cs.astype(kind).T) * qscale[:, None] * cscale[None, :]
-    error = qerror[:, None] + (1 + qerror[:, None]) * cerror[None, :] + SLACK
-    own = qi[:, None] == ci[None, :]
-    low = np.where(own, -np.inf, about - error)
-    least = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(qi), -np.inf)
-    maybe = (about + error >= least[:, None]) & ~own
-    qnorm, cnorm = np.sqrt(_dots(qx, qx)), np.sqrt(_dots(cx, cx))
-    for i in range(len(qi)):
-        at = np.flatnonzero(maybe[i])
-        if len(at):
-            yield (int(qi[i]), zlib.crc32(qx[i].tobytes())), ci[at], _dots(cx[at], qx[i]) / (cnorm[at] * qnorm[i])
-
-
-def _opened(row, side: str) -> tuple:
-    dim = row["dim"]
-    ids = np.frombuffer(row[f"{side}_ids"], np.int64)
-    return (
-        ids,
-        np.frombuffer(row[f"{side}_small"], np.int8).reshape(len(ids), dim),
-        np.frombuffer(row[f"{side}_scales"], np.float64),
-        np.frombuffer(row[f"{side}_errors"], np.float64),
-        np.frombuffer(row[f"{side}_exact"], np.float64).reshape(len(ids), dim),
-    )
+class Opened:
+    """A block with its int8 rows as numbers that multiply fast, and what bounds their errors."""
+
+    def __init__(self, dim: int, ids: bytes, exact: bytes) -> None:
+        self.ids = np.frombuffer(ids, np.int64)
+        kind = np.float32 if len(exact) == 4 * dim * len(self.ids) else np.float64
+        self.exact = np.frombuffer(exact, kind).reshape(len(self.ids), dim).astype(np.float64)
+        small, self.scale, self.error = quantised(self.exact)
+        # sums of int8 products are whole numbers below 2^24 up to this length
+        self.small = small.astype(np.float32 if dim <= 1024 else np.float64)
+        self.norm = np.sqrt(_dots(self.exact, self.exact))
+
+
+class Best:
+    """The ``k`` best candidates so far of each query of a block."""
+
+    def __init__(self, q: Opened, k: int) -> None:
+        self.q, self.k = q, k
+        self.row, self.id, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        self.kth = np.full(len(q.ids), -np.inf)
+
+    def _least(self, c: Opened, product: np.ndarray) -> np.ndarray:
+        """No neighbour of a query is below this: its k-th best cosine, or the k-th best lower bound in this tile."""
+        new = np.flatnonzero(self.kth == -np.inf)
+        if not len(new) or len(c.ids) <= self.k:
+            return self.kth
+        q, least = self.q, self.kth.copy()
+        low = product[new] * q.scale[new, None] * c.scale[None, :] - q.error[new, None] - (1 + q.error[new, None]) * c.error[None, :] - SLACK
+        low[q.ids[new, None] == c.ids[None, :]] = -np.inf
+        least[new] = np.partition(low, -self.k, axis=1)[:, -self.k]
+        return least
+
+    def meet(self, c: Opened) -> None:
+        q = self.q
+        product = q.small @ c.small.T
+        least = self._least(c, product) - SLACK - q.error
+        # at first with the largest error of the block, which leaves one comparison for each pair
+        product *= c.scale.astype(product.dtype)
+        enough = (least - (1 + q.error) * c.error.max()) / q.scale
+        row, at = np.nonzero(product >= enough.astype(product.dtype)[:, None])
+        sure = (product[row, at] * q.scale[row] + (1 + q.error[row]) * c.error[at] >= least[row]) & (q.ids[row] != c.ids[at])
+        row, at = row[sure], at[sure]
+        if not len(row):
+            return
+        step = max(1, AT_ONCE // q.exact.shape[1])
+        dots = [_dots(c.exact[at[i : i + step]], q.exact[row[i : i + step]]) for i in range(0, len(row), step)]
+        score = np.concatenate(dots) / (c.norm[at] * q.norm[row])
+        row, id_, score = np.concatenate([self.row, row]), np.concatenate([self.id, c.ids[at]]), np.concatenate([self.score, score])
+        order = np.lexsort((id_, -score, row))
+        row = row[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = place < self.k
+        self.row, self.id, self.score = row[kept], id_[order][kept], score[order][kept]
+        last = place[kept] == self.k - 1
+        self.kth[self.row[last]] = self.score[last]
 
 
 def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -134,36 +170,29 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "ve
         slim = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector"))
         return slim.where(F.col("id").isNotNull() & usable(F.col("vector")))
 
-    def named(df: DataFrame, side: str) -> DataFrame:
-        return df.select("dim", *[F.col(c).alias(f"{side}_{c}") for c in ("ids", "small", "scales", "errors", "exact")])
-
-    across, down = grid(vectors.count(), queries.count(), int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    across, down = grid(vectors.count(), queries.count(), partitions)
+    tasks = min(partitions, 2 * across * down)
     group = lambda ids, n: F.pmod(F.xxhash64(ids), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    c = named(blocks(sound(vectors), CANDIDATES), "c").withColumns({"x": group("c_ids", across), "y": every(down)})
-    q = named(blocks(sound(queries).distinct(), QUERIES), "q").withColumns({"x": every(across), "y": group("q_ids", down)})
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heaps: dict[tuple[int, int], list[tuple[float, int]]] = {}
-
-        def out() -> pd.DataFrame:
-            rows = [(*i, -m, s) for i, h in heaps.items() for s, m in h]
-            heaps.clear()
-            return pd.DataFrame(rows, columns=["query_id", "print", "id", "score"])
-
-        for batch in batches:
-            for row in batch.to_dict("records"):
-                for i, ids, scores in best_pairs(_opened(row, "q"), _opened(row, "c"), row["dim"], k):
-                    heap = heaps.setdefault(i, [])
-                    for item in zip(scores.tolist(), (-ids).tolist(), strict=True):
-                        if len(heap) < k:
-                            heapq.heappush(heap, item)
-                        elif item > heap[0]:
-                            heapq.heapreplace(heap, item)
-                if len(heaps) > HELD:
-                    yield out()
-        yield out()
-
-    best = c.join(q, ["dim", "x", "y"]).drop("x", "y").mapInPandas(merge, "query_id long, print long, id long, score double")
+    c = blocks(sound(vectors), CANDIDATES).withColumns({"x": group("ids", across), "y": every(down)})
+    q = blocks(sound(queries).distinct(), QUERIES).withColumns({"x": every(across), "y": group("ids", down)})
+
+    def search(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        opened = lambda df: (Opened(*row) for row in zip(df["dim"], df["ids"], df["exact"], strict=True))
+        best = [Best(b, k) for b in opened(asked)]
+        for block in opened(candidates) if best else ():
+            for b in best:
+                b.meet(block)
+        found = {"query_id": [np.empty(0, np.int64)], "print": [np.empty(0, np.int64)], "id": [np.empty(0, np.int64)], "score": [np.empty(0)]}
+        for b in best:
+            prints = np.array([zlib.crc32(v.tobytes()) for v in b.q.exact], np.int64)
+            for name, values in zip(found, (b.q.ids[b.row], prints[b.row], b.id, b.score), strict=True):
+                found[name].append(values)
+        return pd.DataFrame({name: np.concatenate(values) for name, values in found.items()})
+
+    cell = ["dim", "x", "y"]
+    sides = [df.repartition(tasks, *cell).groupBy(*cell) for df in (c, q)]
+    best = sides[0].cogroup(sides[1]).applyInPandas(search, "query_id long, print long, id long, score double")
     order = Window.partitionBy("query_id", "print").orderBy(F.desc("score"), "id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -75,3 +75,41 @@ def test_small_cells_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(block_ann, "CANDIDATES", 16)
     monkeypatch.setattr(block_ann, "QUERIES", 8)
     assert rows_of(block_ann.neighbours(df, df.where("vec_id % 10 = 0"), 5)) == want
+
+
+def test_a_block_is_sent_once_a_cell(spark):
+    """Tiles as joined rows held a block of either side each, which filled the heap of the JVM."""
+    df = spark.createDataFrame(table(), SCHEMA)
+    plan = block_ann.neighbours(df, df.where("vec_id % 10 = 0"), 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroups" in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("candidates", [615_384, 15_000_000])
+def test_copies_on_the_grid_are_few(candidates):
+    queries = candidates // 50
+    across, down = block_ann.grid(candidates, queries, candidates // 25_000)
+    assert across * queries + down * candidates <= 6 * candidates
+    assert candidates * queries / (across * down) <= block_ann.CELL_MOST
+
+
+def test_vectors_are_sent_as_short_as_they_are_exact(spark):
+    rows = [(i, [1.0, 0.5 * i, -0.25]) for i in range(1, 21)]
+    short = spark.createDataFrame(rows, "id long, vector array<double>").coalesce(1)
+    long = spark.createDataFrame([(i, [*v[:2], 0.1]) for i, v in rows], short.schema).coalesce(1)
+    sizes = [{len(r.exact) // len(r.ids) for r in block_ann.blocks(df, 8).collect()} for df in (short, long)]
+    assert sizes == [{4 * 3 // 8}, {8 * 3 // 8}]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_near_and_exact_copies_over_many_tiles(spark, monkeypatch, kind):
+    monkeypatch.setattr(block_ann, "CANDIDATES", 16)
+    monkeypatch.setattr(block_ann, "QUERIES", 4)
+    monkeypatch.setattr(block_ann, "CELL_MOST", 2_000)
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(6, 8))
+    vectors = [(centres[i % 6] + (i % 4 > 0) * 1e-3 * rng.normal(size=8)).astype(np.float32).astype(float).tolist() for i in range(240)]
+    rows = list(enumerate(vectors))
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    got = rows_of(block_ann.neighbours(df, df.where("vec_id % 7 = 0"), 9))
+    want = brute(rows, [r for r in rows if r[0] % 7 == 0], 9)
+    assert got == [(q, rank, v) for q, _ in sorted(want) for rank, v in enumerate(want[q, tuple(vectors[q])], 1)]
