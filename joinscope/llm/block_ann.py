@@ -108,16 +108,18 @@ def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Opened:
-    """A block with its int8 rows as numbers that multiply fast, and what bounds their errors."""
+    """A block as it was sent, with its int8 rows and what bounds their errors."""
 
     def __init__(self, dim: int, ids: bytes, exact: bytes) -> None:
         self.ids = np.frombuffer(ids, np.int64)
         kind = np.float32 if len(exact) == 4 * dim * len(self.ids) else np.float64
-        self.exact = np.frombuffer(exact, kind).reshape(len(self.ids), dim).astype(np.float64)
-        small, self.scale, self.error = quantised(self.exact)
-        # sums of int8 products are whole numbers below 2^24 up to this length
-        self.small = small.astype(np.float32 if dim <= 1024 else np.float64)
-        self.norm = np.sqrt(_dots(self.exact, self.exact))
+        self.exact = np.frombuffer(exact, kind).reshape(len(self.ids), dim)
+        x = self.rows(slice(None))
+        self.small, self.scale, self.error = quantised(x)
+        self.norm = np.sqrt(_dots(x, x))
+
+    def rows(self, at: np.ndarray | slice) -> np.ndarray:
+        return self.exact[at].astype(np.float64)
 
 
 class Best:
@@ -141,18 +143,20 @@ class Best:
 
     def meet(self, c: Opened) -> None:
         q = self.q
-        product = q.small @ c.small.T
+        # sums of int8 products are whole numbers below 2^24 up to this length
+        kind = np.float32 if q.exact.shape[1] <= 1024 else np.float64
+        product = q.small.astype(kind) @ c.small.astype(kind).T
         least = self._least(c, product) - SLACK - q.error
         # at first with the largest error of the block, which leaves one comparison for each pair
-        product *= c.scale.astype(product.dtype)
+        product *= c.scale.astype(kind)
         enough = (least - (1 + q.error) * c.error.max()) / q.scale
-        row, at = np.nonzero(product >= enough.astype(product.dtype)[:, None])
+        row, at = np.nonzero(product >= enough.astype(kind)[:, None])
         sure = (product[row, at] * q.scale[row] + (1 + q.error[row]) * c.error[at] >= least[row]) & (q.ids[row] != c.ids[at])
         row, at = row[sure], at[sure]
         if not len(row):
             return
         step = max(1, AT_ONCE // q.exact.shape[1])
-        dots = [_dots(c.exact[at[i : i + step]], q.exact[row[i : i + step]]) for i in range(0, len(row), step)]
+        dots = [_dots(c.rows(at[i : i + step]), q.rows(row[i : i + step])) for i in range(0, len(row), step)]
         score = np.concatenate(dots) / (c.norm[at] * q.norm[row])
         row, id_, score = np.concatenate([self.row, row]), np.concatenate([self.id, c.ids[at]]), np.concatenate([self.score, score])
         order = np.lexsort((id_, -score, row))
@@ -186,7 +190,7 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "ve
                 b.meet(block)
         found = {"query_id": [np.empty(0, np.int64)], "print": [np.empty(0, np.int64)], "id": [np.empty(0, np.int64)], "score": [np.empty(0)]}
         for b in best:
-            prints = np.array([zlib.crc32(v.tobytes()) for v in b.q.exact], np.int64)
+            prints = np.array([zlib.crc32(v.tobytes()) for v in b.q.rows(slice(None))], np.int64)
             for name, values in zip(found, (b.q.ids[b.row], prints[b.row], b.id, b.score), strict=True):
                 found[name].append(values)
         return pd.DataFrame({name: np.concatenate(values) for name, values in found.items()})
